@@ -58,15 +58,14 @@ def stdout_figures(text: Column) -> dict[str, Column]:
     }
 
 
+def _numbers_in_ms(text: Column, name: str, scale: float) -> Column:
+    numbers = F.regexp_extract_all(text, F.lit(rf"{name}(?:\{{[^}}]*\}})?\s+([\d.e+-]+)"), F.lit(1))
+    return F.transform(numbers, lambda number: number.try_cast("double") * F.lit(scale))
+
+
 def lag_ms_from_text(text: Column) -> Column:
     """Worst lag in ms over every family and label set in a line or a whole capture; null if there is none."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(text, F.lit(rf"{name}(?:\{{[^}}]*\}})?\s+([\d.e+-]+)"), F.lit(1)),
-            lambda number, s=scale: number.try_cast("double") * F.lit(s),
-        )
-        for name, scale in LAG_METRICS.items()
-    ]
+    found = [_numbers_in_ms(text, name, scale) for name, scale in LAG_METRICS.items()]
     return F.array_max(F.concat(*found))
 
 

@@ -34,10 +34,13 @@ def lag_summary(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def lag_columns(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # Samples have two or three decimals, so six decimals of the sum are exact and free of the
+    # noise that the order of a parallel addition leaves behind.
+    mean = round_half_even(F.col("sum"), 6) / F.col("n")
     return stats.select(
         *keys,
         round_half_even(F.col("min"), 2).alias("min_lag_ms"),
-        round_half_even(F.col("sum") / F.col("n"), 2).alias("avg_lag_ms"),
+        round_half_even(mean, 2).alias("avg_lag_ms"),
         round_half_even(F.col("p95"), 2).alias("p95_lag_ms"),
         round_half_even(F.col("max"), 2).alias("max_lag_ms"),
         F.col("n").alias("samples"),

@@ -69,6 +69,9 @@ def write_step_stdout(texts: DataFrame, path: str, folders: Sequence[str] = ("ru
     return path
 
 
-def write_metrics_text(lines: DataFrame, path: str, name: str, folders: Sequence[str] = ("runset", "run", "step")) -> str:
-    _writer(lines.select(*folders, F.col("line")), folders, name).text(path)
+def write_metrics_text(
+    lines: DataFrame, path: str, capture: str, node: str = "node", folders: Sequence[str] = ("runset", "run", "step")
+) -> str:
+    """Captured metrics text, ``<capture>_metrics-*.txt``, one folder per node position below its step."""
+    _writer(lines.select(*folders, node, "line"), [*folders, node], f"{capture}_metrics").text(path)
     return path

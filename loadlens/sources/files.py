@@ -19,14 +19,14 @@ def _reader(spark: SparkSession, files: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
 
 
-def _level(above: int) -> Column:
+def _level(above: int, path: Column | None = None) -> Column:
     """Name of the directory ``above`` levels over the file (1 = its own directory)."""
-    parts = F.split("_metadata.file_path", "/")
+    parts = F.split(F.col("_metadata.file_path") if path is None else path, "/")
     return F.regexp_replace(F.try_element_at(parts, F.lit(-1 - above)), "^[A-Za-z_]+=", "")
 
 
-def step_levels() -> list[Column]:
-    return [_level(3).alias("runset"), _level(2).alias("run"), _level(1).alias("step")]
+def step_levels(path: Column | None = None) -> list[Column]:
+    return [_level(above, path).alias(name) for above, name in ((3, "runset"), (2, "run"), (1, "step"))]
 
 
 def scan_txn_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -40,7 +40,7 @@ def scan_txn_log(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_step_stdout(spark: SparkSession, root: str, files: str = "pgbench.log") -> DataFrame:
     """Throughput and latency figures that the tool printed at the end of each step."""
-    texts = _reader(spark, files).option("wholetext", "true").text(root)
+    texts = _reader(spark, files).text(root, wholetext=True)
     figures = [c.alias(name) for name, c in stdout_figures(F.col("value")).items()]
     return texts.select(*step_levels(), *figures)
 
@@ -49,7 +49,7 @@ def _documents(
     spark: SparkSession, root: str, files: str, schema: str, levels: list[Column], one_per_file: bool
 ) -> DataFrame:
     """JSON documents, sanitised first. One that does not parse gives nulls, it does not fail the job."""
-    texts = _reader(spark, files).option("wholetext", str(one_per_file).lower()).text(root)
+    texts = _reader(spark, files).text(root, wholetext=one_per_file)
     return texts.select(
         *levels, F.from_json(sanitize_nonfinite(F.col("value")), schema, {"mode": "PERMISSIVE"}).alias("doc")
     )
@@ -122,13 +122,22 @@ def parse_metrics_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def scan_metrics_text(spark: SparkSession, root: str, files: str = "*_metrics_*.txt") -> DataFrame:
-    """Captured metrics text; the file name gives capture label (``.._before`` / ``.._after``) and node position."""
-    name = F.try_element_at(F.split("_metadata.file_path", "/"), F.lit(-1))
+NODE_FOLDER = r"/node=(\d+)/"
+CAPTURE_NAME = r"^(.*)_metrics(?:_(\d+))?[_-]"
+
+
+def scan_metrics_text(spark: SparkSession, root: str, files: str = "*_metrics[_-]*.txt") -> DataFrame:
+    """Captured metrics text with its capture label (``.._before`` / ``.._after``) and node position.
+
+    The position is part of the file name, or of a ``node=<n>`` folder below the step.
+    """
+    path = F.col("_metadata.file_path")
+    name = F.try_element_at(F.split(path, "/"), F.lit(-1))
+    position = F.concat(F.regexp_extract(name, CAPTURE_NAME, 2), F.regexp_extract(path, NODE_FOLDER, 1))
     lines = _reader(spark, files).text(root).select(
-        *step_levels(),
-        F.regexp_extract(name, r"^(.*)_metrics_(\d+)_", 1).alias("capture"),
-        F.regexp_extract(name, r"^(.*)_metrics_(\d+)_", 2).try_cast("int").alias("node"),
+        *step_levels(F.regexp_replace(path, NODE_FOLDER, "/")),
+        F.regexp_extract(name, CAPTURE_NAME, 1).alias("capture"),
+        position.try_cast("int").alias("node"),
         F.col("value").alias("line"),
     )
     return parse_metrics_lines(lines)
