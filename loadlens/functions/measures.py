@@ -167,21 +167,25 @@ def histogram_buckets(histogram_json: Column) -> Column:
     return F.array_sort(F.transform(entries, bucket))
 
 
-def histogram_percentile(buckets: Column, percent: float, interpolate: bool = False) -> Column:
+def histogram_running(buckets: Column) -> Column:
+    """Buckets with the count up to and including each, empty buckets left out."""
+    start = F.array().cast("array<struct<lo:double,hi:double,n:bigint,upto:bigint>>")
+
+    def add(seen: Column, b: Column) -> Column:
+        upto = F.coalesce(F.try_element_at(seen, F.lit(-1))["upto"], F.lit(0)) + b["n"]
+        here = F.struct(b["lo"].alias("lo"), b["hi"].alias("hi"), b["n"].alias("n"), upto.alias("upto"))
+        return F.concat(seen, F.array(here))
+
+    return F.aggregate(F.filter(buckets, lambda b: b["n"] > 0), start, add)
+
+
+def histogram_percentile(running: Column, percent: float, interpolate: bool = False) -> Column:
     """Upper bound of the first bucket that reaches the share (or the point inside it); null when empty."""
-    total = F.aggregate(buckets, F.lit(0).cast("bigint"), lambda acc, b: acc + b["n"])
-    need = total.cast("double") * F.lit(percent / 100.0)
-    start = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("hit"))
-
-    def step(acc: Column, b: Column) -> Column:
-        cum = acc["cum"] + b["n"]
-        point = b["hi"]
-        if interpolate:
-            point = b["lo"] + (b["hi"] - b["lo"]) * (need - acc["cum"]) / b["n"]
-        reached = acc["hit"].isNull() & (cum >= need) & (b["n"] > 0)
-        return F.struct(cum.alias("cum"), F.when(reached, point).otherwise(acc["hit"]).alias("hit"))
-
-    return F.aggregate(buckets, start, step, lambda acc: acc["hit"])
+    need = F.try_element_at(running, F.lit(-1))["upto"].cast("double") * F.lit(percent / 100.0)
+    hit = F.get(F.filter(running, lambda b: b["upto"] >= need), F.lit(0))
+    if not interpolate:
+        return hit["hi"]
+    return hit["lo"] + (hit["hi"] - hit["lo"]) * (need - (hit["upto"] - hit["n"])) / hit["n"]
 
 
 def whole_division(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.functions import MAX_LATENCY_US, fixed_text, is_log_line, log_fields, us_to_ms
+from loadlens.functions import MAX_LATENCY_US, MIN_LOG_FIELDS, fixed_text, has_only_integers, log_fields, us_to_ms
 from loadlens.operators.ordered import distribution
 
 # Reported shares.
@@ -26,9 +26,12 @@ def parse_txn_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         ("epoch_sec", 4, "bigint"), ("epoch_us", 5, "bigint"), ("schedule_lag", 6, "bigint"),
     ]
     others = [c for c in lines.columns if c != line]
+    # The one-element explode splits a line once; a plain column would be split again by
+    # every filter and column that Catalyst merges with it.
     return (
-        lines.where(is_log_line(F.col(line)))
-        .withColumn("fields__", log_fields(F.col(line)))
+        lines.where(has_only_integers(F.col(line)))
+        .select(*others, F.explode(F.array(log_fields(F.col(line)))).alias("fields__"))
+        .where(F.size(fields) >= MIN_LOG_FIELDS)
         .select(*others, *[F.get(fields, F.lit(at)).try_cast(kind).alias(name) for name, at, kind in layout])
         .where(F.col("latency_us").between(0, MAX_LATENCY_US))
     )

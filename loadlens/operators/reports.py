@@ -78,10 +78,13 @@ def report_text(flat: DataFrame) -> DataFrame:
 def report_html_rows(flat: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One table row of markup per report row."""
     texts = report_text(flat)
+    kinds = dict(flat.dtypes)
 
     def cell(name: str) -> list[Column]:
         tag = '<td class="mono">' if name in MONO_COLUMNS else "<td>"
-        return [F.lit(tag), html_escape(F.col(name)), F.lit("</td>")]
+        text = F.col(name)  # a number has no characters to escape
+        content = html_escape(text) if kinds[name] == "string" else F.coalesce(text, F.lit(""))
+        return [F.lit(tag), content, F.lit("</td>")]
 
     cells = [part for name in HTML_COLUMNS for part in cell(name)]
     return texts.select(*keys, F.concat(F.lit("        <tr>"), *cells, F.lit("</tr>")).alias("html"))

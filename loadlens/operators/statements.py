@@ -11,6 +11,7 @@ from loadlens.functions import (
     finite_round,
     histogram_buckets,
     histogram_percentile,
+    histogram_running,
     is_other_statement,
     is_workload_statement,
     round_half_even,
@@ -98,12 +99,13 @@ def dominant_statement(statements: DataFrame, keys: Sequence[str] = ()) -> DataF
 
 def histogram_percentiles(df: DataFrame, histogram: str = "yb_latency_histogram", interpolate: bool = False) -> DataFrame:
     """p50/p90/p95/p99 of a bucket histogram; null when empty or in the open last bucket."""
-    buckets = histogram_buckets(F.col(histogram))
+    running = histogram_running(histogram_buckets(F.col(histogram)))
     others = [c for c in df.columns if c != histogram]
-    return df.withColumn("buckets__", buckets).select(
+    # Exploded as one element, so that the text is parsed once and not per percentile.
+    return df.select(*others, F.explode(F.array(running)).alias("running__")).select(
         *others,
         *[
-            finite_round(histogram_percentile(F.col("buckets__"), percent, interpolate)).alias(name)
+            finite_round(histogram_percentile(F.col("running__"), percent, interpolate)).alias(name)
             for name, percent in HISTOGRAM_PERCENTS.items()
         ],
     )

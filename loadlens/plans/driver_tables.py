@@ -221,7 +221,7 @@ def plans(spark: SparkSession, sf: str) -> DataFrame:
         rows.withColumn("kind", F.expr("(k + phase_idx) % 4"))
         .groupBy("k", "phase_idx", "kind")
         .agg(
-            F.max("pk").alias("phase_pk"),
+            (F.max("pk") + 1).alias("phase_pk"),
             F.array_sort(
                 F.collect_list(
                     F.expr(

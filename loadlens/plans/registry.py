@@ -135,7 +135,7 @@ VIEWS = {
           (k + phase_idx) % 4 as kind, row_number() over (partition by k, phase_idx order by step_idx) - 1 as pos, pk, sk,
           case when sk % 3 = 0 then null else cast(qty as integer) end as step_clients,
           case when k % 6 = 0 then null else cast(k % 16 + 1 as integer) end as phase_clients,
-          max(pk) over (partition by k, phase_idx) as phase_pk
+          max(pk) over (partition by k, phase_idx) + 1 as phase_pk
         from line_step""",
     "plan_step": """
         select run, cast(phase_idx as integer) as phase_idx, cast(pos as integer) as step_idx, phase,
@@ -149,7 +149,7 @@ VIEWS = {
           case kind when 1 then pk * 10 + 7 end as total_transactions, coalesce(step_clients, phase_clients, 8) as clients, 2 as jobs
         from plan_row where kind < 3
         union all
-        select distinct run, phase_idx, 0, phase,
+        select distinct run, cast(phase_idx as integer), 0, phase,
           concat(phase, '_', greatest(1, (phase_pk + coalesce(phase_clients, 1) - 1) // coalesce(phase_clients, 1)), 'tpc'), 'transaction_count',
           cast(null as integer), cast(null as double),
           greatest(1, (phase_pk + coalesce(phase_clients, 1) - 1) // coalesce(phase_clients, 1)), phase_pk, phase_clients, cast(null as integer)
