@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions import PAYLOAD_FACTORS, account_delta, payload_mod, uuid_from_int
-from loadlens.operators.ordered import with_rank
+from loadlens.operators.ordered import first_rows, rows_after_first
 
 # Sizes and start balance of the generated tables.
 PRELOAD_ROWS = 100_000
@@ -107,8 +107,12 @@ def apply_deletes(table: DataFrame, deletes: DataFrame, on: Sequence[str] = ("id
 
 
 def uuid_bucket(column: str) -> Column:
-    """4,096 order-preserving cuts of a hashed key."""
-    return F.substring(column, 1, 3)
+    """65,536 order-preserving cuts of a hashed key."""
+    return F.substring(column, 1, 4)
+
+
+def _requests_per_key(requests: DataFrame, key: str) -> DataFrame:
+    return requests.groupBy(key).agg(F.count(F.lit(1)).alias("limit"))
 
 
 def rows_to_delete(rows: DataFrame, requests: DataFrame, key: str, id_col: str, bucket: Column | None = None) -> DataFrame:
@@ -116,13 +120,14 @@ def rows_to_delete(rows: DataFrame, requests: DataFrame, key: str, id_col: str,
 
     Ranks are taken per (key, bucket of the id), so a key with a third of all rows spreads out.
     """
-    wanted = requests.groupBy(key).agg(F.count(F.lit(1)).alias("wanted__"))
-    ranked = with_rank(rows.select(key, id_col), [key], id_col, uuid_bucket(id_col) if bucket is None else bucket)
-    return ranked.join(wanted, key).where(F.col("rank") <= F.col("wanted__")).select(key, id_col)
+    cut = uuid_bucket(id_col) if bucket is None else bucket
+    return first_rows(rows.select(key, id_col), [key], id_col, cut, _requests_per_key(requests, key)).select(key, id_col)
 
 
 def delete_one_per_request(rows: DataFrame, requests: DataFrame, key: str, id_col: str, bucket: Column | None = None) -> DataFrame:
-    return apply_deletes(rows, rows_to_delete(rows, requests, key, id_col, bucket), [id_col])
+    """The table without those rows, in the same single shuffle of its rows."""
+    cut = uuid_bucket(id_col) if bucket is None else bucket
+    return rows_after_first(rows, [key], id_col, cut, _requests_per_key(requests, key))
 
 
 def one_per_key(rows: DataFrame, key: str, id_col: str) -> DataFrame:

@@ -171,38 +171,63 @@ def with_previous(
 ) -> DataFrame:
     """Add ``prev_<column>``: the value in the row before, in ``order`` within ``keys``.
 
-    ``bucket`` must grow with ``order``. The first row of a bucket takes its values from
-    the last row of the bucket before, which one small row per bucket carries over.
+    ``bucket`` must grow with ``order``. A copy of each bucket's last row opens the next
+    bucket, so one window per (group, bucket) sees every predecessor: the rows shuffle once
+    and meet no join.
     """
     keys, order = list(keys), list(order)
     cut = df.withColumn("bucket__", bucket)
-    last = cut.groupBy(*keys, "bucket__").agg(
-        F.max_by(F.struct(*columns), F.struct(*order)).alias("last__")
-    )
-    carried = _renamed(
-        last.select(
-            *keys, "bucket__",
-            F.lag("last__").over(Window.partitionBy(*keys).orderBy("bucket__")).alias("carry__"),
-        ),
-        [*keys, "bucket__"],
+    carried = list(dict.fromkeys([*order, *columns]))
+    last = cut.groupBy(*keys, "bucket__").agg(F.max_by(F.struct(*carried), F.struct(*order)).alias("last__"))
+    following = F.lead(F.struct("bucket__")).over(Window.partitionBy(*keys).orderBy("bucket__"))
+    openers = (
+        last.select(*keys, following.alias("next__"), "last__.*")
+        .where(F.col("next__").isNotNull())
+        .withColumn("bucket__", F.col("next__.bucket__"))
+        .drop("next__")
+        .withColumn("opener__", F.lit(True))
     )
+    rows = cut.withColumn("opener__", F.lit(False)).unionByName(openers, allowMissingColumns=True)
     here = Window.partitionBy(*keys, "bucket__").orderBy(*order)
-    near = cut.withColumn("row__", F.lag(F.struct(*columns)).over(here))
-    joined = near.join(carried, _same_group(near, carried, [*keys, "bucket__"]), "left")
-    previous = F.coalesce(F.col("row__"), F.col("carry__"))
-    return joined.select(*df.columns, *[previous[c].alias(f"prev_{c}") for c in columns])
+    seen = rows.withColumns({f"prev_{c}": F.lag(c).over(here) for c in columns})
+    return seen.where(~F.col("opener__")).select(*df.columns, *[f"prev_{c}" for c in columns])
+
 
+def _against_limit(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, limits: DataFrame) -> DataFrame:
+    """Add ``within__``: whether a row's rank (from 1, in ``order`` within ``keys``) is up to its group's ``limit``.
 
-def with_rank(df: DataFrame, keys: Sequence[str], order: str, bucket: Column) -> DataFrame:
-    """Add ``rank`` (from 1) of the row in ``order`` within ``keys``; ``bucket`` must grow with ``order``."""
+    ``bucket`` must grow with ``order``. An opening row per bucket brings the number of rows
+    before the bucket and the limit; a running sum over the bucket does the rest.
+    """
     keys = list(keys)
     cut = df.withColumn("bucket__", bucket)
     sizes = cut.groupBy(*keys, "bucket__").agg(F.count(F.lit(1)).alias("size__"))
     ahead = Window.partitionBy(*keys).orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)
-    bases = _renamed(
-        sizes.select(*keys, "bucket__", F.coalesce(F.sum("size__").over(ahead), F.lit(0)).alias("base__")),
-        [*keys, "bucket__"],
+    openers = (
+        sizes.withColumn("step__", F.coalesce(F.sum("size__").over(ahead), F.lit(0)))
+        .join(limits.select(*keys, F.col("limit").alias("limit__")), keys)
+        .where(F.col("step__") < F.col("limit__"))
+        .drop("size__")
+        .withColumn("opener__", F.lit(True))
+    )
+    rows = cut.withColumns({"opener__": F.lit(False), "step__": F.lit(1).cast("bigint")}).unionByName(
+        openers, allowMissingColumns=True
+    )
+    here = (
+        Window.partitionBy(*keys, "bucket__")
+        .orderBy(F.col("opener__").desc(), order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    near = cut.withColumn("near__", F.row_number().over(Window.partitionBy(*keys, "bucket__").orderBy(order)))
-    joined = near.join(bases, _same_group(near, bases, [*keys, "bucket__"]), "left")
-    return joined.select(*df.columns, (F.col("base__") + F.col("near__")).alias("rank"))
+    seen = rows.withColumns({"rank": F.sum("step__").over(here), "upto__": F.first("limit__").over(here)})
+    within = F.coalesce(F.col("rank") <= F.col("upto__"), F.lit(False))
+    return seen.where(~F.col("opener__")).select(*df.columns, "rank", within.alias("within__"))
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, limits: DataFrame) -> DataFrame:
+    """The first ``limit`` rows of every group in ``limits`` (keys, ``limit``), with their ``rank``."""
+    return _against_limit(df, keys, order, bucket, limits).where("within__").drop("within__")
+
+
+def rows_after_first(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, limits: DataFrame) -> DataFrame:
+    """All other rows: those beyond the limit and those of groups without one."""
+    return _against_limit(df, keys, order, bucket, limits).where(~F.col("within__")).select(*df.columns)

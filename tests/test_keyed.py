@@ -87,3 +87,9 @@ def test_audits(spark):
     t = spark.createDataFrame([("a", 1), ("a", 2), (None, None), ("b", 3)], "id string, v int")
     assert sorted((r.id or "", r["rows"]) for r in keyed.pk_audit(t, ["id"]).collect()) == [("", 1), ("a", 2)]
     assert {r.column_name: r.nulls for r in keyed.not_null_audit(t, ["id", "v"]).collect()} == {"id": 1, "v": 1}
+
+
+def test_rows_to_delete_are_the_lowest_ids(spark):
+    rows = spark.createDataFrame([(f"{i:04x}", "a" if i % 2 else "b") for i in range(20)], "id string, acc string")
+    asked = spark.createDataFrame([("a",), ("a",), ("b",)], "acc string")
+    assert sorted(map(tuple, keyed.rows_to_delete(rows, asked, "acc", "id").collect())) == [("a", "0001"), ("a", "0003"), ("b", "0000")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import brute
 from loadlens.operators.latency import latency_percentiles_of
-from loadlens.operators.ordered import distribution, value_bucket, with_previous, with_rank
+from loadlens.operators.ordered import distribution, first_rows, rows_after_first, value_bucket, with_previous
 
 SHARES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
@@ -72,9 +72,12 @@ def test_rank_across_buckets(spark):
     rng = random.Random(8)
     data = [(k, o) for k in ("hot", "b") for o in rng.sample(range(5000), 500 if k == "hot" else 20)]
     df = spark.createDataFrame(data, "k string, o int")
-    got = {(r.k, r.o): r["rank"] for r in with_rank(df, ["k"], "o", F.floor(F.col("o") / 64)).collect()}
+    limits = spark.createDataFrame([("hot", 300), ("b", 999), ("other", 5)], "k string, `limit` bigint")
+    got = {(r.k, r.o): r["rank"] for r in first_rows(df, ["k"], "o", F.floor(F.col("o") / 64), limits).collect()}
+    rest = rows_after_first(df, ["k"], "o", F.floor(F.col("o") / 64), limits)
     want = {}
-    for key in ("hot", "b"):
-        for n, o in enumerate(sorted(o for k, o in data if k == key), 1):
+    for key, limit in (("hot", 300), ("b", 999)):
+        for n, o in enumerate(sorted(o for k, o in data if k == key)[:limit], 1):
             want[key, o] = n
     assert got == want
+    assert sorted((r.k, r.o) for r in rest.collect()) == sorted(set(data) - set(want))
