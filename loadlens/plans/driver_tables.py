@@ -150,7 +150,7 @@ def step_row(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_row(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
-        "concat('set_', o_orderkey % 50) as runset", "concat('run-', o_orderkey) as run", "o_orderkey as k", "o_custkey",
+        "concat('set_', o_orderkey % 50) as runset", "concat('run-', o_orderkey) as run", "o_orderkey as k", "o_custkey", "o_orderpriority",
     )
 
 

@@ -54,7 +54,7 @@ def _(spark, sf):
     path = scratch_path(spark, "txn-log")
     lines = t.txn_line(spark, sf).withColumnsRenamed({"variant": "runset", "operation": "run"})
     sinks.write_txn_log(lines, path)
-    return rounded(latency.latency_percentiles(sources.scan_txn_log(spark, path), ["runset", "run"]), *PCT)
+    return rounded(latency.latency_percentiles(sources.scan_txn_log(spark, path, partitioned=True), ["runset", "run"]), *PCT)
 
 
 @query("latency_percentiles", f"select variant, step, count(*) as latency_samples, {PCT_SQL} from parsed group by all")

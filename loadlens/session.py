@@ -26,6 +26,22 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Settings for a large input: shuffle partitions near 128 MB, never fewer than the cores.
+
+    AQE merges what turns out small and cuts what turns out skewed, so the count errs high.
+    """
+    partitions = max(executor_cores, -(-input_bytes // (128 << 20)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20 if input_bytes > 1 << 40 else 128 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

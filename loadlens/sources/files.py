@@ -29,13 +29,21 @@ def step_levels(path: Column | None = None) -> list[Column]:
     return [_level(above, path).alias(name) for above, name in ((3, "runset"), (2, "run"), (1, "step"))]
 
 
-def scan_txn_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Raw lines of all transaction logs (not the step output, whose name only resembles them)."""
-    return _reader(spark, "pgbench_log*").text(root).select(*step_levels(), F.col("value").alias("line"))
+def scan_txn_lines(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
+    """Raw lines of all transaction logs (not the step output, whose name only resembles them).
+
+    ``partitioned`` is for a lake of ``runset=/run=/step=`` folders: the names are partition
+    columns then, so a filter on a run or step skips the other folders and no path is taken
+    apart row by row.
+    """
+    if not partitioned:
+        return _reader(spark, "pgbench_log*").text(root).select(*step_levels(), F.col("value").alias("line"))
+    lake = spark.read.option("pathGlobFilter", "pgbench_log*").schema("value string, runset string, run string, step string")
+    return lake.text(root).select("runset", "run", "step", F.col("value").alias("line"))
 
 
-def scan_txn_log(spark: SparkSession, root: str) -> DataFrame:
-    return parse_txn_lines(scan_txn_lines(spark, root))
+def scan_txn_log(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
+    return parse_txn_lines(scan_txn_lines(spark, root, partitioned))
 
 
 def scan_step_stdout(spark: SparkSession, root: str, files: str = "pgbench.log") -> DataFrame:

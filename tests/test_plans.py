@@ -8,6 +8,9 @@ from loadlens.operators import keyed
 from loadlens.plans import driver_tables as t
 from loadlens.plans.registry import ORACLES, QUERIES
 from loadlens.plans import catalog  # noqa: F401
+from loadlens.session import cluster_settings
+from loadlens.sinks import files as sinks
+from loadlens.sources import files as sources
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
@@ -74,3 +77,18 @@ def test_registry_is_complete(spark):
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"choose_operations", "stream_closed_seconds"}
     assert t.txn(spark, SF).count() > 0
+
+
+def test_a_run_filter_skips_other_folders(spark, tmp_path):
+    rows = [("s", f"r{i % 4}", "st", f"1 {i} 300 0 1700000000 5") for i in range(40)]
+    path = sinks.write_txn_log(spark.createDataFrame(rows, "runset string, run string, step string, line string"), str(tmp_path / "lake"))
+    one = sources.scan_txn_log(spark, path, partitioned=True).where("run = 'r1'")
+    assert one.count() == 10
+    assert "(run" in plan_of(one).split("PartitionFilters:")[1].split("\n")[0]
+    assert sources.scan_txn_log(spark, path).exceptAll(sources.scan_txn_log(spark, path, partitioned=True)).count() == 0
+
+
+def test_cluster_settings_grow_with_the_input():
+    small, large = cluster_settings(1 << 30, 400), cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 400
+    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
