@@ -22,7 +22,7 @@ def rounded(df, *columns):
 
 
 def _q(share: float, name: str, column: str = "latency_us") -> str:
-    return f"round(quantile_cont(cast({column} as double) / 1000, {share}), 6) as {name}"
+    return f"cast(printf('%.6f', quantile_cont(cast({column} as double) / 1000, {share})) as double) as {name}"
 
 
 PCT_SQL = ", ".join(_q(s, n) for n, s in latency.STEP_SHARES.items())
@@ -65,14 +65,14 @@ def latency_percentiles(spark, sf):
 @query(
     "latency_histogram",
     f"""select variant, step, epoch_sec, count(*) as count,
-        round(cast(sum(latency_us) as double) / 1000 / count(*), 6) as avg_ms, {SECOND_SQL} from txn group by all""",
+        cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as avg_ms, {SECOND_SQL} from txn group by all""",
 )
 def _(spark, sf):
     rows = latency.latency_histogram(t.txn(spark, sf), ["variant", "step"])
     return rounded(rows, "avg_ms", "p50_ms", "p95_ms", "p99_ms")
 
 
-SORTED_SQL = f"""select epoch_sec, count(*) as count, round(cast(sum(latency_us) as double) / 1000 / count(*), 6) as avg_ms,
+SORTED_SQL = f"""select epoch_sec, count(*) as count, cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as avg_ms,
     {SECOND_SQL} from txn group by all"""
 
 
@@ -130,7 +130,7 @@ def _(spark, sf):
 @query(
     "per_script_stats",
     f"""select step, script_no, count(*) as latency_samples,
-        round(cast(sum(latency_us) as double) / 1000 / count(*), 6) as latency_avg_ms, {PCT_SQL} from txn group by all""",
+        cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as latency_avg_ms, {PCT_SQL} from txn group by all""",
 )
 def _(spark, sf):
     return rounded(latency.per_script_stats(t.txn(spark, sf)), "latency_avg_ms", *PCT)
@@ -537,8 +537,8 @@ def _(spark, sf):
     "variant_rank",
     f"""with o as ({PER_OPERATION_SQL.format(keys='operation, variant')})
         select operation, variant, tps, latency_p95_ms, cast(rank() over (partition by operation order by tps desc) as integer) as tps_rank,
-          round(tps / max(tps) filter (where variant = 'plain') over (partition by operation), 6) as tps_ratio,
-          round(latency_p95_ms / max(latency_p95_ms) filter (where variant = 'plain') over (partition by operation), 6) as p95_ratio from o""",
+          cast(printf('%.6f', tps / max(tps) filter (where variant = 'plain') over (partition by operation)) as double) as tps_ratio,
+          cast(printf('%.6f', latency_p95_ms / max(latency_p95_ms) filter (where variant = 'plain') over (partition by operation)) as double) as p95_ratio from o""",
 )
 def _(spark, sf):
     rows = rounded(comparisons.per_operation(t.txn(spark, sf), ["operation", "variant"]), *PCT[1:])

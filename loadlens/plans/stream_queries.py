@@ -20,7 +20,7 @@ def _paths(spark, name):
 
 @query(
     "stream_latency_histogram",
-    f"""select variant, epoch_sec, count(*) as count, round(cast(sum(latency_us) as double) / 1000 / count(*), 6) as avg_ms, {SECOND_SQL}
+    f"""select variant, epoch_sec, count(*) as count, cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as avg_ms, {SECOND_SQL}
         from txn group by all""",
 )
 def _(spark, sf):
