@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlens.llm import setsketch
+from loadlens.llm import language, packing, quality, secrets, setsketch
 from loadlens.llm.tables import table
 
 
@@ -14,8 +14,28 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf, "documents"))
 
 
+def op1_hyperdimensional_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
+def op6_fourier_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op9_cost_balanced_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf, "documents")))
+
+
+def op10_entropy_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hyperdimensional_language_id": op1_hyperdimensional_language_id,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op6_fourier_quality": op6_fourier_quality,
+    "op9_cost_balanced_packing": op9_cost_balanced_packing,
+    "op10_entropy_secrets": op10_entropy_secrets,
 }
 
 ORACLES: dict[str, str] = {

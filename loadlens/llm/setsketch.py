@@ -275,3 +275,13 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
     joined = made.select("doc_id", "n_shingles", "class").join(names, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     return joined.select("doc_id", "n_shingles", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, one per group of near-duplicates: that of the smallest id.
+
+    Of repeated rows (equal ids in one group) the first by content stays; rows without an id stay.
+    """
+    kept = near_duplicates(docs.select("doc_id", "text"), **options).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
