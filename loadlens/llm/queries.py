@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlens.llm import language, packing, quality, secrets, setsketch
+from loadlens.llm import fingerprints, language, packing, quality, secrets, setsketch, url_filter, vectors, warc
 from loadlens.llm.tables import table
 
 
+def op2_warc_index_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.digest(warc.archive(table(spark, sf, "pages")))
+
+
+def op3_stable_hash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op4_setsketch_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf, "documents"))
 
@@ -18,10 +26,18 @@ def op1_hyperdimensional_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
 
 
+def op5_markov_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages").select("page_id", "url")).drop("url")
+
+
 def op6_fourier_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op8_bottom_k_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.digest(fingerprints.edited_fingerprints(table(spark, sf, "documents")))
+
+
 def op9_cost_balanced_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf, "documents")))
 
@@ -32,13 +48,39 @@ def op10_entropy_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperdimensional_language_id": op1_hyperdimensional_language_id,
+    "op2_warc_index_merge": op2_warc_index_merge,
+    "op3_stable_hash_near_dedup": op3_stable_hash_near_dedup,
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    "op5_markov_url_filter": op5_markov_url_filter,
     "op6_fourier_quality": op6_fourier_quality,
+    "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op9_cost_balanced_packing": op9_cost_balanced_packing,
     "op10_entropy_secrets": op10_entropy_secrets,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc_index_merge": r"""
+        with sized as (select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest, url from pages),
+        first as (select digest, min(page_id) as first from sized where n >= 100 group by 1 having count(*) > 1 and min(page_id) is not null),
+        rest as (select page_id, regexp_replace(lower(coalesce(url, '')), '^[^/?#]*?://|#(.|\n)*$', '', 'g') as rest from sized),
+        keyed as (select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_extract(rest, '^[^/?]*'), '^.*@', ''), ':[0-9]*$', ''),
+          '^www\.', '') as host, regexp_replace(rest, '^[^/?]*', '') as path from rest)
+        select s.page_id, s.n as payload_bytes, s.digest as payload_digest,
+          case when f.first <> s.page_id then 'revisit' else 'response' end as record_type,
+          case when f.first <> s.page_id then f.first end as refers_to,
+          concat(array_to_string(list_reverse(string_split(k.host, '.')), ','), ')', k.path) as url_key
+        from sized s left join first f on f.digest = s.digest join keyed k on k.page_id = s.page_id""",
+    "op3_stable_hash_near_dedup": """
+        with recursive usable as materialized (
+          select vec_id, label, embedding::double[] as v from embeddings where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as materialized (select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+          and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach as (select vec_id, vec_id as other from embeddings union select r.vec_id, l.b from reach r join links l on l.a = r.other),
+        counts as (select a as vec_id, count(*) as n from links group by 1)
+        select e.vec_id, coalesce(c.n, 0) as n_links, r.component_id, e.vec_id = r.component_id as kept
+        from embeddings e join (select vec_id, min(other) as component_id from reach group by 1) r on r.vec_id = e.vec_id
+        left join counts c on c.vec_id = e.vec_id""",
     "op4_setsketch_near_dedup": """
         with recursive words as materialized (
           select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
