@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadlens.llm import fingerprints, language, packing, quality, secrets, setsketch, url_filter, vectors, warc
+from loadlens.llm import fingerprints, language, packing, pieces, quality, secrets, setsketch, url_filter, vectors, warc
 from loadlens.llm.tables import table
 
 
@@ -34,6 +35,14 @@ def op6_fourier_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_sentencepiece_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Piece ids of every document, and whether their decoding is the text again (null: empty)."""
+    encoded = pieces.encode(table(spark, sf, "documents").select("doc_id", "text"))
+    both = pieces.decode(encoded, text_col="decoded")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 def op8_bottom_k_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.digest(fingerprints.edited_fingerprints(table(spark, sf, "documents")))
 
@@ -53,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
     "op5_markov_url_filter": op5_markov_url_filter,
     "op6_fourier_quality": op6_fourier_quality,
+    "op7_sentencepiece_round_trip": op7_sentencepiece_round_trip,
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op9_cost_balanced_packing": op9_cost_balanced_packing,
     "op10_entropy_secrets": op10_entropy_secrets,
