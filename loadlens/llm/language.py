@@ -136,7 +136,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, dimensions: int = DIMENSI
                 vectors = np.rint(_unit(text_vectors(texts[start:end], dimensions)[0]).astype(float) * _UNIT)
                 for lang in set(langs[start:end]):
                     sums[lang] = sums.get(lang, 0) + vectors[langs[start:end] == lang].sum(axis=0)
-        yield pd.DataFrame({"lang": list(sums), "total": [v.astype(np.int64) for v in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "total": [v.astype(np.int64) for v in sums.values()]})
 
     partial = rows.where(keep).select("_text", "_lang").mapInPandas(run, "lang string, total array<long>")
     total = partial.select("lang", F.posexplode("total").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
@@ -192,6 +193,12 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, max_train: int = MAX_TRAIN, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a cosine of ``min_score``."""
-    language = language_of(*train(docs.where(~held_out()), max_train))
-    return docs.where(language(F.col("text").cast("string"))["score"] >= max(min_score, 1e-9))
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a cosine of ``min_score``.
+
+    If there is no language to learn, the rows whose text has a letter.
+    """
+    text = F.col("text").cast("string")
+    names, prototypes = train(docs.where(~held_out()), max_train)
+    if not names:
+        return docs.where(text.rlike(r"\p{L}"))
+    return docs.where(language_of(names, prototypes)(text)["score"] >= max(min_score, 1e-9))

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,22 +116,17 @@ _SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 
 def scan(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
-    """All columns of ``docs`` but the text, and ``spans``. Null texts have none; rows keep their number.
+    """``docs`` with ``spans`` of the whole text (a column of that name is replaced); null and empty texts have none.
 
-    An existing column of the name ``spans_col`` is replaced.
+    Rows and other columns stay as they are, repeated rows have equal spans, an empty table stays empty.
     """
-    others = [c for c in docs.columns if c not in (text_col, spans_col)]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            spans = [[{"kind": k, "start": a, "end": b} for a, b, k in find_spans(t if isinstance(t, str) else None)] for t in frame["_text"]]
-            yield frame.drop(columns="_text").assign(_spans=spans)
+    @F.pandas_udf(_SPANS)
+    def spans(texts: pd.Series) -> pd.Series:
+        found = (find_spans(t if isinstance(t, str) else None) for t in texts)
+        return pd.Series([[{"kind": k, "start": a, "end": b} for a, b, k in one] for one in found], dtype=object)
 
-    # ids as text, so that a null does not turn the others into floating-point numbers
-    slim = docs.select(*[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(others)], F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join(f"_c{i} string" for i in range(len(others)))
-    made = slim.mapInPandas(run, f"{schema}{', ' if others else ''}_spans {_SPANS}")
-    return made.select(*[F.col(f"_c{i}").cast(docs.schema[c].dataType).alias(c) for i, c in enumerate(others)], F.col("_spans").alias(spans_col))
+    return docs.withColumn(spans_col, spans(F.col(text_col).cast("string")))
 
 
 def digest(spans: DataFrame) -> DataFrame:
@@ -148,7 +141,7 @@ def digest(spans: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span in the text replaced by a mask; rows, columns and null texts stay."""
+    """``docs`` with every span in the text replaced by a mask; rows, other columns and null texts stay."""
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:

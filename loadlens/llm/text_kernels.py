@@ -106,8 +106,7 @@ def shingle_hashes(words: Words, size: int = SHINGLE_WORDS) -> tuple[np.ndarray,
         room = words.bounds[1:][owner] - np.arange(len(h))
         full = room >= size
         for k in range(size):
-            shifted = np.zeros(len(h), U64)
-            shifted[: len(h) - k] = h[k:]
+            shifted = np.concatenate([h[k:], np.zeros(min(k, len(h)), U64)])
             total = np.where(k < room, total * WORD_BASE + shifted, total)
         length = np.minimum(counts[owner], size).astype(U64)
         total = mix(total + length)

@@ -54,8 +54,9 @@ def _longest(host: Column, path: Column, rules: Sequence[tuple[str, str, str]],
 
 
 def parse(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url_col: str = "url") -> DataFrame:
-    """``urls`` with host, path, rule (null where none fits) and its verdict ``ruled``; columns of those names are replaced."""
-    held = urls.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
+    """``row`` (a struct of all columns), ``text`` (null: empty), host, path, rule (null where none fits) and its verdict ``ruled``."""
+    url = F.col(url_col).cast("string")
+    held = urls.select(F.struct("*").alias("row"), F.coalesce(url, F.lit("")).alias("text"), host_of(url).alias("host"), path_of(url).alias("path"))
     host, path = F.col("host"), F.col("path")
     return held.withColumn("rule", _longest(host, path, rules, lambda r: r[1] + r[2])).withColumn(
         "ruled", _longest(host, path, rules, lambda r: r[0])
@@ -106,17 +107,17 @@ def held_out(text: Column) -> Column:
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, order: int = ORDER, url_col: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule, verdict and score (mean log ratio per character, six decimals).
+    """``pages`` with host, path, rule, verdict and score (mean log ratio per character, six decimals; columns of these names are replaced).
 
     The rule decides where one fits, else the score: allow from the calibrated cut on. The cut lies between
     the mean scores of held-out allowed and blocked URLs, nearer to the one that scatters less; it is 0 if one of
     them has none, and all scores are 0 if either model has no URL. A null URL counts as empty. Equal URLs are learnt
     from once and judged alike; an empty table gives no rows.
     """
-    parsed = parse(pages, rules, url_col).withColumn("_text", F.coalesce(F.col(url_col).cast("string"), F.lit("")))
+    parsed = parse(pages, rules, url_col)
     texts = stored(
-        parsed.groupBy("_text").agg(F.first("ruled").alias("ruled")).select(
-            F.col("_text").alias("text"), F.xxhash64("_text").alias("id"), "ruled", held_out(F.col("_text")).alias("held")
+        parsed.groupBy("text").agg(F.first("ruled").alias("ruled")).select(
+            "text", F.xxhash64("text").alias("id"), "ruled", held_out(F.col("text")).alias("held")
         ), "urls",
     )
     rows = grams(texts, order)
@@ -141,8 +142,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, order
         a, b = max(allow["spread"], 1e-6), max(block["spread"], 1e-6)
         cut = (allow["mean"] * b + block["mean"] * a) / (a + b)
     score = F.col("score") if known else F.lit(0.0)
-    named = parsed.join(scores.select(F.col("text").alias("_text"), score.alias("score")), "_text")
-    verdict = F.coalesce("ruled", F.when(F.col("score") >= cut, "allow").otherwise("block"))
-    return named.withColumn("verdict", verdict).select(
-        *[c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")], "host", "path", "rule", "verdict", "score"
-    )
+    named = parsed.join(scores.select("text", score.alias("score")), "text")
+    verdict = F.coalesce("ruled", F.when(F.col("score") >= cut, "allow").otherwise("block")).alias("verdict")
+    made = ("host", "path", "rule", "verdict", "score")
+    return named.select(*[F.col("row")[c].alias(c) for c in pages.columns if c not in made], "host", "path", "rule", verdict, "score")
