@@ -55,7 +55,7 @@ def gram_vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def text_vectors(texts: list[str | None], dimensions: int = DIMENSIONS, n: int = NGRAM, width: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+def text_vectors(texts: list[str | None], dimensions: int = DIMENSIONS, n: int = NGRAM, width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Vectors (texts x dimensions) and whether the text has a letter. Runs of non-letters count as one gap;
     every text begins and ends with a gap."""
     lowered = ["" if t is None else t.lower() for t in texts]
@@ -92,7 +92,7 @@ def text_vectors(texts: list[str | None], dimensions: int = DIMENSIONS, n: int =
     else:
         distinct, place = np.unique(codes, return_inverse=True)
     grams = np.stack([used[(distinct // k ** (n - 1 - i)) % k] for i in range(n)], axis=1)
-    rows = max(1, (8 << 20) // width)
+    rows = 256
     for start in range(0, len(distinct), width):
         part = gram_vectors(grams[start : start + width], dimensions)
         inside = (place >= start) & (place < start + width) if len(distinct) > width else slice(None)
@@ -132,7 +132,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, dimensions: int = DIMENSI
         sums: dict[str, np.ndarray] = {}
         for frame in frames:
             texts, langs = frame["_text"].tolist(), frame["_lang"].to_numpy()
-            for start, end in kernels.batches(texts, 2 << 20):
+            for start, end in kernels.batches(texts):
                 vectors = np.rint(_unit(text_vectors(texts[start:end], dimensions)[0]).astype(float) * _UNIT)
                 for lang in set(langs[start:end]):
                     sums[lang] = sums.get(lang, 0) + vectors[langs[start:end] == lang].sum(axis=0)
@@ -162,7 +162,7 @@ def language_of(names: list[str], prototypes: np.ndarray):
         for series in frames:
             texts = [t if isinstance(t, str) else None for t in series.tolist()]
             pred, score = [], []
-            for start, end in kernels.batches(texts, 2 << 20):
+            for start, end in kernels.batches(texts):
                 if not names:
                     pred += [UNKNOWN] * (end - start)
                     score += [0.0] * (end - start)

@@ -56,7 +56,7 @@ class Model:
         self.longest = max(map(len, text))
         points, starts = _points(text)
         ends = np.append(starts[1:], len(points))
-        keys = _span_hash(_prefix(points), starts, ends)
+        keys = kernels.hash_spans(points, starts, ends)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], normal[order].astype(np.int32)
         if (self.keys[1:] == self.keys[:-1]).any():
@@ -126,18 +126,10 @@ def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points, np.cumsum(sizes) - sizes
 
 
-def _prefix(points: np.ndarray) -> np.ndarray:
-    up, _ = kernels._powers(1 << max(16, int(len(points)).bit_length()))
-    out = np.zeros(len(points) + 1, U64)
+def _substring_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``text_kernels.hash_spans``, for any substrings of a stretch with the given running sums."""
     with np.errstate(over="ignore"):
-        np.cumsum((points.astype(U64) + U64(1)) * up[: len(points)], out=out[1:])
-    return out
-
-
-def _span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, down = kernels._powers(1 << max(16, int(len(prefix) - 1).bit_length()))
-    with np.errstate(over="ignore"):
-        return kernels.mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U64) * kernels.WORD_BASE)
+        return kernels.mix(kernels.substring_sums(prefix, starts, ends) + (ends - starts).astype(U64) * kernels.WORD_BASE)
 
 
 def _probe(model: Model, prefix: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -147,7 +139,7 @@ def _probe(model: Model, prefix: np.ndarray, starts: np.ndarray, length: int) ->
     place = starts[:, None] + np.arange(length)
     for size in range(1, widest + 1):
         at = place[:, : length - size + 1]
-        out[:, : length - size + 1, size - 1] = model.find(_span_hash(prefix, at.ravel(), (at + size).ravel())).reshape(at.shape)
+        out[:, : length - size + 1, size - 1] = model.find(_substring_hash(prefix, at.ravel(), (at + size).ravel())).reshape(at.shape)
     return out
 
 
@@ -288,10 +280,10 @@ def _words_to_ids(model: Model, words: list[str]) -> list[np.ndarray]:
                     ids += [piece] if piece is not None else _fallback(model, word[a:b])
                 out[i] = np.array(ids, np.int32)
             continue
-        for low in range(0, len(at), 1 + (1 << 20) // int(length * model.longest)):
-            some = at[low : low + 1 + (1 << 20) // int(length * model.longest)]
+        for low in range(0, len(at), 1 + (1 << 19) // int(length * model.longest)):
+            some = at[low : low + 1 + (1 << 19) // int(length * model.longest)]
             points, starts = _points([words[i] for i in some])
-            found = _probe(model, _prefix(points), starts, int(length))
+            found = _probe(model, kernels.span_prefix(points), starts, int(length))
             ends = (merges if model.kind == BPE else viterbi)(model, found)
             row, stop = np.nonzero(ends)  # ascending places within each word
             first = np.concatenate([[True], row[1:] != row[:-1]])
@@ -322,7 +314,7 @@ def encode_texts(model: Model, texts: list[str | None]) -> list[np.ndarray]:
     opens[starts[starts < len(points)]] = True
     begin = np.flatnonzero(opens)
     end = np.append(begin[1:], len(points))
-    hashes = _span_hash(_prefix(points), begin, end)
+    hashes = kernels.hash_spans(points, begin, end)
     _, where, back = np.unique(hashes, return_index=True, return_inverse=True)
     joined = "".join(marked)
     words = [joined[a:b] for a, b in zip(begin[where].tolist(), end[where].tolist(), strict=True)]

@@ -38,13 +38,17 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return lower, space
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """BYTE_BASE ** k and its inverse powers modulo 2**64, for k below ``size``."""
+#: Spans are hashed in stretches of this many bytes, so that the tables of powers stay small.
+CHUNK = 1 << 19
+
+
+@functools.lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """BYTE_BASE ** k and its inverse powers modulo 2**64, for k up to CHUNK."""
     inverse = U64(pow(int(BYTE_BASE), -1, 1 << 64))
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, BYTE_BASE, U64)]), dtype=U64)
-        down = np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, inverse, U64)]), dtype=U64)
+        up = np.cumprod(np.concatenate([[U64(1)], np.full(CHUNK, BYTE_BASE, U64)]), dtype=U64)
+        down = np.cumprod(np.concatenate([[U64(1)], np.full(CHUNK, inverse, U64)]), dtype=U64)
     return up, down
 
 
@@ -78,17 +82,42 @@ def split_words(raw: list[bytes], lower_case: bool = True) -> Words:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A polynomial hash of each span of bytes, mixed with its length."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size)
+    """A polynomial hash of each span, mixed with its length. Spans follow each other without overlap."""
+    up, down = _powers()
+    out = np.empty(len(starts), U64)
+    i = 0
     with np.errstate(over="ignore"):
-        prefix = np.empty(len(data) + 1, U64)
-        prefix[0] = 0
-        np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=prefix[1:])
-        out = (prefix[ends] - prefix[starts]) * down[starts]
+        while i < len(starts):
+            base = int(starts[i])
+            j = int(np.searchsorted(ends, base + CHUNK, side="right"))
+            if j <= i:  # one span longer than the stretch
+                total = 0
+                for low in range(base, int(ends[i]), CHUNK):
+                    part = data[low : min(low + CHUNK, int(ends[i]))].astype(U64) + U64(1)
+                    total += int((part * up[: len(part)]).sum(dtype=U64)) * pow(int(BYTE_BASE), low - base, 1 << 64)
+                out[i] = U64(total % (1 << 64))
+                i += 1
+                continue
+            prefix = span_prefix(data[base : int(ends[j - 1])])
+            out[i:j] = substring_sums(prefix, starts[i:j] - base, ends[i:j] - base)
+            i = j
         return mix(out + (ends - starts).astype(U64) * WORD_BASE)
 
 
+def span_prefix(data: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of at most CHUNK symbols."""
+    prefix = np.zeros(len(data) + 1, U64)
+    with np.errstate(over="ignore"):
+        np.cumsum((data.astype(U64) + U64(1)) * _powers()[0][: len(data)], out=prefix[1:])
+    return prefix
+
+
+def substring_sums(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial of each substring, whatever its place."""
+    with np.errstate(over="ignore"):
+        return (prefix[ends] - prefix[starts]) * _powers()[1][starts]
+
+
 def shingle_hashes(words: Words, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every shingle, repeated ones included, in text order.
 
@@ -130,7 +159,7 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE_WORDS) -> tuple[np
     return distinct_per_text(hashes, owner, len(texts))
 
 
-def batches(texts: list, most_bytes: int = 4 << 20):
+def batches(texts: list, most_bytes: int = 1 << 20):
     """Index ranges of at most ``most_bytes`` characters (one text at least): bounds the arrays above."""
     start, held = 0, 0
     for i, text in enumerate(texts):

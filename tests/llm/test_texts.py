@@ -98,7 +98,7 @@ def test_sketches_of_parts_merge(parts, k):
     one, two = fingerprints.sketches(texts, k)
     assert len(one) == min(k, len(sets[0]))
     assert fingerprints.from_bytes(fingerprints.to_bytes(one)).tolist() == one.tolist()
-    if len(sets[0] | sets[1]) <= k:
+    if len(sets[0] | sets[1]) < k:  # a full sketch does not tell whether there is more
         assert fingerprints.resemblance(one, two, k) == pytest.approx(brute.jaccard(*sets))
         if sets[0]:
             assert fingerprints.containment(one, two, k) == pytest.approx(len(sets[0] & sets[1]) / len(sets[0]))
