@@ -17,6 +17,8 @@ PAYLOAD_MODULUS = 1_000_000
 DEFAULT_CLIENTS = 8
 DEFAULT_JOBS = 2
 DEFAULT_LAG_INTERVAL_SEC = 5
+DEFAULT_PHASE = "pgbench"
+DEFAULT_DB = {"host": "127.0.0.1", "port": "5433", "admin_dbname": "postgres"}
 
 
 def us_to_ms(micros: Column) -> Column:
@@ -151,41 +153,36 @@ def parse_interval(text: Column, default: int = 0) -> Column:
     return F.greatest(F.coalesce(text.try_cast("int"), F.lit(default)), F.lit(0))
 
 
-def histogram_buckets(histogram_json: Column) -> Column:
-    """``[{"[lo,hi)": n}, ..]`` -> array of (lo, hi, n), ascending; an open upper bound is infinite."""
-    maps = F.from_json(histogram_json, "array<map<string,bigint>>")
-    entries = F.flatten(F.transform(maps, lambda m: F.map_entries(m)))
+# One entry: bounds and count. An open upper bound is missing or no number.
+_HISTOGRAM_ENTRY = r'"[\[(]?\s*([-+0-9.eE]+)\s*,\s*([^\])"]*)[\])]?"\s*:\s*([0-9]+)'
 
-    def bucket(entry: Column) -> Column:
-        bounds = F.split(F.translate(entry["key"], "[]() ", ""), ",")
-        return F.struct(
-            F.get(bounds, F.lit(0)).try_cast("double").alias("lo"),
-            F.coalesce(F.get(bounds, F.lit(1)).try_cast("double"), F.lit(float("inf"))).alias("hi"),
-            entry["value"].alias("n"),
-        )
-
-    return F.array_sort(F.transform(entries, bucket))
 
+def histogram_buckets_sql(histogram: str) -> str:
+    """SQL: ``[{"[lo,hi)": n}, ..]`` -> array of (lo, hi, n), ascending; an open upper bound is infinite."""
+    found = ", ".join(f"regexp_extract_all({histogram}, r'{_HISTOGRAM_ENTRY}', {k})" for k in (1, 2, 3))
+    bucket = (
+        "named_struct('lo', try_cast(e['0'] as double), 'hi', coalesce(try_cast(trim(e['1']) as double), double('inf')), "
+        "'n', cast(e['2'] as bigint))"
+    )
+    return f"array_sort(transform(arrays_zip({found}), e -> {bucket}))"
 
-def histogram_running(buckets: Column) -> Column:
-    """Buckets with the count up to and including each, empty buckets left out."""
-    start = F.array().cast("array<struct<lo:double,hi:double,n:bigint,upto:bigint>>")
 
-    def add(seen: Column, b: Column) -> Column:
-        upto = F.coalesce(F.try_element_at(seen, F.lit(-1))["upto"], F.lit(0)) + b["n"]
-        here = F.struct(b["lo"].alias("lo"), b["hi"].alias("hi"), b["n"].alias("n"), upto.alias("upto"))
-        return F.concat(seen, F.array(here))
+def histogram_percentile_sql(buckets: str, percent: str, interpolate: bool = False) -> str:
+    """SQL: upper bound of the first bucket that reaches the share (or the point inside it); null when empty.
 
-    return F.aggregate(F.filter(buckets, lambda b: b["n"] > 0), start, add)
+    A running count and the first hit are all that the pass keeps.
+    """
+    total = f"aggregate({buckets}, 0L, (a, b) -> a + b.n)"
+    inside = "b.lo + (b.hi - b.lo) * (acc.need - acc.upto) / b.n" if interpolate else "b.hi"
+    start = f"named_struct('need', cast({total} as double) * cast({percent} / 100 as double), 'upto', 0L, 'at', cast(null as double))"
+    hit = "b.n > 0 and acc.at is null and acc.upto + b.n >= acc.need"
+    step = f"named_struct('need', acc.need, 'upto', acc.upto + b.n, 'at', case when {hit} then {inside} else acc.at end)"
+    return f"aggregate({buckets}, {start}, (acc, b) -> {step}, acc -> acc.at)"
 
 
-def histogram_percentile(running: Column, percent: float, interpolate: bool = False) -> Column:
-    """Upper bound of the first bucket that reaches the share (or the point inside it); null when empty."""
-    need = F.try_element_at(running, F.lit(-1))["upto"].cast("double") * F.lit(percent / 100.0)
-    hit = F.get(F.filter(running, lambda b: b["upto"] >= need), F.lit(0))
-    if not interpolate:
-        return hit["hi"]
-    return hit["lo"] + (hit["hi"] - hit["lo"]) * (need - (hit["upto"] - hit["n"])) / hit["n"]
+def histogram_percentile(histogram: str, percent: float, interpolate: bool = False) -> Column:
+    """Percentile of the bucket histogram in a column or SQL expression."""
+    return F.expr(histogram_percentile_sql(histogram_buckets_sql(histogram), str(percent), interpolate))
 
 
 def whole_division(a: Column, b: Column) -> Column:
@@ -199,19 +196,5 @@ def register_functions(spark: SparkSession) -> None:
         "create or replace temporary function uuid_from_int(n bigint) returns string return "
         "regexp_replace(md5(cast(n as string)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"
     )
-    spark.sql(
-        """create or replace temporary function get_percentile(histogram string, percent double)
-        returns double return
-        aggregate(
-          array_sort(transform(
-            flatten(transform(from_json(histogram, 'array<map<string,bigint>>'), m -> map_entries(m))),
-            e -> named_struct(
-              'lo', try_cast(get(split(translate(e.key, '[]() ', ''), ','), 0) as double),
-              'hi', coalesce(try_cast(get(split(translate(e.key, '[]() ', ''), ','), 1) as double), double('inf')),
-              'n', e.value))),
-          named_struct('seen', array(named_struct('hi', double('nan'), 'cum', 0L))),
-          (acc, b) -> named_struct('seen', concat(acc.seen,
-              array(named_struct('hi', b.hi, 'cum', element_at(acc.seen, -1).cum + b.n)))),
-          acc -> get(filter(acc.seen, s -> s.cum > 0 and
-              s.cum >= element_at(acc.seen, -1).cum * percent / 100), 0).hi)"""
-    )
+    body = histogram_percentile_sql(histogram_buckets_sql("histogram"), "percent")
+    spark.sql(f"create or replace temporary function get_percentile(histogram string, percent double) returns double return {body}")

@@ -25,8 +25,8 @@ def series(spark: SparkSession, n: int, partitions: int | None = None) -> DataFr
     return spark.range(1, n + 1, numPartitions=partitions).withColumnRenamed("id", "g")
 
 
-def preload_table(numbers: DataFrame, tid: int, parent_rows: int = PRELOAD_ROWS) -> DataFrame:
-    """Rows of test table t1..t10 from a series ``g``; t1 has no parent."""
+def preload_table(numbers: DataFrame, tid: int, parent_rows: int = PRELOAD_ROWS, at: Column | None = None) -> DataFrame:
+    """Rows of test table t1..t10 from a series ``g``; t1 has no parent. ``at`` is the load time."""
     g = F.col("g")
     parent = uuid_from_int(F.pmod(g - 1, F.lit(parent_rows).cast("bigint")) + 1)
     return numbers.select(
@@ -34,10 +34,16 @@ def preload_table(numbers: DataFrame, tid: int, parent_rows: int = PRELOAD_ROWS)
         uuid_from_int(g).alias("id"),
         (F.lit(None).cast("string") if tid == 1 else parent).alias("ref_id"),
         payload_mod(g, PAYLOAD_FACTORS[tid - 1]).alias("payload"),
+        _load_time(at).alias("updated_at"),
     )
 
 
-def preload_tables(numbers: DataFrame, parent_rows: int = PRELOAD_ROWS) -> DataFrame:
+def _load_time(at: Column | None) -> Column:
+    """The default of the time columns: the moment of the load, one for all rows."""
+    return F.current_timestamp() if at is None else at.cast("timestamp")
+
+
+def preload_tables(numbers: DataFrame, parent_rows: int = PRELOAD_ROWS, at: Column | None = None) -> DataFrame:
     """All ten tables as one relation with ``tid``: one pass over the series, no shuffle."""
     g = F.col("g")
     tables = F.explode(
@@ -51,19 +57,25 @@ def preload_tables(numbers: DataFrame, parent_rows: int = PRELOAD_ROWS) -> DataF
             "id",
             F.when(F.col("t.tid") > 1, F.col("parent")).alias("ref_id"),
             payload_mod(F.col("g"), F.col("t.factor")).alias("payload"),
+            _load_time(at).alias("updated_at"),
         )
     )
 
 
-def preload_accounts(numbers: DataFrame) -> DataFrame:
-    return numbers.select(uuid_from_int(F.col("g")).alias("id"), F.lit(START_BALANCE).cast("bigint").alias("balance"))
+def preload_accounts(numbers: DataFrame, at: Column | None = None) -> DataFrame:
+    return numbers.select(
+        uuid_from_int(F.col("g")).alias("id"), F.lit(START_BALANCE).cast("bigint").alias("balance"), _load_time(at).alias("updated_at")
+    )
 
 
-def preload_account_log(numbers: DataFrame, accounts: int = PRELOAD_ROWS) -> DataFrame:
+def preload_account_log(numbers: DataFrame, accounts: int = PRELOAD_ROWS, at: Column | None = None) -> DataFrame:
+    """Log rows; the generated key is repeatable, taken from the row's number."""
     g = F.col("g")
     return numbers.select(
+        uuid_from_int(-g).alias("id"),
         uuid_from_int(F.pmod(g - 1, F.lit(accounts).cast("bigint")) + 1).alias("account_id"),
         account_delta(g).alias("delta"),
+        _load_time(at).alias("created_at"),
     )
 
 
@@ -102,8 +114,13 @@ def new_rows(requests: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def apply_deletes(table: DataFrame, deletes: DataFrame, on: Sequence[str] = ("id",)) -> DataFrame:
-    """Delete by key. Repeating it changes nothing."""
-    return table.join(deletes.select(*on), list(on), "left_anti")
+    """Delete by key. Repeating it changes nothing; requests collapse to one row per key first."""
+    return table.join(deletes.select(*on).distinct(), list(on), "left_anti")
+
+
+def rows_of_keys(table: DataFrame, requests: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is asked for, however often."""
+    return table.join(requests.select(*on).distinct(), list(on), "left_semi")
 
 
 def uuid_bucket(column: str) -> Column:
@@ -136,17 +153,21 @@ def one_per_key(rows: DataFrame, key: str, id_col: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(F.struct(*values), F.col(id_col)).alias("row")).select(key, "row.*")
 
 
-def choose_operations(requests: DataFrame, seq: str, keys: int = PRELOAD_ROWS, tables: int = 10, seed: int = 42) -> DataFrame:
-    """Weighted operation, uniform key and uniform table per request, by hash of the sequence number.
+def choose_operations(
+    requests: DataFrame, seq: str, keys: int = PRELOAD_ROWS, tables: int = 10, seed: int = 42, mix: dict[str, int] | None = None
+) -> DataFrame:
+    """Weighted operation, uniform key and uniform table per request, from the MD5 of seed and sequence number.
 
-    A hash, not ``rand()``: the choice survives a recomputed partition.
+    A hash, not ``rand()``: the choice survives a recomputed partition. ``mix`` maps operations (or scripts) to weights.
     """
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(seq)).cast("binary"))
 
-    def draw(n: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(seq), F.lit(seed), F.lit(salt)), F.lit(n).cast("bigint"))
+    def draw(n: int, place: int) -> Column:
+        return F.pmod(F.conv(F.substring(digest, place, 10), 16, 10).cast("bigint"), F.lit(n).cast("bigint"))
 
+    weights = mix or MIX
     return requests.withColumns(
-        {"op": operation_of(draw(100, 1)), "rid": draw(keys, 2) + 1, "tid": (draw(tables, 3) + 1).cast("int")}
+        {"op": operation_of(draw(sum(weights.values()), 1), weights), "rid": draw(keys, 11) + 1, "tid": (draw(tables, 21) + 1).cast("int")}
     )
 
 
@@ -211,38 +232,36 @@ def fk_chain(start: DataFrame, links: Sequence[tuple[DataFrame, str, str]]) -> D
 
 
 def apply_ordered(
-    table: DataFrame, requests: DataFrame, key: str, value: str, seq: str = "seq", cut: int = 100_000
+    table: DataFrame, requests: DataFrame, key: str, value: str, seq: str = "seq", stamp: str = "updated_at", at: str = "req_ts"
 ) -> DataFrame:
     """A mixed batch in sequence order per key: insert sets ``delta`` as the start value, update adds it, delete removes.
 
     A key's last insert or delete decides whether it exists; the updates after it add up.
     An insert of a key that exists at that moment is the primary-key clash that the test
-    database rejects; here the last insert wins. Requests are cut by sequence into buckets:
-    a key with a third of all requests is handled bucket by bucket, then over one row per bucket.
+    database rejects; here the last insert wins. All columns of ``table`` return: a row
+    inserted anew has nulls but for key, value and ``stamp``, the time of its last request.
+
+    Two aggregations, no window: the last reset per key, then the sum of what follows it. Both
+    collapse before they shuffle, and the join between them meets one row per key.
     """
     reset = F.col("op").isin("insert", "delete")
-    adds = F.when(F.col("op") == "update", F.col("delta")).otherwise(F.lit(0))
-    changes = requests.where(F.col("op") != "select").withColumn("bucket__", F.floor(F.col(seq) / F.lit(cut)))
-    in_bucket = Window.partitionBy(key, "bucket__")
-    near = changes.withColumn("reset__", F.max(F.when(reset, F.col(seq))).over(in_bucket))
-    live = F.col("reset__").isNull() | (F.col(seq) > F.col("reset__"))
-    per_bucket = near.groupBy(key, "bucket__").agg(
-        F.max_by(F.struct("op", "delta"), F.when(reset, F.col(seq))).alias("last__"),
-        F.sum(F.when(live, adds)).alias("after__"),
-    )
-    over_buckets = Window.partitionBy(key)
-    last_bucket = F.max(F.when(F.col("last__").isNotNull(), F.col("bucket__"))).over(over_buckets)
-    per_key = (
-        per_bucket.withColumn("last_bucket__", last_bucket)
-        .where(F.col("last_bucket__").isNull() | (F.col("bucket__") >= F.col("last_bucket__")))
-        .groupBy(key)
-        .agg(
-            F.max_by("last__", F.when(F.col("last__").isNotNull(), F.col("bucket__"))).alias("last__"),
-            F.coalesce(F.sum("after__"), F.lit(0)).alias("after__"),
-        )
-    )
-    joined = table.select(key, value, F.lit(True).alias("known__")).join(per_key, key, "full_outer")
-    last_op, after = F.col("last__.op"), F.coalesce(F.col("after__"), F.lit(0))
+    timed = at in requests.columns
+    changes = requests.where(F.col("op") != "select").withColumn("at__", F.col(at) if timed else F.lit(None))
+    last = changes.groupBy(key).agg(F.max_by(F.struct(seq, "op", "delta", "at__"), F.when(reset, F.col(seq))).alias("last__"))
+    live = F.col("last__").isNull() | (F.col(seq) > F.col(f"last__.{seq}"))
+    updates = changes.where("op = 'update'").join(last, key).where(live)
+    after = updates.groupBy(key).agg(F.sum("delta").alias("after__"), F.max("at__").alias("late__"))
+    per_key = last.join(after, key, "left")
+    known = [c for c in table.columns if c != key]
+    joined = table.withColumn("known__", F.lit(True)).join(per_key, key, "full_outer")
+    last_op = F.col("last__.op")
     alive = F.when(last_op.isNull(), F.col("known__").isNotNull()).otherwise(last_op == "insert")
-    start = F.when(last_op == "insert", F.col("last__.delta")).otherwise(F.col(value))
-    return joined.where(alive).select(key, (start + after).alias(value))
+    fresh = F.coalesce(last_op == "insert", F.lit(False))
+    start = F.when(fresh, F.col("last__.delta")).otherwise(F.col(value))
+    stamped = F.coalesce(F.col("late__"), F.when(fresh, F.col("last__.at__")))
+    columns = {value: start + F.coalesce(F.col("after__"), F.lit(0))}
+    if stamp in known:
+        columns[stamp] = F.coalesce(stamped.cast(table.schema[stamp].dataType), F.when(~fresh, F.col(stamp)))
+    return joined.where(alive).select(
+        *[F.col(key) if c == key else columns.get(c, F.when(~fresh, F.col(c))).alias(c) for c in table.columns]
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions import MAX_LATENCY_US, MIN_LOG_FIELDS, fixed_text, has_only_integers, log_fields, us_to_ms
-from loadlens.operators.ordered import distribution
+from loadlens.operators.ordered import COARSE_PER_DOUBLING, distribution, join_keys
 
 # Reported shares.
 STEP_SHARES = {"latency_p50_ms": 0.50, "latency_p90_ms": 0.90, "latency_p95_ms": 0.95, "latency_p99_ms": 0.99}
@@ -46,11 +46,7 @@ def latency_percentiles(txn: DataFrame, keys: Sequence[str] = ("variant", "step"
 def latency_percentiles_of(steps: DataFrame, txn: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same for every listed step; a step without samples has 0 samples and null percentiles."""
     keys = list(keys)
-    return (
-        steps.select(*keys)
-        .join(latency_percentiles(txn, keys), keys, "left")
-        .fillna({"latency_samples": 0})
-    )
+    return join_keys(steps, latency_percentiles(txn, keys), keys, "left").fillna({"latency_samples": 0})
 
 
 def latency_histogram(txn: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -60,7 +56,7 @@ def latency_histogram(txn: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def histogram_of_counts(txn: DataFrame, keys: Sequence[str], freq: str | None = None) -> DataFrame:
     stats = distribution(
-        txn, keys, "latency_us", interpolated=SECOND_SHARES, divisor=1000.0, freq=freq, split_groups=False
+        txn, keys, "latency_us", interpolated=SECOND_SHARES, divisor=1000.0, freq=freq, per_doubling=COARSE_PER_DOUBLING
     )
     return stats.select(
         *keys, F.col("n").alias("count"), (F.col("sum") / F.col("n")).alias("avg_ms"), *SECOND_SHARES
@@ -91,6 +87,37 @@ def throughput(txn: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def operation_stats(txn: DataFrame, keys: Sequence[str], shares: dict[str, float] = STEP_SHARES) -> DataFrame:
+    """Transactions, throughput and percentiles per group from one pass over the log.
+
+    A null key is a group like others; throughput is null when a group spans no time.
+    """
+    stats = distribution(txn, keys, "latency_us", interpolated=shares, divisor=1000.0, ranges=["epoch_sec"])
+    span = F.col("last_epoch_sec") - F.col("first_epoch_sec")
+    tps = F.col("n").cast("double") / F.nullif(span, F.lit(0))
+    return stats.select(*keys, F.col("n").alias("transactions"), tps.alias("tps"), *shares)
+
+
+def script_weights(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Scripts of every phase of a plan with their number in the log, weight and share.
+
+    A phase has a ``mix``, whose entries without a script do not count and whose default weight is 1,
+    or one ``script``. ``script_no`` counts from 0 in that order, as the log does.
+    """
+    phase = F.col("phase")
+    listed = F.filter(phase["mix"], lambda m: F.coalesce(m["script"], F.lit("")) != "")
+    weighted = F.transform(listed, lambda m: F.struct(m["script"].alias("script"), F.coalesce(m["weight"], F.lit(1)).alias("weight")))
+    single = F.array(F.struct(phase["script"].alias("script"), F.lit(1).alias("weight")))
+    scripts = F.when(F.size(F.coalesce(phase["mix"], F.array())) > 0, weighted).when(F.coalesce(phase["script"], F.lit("")) != "", single)
+    total = F.aggregate(scripts, F.lit(0), lambda a, m: a + m["weight"])
+    return (
+        plans.select(*keys, F.posexplode("phases").alias("phase_idx", "phase"))
+        .where(phase["type"] == "pgbench")
+        .select(*keys, "phase_idx", F.coalesce(phase["name"], F.lit("pgbench")).alias("phase"), total.alias("total"), F.posexplode(scripts).alias("script_no", "s"))
+        .select(*keys, "phase_idx", "phase", "script_no", "s.script", "s.weight", (F.col("s.weight") / F.col("total")).alias("share"))
+    )
+
+
 def per_script_stats(txn: DataFrame, keys: Sequence[str] = ("step",)) -> DataFrame:
     """Samples, mean and percentiles per script of a mixed step."""
     keys = [*keys, "script_no"]

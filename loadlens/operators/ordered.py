@@ -14,20 +14,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: For few, large groups; and for very many groups, such as one per second.
 BUCKETS_PER_DOUBLING = 256
+COARSE_PER_DOUBLING = 16
 
 
-def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a number: 256 per power of two, some 6,600 for 0..60,000,000."""
+def value_bucket(value: Column, per_doubling: int = BUCKETS_PER_DOUBLING) -> Column:
+    """Order-preserving bucket of a number: by default 256 per power of two, some 6,600 for 0..60,000,000."""
     value = value.cast("double")
-    size = F.floor(F.log2(F.abs(value) + F.lit(1.0)) * F.lit(float(BUCKETS_PER_DOUBLING))).cast("int")
+    size = F.floor(F.log2(F.abs(value) + F.lit(1.0)) * F.lit(float(per_doubling))).cast("int")
     return F.when(value < 0, -size).otherwise(size)
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, freq: str | None = None) -> DataFrame:
-    """(keys, value, n): all that a quantile needs. Repeated values collapse before the shuffle."""
+def value_counts(
+    df: DataFrame, keys: Sequence[str], value: str, freq: str | None = None, ranges: Sequence[str] = ()
+) -> DataFrame:
+    """(keys, value, n): all that a quantile needs. Repeated values collapse before the shuffle.
+
+    ``ranges`` carries the least and greatest of further columns along (``first_<c>``, ``last_<c>``).
+    """
     n = F.count(F.lit(1)) if freq is None else F.sum(freq)
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("n"))
+    ends = [f(c).alias(f"{name}_{c}") for c in ranges for name, f in (("first", F.min), ("last", F.max))]
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("n"), *ends)
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the keys appear once, those of the left side."""
+    other = _renamed(right, keys)
+    return left.join(other, _same_group(left, other, keys), how).drop(*[f"{c}__r" for c in keys])
 
 
 def _same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
@@ -56,31 +70,31 @@ def distribution(
     nearest: dict[str, float] | None = None,
     divisor: float = 1.0,
     freq: str | None = None,
-    split_groups: bool = True,
+    per_doubling: int = BUCKETS_PER_DOUBLING,
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
     """Exact count, sum, min, max and quantiles of ``value`` per group.
 
     ``interpolated`` / ``nearest`` map an output column to a share in 0..1. Results are
     divided by ``divisor`` before the interpolation. Nulls do not count.
 
-    ``split_groups`` (few, large groups): pass 1 counts per (group, bucket); a running count
-    over the buckets finds the few buckets that hold a wanted rank. Pass 2 orders the values
-    of those buckets only. Both passes read the same (group, value, n) shuffle.
+    Pass 1 counts per (group, bucket); a running count over the buckets finds the few buckets
+    that hold a wanted rank. Pass 2 orders the values of those buckets only, so no task sees a
+    whole group. Both passes read the same (group, value, n) shuffle. Very many small groups
+    take a coarser ``per_doubling``.
 
-    Without it (very many groups, such as one per second) each group's distinct values are
-    ordered by one spilling window. Only for values of a bounded domain: a latency column has
-    at most 60,000,001 distinct values, so that is the most one task ever sees of a group.
+    ``ranges`` adds ``first_<c>`` and ``last_<c>``, the ends of further columns, in the same pass.
     """
     keys = list(keys)
     interpolated, nearest = interpolated or {}, nearest or {}
-    counts = value_counts(df, keys, value, freq)
+    counts = value_counts(df, keys, value, freq, ranges)
     ranks = _wanted_ranks(interpolated, nearest)
-    reached = _reached_in_buckets if split_groups else _reached_in_group
+    totals = [*TOTALS, *[f"{end}_{c}" for c in ranges for end in ("first", "last")]]
     found = (
-        reached(counts, keys, value, list(ranks.values()))
+        _reached_in_buckets(counts, keys, value, list(ranks.values()), per_doubling, totals)
         .groupBy(*keys)
         .agg(
-            *[F.first(t).alias(t) for t in TOTALS],
+            *[F.first(t).alias(t) for t in totals],
             *[F.min(F.when(F.col("reach__") > rank, F.col(value))).alias(name) for name, rank in ranks.items()],
         )
     )
@@ -97,7 +111,7 @@ def distribution(
         low, high = scaled(F.col(f"{name}__low")), scaled(F.col(f"{name}__high"))
         outputs.append((low * (F.lit(1.0) - weight) + high * weight).alias(name))
     outputs += [scaled(F.col(f"{name}__at")).alias(name) for name in nearest]
-    return found.select(*keys, *outputs)
+    return found.select(*keys, *outputs, *totals[len(TOTALS):])
 
 
 TOTALS = ["total_n", "total_sum", "total_min", "total_max"]
@@ -115,29 +129,19 @@ def _wanted_ranks(interpolated: dict[str, float], nearest: dict[str, float]) ->
     return ranks
 
 
-def _reached_in_group(counts: DataFrame, keys: list[str], value: str, ranks: list[Column]) -> DataFrame:
-    """Every value with the number of samples up to it, from one ordered pass over the group."""
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.select(
-        *keys,
-        value,
-        F.sum("n").over(upto).alias("reach__"),
-        F.sum("n").over(group).alias("total_n"),
-        F.sum(F.col(value) * F.col("n")).over(group).alias("total_sum"),
-        F.min(value).over(group).alias("total_min"),
-        F.max(value).over(group).alias("total_max"),
-    )
-
-
-def _reached_in_buckets(counts: DataFrame, keys: list[str], value: str, ranks: list[Column]) -> DataFrame:
-    """The same, but only for the buckets that hold a wanted rank."""
-    counts = counts.withColumn("bucket__", value_bucket(F.col(value)))
+def _reached_in_buckets(
+    counts: DataFrame, keys: list[str], value: str, ranks: list[Column], per_doubling: int, totals: list[str]
+) -> DataFrame:
+    """The values of the buckets that hold a wanted rank, each with the number of samples up to it."""
+    ends = totals[len(TOTALS):]
+    least = lambda c: F.min if c.startswith("first_") else F.max
+    counts = counts.withColumn("bucket__", value_bucket(F.col(value), per_doubling))
     per_bucket = counts.groupBy(*keys, "bucket__").agg(
         F.sum("n").alias("size__"),
         F.sum(F.col(value) * F.col("n")).alias("sum__"),
         F.min(value).alias("min__"),
         F.max(value).alias("max__"),
+        *[least(c)(c).alias(c) for c in ends],
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("bucket__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -150,15 +154,20 @@ def _reached_in_buckets(counts: DataFrame, keys: list[str], value: str, ranks: l
         F.sum("sum__").over(group).alias("total_sum"),
         F.min("min__").over(group).alias("total_min"),
         F.max("max__").over(group).alias("total_max"),
+        *[least(c)(c).over(group).alias(c) for c in ends],
     )
 
     before = F.col("upto__") - F.col("size__")
     wanted = reduce(lambda a, b: a | b, [(before <= r) & (r < F.col("upto__")) for r in ranks])
     targets = _renamed(
-        placed.where(wanted).select(*keys, "bucket__", before.alias("before__"), *TOTALS), [*keys, "bucket__"]
+        placed.where(wanted).select(*keys, "bucket__", before.alias("before__"), *totals), [*keys, "bucket__"]
     )
-    inside = counts.join(targets, _same_group(counts, targets, [*keys, "bucket__"])).select(
-        *keys, "bucket__", value, "n", "before__", *TOTALS
+    # The ends are read here too (a condition that always holds): without them the optimiser would drop them
+    # from this pass only, and the two passes would no longer share their shuffle.
+    for low, high in zip(ends[::2], ends[1::2], strict=True):
+        counts = counts.where(F.col(low).isNull() | (F.col(low) <= F.col(high)))
+    inside = counts.drop(*ends).join(targets, _same_group(counts, targets, [*keys, "bucket__"])).select(
+        *keys, "bucket__", value, "n", "before__", *totals
     )
     running = (
         Window.partitionBy(*keys, "bucket__").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -171,7 +180,7 @@ def with_previous(
 ) -> DataFrame:
     """Add ``prev_<column>``: the value in the row before, in ``order`` within ``keys``.
 
-    ``bucket`` must grow with ``order``. A copy of each bucket's last row opens the next
+    ``bucket`` must never fall along ``order``. A copy of each bucket's last row opens the next
     bucket, so one window per (group, bucket) sees every predecessor: the rows shuffle once
     and meet no join.
     """

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions import client_overhead, html_escape, join_list, join_metric_paths
+from loadlens.operators.ordered import join_keys
 from loadlens.sources.schemas import HTML_COLUMNS, MONO_COLUMNS, REPORT_COLUMNS
 
 STEP_KEY = ["run", "phase_idx", "step_idx"]
@@ -21,46 +22,62 @@ FROM_STATEMENTS = {
 FROM_LAG = {f"replication_{k}_lag_ms": f"{k}_lag_ms" for k in ("avg", "min", "p95", "max")}
 
 
-def flatten_report(summaries: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
-    """One row per step, and one per phase without steps; keys and positions come first, then the 37 columns.
+def summary_records(summaries: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """Nested run documents as one record per step, and one per phase without steps.
 
-    A phase without steps is read as its own single step with an empty name, so one
-    ``explode`` covers both shapes and the documents are scanned once.
+    A record has the run's keys, the positions and structs of phase and step. A phase without steps
+    is its own single step with an empty name, so one ``explode`` covers both shapes.
     """
-    phases = summaries.select(*keys, F.posexplode("phases").alias("phase_idx", "p"))
-    fields = phases.select("p.steps").schema["steps"].dataType.elementType.names
-    stepped = (F.col("p.type") == "pgbench") & F.col("p.steps").isNotNull()
-    alone = F.array(F.struct(*[(F.lit("") if f == "step" else F.col(f"p.{f}")).alias(f) for f in fields]))
-    rows = phases.select(
+    phases = summaries.select(*keys, F.posexplode("phases").alias("phase_idx", "phase"))
+    fields = phases.select("phase.steps").schema["steps"].dataType.elementType.names
+    stepped = (F.col("phase.type") == "pgbench") & F.col("phase.steps").isNotNull()
+    alone = F.array(F.struct(*[(F.lit("") if f == "step" else F.col(f"phase.{f}")).alias(f) for f in fields]))
+    return phases.select(
         *keys,
         "phase_idx",
-        F.col("p.name").alias("phase"),
-        F.col("p.type").alias("type"),
-        F.posexplode(F.when(stepped, F.col("p.steps")).otherwise(alone)).alias("step_idx", "s"),
+        F.col("phase").dropFields("steps").alias("phase"),
+        F.posexplode(F.when(stepped, F.col("phase.steps")).otherwise(alone)).alias("step_idx", "step"),
     )
+
+
+def flatten_records(records: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """One report row per record; keys and positions come first, then the 37 columns."""
+    fields = records.select("step.*").columns
     special: dict[str, Column] = {
-        "phase": F.col("phase"),
-        "operation": F.col("phase"),
-        "type": F.col("type"),
-        "pgbench_log_files": join_list(F.col("s.pgbench_log_files")),
-        "server_metrics": join_metric_paths(F.col("s.server_metrics")),
-        "overhead_ms": client_overhead(F.col("s.latency_avg_ms"), F.col("s.pg_stat_statements.mean_exec_time_ms")),
-        **{name: F.col(f"s.pg_stat_statements.{field}") for name, field in FROM_STATEMENTS.items()},
-        **{name: F.col(f"s.replication_summary.{field}") for name, field in FROM_LAG.items()},
+        "phase": F.col("phase.name"),
+        "operation": F.col("phase.name"),
+        "type": F.col("phase.type"),
+        "pgbench_log_files": join_list(F.col("step.pgbench_log_files")),
+        "server_metrics": join_metric_paths(F.col("step.server_metrics")),
+        "overhead_ms": client_overhead(F.col("step.latency_avg_ms"), F.col("step.pg_stat_statements.mean_exec_time_ms")),
+        **{name: F.col(f"step.pg_stat_statements.{field}") for name, field in FROM_STATEMENTS.items()},
+        **{name: F.col(f"step.replication_summary.{field}") for name, field in FROM_LAG.items()},
     }
-    return rows.select(
+    return records.select(
         *keys, "phase_idx", "step_idx",
-        *[special.get(c, F.col(f"s.{c}") if c in fields else F.lit(None)).alias(c) for c in REPORT_COLUMNS],
+        *[special.get(c, F.col(f"step.{c}") if c in fields else F.lit(None)).alias(c) for c in REPORT_COLUMNS],
     )
 
 
+def flatten_report(summaries: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """The report rows of nested run documents."""
+    return flatten_records(summary_records(summaries, keys), keys)
+
+
 def number_text(value: Column) -> Column:
-    """A float as text without the exponent that Spark uses from ten million up and below a thousandth."""
-    size = F.abs(value)
-    plain = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return F.when(plain, F.call_function("format_number", value, F.lit("0.0####################"))).otherwise(
-        value.cast("string")
+    """A float as the file format prints it: plain from 1e-4 up to below 1e16, else ``1.5e-05``, ``1e+16``.
+
+    The engine's own text is right unless it has an exponent, so only those are rewritten.
+    """
+    text = value.cast("string")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    size = F.abs(power).cast("string")
+    far = F.concat(
+        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size)
     )
+    near = F.call_function("format_number", value, F.lit("0.0####################"))
+    return F.when(~F.contains(text, F.lit("E")), text).when(power.between(-4, 15), near).otherwise(far)
 
 
 def report_text(flat: DataFrame) -> DataFrame:
@@ -95,7 +112,7 @@ def join_step_results(steps: DataFrame, results: DataFrame, keys: Sequence[str]
 
     Both sides have one row per step, so the join neither multiplies nor skews.
     """
-    return steps.join(results, list(keys), "left")
+    return join_keys(steps, results, list(keys), "left")
 
 
 def runs_with_labels(runs: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -144,65 +161,36 @@ def label_text(labels: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
-STEPS_PER_DOCUMENT = 1000
-PHASES_PER_DOCUMENT = 100
-
-
-def summary_documents(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
-    """Nested run documents: ``phases`` (keys, phase_idx, phase struct without steps) and ``steps``
-    (keys, phase_idx, step_idx, step struct) -> one document per run.
-
-    Step and phase positions are unique, so cutting a run after 1,000 steps of a phase and
-    100 phases bounds every collected list. ``part`` numbers the documents of a run; a run
-    as small as any plan makes has one.
-    """
-    keys = list(keys)
-    per_phase = (
-        steps.withColumn("step_part", F.floor(F.col("step_idx") / F.lit(STEPS_PER_DOCUMENT)).cast("int"))
-        .groupBy(*keys, "phase_idx", "step_part")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("step_idx", "step"))).alias("list__"),
-            F.max_by(F.struct("step.tps", "step.tps_excluding"), "step_idx").alias("last__"),
-        )
-    )
-    nested = phases.join(per_phase, [*keys, "phase_idx"], "left")
-    phase = F.col("phase")
-    names = [f for f in phases.schema["phase"].dataType.names if f not in ("tps", "tps_excluding")]
-    built = F.struct(
-        *[phase[f].alias(f) for f in names],
-        F.col("last__.tps").alias("tps"),
-        F.col("last__.tps_excluding").alias("tps_excluding"),
-        F.transform("list__", lambda s: s["step"]).alias("steps"),
-    )
-    return (
-        nested.withColumn("phase_part", F.floor(F.col("phase_idx") / F.lit(PHASES_PER_DOCUMENT)).cast("int"))
-        .withColumn("step_part", F.coalesce("step_part", F.lit(0)))
-        .groupBy(*keys, "phase_part", "step_part")
-        .agg(F.array_sort(F.collect_list(F.struct("phase_idx", built.alias("phase")))).alias("list__"))
-        .select(
-            *keys,
-            F.struct("phase_part", "step_part").alias("part"),
-            F.transform("list__", lambda p: p["phase"]).alias("phases"),
-        )
-    )
-
-
-def snapshot_documents(
-    snapshots: DataFrame, keys: Sequence[str], fields: Sequence[str], seq: str, interval_sec: int, cut: int = 10_000
-) -> DataFrame:
-    """``{interval_sec, snapshots[]}`` per step, ordered by time.
+def step_records(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> records.
 
-    ``seq`` is the poll number, unique in a step: a document holds the polls of one stretch
-    of ``cut`` numbers, so a long series becomes several documents of bounded size.
+    One record per step, the same layout at every size. A phase's throughput is that of its last
+    step; phases without steps become their own step with an empty name.
     """
-    keys = list(keys)
-    item = F.struct("elapsed_sec", seq, F.struct(*fields).alias("item"))
-    return (
-        snapshots.withColumn("part", F.floor(F.col(seq) / F.lit(cut)))
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(item)).alias("list__"))
-        .select(
-            *keys, "part", F.lit(interval_sec).alias("interval_sec"),
-            F.transform("list__", lambda s: s["item"]).alias("snapshots"),
-        )
+    keys = [*keys, "phase_idx"]
+    figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
+    last = phase_last_step(figures, keys).withColumnsRenamed({"tps": "last_tps__", "tps_excluding": "last_excluding__"})
+    known = join_keys(phases, last.withColumn("stepped__", F.lit(True)), keys, "left")
+    stepped = F.col("stepped__").isNotNull()
+    tps = F.when(stepped, F.col("last_tps__")).otherwise(F.col("phase.tps"))
+    excluding = F.when(stepped, F.col("last_excluding__")).otherwise(F.col("phase.tps_excluding"))
+    known = known.withColumn("phase", F.col("phase").withField("tps", tps).withField("tps_excluding", excluding))
+    fields = steps.select("step.*").columns
+    alone = known.where(~stepped).select(
+        *keys, "phase", F.lit(0).alias("step_idx"),
+        F.struct(*[(F.lit("") if f == "step" else F.col(f"phase.{f}")).alias(f) for f in fields]).alias("step"),
     )
+    measured = join_keys(steps, known.where(stepped).select(*keys, "phase"), keys)
+    return measured.select(*keys, "phase", "step_idx", "step").unionByName(alone)
+
+
+def run_listing(records: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """One row per run: label, number of phases and steps, sum of the phases' throughput."""
+    per_phase = records.groupBy(*keys, "phase_idx").agg(
+        F.first("run_label").alias("run_label"), F.first("phase.type").alias("type"), F.first("phase.tps").alias("tps"),
+        F.count_if(F.col("step.step") != "").alias("steps"),
+    )
+    return per_phase.groupBy(*keys).agg(
+        F.first("run_label").alias("run_label"), F.count(F.lit(1)).alias("phases"), F.sum("steps").alias("steps"),
+        F.count_if(F.col("type") == "http").alias("http_phases"), F.sum("tps").alias("phase_tps"),
+    )

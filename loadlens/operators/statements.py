@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import (
     finite_round,
-    histogram_buckets,
-    histogram_percentile,
-    histogram_running,
+    histogram_buckets_sql,
+    histogram_percentile_sql,
     is_other_statement,
     is_workload_statement,
     round_half_even,
@@ -55,33 +54,28 @@ def statement_summary(statements: DataFrame, keys: Sequence[str] = (), patterns:
     return matching.groupBy(*keys).agg(*_summary_columns())
 
 
-def statement_summary_or_all(statements: DataFrame, when_empty: bool = False) -> DataFrame:
+def statement_summary_or_all(statements: DataFrame, when_empty: bool = False, keys: Sequence[str] = ()) -> DataFrame:
     """Summary of the workload, or of all but the self-reference when the filter cannot be applied.
 
     The filter cannot be applied without a ``query`` text column. An empty match is no
-    reason to fall back, unless ``when_empty`` asks for it: then both are summed in one pass.
+    reason to fall back, unless ``when_empty`` asks for it, per group: then both are summed in one pass.
     """
     timed = with_time_columns(statements)
     if "query" not in timed.columns:
-        return timed.agg(*_summary_columns())
+        return timed.groupBy(*keys).agg(*_summary_columns())
     if not when_empty:
-        return statement_summary(timed)
+        return statement_summary(timed, keys)
     others = timed.where(is_other_statement(F.col("query")))
-    per_kind = others.groupBy(is_workload_statement(F.col("query")).alias("workload")).agg(
+    per_kind = others.groupBy(*keys, is_workload_statement(F.col("query")).alias("workload")).agg(
         F.sum("total_time").alias("total_time"),
         F.min("min_time").alias("min_time"),
         F.max("max_time").alias("max_time"),
         F.sum("calls").alias("calls"),
     )
-    # At most two rows: the workload and the rest. The rest counts only when the workload is absent.
-    found = per_kind.agg(
-        F.bool_or("workload").alias("found"),
-        F.collect_list(F.struct(*per_kind.columns)).alias("kinds"),
-    )
-    kept = found.select(
-        F.explode_outer(F.filter("kinds", lambda k: k["workload"] | ~F.col("found"))).alias("kind")
-    ).select("kind.*")
-    return kept.agg(*_summary_columns())
+    # At most two rows a group: the workload and the rest. The rest counts only when the workload is absent.
+    kind = F.struct("total_time", "min_time", "max_time", "calls")
+    kept = per_kind.groupBy(*keys).agg(F.max_by(kind, F.col("workload")).alias("kind")).select(*keys, "kind.*")
+    return kept.groupBy(*keys).agg(*_summary_columns())
 
 
 def dominant_statement(statements: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -99,13 +93,13 @@ def dominant_statement(statements: DataFrame, keys: Sequence[str] = ()) -> DataF
 
 def histogram_percentiles(df: DataFrame, histogram: str = "yb_latency_histogram", interpolate: bool = False) -> DataFrame:
     """p50/p90/p95/p99 of a bucket histogram; null when empty or in the open last bucket."""
-    running = histogram_running(histogram_buckets(F.col(histogram)))
     others = [c for c in df.columns if c != histogram]
     # Exploded as one element, so that the text is parsed once and not per percentile.
-    return df.select(*others, F.explode(F.array(running)).alias("running__")).select(
+    parsed = df.select(*others, F.explode(F.array(F.expr(histogram_buckets_sql(histogram)))).alias("buckets__"))
+    return parsed.select(
         *others,
         *[
-            finite_round(histogram_percentile(F.col("running__"), percent, interpolate)).alias(name)
+            finite_round(F.expr(histogram_percentile_sql("buckets__", str(percent), interpolate))).alias(name)
             for name, percent in HISTOGRAM_PERCENTS.items()
         ],
     )
@@ -163,8 +157,11 @@ def interval_columns(previous_calls: Column, previous_mean: Column) -> dict[str,
 def snapshot_delta(
     snapshots: DataFrame, keys: Sequence[str], order: Sequence[str] = ("elapsed_sec",), bucket: Column | None = None
 ) -> DataFrame:
-    """Per-interval calls and mean from cumulative snapshots."""
-    bucket = snapshot_bucket(order[-1]) if bucket is None else bucket
+    """Per-interval calls and mean from cumulative snapshots.
+
+    The default bucket cuts the first column of ``order``, the only one that never falls along it.
+    """
+    bucket = snapshot_bucket(order[0]) if bucket is None else bucket
     seen = with_previous(snapshots, keys, order, bucket, ["calls", "mean_ms"])
     deltas = interval_columns(F.col("prev_calls"), F.col("prev_mean_ms"))
     return seen.select(*keys, *order, *[c.alias(name) for name, c in deltas.items()])

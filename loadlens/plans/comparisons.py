@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import client_overhead, clients_resolved
 from loadlens.operators.lag import lag_columns, with_risk
-from loadlens.operators.latency import STEP_SHARES, throughput
-from loadlens.operators.ordered import distribution
+from loadlens.operators.latency import STEP_SHARES, operation_stats
+from loadlens.operators.ordered import distribution, join_keys
 
 PERCENTILES = ["latency_p90_ms", "latency_p95_ms", "latency_p99_ms"]
 
@@ -54,11 +54,8 @@ def run_details(flat: DataFrame) -> DataFrame:
 
 
 def per_operation(txn: DataFrame, keys: Sequence[str] = ("operation",)) -> DataFrame:
-    """Throughput and p90/p95/p99 per operation, from the log."""
-    shares = {k: v for k, v in STEP_SHARES.items() if k in PERCENTILES}
-    latency = distribution(txn, keys, "latency_us", interpolated=shares, divisor=1000.0)
-    rates = throughput(txn, keys).select(*keys, "transactions", "tps")
-    return rates.join(latency.select(*keys, *PERCENTILES), list(keys))
+    """Throughput and p90/p95/p99 per operation, from one pass over the log; a null operation is one of its own."""
+    return operation_stats(txn, list(keys), {k: v for k, v in STEP_SHARES.items() if k in PERCENTILES})
 
 
 def per_operation_wide(rows: DataFrame, key: str, operations: Sequence[str] = OPERATIONS) -> DataFrame:
@@ -72,14 +69,9 @@ def per_operation_wide(rows: DataFrame, key: str, operations: Sequence[str] = OP
 
 def schema_decision(txn: DataFrame, lag: DataFrame, key: str = "variant") -> DataFrame:
     """Per schema variant: throughput, percentiles, lag figures and recovery risk."""
-    latency = distribution(txn, [key], "latency_us", interpolated=STEP_SHARES, divisor=1000.0)
-    lag_stats = distribution(lag, [key], "lag_ms", nearest={"p95": 0.95})
-    return with_risk(
-        throughput(txn, [key])
-        .select(key, "tps")
-        .join(latency.select(key, *STEP_SHARES), key)
-        .join(lag_columns(lag_stats, [key]).select(key, "avg_lag_ms", "p95_lag_ms", "max_lag_ms"), key, "left")
-    )
+    rates = operation_stats(txn, [key]).select(key, "tps", *STEP_SHARES)
+    lag_stats = lag_columns(distribution(lag, [key], "lag_ms", nearest={"p95": 0.95}), [key])
+    return with_risk(join_keys(rates, lag_stats.select(key, "avg_lag_ms", "p95_lag_ms", "max_lag_ms"), [key], "left"))
 
 
 def variant_rank(rows: DataFrame, group: str = "operation", variant: str = "variant", base: str = "plain") -> DataFrame:

@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions import uuid_from_int
-from loadlens.operators.reports import summary_documents
+from loadlens.operators.reports import step_records
+from loadlens.session import scratch_path
 from loadlens.sources.schemas import STEP_STRUCT
 
 START = 1704067200
-MICROS = "unix_micros(cast(ts as timestamp))"
+
+
+def micros_of(column: str) -> str:
+    """Microseconds since 1970 of a timestamp without zone that means UTC, whatever zone the session has."""
+    return f"unix_micros(cast(convert_timezone('UTC', current_timezone(), {column}) as timestamp))"
+
+
+MICROS = micros_of("ts")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # timestamps of the tables are UTC
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -45,9 +52,26 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").selectExpr(*TXN_COLUMNS)
 
 
-def txn_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet").selectExpr(*TXN_COLUMNS)
+BATCHES = 4
+
+
+def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> DataFrame:
+    """The transactions as a stream of four files, one per micro-batch.
+
+    The files are slices by event number dealt in turn, so that every key and every second comes in all of them; unless
+    ``in_order``, the last slice comes first: what follows it is late.
+    """
+    events, path = table(spark, sf, "events"), scratch_path(spark, "event-files")
+    slices = list(range(BATCHES)) if in_order else [BATCHES - 1, *range(BATCHES - 1)]
+    if in_order:
+        cuts = events.agg(F.percentile_approx("ts", [n / BATCHES for n in range(1, BATCHES)]).alias("cuts")).first()["cuts"]
+        number = sum(((F.col("ts") > F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
+    else:
+        number = F.pmod("event_id", F.lit(BATCHES))
+    for n in slices:  # one write each, so that the files have this order
+        events.where(number == n).coalesce(1).write.mode("append").parquet(path)
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return files.selectExpr(*TXN_COLUMNS)
 
 
 def txn_line(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +86,7 @@ def txn_line(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lag_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return txn(spark, sf).where("operation = 'error'").selectExpr(*LAG_COLUMNS)
+    return txn(spark, sf).selectExpr(*LAG_COLUMNS)
 
 
 def stat_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +123,7 @@ def request(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey as seq", "o_custkey as account_id",
         """case when o_orderkey % 100 < 60 then 'select' when o_orderkey % 100 < 85 then 'update'
           when o_orderkey % 100 < 95 then 'insert' else 'delete' end as op""",
-        "o_orderkey * 37 % 101 - 50 as delta", "unix_micros(cast(o_orderdate as timestamp)) as req_ts",
+        "o_orderkey * 37 % 101 - 50 as delta", f"{micros_of('o_orderdate')} as req_ts",
     )
 
 
@@ -141,6 +165,7 @@ def step_row(spark: SparkSession, sf: str) -> DataFrame:
         "case when pk % 4 = 0 then pk * 10 + 50 end as total_transactions",
         "case when sk % 11 = 0 then null else hi end as tps", "case when sk % 11 = 0 then null else lo end as tps_excluding",
         "case when step_idx = 5 then null else cast(pk as double) / 8 end as latency_avg_ms",
+        "case sk % 4 when 0 then cast(pk as double) / 100000000 when 1 then cast(pk as double) * 10000000000000 when 2 then cast(pk as double) * 1000000 end as latency_stddev_ms",
         "case when step_idx % 3 = 2 then null else cast(sk as double) / 4 end as server_ms",
         "pk * 3 as latency_samples", "cast(pk as double) / 8 as latency_p50_ms", "cast(pk + 8 as double) / 8 as latency_p90_ms",
         "cast(pk + 16 as double) / 8 as latency_p95_ms", "cast(pk + 32 as double) / 8 as latency_p99_ms",
@@ -166,27 +191,32 @@ def _parsed(schema: str):
     return StructType.fromDDL(schema).fields
 
 
-def summaries(spark: SparkSession, sf: str) -> DataFrame:
-    """Run documents built from the step results."""
-    measured = {
-        **{c: c for c in (
-            "step", "duration_sec", "target_tps", "total_transactions", "clients", "jobs", "tps", "tps_excluding",
-            "latency_avg_ms", "latency_samples", "latency_p50_ms", "latency_p90_ms", "latency_p95_ms", "latency_p99_ms")},
-        "name": "phase", "type": "'pgbench'", "exit_code": "0", "log": "concat('/r/<', step, '>/pgbench.log')",
-        "latency_histogram_csv": "concat('/r/', step, '/latency_histogram.csv')",
-        "pgbench_log_files": "case when step_idx = 6 then array() else array(concat('/r/', step, '/pgbench_log.1'), concat('/r/', step, '/pgbench_log.2')) end",
-        "server_metrics": "array(struct('http://a' as url, concat('/r/', step, '/before.txt') as path), struct('http://b' as url, cast(null as string) as path))",
-        "pg_stat_statements": """case when server_ms is not null then struct(server_ms as mean_exec_time_ms, server_ms / 2 as min_exec_time_ms,
-            server_ms * 2 as max_exec_time_ms, sk as calls, server_ms as yb_p50_ms, server_ms as yb_p90_ms, server_ms as yb_p95_ms,
-            cast(null as double) as yb_p99_ms) end""",
-        "replication_summary": """case when lag_ms is not null then struct(lag_ms / 4 as min_lag_ms, lag_ms / 2 as avg_lag_ms,
-            lag_ms as p95_lag_ms, lag_ms * 2 as max_lag_ms, 3L as samples) end""",
-    }
+STEP_FIELDS = {
+    **{c: c for c in (
+        "step", "duration_sec", "target_tps", "total_transactions", "clients", "jobs", "tps", "tps_excluding", "latency_stddev_ms",
+        "latency_avg_ms", "latency_samples", "latency_p50_ms", "latency_p90_ms", "latency_p95_ms", "latency_p99_ms")},
+    "name": "phase", "type": "'pgbench'", "exit_code": "0", "log": """concat('/r/<"', step, '", 1>/pgbench.log')""",
+    "latency_histogram_csv": "concat('/r/', step, '/latency_histogram.csv')",
+    "pgbench_log_files": "case when step_idx = 6 then array() else array(concat('/r/', step, '/pgbench_log.1'), concat('/r/', step, '/pgbench_log.2')) end",
+    "server_metrics": "array(struct('http://a' as url, concat('/r/', step, '/before.txt') as path), struct('http://b' as url, cast(null as string) as path))",
+    "pg_stat_statements": """case when server_ms is not null then struct(server_ms as mean_exec_time_ms, server_ms / 2 as min_exec_time_ms,
+        server_ms * 2 as max_exec_time_ms, sk as calls, server_ms as yb_p50_ms, server_ms as yb_p90_ms, server_ms as yb_p95_ms,
+        cast(null as double) as yb_p99_ms) end""",
+    "replication_summary": """case when lag_ms is not null then struct(lag_ms / 4 as min_lag_ms, lag_ms / 2 as avg_lag_ms,
+        lag_ms as p95_lag_ms, lag_ms * 2 as max_lag_ms, 3L as samples) end""",
+}
+RUN_FIELDS = [
+    "concat('/runs/', runset, '/', run) as run_dir", "concat('label of ', run) as run_label", "'' as run_description",
+    "'stretch' as cluster_type", "'' as cluster_topology", "'none' as replication_mode", "false as xcluster_enabled",
+]
+
+
+def records(spark: SparkSession, sf: str) -> DataFrame:
+    """Step records of the runs, as a stored summary has them."""
     steps = step_row(spark, sf)
-    step_docs = steps.select("runset", "run", "phase_idx", "step_idx", _struct_of(measured, STEP_STRUCT).alias("step"))
-    stepped = (
-        steps.groupBy("runset", "run", "phase_idx", "phase").agg(F.count(F.lit(1)).alias("n"))
-        .select("runset", "run", "phase_idx", _struct_of({"name": "phase", "type": "'pgbench'"}, STEP_STRUCT).alias("phase"))
+    step_docs = steps.select("runset", "run", "phase_idx", "step_idx", _struct_of(STEP_FIELDS, STEP_STRUCT).alias("step"))
+    stepped = steps.select("runset", "run", "phase_idx", "phase").distinct().select(
+        "runset", "run", "phase_idx", _struct_of({"name": "phase", "type": "'pgbench'"}, STEP_STRUCT).alias("phase")
     )
     # Runs whose key divides by 5 have an HTTP phase, by 7 one of an unknown type.
     single = run_row(spark, sf).selectExpr(
@@ -206,14 +236,41 @@ def summaries(spark: SparkSession, sf: str) -> DataFrame:
             STEP_STRUCT,
         ).alias("phase"),
     )
-    docs = summary_documents(stepped.unionByName(alone), step_docs)
-    return docs.selectExpr(
-        "runset", "run", "concat('/runs/', runset, '/', run) as run_dir", "concat('label of ', run) as run_label",
-        "'' as run_description", "'stretch' as cluster_type", "'' as cluster_topology", "'none' as replication_mode",
-        "false as xcluster_enabled", "phases",
+    made = step_records(stepped.unionByName(alone), step_docs)
+    return made.selectExpr("runset", "run", *RUN_FIELDS, "phase_idx", "phase", "step_idx", "step")
+
+
+def summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested run documents: an order is a run with a phase of two steps, some with an HTTP phase and one of unknown type."""
+    step = lambda n: f"""named_struct({', '.join(f"'{f.name}', cast({x} as {f.dataType.simpleString()})" for f in _parsed(STEP_STRUCT) for x in [
+        {"name": "'select'", "step": f"'select_step{n}'", "type": "'pgbench'", "exit_code": "0", "clients": f"o_custkey % 9 + {n}",
+         "tps": f"o_custkey * {n}", "latency_p95_ms": f"o_custkey / 8.0D + {n}",
+         "server_metrics": f"array(struct('http://a' as url, concat('/r/', k, '/{n}.txt') as path))",
+         "pg_stat_statements": f"case when k % 3 = {n} then named_struct('mean_exec_time_ms', 1.5D, 'min_exec_time_ms', 1D, 'max_exec_time_ms', 2D, 'calls', k, 'yb_p50_ms', 1D, 'yb_p90_ms', 1D, 'yb_p95_ms', 1D, 'yb_p99_ms', 1D) end",
+         "replication_summary": f"case when k % 2 = {n - 1} then named_struct('min_lag_ms', 1D, 'avg_lag_ms', 2D, 'p95_lag_ms', 3D, 'max_lag_ms', cast(k as double), 'samples', 1L) end",
+         }.get(f.name, "null")])})"""
+    phase = lambda fields, steps: f"""named_struct({', '.join(f"'{f.name}', cast({fields.get(f.name, 'null')} as {f.dataType.simpleString()})" for f in _parsed(STEP_STRUCT))}, 'steps', {steps})"""
+    none = f"cast(null as array<struct<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in _parsed(STEP_STRUCT))}>>)"
+    return run_row(spark, sf).selectExpr(
+        "runset", "run", *RUN_FIELDS,
+        f"""filter(array({phase({"name": "'select'", "type": "'pgbench'", "tps": "o_custkey * 2"}, f"array({step(1)}, {step(2)})")},
+          case when k % 5 = 0 then {phase({"name": "'api'", "type": "'http'", "exit_code": "0"}, none)} end,
+          case when k % 7 = 0 then {phase({"name": "'other'", "type": "'custom'"}, none)} end), p -> p is not null) as phases""",
     )
 
 
+STEP_NAMES = ["click", "error", "purchase", "signup", "view", "idle"]
+
+
+def steps(spark: SparkSession, sf: str) -> DataFrame:
+    """The steps that were planned: those of the log, and idle ones that left no samples."""
+    names = ", ".join(f"'{n}'" for n in STEP_NAMES)
+    return table(spark, sf, "customer").selectExpr(
+        "case c_custkey % 4 when 0 then 'plain' when 1 then 'index' when 2 then 'fk' else 'index_fk' end as variant",
+        f"concat(element_at(array({names}), cast(c_custkey div 4 % 6 + 1 as int)), '_step', c_custkey div 24 % 3 + 1) as step",
+    ).distinct()
+
+
 def plans(spark: SparkSession, sf: str) -> DataFrame:
     """Load plans: an order is a plan, its return flags are phases; at most seven ramp steps each."""
     rows = line_step(spark, sf)
@@ -235,8 +292,10 @@ def plans(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     phase = F.expr(
-        f"""struct({PHASE_NAME} as name, 'pgbench' as type, case when k % 6 = 0 then null else cast(k % 16 + 1 as int) end as clients,
+        f"""struct(case when k % 11 <> 0 then {PHASE_NAME} end as name, 'pgbench' as type, case when k % 6 = 0 then null else cast(k % 16 + 1 as int) end as clients,
         cast(null as int) as jobs, concat('scripts/', {PHASE_NAME}, '.sql') as script,
+        case when k % 2 = 0 then array(struct('a.sql' as script, cast(phase_pk as int) as weight), struct('' as script, 9 as weight),
+          struct('b.sql' as script, cast(null as int) as weight)) end as mix,
         cast(null as int) as duration_sec, cast(null as double) as target_tps, cast(null as bigint) as transactions_per_client,
         case when kind = 3 then phase_pk end as total_transactions,
         case when kind < 3 then transform(ramp, r -> r.s) end as ramp)"""
@@ -250,8 +309,10 @@ def plans(spark: SparkSession, sf: str) -> DataFrame:
             """struct(case k % 3 when 0 then 'stretch' when 1 then 'xcluster' end as cluster_type,
               case when k % 4 = 0 then 'active-active' end as replication_mode, cast(null as string) as cluster_topology,
               cast(null as boolean) as xcluster_enabled) as cluster""",
-            """struct(case when k % 13 = 0 then 'bad name!' else concat('db_', k) end as dbname,
-              cast(case when k % 17 = 0 then 'port' else '5433' end as string) as port,
+            "struct(case when k % 2 = 0 then true end as create_db, cast(null as boolean) as drop_db, 's.sql' as schema_sql_file, cast(null as string) as preload_sql_file) as schema",
+            """struct(case when k % 3 = 0 then 'db.local' end as host, cast(null as string) as user,
+              case when k % 13 = 0 then 'bad name!' else concat('db_', k) end as dbname,
+              cast(case when k % 17 = 0 then 'port' when k % 4 > 0 then '5444' end as string) as port,
               cast(null as string) as admin_dbname) as db""",
             """struct(array(concat('http://a', k, ', http://b ,')) as tserver_urls, k % 2 = 0 as pg_stat_statements,
               case k % 5 when 0 then '5' when 1 then '-3' when 2 then 'often' end as pg_stat_statements_interval_sec) as server_metrics""",

@@ -20,10 +20,19 @@ def _uuid_sql(number: str) -> str:
 
 # Ten tables as large as the customer table.
 PRELOAD_SQL = f"""select tid, {_uuid_sql('c_custkey + 1')} as id, case when tid > 1 then {_uuid_sql('c_custkey % 100000 + 1')} end as ref_id,
-    (c_custkey + 1) * [13, 17, 19, 23, 29, 31, 37, 41, 43, 47][tid] % 1000000 as payload
+    (c_custkey + 1) * [13, 17, 19, 23, 29, 31, 37, 41, 43, 47][tid] % 1000000 as payload, 1704067200000000 as loaded_us
     from customer, (select cast(unnest(range(1, 11)) as integer) as tid)"""
 
 
+def _load_time():
+    return F.timestamp_seconds(F.lit(1704067200))
+
+
+def _loaded(df, column="updated_at"):
+    """The load time as microseconds, which both engines print alike."""
+    return df.withColumn("loaded_us", F.unix_micros(column)).drop(column)
+
+
 def _numbers(spark, sf):
     return t.table(spark, sf, "customer").select((F.col("c_custkey") + 1).alias("g"))
 
@@ -41,32 +50,27 @@ def _(spark, sf):
     )
 
 
-@query("gen_series", "select g, g * 13 % 1000000 as payload from (select unnest(range(1, (select count(*) from lineitem) + 1)) as g)")
-def _(spark, sf):
-    n = t.table(spark, sf, "lineitem").count()
-    return keyed.series(spark, n).select("g", fn.payload_mod(F.col("g"), 13).alias("payload"))
-
-
 @query("preload_tables", PRELOAD_SQL)
 def _(spark, sf):
-    return keyed.preload_tables(_numbers(spark, sf))
+    return _loaded(keyed.preload_tables(_numbers(spark, sf), at=_load_time()))
 
 
 @query(
     "preload_accounts",
-    f"""select a.id, a.balance, l.delta from (select {_uuid_sql('c_custkey + 1')} as id, 1000::bigint as balance from customer) a
-        join (select {_uuid_sql('o_orderkey % 100000 + 1')} as account_id, (o_orderkey + 1) * 37 % 200 - 100 as delta from orders) l on l.account_id = a.id""",
+    f"""select a.id, a.balance, l.delta, l.log_id, l.loaded_us from (select {_uuid_sql('c_custkey + 1')} as id, 1000::bigint as balance from customer) a
+        join (select {_uuid_sql('-(o_orderkey + 1)')} as log_id, {_uuid_sql('o_orderkey % 100000 + 1')} as account_id, (o_orderkey + 1) * 37 % 200 - 100 as delta,
+          1704067200000000 as loaded_us from orders) l on l.account_id = a.id""",
 )
 def _(spark, sf):
-    accounts = keyed.preload_accounts(_numbers(spark, sf))
-    log = keyed.preload_account_log(t.table(spark, sf, "orders").select((F.col("o_orderkey") + 1).alias("g")))
-    return accounts.join(log.withColumnRenamed("account_id", "id"), "id")
+    accounts = keyed.preload_accounts(_numbers(spark, sf), _load_time()).drop("updated_at")
+    log = keyed.preload_account_log(t.table(spark, sf, "orders").select((F.col("o_orderkey") + 1).alias("g")), at=_load_time())
+    return accounts.join(_loaded(log, "created_at").withColumnsRenamed({"id": "log_id", "account_id": "id"}), "id")
 
 
 @query("scan_workload_tables", f"select tid, id, ref_id, payload from ({PRELOAD_SQL})")
 def _(spark, sf):
     path = scratch_path(spark, "tables")
-    tables = keyed.preload_tables(_numbers(spark, sf)).withColumn("updated_at", F.lit("2024-01-01").cast("timestamp"))
+    tables = keyed.preload_tables(_numbers(spark, sf), at=_load_time())
     tables.write.partitionBy("tid").parquet(path)
     return sources.scan_keyed_table(spark, path, sources.schemas.TEST_TABLE + ", tid int").select("tid", "id", "ref_id", "payload")
 
@@ -125,7 +129,7 @@ def _(spark, sf):
 def _(spark, sf):
     log = t.account_log(spark, sf)
     asked = t.request(spark, sf).where("op = 'delete'").select("account_id")
-    chosen = keyed.one_per_key(log.join(asked, "account_id", "left_semi"), "account_id", "id")
+    chosen = keyed.one_per_key(keyed.rows_of_keys(log, asked, ["account_id"]), "account_id", "id")
     return keyed.apply_deletes(log, chosen)
 
 
@@ -146,7 +150,15 @@ def _(spark, sf):
     return keyed.mix_shares(points)
 
 
-@query("choose_operations")
+def _draw(n: int, place: int) -> str:
+    return f"cast(concat('0x', substr(md5(concat('42:', seq)), {place}, 10)) as bigint) % {n}"
+
+
+@query(
+    "choose_operations",
+    f"""select seq, case when p < 60 then 'select' when p < 85 then 'update' when p < 95 then 'insert' else 'delete' end as op,
+        {_draw(100000, 11)} + 1 as rid, cast({_draw(10, 21)} + 1 as integer) as tid from (select seq, {_draw(100, 1)} as p from request)""",
+)
 def _(spark, sf):
     return keyed.choose_operations(t.request(spark, sf).select("seq"), "seq")
 
@@ -158,7 +170,7 @@ def _(spark, sf):
         select t.tid, t.id, t.payload + coalesce(d, 0) as payload, last_at as updated_at from t left join u using (tid, id)""",
 )
 def _(spark, sf):
-    tables = keyed.preload_tables(_numbers(spark, sf)).select("tid", "id", "payload", F.lit(None).cast("bigint").alias("updated_at"))
+    tables = keyed.preload_tables(_numbers(spark, sf), at=_load_time()).select("tid", "id", "payload", F.lit(None).cast("bigint").alias("updated_at"))
     asked = t.request(spark, sf).select(
         (F.col("seq") % 10 + 1).cast("int").alias("tid"), fn.uuid_from_int(F.col("account_id") + 1).alias("id"), "delta", "req_ts"
     )
@@ -215,12 +227,19 @@ def _(spark, sf):
     """with ch as (select * from request where op <> 'select'),
        r as (select account_id as id, max(seq) filter (where op in ('insert', 'delete')) as rs from ch group by 1),
        f as (select r.id, rs, (select op from ch where seq = rs) as last_op, (select delta from ch where seq = rs) as start from r),
-       a as (select f.id, coalesce(sum(delta) filter (where op = 'update' and seq > coalesce(rs, -1)), 0)::bigint as d
-             from f join ch on account_id = f.id group by 1)
-       select coalesce(account.id, f.id) as id, case when last_op = 'insert' then start else balance end + coalesce(d, 0) as balance
-       from account full outer join f on f.id = account.id left join a on a.id = f.id
-       where case when last_op is null then account.id is not null else last_op = 'insert' end""",
+       a as (select f.id, coalesce(sum(delta) filter (where op = 'update' and seq > coalesce(rs, -1)), 0)::bigint as d,
+               max(req_ts) filter (where op = 'update' and seq > coalesce(rs, -1)) as late, max(req_ts) filter (where seq = rs) as fresh_at
+             from f join ch on account_id = f.id group by 1),
+       known as (select c_custkey as id, cast(round(c_acctbal * 100) as bigint) as balance, c_name as owner, cast(null as bigint) as updated_at from customer)
+       select coalesce(k.id, f.id) as id, case when last_op = 'insert' then start else balance end + coalesce(d, 0) as balance,
+         case when last_op is null then owner end as owner,
+         coalesce(late, case when last_op = 'insert' then fresh_at end, case when last_op is null then k.updated_at end) as updated_at
+       from known k full outer join f on f.id = k.id left join a on a.id = f.id
+       where case when last_op is null then k.id is not null else last_op = 'insert' end""",
 )
 def _(spark, sf):
     requests = t.request(spark, sf).withColumnRenamed("account_id", "id")
-    return keyed.apply_ordered(t.account(spark, sf), requests, "id", "balance", cut=1000)
+    table = t.table(spark, sf, "customer").selectExpr(
+        "c_custkey as id", "cast(round(c_acctbal * 100) as bigint) as balance", "c_name as owner", "cast(null as bigint) as updated_at"
+    )
+    return keyed.apply_ordered(table, requests, "id", "balance")

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions import (
+    DEFAULT_DB,
     DEFAULT_JOBS,
     DEFAULT_LAG_INTERVAL_SEC,
+    DEFAULT_PHASE,
     client_sizing,
     clients_resolved,
     is_db_name,
@@ -21,8 +23,11 @@ from loadlens.functions import (
 )
 
 
-def normalize_plans(plans: DataFrame) -> DataFrame:
-    """Defaults applied; ``error`` names the first rule that a plan breaks (null when it is fine)."""
+def normalize_plans(plans: DataFrame, default_user: str | None = None) -> DataFrame:
+    """Defaults applied; ``error`` names the first rule that a plan breaks (null when it is fine).
+
+    The default user is that of the database server's installation, so it is a parameter.
+    """
     kind = F.coalesce("cluster.cluster_type", F.lit("stretch"))
     replicated = (kind == "xcluster") | F.coalesce("cluster.xcluster_enabled", F.lit(False))
     lag_interval = F.coalesce("replication_metrics.interval_sec", F.lit(str(DEFAULT_LAG_INTERVAL_SEC)))
@@ -31,7 +36,7 @@ def normalize_plans(plans: DataFrame) -> DataFrame:
         lambda p: (F.size(F.coalesce(p["ramp"], F.array())) > 0)
         & ((F.coalesce(p["total_transactions"], F.lit(0)) > 0) | (F.coalesce(p["transactions_per_client"], F.lit(0)) > 0)),
     )
-    admin = F.coalesce("db.admin_dbname", F.lit("postgres"))
+    admin = F.coalesce("db.admin_dbname", F.lit(DEFAULT_DB["admin_dbname"]))
     placeholder = r"^\$\{.*\}$"
     return plans.withColumns(
         {
@@ -46,6 +51,19 @@ def normalize_plans(plans: DataFrame) -> DataFrame:
                 ).alias("replication_mode"),
                 replicated.alias("xcluster_enabled"),
             ),
+            "db": F.struct(
+                F.coalesce("db.host", F.lit(DEFAULT_DB["host"])).alias("host"),
+                F.coalesce("db.port", F.lit(DEFAULT_DB["port"])).alias("port"),
+                F.coalesce("db.user", F.lit(default_user)).alias("user"),
+                F.col("db.dbname").alias("dbname"),
+                admin.alias("admin_dbname"),
+            ),
+            "schema": F.struct(
+                F.coalesce("schema.create_db", F.lit(False)).alias("create_db"),
+                F.coalesce("schema.drop_db", F.lit(False)).alias("drop_db"),
+                F.col("schema.schema_sql_file").alias("schema_sql_file"),
+                F.col("schema.preload_sql_file").alias("preload_sql_file"),
+            ),
             "reports": F.struct(
                 F.coalesce("reports.csv", F.lit(True)).alias("csv"),
                 F.coalesce("reports.html", F.lit(True)).alias("html"),
@@ -95,6 +113,7 @@ def plan_steps(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
         .select(*keys, "phase_idx", "phase", "ramped", F.posexplode(F.coalesce(ramp, F.array(empty))).alias("step_idx", "s"))
     )
     s, ramped = F.col("s"), F.col("ramped")
+    name = F.coalesce(p["name"], F.lit(DEFAULT_PHASE))
     target = F.coalesce(s["target_tps"], p["target_tps"])
     total = F.when(ramped, s["total_transactions"]).otherwise(p["total_transactions"])
     per_client = F.when(ramped, s["transactions_per_client"]).otherwise(p["transactions_per_client"])
@@ -105,16 +124,16 @@ def plan_steps(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
     split = F.coalesce(F.when(per_client > 0, per_client), F.when(total > 0, split_transactions(total, dividers)))
     mode = step_mode(total, per_client, target)
     label = (
-        F.when(ramped, step_label(p["name"], F.col("step_idx") + 1, total, per_client, target, clients))
-        .when(split.isNotNull(), F.concat(p["name"], F.lit("_"), split.cast("string"), F.lit("tpc")))
-        .otherwise(p["name"])
+        F.when(ramped, step_label(name, F.col("step_idx") + 1, total, per_client, target, clients))
+        .when(split.isNotNull(), F.concat(name, F.lit("_"), split.cast("string"), F.lit("tpc")))
+        .otherwise(name)
     )
     fixed = split.isNotNull()
     return rows.select(
         *keys,
         "phase_idx",
         "step_idx",
-        p["name"].alias("phase"),
+        name.alias("phase"),
         label.alias("step"),
         mode.alias("mode"),
         F.when(ramped, s["duration_sec"]).when(~fixed, F.coalesce(p["duration_sec"], F.lit(60))).alias("duration_sec"),

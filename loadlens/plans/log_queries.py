@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadlens import functions as fn
@@ -229,76 +230,78 @@ def _(spark, sf):
     return t.txn(spark, sf).select("txn_no", fn.dr_risk(F.col("latency_us") / F.lit(50)).alias("dr_risk"))
 
 
-def _lag_documents(spark, sf):
-    folders = ["variant", "operation", "step"]
-    rows = t.lag_snapshot(spark, sf).withColumns(
-        {"operation": F.lit("error"), "timestamp": F.col("elapsed_sec") + F.lit(t.START), "elapsed_sec": F.col("elapsed_sec").cast("int")}
+def _lag_rows(spark, sf):
+    return t.lag_snapshot(spark, sf).selectExpr(
+        "variant", "'lag' as operation", "step", "5 as interval_sec", "seq", "cast(elapsed_sec as int) as elapsed_sec",
+        f"elapsed_sec + {t.START} as timestamp", "lag_ms",
     )
-    docs = reports.snapshot_documents(rows, folders, ["elapsed_sec", "timestamp", "lag_ms"], "seq", 5)
-    return sinks.write_snapshots(docs, scratch_path(spark, "lag"), folders, "replication_lag_over_time")
 
 
 @query(
     "scan_lag_snapshots",
-    """select variant as runset, 'error' as run, step, 5 as interval_sec, cast(elapsed_sec as integer) as elapsed_sec,
+    """select variant as runset, 'lag' as run, step, 5 as interval_sec, cast(elapsed_sec as integer) as elapsed_sec,
        elapsed_sec + 1704067200 as "timestamp", lag_ms from lag_snapshot""",
 )
 def _(spark, sf):
-    return sources.scan_lag_snapshots(spark, _lag_documents(spark, sf), "replication_lag_over_time*", one_per_file=False)
+    folders, path = ["variant", "operation", "step"], scratch_path(spark, "lag")
+    sinks.write_snapshots(_lag_rows(spark, sf), path, folders, "replication_lag_over_time", ["elapsed_sec", "seq"])
+    return sources.scan_lag_snapshots(spark, path, "replication_lag_over_time*", one_per_file=False)
 
 
-STAT_FIELDS = ["elapsed_sec", "mean_ms", "min_ms", "max_ms", "calls", "yb_p50_ms", "yb_p90_ms", "yb_p95_ms", "yb_p99_ms"]
-
-
-def _stat_documents(spark, sf):
-    folders = ["variant", "step"]
-    rows = t.stat_snapshot(spark, sf).withColumns(
-        {
-            "elapsed_sec": F.col("elapsed_sec").cast("int"), "min_ms": F.col("mean_ms") / 2, "max_ms": F.col("mean_ms") * 2,
-            "yb_p50_ms": F.col("mean_ms"), "yb_p90_ms": F.col("mean_ms"), "yb_p95_ms": F.col("mean_ms"),
-            "yb_p99_ms": F.when(F.col("seq") % 3 == 0, F.col("mean_ms")),
-        }
+def _stat_rows(spark, sf):
+    return t.stat_snapshot(spark, sf).selectExpr(
+        "variant", "step", "5 as interval_sec", "seq", "cast(elapsed_sec as int) as elapsed_sec", "mean_ms", "mean_ms / 2 as min_ms",
+        "mean_ms * 2 as max_ms", "calls", "mean_ms as yb_p50_ms", "mean_ms as yb_p90_ms", "mean_ms as yb_p95_ms",
+        "case when seq % 3 = 0 then mean_ms end as yb_p99_ms",
     )
-    return reports.snapshot_documents(rows, folders, STAT_FIELDS, "seq", 5)
 
 
 STAT_SQL = """cast(elapsed_sec as integer) as elapsed_sec, mean_ms, mean_ms / 2 as min_ms, mean_ms * 2 as max_ms, calls,
     mean_ms as yb_p50_ms, mean_ms as yb_p90_ms, mean_ms as yb_p95_ms, case when seq % 3 = 0 then mean_ms end as yb_p99_ms"""
 
 
+def _stored_snapshots(spark, sf):
+    order = ["elapsed_sec", "seq"]
+    return sinks.write_snapshots(_stat_rows(spark, sf), scratch_path(spark, "stat"), ["variant", "step"], "pg_stat_statements_over_time", order)
+
+
 @query("scan_stat_snapshots", f"select variant as run, step, 5 as interval_sec, {STAT_SQL} from stat_snapshot")
 def _(spark, sf):
-    docs = _stat_documents(spark, sf)
-    path = sinks.write_snapshots(docs, scratch_path(spark, "stat"), ["variant", "step"], "pg_stat_statements_over_time")
+    path = _stored_snapshots(spark, sf)
     return sources.scan_stat_snapshots(spark, path, "pg_stat_statements_over_time*", one_per_file=False).drop("runset")
 
 
-@query("snapshots_explode", f"select variant, step, 5 as interval_sec, {STAT_SQL} from stat_snapshot")
+@query(
+    "snapshots_explode",
+    """select txn_no, 5 as interval_sec, cast(epoch_us + n * 5 as integer) as elapsed_sec, cast(latency_us as double) / n as mean_ms,
+       client_id * n as calls from txn, (select unnest([1, 2, 3]) as n) where n <= txn_no % 4""",
+)
 def _(spark, sf):
-    return sources.explode_snapshots(_stat_documents(spark, sf).drop("part"))
+    # A document per transaction, of none to three snapshots.
+    docs = t.txn(spark, sf).selectExpr(
+        "txn_no", "5 as interval_sec",
+        """transform(slice(array(1, 2, 3), 1, cast(txn_no % 4 as int)), n -> struct(cast(epoch_us + n * 5 as int) as elapsed_sec,
+        cast(latency_us as double) / n as mean_ms, client_id * n as calls)) as snapshots""",
+    )
+    return sources.explode_snapshots(docs)
 
 
 @query(
     "sink_snapshots_json",
     """select variant, step, 5 as interval_sec, count(*) as snapshots, sum(calls)::bigint as calls,
-       min(elapsed_sec)::integer as first_sec, max(elapsed_sec)::integer as last_sec, count(*) filter (where seq % 3 = 0) as with_p99
-       from stat_snapshot group by variant, step""",
+       min(elapsed_sec)::integer as first_sec, max(elapsed_sec)::integer as last_sec, count(*) filter (where seq % 3 = 0) as with_p99,
+       0::bigint as out_of_order from stat_snapshot group by variant, step""",
 )
 def _(spark, sf):
-    path = sinks.write_snapshots(
-        _stat_documents(spark, sf), scratch_path(spark, "stat"), ["variant", "step"], "pg_stat_statements_over_time"
-    )
-    docs = spark.read.json(path, schema="interval_sec int, " + sources.schemas.STAT_SNAPSHOTS.split(",", 1)[1] + ", variant string, step string")
-    sizes = docs.select(
-        "variant", "step", "interval_sec", F.size("snapshots").cast("bigint").alias("n"),
-        F.aggregate("snapshots", F.lit(0).cast("bigint"), lambda a, s: a + s["calls"]).alias("calls"),
-        F.element_at("snapshots", 1)["elapsed_sec"].alias("first_sec"),
-        F.element_at("snapshots", -1)["elapsed_sec"].alias("last_sec"),
-        F.size(F.filter("snapshots", lambda s: s["yb_p99_ms"].isNotNull())).alias("with_p99"),
+    # Files of a folder are numbered in order, and so are the lines of a file.
+    fields = "interval_sec int, seq bigint, " + sources.schemas.STAT_FIELDS + ", variant string, step string"
+    lines = spark.read.json(_stored_snapshots(spark, sf), schema=fields).withColumns(
+        {"file": F.col("_metadata.file_name"), "place": F.col("_metadata.file_block_start") * 0 + F.monotonically_increasing_id()}
     )
-    return sizes.groupBy("variant", "step", "interval_sec").agg(
-        F.sum("n").alias("snapshots"), F.sum("calls").alias("calls"), F.min("first_sec").alias("first_sec"),
-        F.max("last_sec").alias("last_sec"), F.sum("with_p99").alias("with_p99"),
+    before = F.lag(F.struct("elapsed_sec", "seq")).over(Window.partitionBy("variant", "step", "file").orderBy("place"))
+    return lines.withColumn("late", before > F.struct("elapsed_sec", "seq")).groupBy("variant", "step", "interval_sec").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.sum("calls").alias("calls"), F.min("elapsed_sec").alias("first_sec"),
+        F.max("elapsed_sec").alias("last_sec"), F.count("yb_p99_ms").alias("with_p99"), F.count_if("late").alias("out_of_order"),
     )
 
 
@@ -367,11 +370,16 @@ def _(spark, sf):
     return statements.statement_summary(t.statements(spark, sf))
 
 
-@query("statement_fallback", f"select {SUMMARY_SQL} from statements where query not like '%pg_stat_statements%' and query like 'SHOW%'")
+@query(
+    "statement_fallback",
+    f"""with k as (select *, queryid % 997 as grp from statements where query not like '%pg_stat_statements%'),
+        w as (select distinct grp from k where queryid in (select queryid from workload))
+        select grp, {SUMMARY_SQL} from k where queryid in (select queryid from workload) or grp not in (select grp from w) group by grp""",
+)
 def _(spark, sf):
-    # No workload statement is left, so with the option on all other statements count.
-    idle = t.statements(spark, sf).where(~F.col("query").rlike("(?i)t[345] |t[345]$"))
-    return statements.statement_summary_or_all(idle, when_empty=True)
+    # Small groups, so that some have no workload statement: there all other statements count.
+    rows = t.statements(spark, sf).withColumn("grp", F.col("queryid") % 997)
+    return statements.statement_summary_or_all(rows, when_empty=True, keys=["grp"])
 
 
 @query(
@@ -456,7 +464,7 @@ DELTA_SQL = """with seen as (select *, coalesce(lag(calls) over w, 0) as pc, coa
 @query("snapshot_delta", DELTA_SQL)
 def _(spark, sf):
     return statements.snapshot_delta(
-        t.stat_snapshot(spark, sf), ["variant", "step"], ["elapsed_sec", "seq"], F.floor(F.col("elapsed_sec") / F.lit(60))
+        t.stat_snapshot(spark, sf), ["variant", "step"], ["elapsed_sec", "seq"]
     )
 
 
@@ -480,27 +488,24 @@ def _(spark, sf):
 
 @query(
     "step_x_lag_summary",
-    f"""select s.variant, s.step, x.min_lag_ms, x.avg_lag_ms, x.p95_lag_ms, x.max_lag_ms, x.samples
-        from (select distinct variant, step from txn) s left join
+    f"""select s.variant, s.step, x.min_lag_ms, x.avg_lag_ms, x.p95_lag_ms, x.max_lag_ms, x.samples from planned_step s left join
         (select variant, step, {LAG_SQL} from lag_snapshot where lag_ms is not null group by all) x using (variant, step)""",
 )
 def _(spark, sf):
-    steps = t.txn(spark, sf).select("variant", "step").distinct()
-    return reports.join_step_results(steps, lag.lag_summary(t.lag_snapshot(spark, sf), ["variant", "step"]), ["variant", "step"])
+    stats = lag.lag_summary(t.lag_snapshot(spark, sf), ["variant", "step"])
+    return reports.join_step_results(t.steps(spark, sf), stats, ["variant", "step"])
 
 
 @query(
     "step_x_latency",
-    f"""select s.variant, s.step, s.tps, coalesce(x.latency_samples, 0) as latency_samples, {', '.join('x.' + c for c in PCT)}
-        from (select variant, step, cast(count(*) as double) as tps from txn group by all) s left join
-        (select variant, step, count(*) as latency_samples, {PCT_SQL} from parsed where latency_us > 200000 group by all) x using (variant, step)""",
+    f"""select s.variant, s.step, coalesce(x.latency_samples, 0) as latency_samples, {', '.join('x.' + c for c in PCT)}
+        from planned_step s left join
+        (select variant, step, count(*) as latency_samples, {PCT_SQL} from parsed group by all) x using (variant, step)""",
 )
 def _(spark, sf):
-    # Only slow samples, so that some steps have none.
-    steps = t.txn(spark, sf).groupBy("variant", "step").agg(F.count(F.lit(1)).cast("double").alias("tps"))
-    slow = latency.parse_txn_lines(t.txn_line(spark, sf)).where("latency_us > 200000")
-    found = latency.latency_percentiles_of(steps, slow, ["variant", "step"])
-    return rounded(reports.join_step_results(steps, found, ["variant", "step"]), *PCT)
+    # Planned steps come from one table, the log from another: idle steps have no samples.
+    txn = latency.parse_txn_lines(t.txn_line(spark, sf))
+    return rounded(latency.latency_percentiles_of(t.steps(spark, sf), txn, ["variant", "step"]), *PCT)
 
 
 @query(
@@ -518,19 +523,24 @@ PER_OPERATION_SQL = f"""select {{keys}}, count(*) as transactions, cast(count(*)
     {', '.join(_q(s, n) for n, s in list(latency.STEP_SHARES.items())[1:])} from txn group by all"""
 
 
-@query("per_operation", PER_OPERATION_SQL.format(keys="operation"))
+UNNAMED = "case when client_id % 50 > 0 then operation end"
+
+
+@query("per_operation", PER_OPERATION_SQL.format(keys=f"{UNNAMED} as operation"))
 def _(spark, sf):
-    return rounded(comparisons.per_operation(t.txn(spark, sf)), *PCT[1:])
+    # Some transactions have no operation; they are a group of their own.
+    txn = t.txn(spark, sf).withColumn("operation", F.expr(UNNAMED))
+    return rounded(comparisons.per_operation(txn), *PCT[1:])
 
 
 @query(
     "per_operation_wide",
     f"""select variant, {', '.join(f"max(tps) filter (where operation = '{o}') as {o}_tps, max(latency_p95_ms) filter (where operation = '{o}') as {o}_p95_ms"
-        for o in ('click', 'view'))} from ({PER_OPERATION_SQL.format(keys='variant, operation')}) group by variant""",
+        for o in t.STEP_NAMES[:5])} from ({PER_OPERATION_SQL.format(keys='variant, operation')}) group by variant""",
 )
 def _(spark, sf):
     rows = rounded(comparisons.per_operation(t.txn(spark, sf), ["variant", "operation"]), *PCT[1:])
-    return comparisons.per_operation_wide(rows, "variant", ["click", "view"])
+    return comparisons.per_operation_wide(rows, "variant", t.STEP_NAMES[:5])
 
 
 @query(

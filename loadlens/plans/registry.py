@@ -49,12 +49,26 @@ VIEWS = {
     "lag_snapshot": """
         select variant, step, epoch_sec - 1704067200 as elapsed_sec, txn_no as seq,
           case when txn_no % 7 = 0 then null else cast(latency_us as double) / 1000 end as lag_ms
-        from txn where operation = 'error'""",
+        from txn""",
     "stat_snapshot": """
         select variant, step, epoch_sec - 1704067200 as elapsed_sec, txn_no as seq,
           cast(greatest(0, txn_no * 3 + client_id % 5 - case when txn_no % 50 = 0 then 1000 else 0 end) as bigint) as calls,
           cast(latency_us as double) / 1000 as mean_ms
         from txn""",
+    "planned_step": """
+        select distinct case c_custkey % 4 when 0 then 'plain' when 1 then 'index' when 2 then 'fk' else 'index_fk' end as variant,
+          concat(['click', 'error', 'purchase', 'signup', 'view', 'idle'][c_custkey // 4 % 6 + 1], '_step', c_custkey // 24 % 3 + 1) as step
+        from customer""",
+    "nested": """
+        select concat('set_', k % 50) as runset, concat('run-', k) as run, phase, step, type, exit_code, tps, latency_p95_ms, pg_stat_calls,
+          replication_max_lag_ms, server_metrics
+        from (
+          select k, 'select' as phase, concat('select_step', n) as step, 'pgbench' as type, 0 as exit_code, cast(c * n as double) as tps,
+            cast(c as double) / 8 + n as latency_p95_ms, case when k % 3 = n then k end as pg_stat_calls,
+            case when k % 2 = n - 1 then cast(k as double) end as replication_max_lag_ms, concat('/r/', k, '/', n, '.txt') as server_metrics
+          from (select o_orderkey as k, o_custkey as c, unnest([1, 2]) as n from orders)
+          union all select o_orderkey, 'api', '', 'http', 0, null, null, null, null, '' from orders where o_orderkey % 5 = 0
+          union all select o_orderkey, 'other', '', 'custom', null, null, null, null, null, '' from orders where o_orderkey % 7 = 0)""",
     "statements": """
         select o_orderkey as queryid, concat('run-', o_orderkey) as run, cast(o_orderkey % 3 as integer) as phase_idx,
           cast(o_orderkey % 7 as integer) as step_idx, o_custkey % 20 as server,
@@ -104,6 +118,8 @@ VIEWS = {
           case when pk % 4 = 0 then pk * 10 + 50 end as total_transactions,
           case when sk % 11 = 0 then null else hi end as tps, case when sk % 11 = 0 then null else lo end as tps_excluding,
           case when step_idx = 5 then null else cast(pk as double) / 8 end as latency_avg_ms,
+          case sk % 4 when 0 then cast(pk as double) / 100000000 when 1 then cast(pk as double) * 10000000000000
+            when 2 then cast(pk as double) * 1000000 end as latency_stddev_ms,
           case when step_idx % 3 = 2 then null else cast(sk as double) / 4 end as server_ms,
           pk * 3 as latency_samples, cast(pk as double) / 8 as latency_p50_ms, cast(pk + 8 as double) / 8 as latency_p90_ms,
           cast(pk + 16 as double) / 8 as latency_p95_ms, cast(pk + 32 as double) / 8 as latency_p99_ms,
@@ -112,10 +128,10 @@ VIEWS = {
     "flat": """
         select runset, run, phase, phase as operation, step, 'pgbench' as type, 0 as exit_code, duration_sec, target_tps,
           cast(null as bigint) as transactions_per_client, total_transactions, clients, jobs, tps, tps_excluding,
-          latency_avg_ms, cast(null as double) as latency_stddev_ms, latency_p50_ms, latency_p90_ms, latency_p95_ms, latency_p99_ms,
+          latency_avg_ms, latency_stddev_ms, latency_p50_ms, latency_p90_ms, latency_p95_ms, latency_p99_ms,
           latency_samples, concat('/r/', step, '/latency_histogram.csv') as latency_histogram_csv,
           case when step_idx = 6 then '' else concat('/r/', step, '/pgbench_log.1;/r/', step, '/pgbench_log.2') end as pgbench_log_files,
-          concat('/r/', step, '/before.txt') as server_metrics, concat('/r/<', step, '>/pgbench.log') as log,
+          concat('/r/', step, '/before.txt') as server_metrics, concat('/r/<"', step, '", 1>/pgbench.log') as log,
           server_ms as pg_stat_mean_ms, server_ms / 2 as pg_stat_min_ms, server_ms * 2 as pg_stat_max_ms,
           case when server_ms is not null then sk end as pg_stat_calls, latency_avg_ms - server_ms as overhead_ms,
           server_ms as yb_p50_ms, server_ms as yb_p90_ms, server_ms as yb_p95_ms, cast(null as double) as yb_p99_ms,
@@ -131,7 +147,8 @@ VIEWS = {
           'custom' as type, '' as pgbench_log_files, '' as server_metrics
         from orders where o_orderkey % 7 = 0""",
     "plan_row": """
-        select concat('run-', k) as run, dense_rank() over (partition by k order by phase_idx) - 1 as phase_idx, case phase_idx when 0 then 'select' when 1 then 'insert' else 'update' end as phase,
+        select concat('run-', k) as run, dense_rank() over (partition by k order by phase_idx) - 1 as phase_idx,
+          case when k % 11 = 0 then 'pgbench' when phase_idx = 0 then 'select' when phase_idx = 1 then 'insert' else 'update' end as phase,
           (k + phase_idx) % 4 as kind, row_number() over (partition by k, phase_idx order by step_idx) - 1 as pos, pk, sk,
           case when sk % 3 = 0 then null else cast(qty as integer) end as step_clients,
           case when k % 6 = 0 then null else cast(k % 16 + 1 as integer) end as phase_clients,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loadlens import functions as fn
-from loadlens.operators import reports
+from loadlens.operators import latency, reports
 from loadlens.plans import comparisons, loadplan
 from loadlens.plans import driver_tables as t
 from loadlens.plans.registry import query
@@ -21,17 +21,11 @@ READ_BACK = ", ".join(f"nullif({c}, '') as {c}" if c in TEXT_COLUMNS else c for
 
 
 def _flat(spark, sf):
-    return reports.flatten_report(t.summaries(spark, sf))
+    return reports.flatten_records(t.records(spark, sf))
 
 
-def _stored_summaries(spark, sf):
-    return sinks.write_summaries(t.summaries(spark, sf), scratch_path(spark, "summaries"))
-
-
-def _named(documents):
-    """Run set and run from the documents' own run directory."""
-    parts = F.split("run_dir", "/")
-    return documents.withColumns({"runset": F.get(parts, F.lit(2)), "run": F.get(parts, F.lit(3))})
+def _stored_records(spark, sf):
+    return sinks.write_summaries(t.records(spark, sf), scratch_path(spark, "summaries"))
 
 
 @query("flatten_report", f"select runset, run, {FLAT} from flat")
@@ -39,29 +33,33 @@ def _(spark, sf):
     return _flat(spark, sf).drop("phase_idx", "step_idx")
 
 
-@query("scan_summary", "select runset, run, phase, step, type, exit_code, tps, latency_p95_ms, pg_stat_calls, replication_max_lag_ms, server_metrics from flat")
+@query("flatten_nested", "select runset, run, phase, step, type, exit_code, tps, latency_p95_ms, pg_stat_calls, replication_max_lag_ms, server_metrics from nested")
 def _(spark, sf):
-    docs = sources.scan_summary(spark, _stored_summaries(spark, sf), "summary*", one_per_file=False)
-    return reports.flatten_report(_named(docs)).select(
-        "runset", "run", "phase", "step", "type", "exit_code", "tps", "latency_p95_ms", "pg_stat_calls",
-        "replication_max_lag_ms", "server_metrics",
-    )
+    return reports.flatten_report(t.summaries(spark, sf)).select(*NESTED)
+
+
+NESTED = ["runset", "run", "phase", "step", "type", "exit_code", "tps", "latency_p95_ms", "pg_stat_calls", "replication_max_lag_ms", "server_metrics"]
+
+
+@query("scan_summary", f"select {', '.join(NESTED)} from nested")
+def _(spark, sf):
+    path = scratch_path(spark, "documents")
+    t.summaries(spark, sf).drop("runset", "run").write.option("mapreduce.output.basename", "summary").json(path, ignoreNullFields=False)
+    docs = sources.scan_summary(spark, path, "summary*", one_per_file=False)
+    return reports.flatten_report(docs).select(*NESTED)
 
 
 @query(
     "sink_summary_json",
-    """select runset, run, concat('label of ', run) as run_label, count(distinct phase) as phases,
-       count(*) filter (where type = 'pgbench') as steps, count(*) filter (where type = 'http') as http_phases from flat group by all""",
+    """select f.runset, f.run, concat('label of ', f.run) as run_label, count(distinct phase) as phases,
+       count(*) filter (where type = 'pgbench') as steps, count(*) filter (where type = 'http') as http_phases, cast(printf('%.2f', any_value(p.phase_tps)) as double) as phase_tps
+       from flat f join (select run, sum(tps) as phase_tps from
+         (select run, phase_idx, last(tps order by step_idx) as tps from step_row group by all) group by run) p on p.run = f.run
+       group by f.runset, f.run""",
 )
 def _(spark, sf):
-    docs = _named(sources.scan_summary(spark, _stored_summaries(spark, sf), "summary*", one_per_file=False))
-    return docs.select(
-        "runset", "run", "run_label", F.size("phases").cast("bigint").alias("phases"),
-        F.aggregate(
-            "phases", F.lit(0).cast("bigint"), lambda a, p: a + F.coalesce(F.array_size(p["steps"]), F.lit(0))
-        ).alias("steps"),
-        F.size(F.filter("phases", lambda p: p["type"] == "http")).cast("bigint").alias("http_phases"),
-    )
+    listing = reports.run_listing(sources.scan_summary_records(spark, _stored_records(spark, sf)))
+    return listing.withColumn("phase_tps", fn.round_half_even(F.col("phase_tps"), 2))
 
 
 def _stored_report(spark, sf):
@@ -77,7 +75,7 @@ def _(spark, sf):
 @query("sink_report_csv", "select runset, " + ", ".join(f"cast(nullif(cast({c} as varchar), '') as varchar) as {c}" for c in REPORT_COLUMNS) + " from flat")
 def _(spark, sf):
     # Read back as text: number formats in the file are part of the result.
-    return spark.read.csv(_stored_report(spark, sf), header=True)
+    return spark.read.csv(_stored_report(spark, sf), **sources.CSV)
 
 
 def _cell(name: str) -> str:
@@ -319,18 +317,37 @@ def _(spark, sf):
        case when k % 4 = 0 then 'active-active' when k % 3 = 1 then 'active-passive' else 'none' end as replication_mode,
        k % 3 = 1 as xcluster_enabled, k % 2 = 0 as pg_stat_statements, case when k % 5 = 0 then 5 else 0 end as poll_sec,
        case when k % 3 <> 1 then 0 when k % 2 = 0 then 10 else 5 end as lag_sec, true as csv,
+       case when k % 3 = 0 then 'db.local' else '127.0.0.1' end as host, case when k % 17 = 0 then 'port' when k % 4 > 0 then '5444' else '5433' end as port,
+       'tester' as "user", 'postgres' as admin_dbname, k % 2 = 0 as create_db, false as drop_db,
        case when k % 13 = 0 then 'invalid dbname' when k % 17 = 0 then 'db.port must be an integer' end as error
        from (select distinct k from line_step)""",
 )
 def _(spark, sf):
-    return loadplan.normalize_plans(t.plans(spark, sf)).select(
+    return loadplan.normalize_plans(t.plans(spark, sf), default_user="tester").select(
         F.col("run_label").alias("run"), "cluster.cluster_type", "cluster.replication_mode", "cluster.xcluster_enabled",
         "server_metrics.pg_stat_statements",
         F.col("server_metrics.pg_stat_statements_interval_sec").alias("poll_sec"),
-        F.col("replication_metrics.interval_sec").alias("lag_sec"), "reports.csv", "error",
+        F.col("replication_metrics.interval_sec").alias("lag_sec"), "reports.csv",
+        "db.host", "db.port", "db.user", "db.admin_dbname", "schema.create_db", "schema.drop_db", "error",
     )
 
 
+@query(
+    "script_weights",
+    """select run, cast(phase_idx as integer) as phase_idx, phase, script_no, script, weight, cast(weight as double) / total as share from
+       (select run, phase_idx, phase, k % 2 = 0 as mixed, max(pk) + 1 as top from
+          (select *, cast(substr(run, 5) as bigint) as k from plan_row) group by all) p,
+       lateral (select unnest(case when mixed then [0, 1] else [0] end)::integer as script_no) n,
+       lateral (select case when not mixed then concat('scripts/', (case q.phase_idx when 0 then 'select' when 1 then 'insert' else 'update' end), '.sql')
+          when script_no = 0 then 'a.sql' else 'b.sql' end as script, case when mixed and script_no = 0 then top else 1 end::integer as weight,
+          case when mixed then top + 1 else 1 end as total
+          from (select distinct k as k2, phase_idx, dense_rank() over (partition by k order by phase_idx) - 1 as pos from line_step) q
+          where q.pos = p.phase_idx and concat('run-', q.k2) = p.run) w""",
+)
+def _(spark, sf):
+    return latency.script_weights(t.plans(spark, sf).withColumnRenamed("run_label", "run"), ["run"])
+
+
 # -- comparison views over the flat report ----------------------------------------------------
 
 @query(
@@ -343,9 +360,9 @@ def _(spark, sf):
     return comparisons.summary_comparison(_flat(spark, sf), labels)
 
 
-@query("connection_count", "select runset, run, step, clients from flat where type = 'pgbench'")
+@query("connection_count", "select runset, run, step, clients from flat")
 def _(spark, sf):
-    return comparisons.connection_count(_flat(spark, sf).where("type = 'pgbench'"))
+    return comparisons.connection_count(_flat(spark, sf))
 
 
 @query("latency_breakdown", "select runset, run, step, latency_avg_ms as client_ms, pg_stat_mean_ms as server_ms, overhead_ms from flat")

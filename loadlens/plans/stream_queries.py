@@ -11,7 +11,7 @@ from loadlens.plans.registry import query
 from loadlens.session import scratch_path
 from loadlens.sinks import files as sinks
 from loadlens.streaming import operators as live
-from loadlens.streaming.store import append_batches, drain
+from loadlens.streaming.store import append_batches, drain, merge_batches, read_store
 
 
 def _paths(spark, name):
@@ -26,34 +26,40 @@ def _paths(spark, name):
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-histogram")
     drain(live.start_latency_counts(t.txn_stream(spark, sf), ["variant"], path, checkpoint))
+    merge_batches(spark, path, live.add_up(["variant", "epoch_sec", "latency_us"]))
     rows = live.latency_histogram_so_far(spark, path, ["variant"])
     return rows.withColumns({c: round_half_even(F.col(c), 6) for c in ("avg_ms", "p50_ms", "p95_ms", "p99_ms")})
 
 
-@query("stream_closed_seconds")
+@query(
+    "stream_closed_seconds",
+    """select epoch_sec, count(*) as count, cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as avg_ms from txn
+       where epoch_sec + 1 <= (select max(epoch_sec) from txn) - 10 group by epoch_sec""",
+)
 def _(spark, sf):
-    # The last seconds are still open when the input ends, so a whole-table SQL has more rows.
+    # The last seconds are still open when the input ends: a second closes ten seconds after its end.
     path, checkpoint = _paths(spark, "stream-seconds")
-    timed = t.txn_stream(spark, sf).withColumn("at", F.timestamp_seconds("epoch_sec"))
+    timed = t.txn_stream(spark, sf, in_order=True).withColumn("at", F.timestamp_seconds("epoch_sec"))
     drain(
         live.closed_second_counts(timed, "at").writeStream.outputMode("append").format("parquet")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
     )
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("avg_ms", round_half_even(F.col("avg_ms"), 6))
 
 
 @query("stream_decimate", "select variant, step, elapsed_sec, seq, lag_ms from lag_snapshot where seq % 4 = 0")
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-decimate")
-    polls = live.decimate(t.txn_stream(spark, sf).where("operation = 'error'").selectExpr(*t.LAG_COLUMNS), "seq", 20, 5)
+    polls = live.decimate(t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS), "seq", 20, 5)
     drain(append_batches(polls, path, checkpoint))
-    return spark.read.parquet(path).drop("batch_id")
+    merge_batches(spark, path)
+    return read_store(spark, path).drop("batch_id")
 
 
 @query("stream_lag_summary", f"select variant, step, {LAG_SQL} from lag_snapshot where lag_ms is not null group by all")
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-lag")
-    lag = t.txn_stream(spark, sf).where("operation = 'error'").selectExpr(*t.LAG_COLUMNS)
+    lag = t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS)
     drain(live.start_lag_counts(lag, ["variant", "step"], path, checkpoint))
     return live.lag_summary_so_far(spark, path, ["variant", "step"])
 
@@ -64,22 +70,19 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-alert")
-    lag = t.txn_stream(spark, sf).where("operation = 'error'").selectExpr(*t.LAG_COLUMNS)
+    lag = t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS)
     drain(append_batches(live.lag_alerts(lag), path, checkpoint))
-    return spark.read.parquet(path).select("variant", "step", "seq", "lag_ms", "dr_risk")
+    return read_store(spark, path).select("variant", "step", "seq", "lag_ms", "dr_risk")
 
 
 @query("stream_snapshot_delta", DELTA_SQL)
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-delta")
-    snapshots = t.txn_stream(spark, sf).selectExpr(*t.STAT_COLUMNS)
-    drain(
-        live.start_snapshot_deltas(
-            snapshots, ["variant", "step"], ["elapsed_sec", "seq"], path, scratch_path(spark, "stream-last"), checkpoint,
-            F.floor(F.col("elapsed_sec") / F.lit(60)),
-        )
-    )
-    return spark.read.parquet(path).drop("batch_id")
+    # The files come out of order, so some snapshots follow a batch after those that come later in time.
+    keys, order = ["variant", "step"], ["elapsed_sec", "seq"]
+    drain(live.start_snapshots(t.txn_stream(spark, sf).selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
+    merge_batches(spark, path)
+    return live.snapshot_deltas_so_far(spark, path, keys, order)
 
 
 @query(
@@ -91,13 +94,14 @@ def _(spark, sf):
     keys, order = ["variant", "step"], ["elapsed_sec", "seq"]
     path, checkpoint = _paths(spark, "stream-final")
     drain(live.start_last_snapshots(t.txn_stream(spark, sf).selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
+    merge_batches(spark, path, live.keep_last(keys, order))
     return live.final_snapshots(spark, path, keys, order)
 
 
-@query("stream_txn_ingest", f"select {', '.join(PARSED[3:])} from parsed")
+@query("stream_txn_ingest", f"select variant as runset, operation as run, step, {', '.join(PARSED[3:])} from parsed")
 def _(spark, sf):
     logs = scratch_path(spark, "txn-log")
     sinks.write_txn_log(t.txn_line(spark, sf).withColumnsRenamed({"variant": "runset", "operation": "run"}), logs)
     path, checkpoint = _paths(spark, "stream-ingest")
-    drain(append_batches(live.txn_log_stream(spark, logs), path, checkpoint))
-    return spark.read.parquet(path).drop("batch_id")
+    drain(append_batches(live.txn_log_stream(spark, logs, files_per_batch=20), path, checkpoint))
+    return read_store(spark, path).drop("batch_id")

@@ -1,7 +1,8 @@
 """Writers for the report, histogram, summary and snapshot files.
 
-Rows are range-partitioned on the folder columns plus their order inside a file, so a folder
-with very many rows becomes several files in order instead of one huge task.
+Rows are range-partitioned on the folder columns plus their order inside a file (or a hash where
+they have none), so a folder with very many rows becomes several files instead of one huge task, and
+small folders share a task instead of getting a file from each.
 """
 
 from __future__ import annotations
@@ -21,6 +22,14 @@ def _ordered(df: DataFrame, folders: Sequence[str], order: Sequence[str]) -> Dat
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
+def _spread(df: DataFrame, folders: Sequence[str], *columns: str) -> DataFrame:
+    return df.repartitionByRange(*folders, F.xxhash64(*columns)).sortWithinPartitions(*folders)
+
+
+#: Quotes are doubled, as the file format does it.
+CSV = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"'}
+
+
 def _writer(df: DataFrame, folders: Sequence[str], name: str):
     return df.write.option("mapreduce.output.basename", name).partitionBy(*folders)
 
@@ -29,7 +38,7 @@ def write_report_csv(flat: DataFrame, path: str, folders: Sequence[str] = ("runs
     """``report-*.csv`` per folder: header, 37 columns in fixed order, null as an empty cell."""
     order = [c for c in ("run", "phase_idx", "step_idx") if c not in folders and c in flat.columns]
     rows = report_text(_ordered(flat, folders, order)).select(*folders, *REPORT_COLUMNS)
-    _writer(rows, folders, "report").csv(path, header=True, nullValue="", emptyValue="")
+    _writer(rows, folders, "report").csv(path, **CSV)
     return path
 
 
@@ -43,29 +52,31 @@ def write_report_html(flat: DataFrame, path: str, folders: Sequence[str] = ("run
 def write_latency_histogram(histogram: DataFrame, path: str, folders: Sequence[str]) -> str:
     """``latency_histogram-*.csv`` per folder: ascending seconds, three decimals."""
     rows = formatted_histogram(_ordered(histogram, folders, ["epoch_sec"]), folders)
-    _writer(rows, folders, "latency_histogram").csv(path, header=True, nullValue="", emptyValue="")
+    _writer(rows, folders, "latency_histogram").csv(path, **CSV)
     return path
 
 
-def write_summaries(documents: DataFrame, path: str, folders: Sequence[str] = ("runset",)) -> str:
-    """Run documents as JSON, one per line, below their run set."""
-    _writer(documents, folders, "summary").json(path, ignoreNullFields=False)
+def write_summaries(records: DataFrame, path: str, folders: Sequence[str] = ("runset",)) -> str:
+    """Step records as JSON lines below their run set, in the order of run, phase and step."""
+    order = [c for c in ("run", "phase_idx", "step_idx") if c not in folders]
+    _writer(_ordered(records, folders, order), folders, "summary").json(path, ignoreNullFields=False)
     return path
 
 
-def write_snapshots(documents: DataFrame, path: str, folders: Sequence[str], name: str) -> str:
-    _writer(documents.drop("part"), folders, name).json(path, ignoreNullFields=False)
+def write_snapshots(snapshots: DataFrame, path: str, folders: Sequence[str], name: str, order: Sequence[str]) -> str:
+    """One JSON line per snapshot, in ``order`` within its folder."""
+    _writer(_ordered(snapshots, folders, order), folders, name).json(path, ignoreNullFields=False)
     return path
 
 
 def write_txn_log(lines: DataFrame, path: str, folders: Sequence[str] = ("runset", "run", "step")) -> str:
     """Transaction logs in the folder layout that the readers expect (to bring logs into a lake)."""
-    _writer(lines.select(*folders, "line"), folders, "pgbench_log").text(path)
+    _writer(_spread(lines.select(*folders, "line"), folders, "line"), folders, "pgbench_log").text(path)
     return path
 
 
 def write_step_stdout(texts: DataFrame, path: str, folders: Sequence[str] = ("runset", "run", "step")) -> str:
-    _writer(texts.select(*folders, "text"), folders, "pgbench.log").text(path)
+    _writer(_spread(texts.select(*folders, "text"), folders, "text"), folders, "pgbench.log").text(path)
     return path
 
 
@@ -73,5 +84,6 @@ def write_metrics_text(
     lines: DataFrame, path: str, capture: str, node: str = "node", folders: Sequence[str] = ("runset", "run", "step")
 ) -> str:
     """Captured metrics text, ``<capture>_metrics-*.txt``, one folder per node position below its step."""
-    _writer(lines.select(*folders, node, "line"), [*folders, node], f"{capture}_metrics").text(path)
+    levels = [*folders, node]
+    _writer(_spread(lines.select(*levels, "line"), levels, "line"), levels, f"{capture}_metrics").text(path)
     return path

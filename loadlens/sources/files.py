@@ -29,20 +29,31 @@ def step_levels(path: Column | None = None) -> list[Column]:
     return [_level(above, path).alias(name) for above, name in ((3, "runset"), (2, "run"), (1, "step"))]
 
 
-def scan_txn_lines(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
+def is_partitioned(spark: SparkSession, root: str) -> bool:
+    """Whether the folders right below ``root`` are named ``key=value`` (one listing of one level)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    try:
+        below = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    except Exception:  # a pattern, or not there: the reader says so itself
+        return False
+    return any(f.isDirectory() and "=" in f.getPath().getName() for f in below)
+
+
+def scan_txn_lines(spark: SparkSession, root: str, partitioned: bool | None = None) -> DataFrame:
     """Raw lines of all transaction logs (not the step output, whose name only resembles them).
 
-    ``partitioned`` is for a lake of ``runset=/run=/step=`` folders: the names are partition
-    columns then, so a filter on a run or step skips the other folders and no path is taken
-    apart row by row.
+    In a lake of ``runset=/run=/step=`` folders (found by itself) the names are partition columns,
+    so a filter on a run or step skips the other folders and no path is taken apart row by row.
     """
+    if partitioned is None:
+        partitioned = is_partitioned(spark, root)
     if not partitioned:
         return _reader(spark, "pgbench_log*").text(root).select(*step_levels(), F.col("value").alias("line"))
     lake = spark.read.option("pathGlobFilter", "pgbench_log*").schema("value string, runset string, run string, step string")
     return lake.text(root).select("runset", "run", "step", F.col("value").alias("line"))
 
 
-def scan_txn_log(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
+def scan_txn_log(spark: SparkSession, root: str, partitioned: bool | None = None) -> DataFrame:
     return parse_txn_lines(scan_txn_lines(spark, root, partitioned))
 
 
@@ -64,16 +75,34 @@ def _documents(
 
 
 def scan_summary(spark: SparkSession, root: str, files: str = "summary.json", one_per_file: bool = True) -> DataFrame:
-    """Run summaries: (runset, run, <summary fields>). With ``one_per_file=False`` one document per line."""
-    levels = [_level(2).alias("runset"), _level(1).alias("run")] if one_per_file else []
-    return _documents(spark, root, files, schemas.SUMMARY, levels, one_per_file).select(
-        *[c for c in ("runset", "run") if levels], "doc.*"
-    )
+    """Nested run summaries: (runset, run, <summary fields>). With ``one_per_file=False`` one document per line.
+
+    Run set and run are the folders of the file; where one file holds many runs, those of the run's own directory.
+    """
+    levels = [_level(2).alias("runset"), _level(1).alias("run")]
+    if not one_per_file:
+        levels = []
+    docs = _documents(spark, root, files, schemas.SUMMARY, levels, one_per_file).select(*levels and ["runset", "run"], "doc.*")
+    if one_per_file:
+        return docs
+    parts = F.split(F.rtrim(F.col("run_dir"), F.lit("/")), "/")
+    own = [F.try_element_at(parts, F.lit(-back)).alias(name) for back, name in ((2, "runset"), (1, "run"))]
+    return docs.select(*own, *docs.columns)
 
 
-def _snapshots(spark, root, files, schema, one_per_file) -> DataFrame:
-    docs = _documents(spark, root, files, schema, step_levels(), one_per_file)
-    return explode_snapshots(docs.select("runset", "run", "step", "doc.*"))
+def scan_summary_records(spark: SparkSession, root: str, files: str = "summary*") -> DataFrame:
+    """Step records as ``write_summaries`` leaves them: one line per step."""
+    lines = _reader(spark, files).text(root)
+    record = F.from_json(sanitize_nonfinite(F.col("value")), schemas.SUMMARY_RECORD, {"mode": "PERMISSIVE"})
+    return lines.select(_level(1).alias("runset"), record.alias("doc")).select("runset", "doc.*")
+
+
+def _snapshots(spark, root, files, schema, one_per_file, fields) -> DataFrame:
+    if one_per_file:
+        docs = _documents(spark, root, files, schema, step_levels(), True)
+        return explode_snapshots(docs.select("runset", "run", "step", "doc.*"))
+    lines = _documents(spark, root, files, f"interval_sec int, {fields}", step_levels(), False)
+    return lines.select("runset", "run", "step", "doc.*")
 
 
 def explode_snapshots(docs: DataFrame) -> DataFrame:
@@ -85,28 +114,34 @@ def explode_snapshots(docs: DataFrame) -> DataFrame:
 def scan_stat_snapshots(
     spark: SparkSession, root: str, files: str = "pg_stat_statements_over_time.json", one_per_file: bool = True
 ) -> DataFrame:
-    return _snapshots(spark, root, files, schemas.STAT_SNAPSHOTS, one_per_file)
+    """Statement snapshots: nested files, or with ``one_per_file=False`` one JSON line per snapshot."""
+    return _snapshots(spark, root, files, schemas.STAT_SNAPSHOTS, one_per_file, schemas.STAT_FIELDS)
 
 
 def scan_lag_snapshots(
     spark: SparkSession, root: str, files: str = "replication_lag_over_time.json", one_per_file: bool = True
 ) -> DataFrame:
-    return _snapshots(spark, root, files, schemas.LAG_SNAPSHOTS, one_per_file)
+    """Lag snapshots: nested files, or with ``one_per_file=False`` one JSON line per snapshot."""
+    return _snapshots(spark, root, files, schemas.LAG_SNAPSHOTS, one_per_file, schemas.LAG_FIELDS)
+
+
+#: Quotes inside a quoted cell are doubled.
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
-def scan_report_csv(spark: SparkSession, root: str, files: str = "report*.csv") -> DataFrame:
-    """The flat report of every run below ``root``."""
+def scan_report_csv(spark: SparkSession, root: str, files: str = "report*.csv", multi_line: bool = False) -> DataFrame:
+    """The flat report of every run below ``root``. ``multi_line`` allows line breaks inside quoted cells (files are not split then)."""
     return (
         _reader(spark, files)
         .schema(schemas.REPORT)
-        .csv(root, header=True)
+        .csv(root, multiLine=multi_line, **CSV)
         .select(_level(2).alias("runset"), _level(1).alias("run"), *schemas.REPORT_COLUMNS)
     )
 
 
 def scan_latency_histogram(spark: SparkSession, root: str, files: str = "latency_histogram*.csv") -> DataFrame:
     columns = [c.split()[0] for c in schemas.HISTOGRAM.split(",")]
-    return _reader(spark, files).schema(schemas.HISTOGRAM).csv(root, header=True).select(*step_levels(), *columns)
+    return _reader(spark, files).schema(schemas.HISTOGRAM).csv(root, **CSV).select(*step_levels(), *columns)
 
 
 METRIC_LINE = r"^([A-Za-z_:][A-Za-z0-9_:]*)(?:\{([^}]*)\})?\s+(\S+)"

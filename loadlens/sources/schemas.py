@@ -26,14 +26,26 @@ SUMMARY = f"""
     phases array<{PHASE}>, schema map<string, struct<label: string, log: string, exit_code: int, sql_file: string>>
 """
 
-STAT_SNAPSHOTS = """
-    interval_sec int, snapshots array<struct<
-        elapsed_sec: int, mean_ms: double, min_ms: double, max_ms: double, calls: bigint,
-        yb_p50_ms: double, yb_p90_ms: double, yb_p95_ms: double, yb_p99_ms: double>>
+# One line of a stored summary: a step with its phase and run.
+SUMMARY_RECORD = f"""
+    run string, run_dir string, run_label string, run_description string, cluster_type string,
+    cluster_topology string, replication_mode string, xcluster_enabled boolean,
+    phase_idx int, phase {STEP}, step_idx int, step {STEP}
 """
-LAG_SNAPSHOTS = """
-    interval_sec int, snapshots array<struct<elapsed_sec: int, timestamp: bigint, lag_ms: double>>
+
+STAT_FIELDS = """
+    elapsed_sec int, mean_ms double, min_ms double, max_ms double, calls bigint,
+    yb_p50_ms double, yb_p90_ms double, yb_p95_ms double, yb_p99_ms double
 """
+LAG_FIELDS = "elapsed_sec int, timestamp bigint, lag_ms double"
+
+
+def _nested(fields: str) -> str:
+    names = ", ".join(": ".join(f.split()) for f in fields.split(","))
+    return f"interval_sec int, snapshots array<struct<{names}>>"
+
+
+STAT_SNAPSHOTS, LAG_SNAPSHOTS = _nested(STAT_FIELDS), _nested(LAG_FIELDS)
 
 # A plan. Numbers that the reader parses leniently arrive as text.
 RAMP = """array<struct<duration_sec: int, target_tps: double, total_transactions: bigint,

@@ -15,19 +15,59 @@ from pyspark.sql import functions as F
 from loadlens.functions import dr_risk
 from loadlens.operators.lag import lag_columns
 from loadlens.operators.latency import histogram_of_counts, parse_txn_lines
-from loadlens.operators.ordered import distribution, value_counts, with_previous
-from loadlens.operators.statements import interval_columns, last_snapshot, snapshot_bucket
-from loadlens.streaming.store import append_batches
+from loadlens.operators.ordered import distribution, value_counts
+from loadlens.operators.statements import last_snapshot, snapshot_delta
+from loadlens.sources.files import step_levels
+from loadlens.streaming.store import _folders, append_batches, read_store
 
 
 # -- transaction log ------------------------------------------------------------------------
 
 def txn_log_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """Live parse of growing log files."""
+    """Live parse of closed log files, with run set, run and step from their folders.
+
+    A file is read once, when it is first seen: logs must arrive complete (moved in, or rotated). Files that
+    are still written to belong to ``ingest_growing_logs``.
+    """
     reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "pgbench_log*")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return parse_txn_lines(reader.text(root).select(F.col("value").alias("line")))
+    return parse_txn_lines(reader.text(root).select(*step_levels(), F.col("value").alias("line")))
+
+
+def ingest_growing_logs(spark: SparkSession, root: str, path: str) -> int:
+    """One pass over log files that may still grow; returns the number of files read. Call it again at will.
+
+    A file that is new or longer than at its last reading is read whole, and its rows replace those of before (see
+    ``growing_logs``), so a half-written last line is corrected by the next pass. The sizes seen are stored with each
+    batch; a pass that fails leaves no complete batch and is repeated.
+    """
+    batches, _ = _folders(spark, path)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "pgbench_log*")
+        .load(root).select(F.col("path").alias("file"), "length")
+    )  # the content is not read
+    if batches:
+        seen = spark.read.parquet(*[f"{path}/sizes/batch_id={n}" for n in batches]).groupBy("file").agg(F.max("length").alias("known"))
+        files = files.join(seen, "file", "left").where("known is null or length > known").drop("known")
+    number = max(batches, default=-1) + 1
+    files.write.mode("overwrite").parquet(f"{path}/sizes/batch_id={number}")
+    grown = spark.read.parquet(f"{path}/sizes/batch_id={number}")
+    names = [r.file for r in grown.select("file").collect()]  # the files of one pass
+    if not names:
+        return 0
+    lines = spark.read.text(names).select(*step_levels(), F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    parse_txn_lines(lines).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+    return len(names)
+
+
+def growing_logs(spark: SparkSession, path: str) -> DataFrame:
+    """What ``ingest_growing_logs`` has stored: of each file the rows of its last reading."""
+    batches, _ = _folders(spark, path)
+    sizes = spark.read.option("basePath", f"{path}/sizes").parquet(*[f"{path}/sizes/batch_id={n}" for n in batches])
+    newest = sizes.groupBy(F.regexp_replace("file", "^file:/+", "file:///").alias("file")).agg(F.max("batch_id").cast("bigint").alias("batch_id"))
+    rows = read_store(spark, path).withColumn("file", F.regexp_replace("file", "^file:/+", "file:///"))
+    return rows.join(newest, ["file", "batch_id"], "left_semi").drop("batch_id")
 
 
 def start_latency_counts(txn: DataFrame, keys: Sequence[str], path: str, checkpoint: str, **options):
@@ -38,7 +78,12 @@ def start_latency_counts(txn: DataFrame, keys: Sequence[str], path: str, checkpo
 
 def latency_histogram_so_far(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
     """The per-second histogram of everything stored up to now; late rows are simply part of it."""
-    return histogram_of_counts(spark.read.parquet(path), [*keys, "epoch_sec"], freq="n")
+    return histogram_of_counts(read_store(spark, path), [*keys, "epoch_sec"], freq="n")
+
+
+def add_up(keys: Sequence[str]):
+    """For ``merge_batches`` on a store of counts: one row per key."""
+    return lambda rows: rows.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def closed_second_counts(txn: DataFrame, event_time: str, late: str = "10 seconds") -> DataFrame:
@@ -65,8 +110,7 @@ def start_lag_counts(lag: DataFrame, keys: Sequence[str], path: str, checkpoint:
 
 
 def lag_summary_so_far(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    stored = spark.read.parquet(path)
-    return lag_columns(distribution(stored, keys, "lag_ms", nearest={"p95": 0.95}, freq="n"), keys)
+    return lag_columns(distribution(read_store(spark, path), keys, "lag_ms", nearest={"p95": 0.95}, freq="n"), keys)
 
 
 def lag_alerts(lag: DataFrame, lag_column: str = "lag_ms") -> DataFrame:
@@ -76,40 +120,17 @@ def lag_alerts(lag: DataFrame, lag_column: str = "lag_ms") -> DataFrame:
 
 # -- cumulative statement snapshots ----------------------------------------------------------
 
-def start_snapshot_deltas(
-    snapshots: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    path: str,
-    last_path: str,
-    checkpoint: str,
-    bucket: Column | None = None,
-    **options,
-):
-    """Per-interval values of a snapshot stream.
-
-    A stream cannot look at the row before, so every batch also stores its last snapshot per
-    step (one row each) and the next batch starts from those. Snapshots of a step arrive in
-    order, as one poller writes them. Both stores are keyed by batch, so a repeated batch
-    finds the same input and rewrites the same output.
-    """
-    keys, order = list(keys), list(order)
+def start_snapshots(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str, **options):
+    """Keep the cumulative snapshots of a stream; intervals are taken when the store is read."""
     columns = [*keys, *order, "calls", "mean_ms"]
-    bucket = snapshot_bucket(order[-1]) if bucket is None else bucket
+    return append_batches(snapshots, path, checkpoint, lambda batch, _: batch.select(*columns), **options)
 
-    def deltas(batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
-        rows = batch.select(*columns, F.lit(True).alias("fresh"))
-        if batch_id > 0:
-            carried = spark.read.parquet(f"{last_path}/batch_id={batch_id - 1}")
-            rows = rows.unionByName(carried.select(*columns, F.lit(False).alias("fresh")))
-        last = last_snapshot(rows.drop("fresh"), keys, order)
-        last.write.mode("overwrite").parquet(f"{last_path}/batch_id={batch_id}")
-        seen = with_previous(rows, keys, order, bucket, ["calls", "mean_ms"]).where("fresh")
-        values = interval_columns(F.col("prev_calls"), F.col("prev_mean_ms"))
-        return seen.select(*keys, *order, *[c.alias(name) for name, c in values.items()])
 
-    return append_batches(snapshots, path, checkpoint, deltas, **options)
+def snapshot_deltas_so_far(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None
+) -> DataFrame:
+    """Per-interval values of everything stored up to now. A snapshot that came late is simply in its place."""
+    return snapshot_delta(read_store(spark, path).drop("batch_id"), list(keys), list(order), bucket)
 
 
 def start_last_snapshots(
@@ -122,4 +143,9 @@ def start_last_snapshots(
 
 
 def final_snapshots(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return last_snapshot(spark.read.parquet(path).drop("batch_id"), keys, list(order))
+    return last_snapshot(read_store(spark, path).drop("batch_id"), keys, list(order))
+
+
+def keep_last(keys: Sequence[str], order: Sequence[str]):
+    """For ``merge_batches`` on a store of last snapshots: one row per step."""
+    return lambda rows: last_snapshot(rows, list(keys), list(order))

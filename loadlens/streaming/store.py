@@ -1,14 +1,17 @@
-"""Micro-batches into a Parquet store, one folder per batch.
+"""Micro-batches into a Parquet store, one folder per batch, merged now and then.
 
 A batch that runs again after a lost executor overwrites its own folder, so results are
-exactly-once without any transaction log of our own.
+exactly-once without any transaction log of our own. ``merge_batches`` folds the closed
+batches into one table, so that a long stream does not leave a folder for every trigger.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -32,3 +35,55 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def _folders(spark: SparkSession, path: str) -> tuple[dict[int, str], dict[int, str]]:
+    """Finished batch folders and merged folders by number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    batches, merged = {}, {}
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        found = re.fullmatch(r"(batch_id|merged)=(\d+)", status.getPath().getName())
+        where = f"{path}/{status.getPath().getName()}"
+        if found and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{where}/_SUCCESS")):
+            (batches if found[1] == "batch_id" else merged)[int(found[2])] = where
+    return batches, merged
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """All that is stored: the newest merged table and the batches after it, with ``batch_id``
+    (that of a merged row is the last batch it covers)."""
+    batches, merged = _folders(spark, path)
+    upto = max(merged, default=-1)
+    parts = [spark.read.parquet(merged[upto]).withColumn("batch_id", F.lit(upto).cast("bigint"))] if merged else []
+    later = [batches[n] for n in sorted(batches) if n > upto]
+    if later:
+        parts.append(spark.read.option("basePath", path).parquet(*later).withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        raise FileNotFoundError(f"nothing is stored below {path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def merge_batches(
+    spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame] = lambda rows: rows, keep: int = 2
+) -> int:
+    """Fold all but the last ``keep`` batches into one table and remove them; returns the last batch folded (-1: none).
+
+    ``combine`` shrinks the rows (adds up counts, keeps last snapshots). The merged table counts once it is
+    complete, so a failed merge changes nothing; a reader takes the newest and skips what it covers. The last
+    batches stay apart because the stream may still run them again.
+    """
+    batches, merged = _folders(spark, path)
+    upto = max(merged, default=-1)
+    closed = [n for n in sorted(batches) if n > upto][: -keep or None]
+    if not closed:
+        return upto
+    last = closed[-1]
+    rows = spark.read.option("basePath", path).parquet(*[batches[n] for n in closed]).drop("batch_id")
+    if merged:
+        rows = rows.unionByName(spark.read.parquet(merged[upto]))
+    combine(rows).write.mode("overwrite").parquet(f"{path}/merged={last}")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in [*[batches[n] for n in batches if n <= last], *merged.values()]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
+    return last

@@ -1,8 +1,10 @@
+import csv
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from loadlens.operators import reports
+from loadlens.operators import latency, reports
 from loadlens.plans import loadplan
 from loadlens.sinks import files as sinks
 from loadlens.sources import files as sources
@@ -87,13 +89,79 @@ def test_report_csv_round_trip(spark, tmp_path):
         ("20240101-000000", "api", None, None), ("20240101-000000", "odd", None, None)}
 
 
-def test_documents_split_only_beyond_their_bound(spark):
-    steps = spark.range(2500).selectExpr("'s' as runset", "'r' as run", "0 as phase_idx", "cast(id as int) as step_idx",
-                                         "struct(concat('st', id) as step, double(id) as tps, double(id) as tps_excluding) as step")
-    phases = spark.sql("select 's' as runset, 'r' as run, 0 as phase_idx, struct('p' as name, double(0) as tps, double(0) as tps_excluding) as phase")
-    docs = reports.summary_documents(phases, steps).orderBy("part").collect()
-    assert [len(d.phases[0].steps) for d in docs] == [1000, 1000, 500]
-    assert [s.step for d in docs for s in d.phases[0].steps] == [f"st{i}" for i in range(2500)]
+@pytest.mark.parametrize("n", [3, 2500])
+def test_records_are_alike_at_every_size(spark, tmp_path, n):
+    step = "struct('p' as name, concat('st', id) as step, 'pgbench' as type, double(id) as tps, double(id) as tps_excluding)"
+    steps = spark.range(n).selectExpr("'s' as runset", "'r' as run", "0 as phase_idx", "cast(id as int) as step_idx", f"{step} as step")
+    phase = "struct('p' as name, '' as step, {} as type, double(0) as tps, double(0) as tps_excluding) as phase"
+    phases = spark.sql("select 's' as runset, 'r' as run, 0 as phase_idx, " + phase.format("'pgbench'") + " union all select 's', 'r', 1, " + phase.format("'http'"))
+    records = reports.step_records(phases, steps).withColumn("run_label", F.lit("l"))
+    path = sinks.write_summaries(records, str(tmp_path / "out"))
+    back = sources.scan_summary_records(spark, path)
+    rows = back.orderBy("phase_idx", "step_idx").collect()
+    assert [(r.run, r.phase_idx, r.step_idx, r.step.step) for r in rows] == [("r", 0, i, f"st{i}") for i in range(n)] + [("r", 1, 0, "")]
+    assert {r.phase.tps for r in rows if r.phase_idx == 0} == {n - 1}
+    assert [tuple(r) for r in reports.run_listing(back).collect()] == [("s", "r", "l", 2, n, 1, n - 1.0)]
+    lines = [json.loads(line) for f in sorted((tmp_path / "out" / "runset=s").glob("summary*")) for line in f.read_text().splitlines()]
+    assert [(x["phase_idx"], x["step_idx"]) for x in lines] == [(0, i) for i in range(n)] + [(1, 0)]
+
+
+def test_many_polls_come_back_in_order(spark, tmp_path):
+    polls = spark.range(25_000).selectExpr("'a' as runset", "'r' as run", "'s' as step", "5 as interval_sec", "id as seq",
+                                           "cast(id div 3 as int) as elapsed_sec", "id as timestamp", "double(id) as lag_ms")
+    path = sinks.write_snapshots(polls.repartition(7), str(tmp_path / "o"), ["runset", "run", "step"], "replication_lag_over_time", ["elapsed_sec", "seq"])
+    files = sorted((tmp_path / "o" / "runset=a" / "run=r" / "step=s").glob("replication*"))
+    assert [json.loads(line)["seq"] for f in files for line in f.read_text().splitlines()] == list(range(25_000))
+    assert sources.scan_lag_snapshots(spark, path, "replication*", one_per_file=False).agg({"lag_ms": "sum"}).first()[0] == sum(range(25_000))
+
+
+def test_quoted_cells_of_a_report(spark, tmp_path):
+    """A file as a standard csv writer leaves it, and our own, with quotes, commas and line breaks in cells."""
+    folder = tmp_path / "in" / "a" / "r1"
+    folder.mkdir(parents=True)
+    row = dict.fromkeys(REPORT_COLUMNS, "") | {"phase": 'say "hi", ok', "step": "s1", "exit_code": "3", "log": 'a\nb "c"'}
+    with open(folder / "report.csv", "w", newline="") as out:
+        writer = csv.DictWriter(out, REPORT_COLUMNS)
+        writer.writeheader()
+        writer.writerow(row)
+    flat = sources.scan_report_csv(spark, str(tmp_path / "in"), multi_line=True)
+    got = flat.first()
+    assert (got.phase, got.step, got.exit_code, got.log) == ('say "hi", ok', "s1", 3, 'a\nb "c"')
+    path = sinks.write_report_csv(flat, str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("*/*/report*.csv")
+    with open(file, newline="") as lines:
+        (again,) = csv.DictReader(lines)
+    assert again == row and sources.scan_report_csv(spark, path, multi_line=True).first() == got
+
+
+def test_sinks_write_few_files(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 16).selectExpr("concat('s', id % 60) as runset", "'r' as run", "'st' as step", "concat('1 ', id, ' 300 0 1700000000 5') as line")
+    path = sinks.write_txn_log(rows, str(tmp_path / "lake"))
+    files = list((tmp_path / "lake").glob("*/*/*/pgbench_log*"))
+    assert len(files) <= 60 + 8
+    assert sources.is_partitioned(spark, path) and sources.scan_txn_log(spark, path).count() == 4000
+
+
+def test_defaults_of_plans_and_scripts(spark, tmp_path):
+    plan = {"run_label": "p", "db": {"dbname": "d"}, "phases": [
+        {"type": "pgbench", "ramp": [{"target_tps": 5}, {"duration_sec": 3}], "mix": [{"script": "a", "weight": 60}, {"weight": 5}, {"script": "b"}]},
+        {"type": "pgbench", "name": "one", "script": "c"}, {"type": "pgbench", "total_transactions": 9, "clients": 2}, {"type": "http", "name": "h"}]}
+    (tmp_path / "p.json").write_text(json.dumps(plan))
+    plans = sources.scan_load_plan(spark, str(tmp_path))
+    row = loadplan.normalize_plans(plans, default_user="u").first()
+    assert (row.db.host, row.db.port, row.db.user, row.db.admin_dbname, row.schema.create_db, row.error) == ("127.0.0.1", "5433", "u", "postgres", False, None)
+    steps = loadplan.plan_steps(plans, ["run_label"]).orderBy("phase_idx", "step_idx").collect()
+    assert [(r.phase, r.step) for r in steps] == [("pgbench", "pgbench_5tps"), ("pgbench", "pgbench_capacity_step2"), ("one", "one"), ("pgbench", "pgbench_5tpc")]
+    scripts = latency.script_weights(plans, ["run_label"]).orderBy("phase_idx", "script_no").collect()
+    assert [(r.phase_idx, r.phase, r.script_no, r.script, r.weight, round(r.share, 4)) for r in scripts] == [
+        (0, "pgbench", 0, "a", 60, round(60 / 61, 4)), (0, "pgbench", 1, "b", 1, round(1 / 61, 4)), (1, "one", 0, "c", 1, 1.0)]
+
+
+def test_nested_documents_on_lines_know_their_run(spark, tmp_path):
+    doc = dict(SUMMARY, run_dir="runs/a/20240101-000000/")
+    (tmp_path / "summaries.json").write_text("\n".join(json.dumps(d) for d in (doc, dict(doc, run_dir="/x/b/20240102-000000"))))
+    docs = sources.scan_summary(spark, str(tmp_path), "summaries.json", one_per_file=False)
+    assert sorted((r.runset, r.run) for r in docs.collect()) == [("a", "20240101-000000"), ("b", "20240102-000000")]
 
 
 def test_histogram_file_is_ordered_text(spark, tmp_path):

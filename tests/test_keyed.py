@@ -14,15 +14,32 @@ def _requests(rng, n, keys):
 
 def test_ordered_batch_equals_one_request_at_a_time(spark):
     rng = random.Random(11)
-    for cut in (1, 7, 1000):
+    for _ in range(3):
         requests = _requests(rng, 300, 30)
         balances = {f"k{i}": i * 10 for i in range(20)} | {"hot": 5}
         table = spark.createDataFrame(list(balances.items()), "id string, balance bigint")
         batch = spark.createDataFrame(requests, "seq bigint, id string, op string, delta bigint").repartition(4)
-        got = {r.id: r.balance for r in keyed.apply_ordered(table, batch, "id", "balance", cut=cut).collect()}
+        got = {r.id: r.balance for r in keyed.apply_ordered(table, batch, "id", "balance").collect()}
         assert got == brute.run_batch(balances, requests)
 
 
+def test_ordered_batch_keeps_and_stamps_columns(spark):
+    table = spark.createDataFrame([("a", 1, "x", 5), ("b", 2, "y", 5), ("c", 3, "z", 5)], "id string, balance bigint, owner string, updated_at bigint")
+    batch = spark.createDataFrame(
+        [(1, "a", "update", 10, 100), (2, "b", "delete", 0, 110), (3, "b", "insert", 7, 120), (4, "b", "update", 1, 130), (5, "d", "insert", 4, 140), (6, "c", "select", 0, 150)],
+        "seq bigint, id string, op string, delta bigint, req_ts bigint",
+    )
+    got = keyed.apply_ordered(table, batch, "id", "balance")
+    assert got.columns == table.columns
+    assert sorted(map(tuple, got.collect())) == [("a", 11, "x", 100), ("b", 8, None, 130), ("c", 3, "z", 5), ("d", 4, None, 140)]
+
+
+def test_mix_of_scripts(spark):
+    rows = keyed.choose_operations(spark.range(4000).toDF("seq"), "seq", mix={"a": 3, "b": 1}).collect()
+    share = sum(r.op == "a" for r in rows) / 4000
+    assert {r.op for r in rows} == {"a", "b"} and abs(share - 0.75) < 0.03 and {r.tid for r in rows} == set(range(1, 11))
+
+
 def test_updates_in_two_batches_equal_one(spark):
     table = spark.createDataFrame([("a", 1, 0), ("b", 2, 0)], "id string, balance bigint, updated_at bigint")
     batch = spark.createDataFrame([("a", 5, 10), ("a", -2, 30), ("x", 9, 20), ("b", 1, 5)], "id string, delta bigint, req_ts bigint")
@@ -62,10 +79,12 @@ def test_inserts_of_the_first_table_have_no_parent(spark):
 
 
 def test_preload_shape_and_references(spark):
-    tables = keyed.preload_tables(keyed.series(spark, 50), parent_rows=20).cache()
+    at = F.timestamp_seconds(F.lit(1704067200))
+    tables = keyed.preload_tables(keyed.series(spark, 50), parent_rows=20, at=at).cache()
     assert tables.count() == 500
     assert tables.where("tid = 1 and ref_id is not null").count() == 0
-    one = keyed.preload_table(keyed.series(spark, 50), 4, parent_rows=20)
+    one = keyed.preload_table(keyed.series(spark, 50), 4, parent_rows=20, at=at)
+    assert keyed.preload_table(keyed.series(spark, 2), 1).where("updated_at is null").count() == 0
     assert one.exceptAll(tables.where("tid = 4")).count() == 0
     parents = tables.where("tid = 3")
     assert keyed.fk_orphans(tables.where("tid = 4"), parents, "ref_id", "id").count() == 0

@@ -11,12 +11,12 @@ from loadlens.operators.ordered import distribution, first_rows, rows_after_firs
 SHARES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
-@pytest.mark.parametrize("split", [True, False])
+@pytest.mark.parametrize("per_doubling", [256, 4])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_quantiles_of_skewed_groups(spark, split, seed):
+def test_quantiles_of_skewed_groups(spark, per_doubling, seed):
     data = brute.skewed_groups(seed)
     df = spark.createDataFrame(data, "k string, v bigint").repartition(5)
-    got = distribution(df, ["k"], "v", interpolated=SHARES, nearest={"near": 0.95}, split_groups=split).collect()
+    got = distribution(df, ["k"], "v", interpolated=SHARES, nearest={"near": 0.95}, per_doubling=per_doubling).collect()
     groups = defaultdict(list)
     for k, v in data:
         groups[k].append(v)

@@ -41,8 +41,8 @@ def test_only_needed_columns_are_read(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = plan_of(QUERIES["lag_summary"](spark, SF))
-    assert "EqualTo(event_type,error)" in plan.split("PushedFilters:")[1].split("\n")[0]
+    plan = plan_of(QUERIES["fk_orphan_counts"](spark, SF))
+    assert "GreaterThanOrEqual(c_acctbal,0.0)" in plan
 
 
 def test_updates_collapse_before_they_shuffle(spark):
@@ -75,20 +75,66 @@ def test_a_hot_request_key_is_split(spark):
 def test_registry_is_complete(spark):
     assert len(QUERIES) > 100
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"choose_operations", "stream_closed_seconds"}
+    assert set(QUERIES) == set(ORACLES)
     assert t.txn(spark, SF).count() > 0
 
 
 def test_a_run_filter_skips_other_folders(spark, tmp_path):
     rows = [("s", f"r{i % 4}", "st", f"1 {i} 300 0 1700000000 5") for i in range(40)]
     path = sinks.write_txn_log(spark.createDataFrame(rows, "runset string, run string, step string, line string"), str(tmp_path / "lake"))
-    one = sources.scan_txn_log(spark, path, partitioned=True).where("run = 'r1'")
+    one = sources.scan_txn_log(spark, path).where("run = 'r1'")
     assert one.count() == 10
     assert "(run" in plan_of(one).split("PartitionFilters:")[1].split("\n")[0]
-    assert sources.scan_txn_log(spark, path).exceptAll(sources.scan_txn_log(spark, path, partitioned=True)).count() == 0
+    assert sources.scan_txn_log(spark, path, partitioned=False).exceptAll(sources.scan_txn_log(spark, path, partitioned=True)).count() == 0
 
 
 def test_cluster_settings_grow_with_the_input():
     small, large = cluster_settings(1 << 30, 400), cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 400
-    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(large["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert {x["spark.sql.files.maxPartitionBytes"] for x in (small, large)} == {str(128 << 20)}
+
+
+@pytest.mark.parametrize("name", ["per_operation", "per_operation_wide", "variant_rank", "schema_decision", "step_x_latency", "step_x_lag_summary", "latency_histogram"])
+def test_the_log_is_scanned_once(spark, name):
+    """Both passes of the quantiles share one shuffle: one scan of the log, the rest is reuse."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [x for x in plan.splitlines() if "Scan parquet" in x and "event" in x]
+    distinct = 2 if name == "schema_decision" else 1  # its lag is a second table that the fixture takes from the same file
+    assert len(scans) == distinct, plan
+    assert "ReusedExchange" in plan or "ReusedQueryStage" in plan or "TableCacheQueryStage" in plan
+
+
+def test_hot_groups_are_cut(spark):
+    """A second, a delete key and a request key with a third of the rows: no window over a whole group."""
+    for name in ("latency_histogram", "stream_latency_histogram", "ordered_batch_apply"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        windows = [x for x in plan.splitlines() if x.startswith("Arguments: ") and "windowspecdefinition" in x]
+        assert all("bucket__" in w or "size__" in w for w in windows), windows
+    deletes = plan_of(QUERIES["apply_deletes"](spark, SF))
+    assert "HashAggregate" in deletes
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    from loadlens.session import drop_scratch, scratch_path, store
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    stored = store(spark.range(3).toDF("x"), "x")
+    assert stored.count() == 3 and stored.inputFiles()[0].startswith("file:")
+
+    class Bare:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Bare, "x")
+    monkeypatch.setattr("loadlens.session.scratch_root", lambda _: f"{shared}/only-for-this-test")
+    path = scratch_path(spark, "y")
+    spark.range(2).write.parquet(path)
+    assert os.path.exists(path.removeprefix("file:"))
+    drop_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))

@@ -5,7 +5,7 @@ from loadlens.operators.lag import lag_summary
 from loadlens.operators.latency import latency_histogram
 from loadlens.operators.statements import snapshot_delta
 from loadlens.streaming import operators as live
-from loadlens.streaming.store import append_batches, drain
+from loadlens.streaming.store import append_batches, drain, merge_batches, read_store
 
 SCHEMA = "step string, elapsed_sec int, epoch_sec bigint, latency_us bigint, lag_ms double, calls bigint, mean_ms double"
 
@@ -56,10 +56,39 @@ def test_lag_summary_and_alerts(spark, source, tmp_path):
 
 
 def test_deltas_carry_over_batches(spark, source, tmp_path):
-    order, bucket = ["elapsed_sec"], F.floor(F.col("elapsed_sec") / 10)
-    drain(live.start_snapshot_deltas(_stream(spark, source), ["step"], order, str(tmp_path / "o"), str(tmp_path / "l"), str(tmp_path / "c"), bucket))
-    got = spark.read.parquet(str(tmp_path / "o")).drop("batch_id")
-    assert _rows(got) == _rows(snapshot_delta(spark.read.parquet(source), ["step"], order, bucket))
+    order = ["elapsed_sec"]
+    drain(live.start_snapshots(_stream(spark, source), ["step"], order, str(tmp_path / "o"), str(tmp_path / "c")))
+    got = live.snapshot_deltas_so_far(spark, str(tmp_path / "o"), ["step"], order)
+    assert _rows(got) == _rows(snapshot_delta(spark.read.parquet(source), ["step"], order))
+
+
+def test_a_late_snapshot_takes_its_place(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for times in ((10, 30), (20, 40)):
+        rows = [("s", at, 0, 0, 0.0, at * 10, 1.0) for at in times]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    drain(live.start_snapshots(_stream(spark, path), ["step"], ["elapsed_sec"], str(tmp_path / "o"), str(tmp_path / "c")))
+    got = live.snapshot_deltas_so_far(spark, str(tmp_path / "o"), ["step"], ["elapsed_sec"]).orderBy("elapsed_sec").collect()
+    assert [(r.elapsed_sec, r.interval_calls) for r in got] == [(10, 100), (20, 100), (30, 100), (40, 100)]
+
+
+def test_the_default_bucket_follows_the_order(spark):
+    rows = [("s", i, (7 - i) * 1_000_000, (i + 1) * 10, 1.0) for i in range(4)]
+    frame = spark.createDataFrame(rows, "step string, elapsed_sec int, seq bigint, calls bigint, mean_ms double")
+    got = snapshot_delta(frame, ["step"], ["elapsed_sec", "seq"]).orderBy("elapsed_sec").collect()
+    assert [r.interval_calls for r in got] == [10, 10, 10, 10]
+
+
+def test_merged_stores_read_the_same(spark, source, tmp_path):
+    out, keys = str(tmp_path / "out"), ["step", "epoch_sec", "latency_us"]
+    drain(live.start_latency_counts(_stream(spark, source), ["step"], out, str(tmp_path / "ck")))
+    before = _rows(live.latency_histogram_so_far(spark, out, ["step"]))
+    assert merge_batches(spark, out, live.add_up(keys)) == 0 and merge_batches(spark, out, live.add_up(keys), keep=0) == 2
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["merged=2"]
+    assert _rows(live.latency_histogram_so_far(spark, out, ["step"])) == before
+    # a merge that did not end is not seen
+    (tmp_path / "out" / "merged=9").mkdir()
+    assert _rows(live.latency_histogram_so_far(spark, out, ["step"])) == before
 
 
 def test_final_snapshots(spark, source, tmp_path):
@@ -69,7 +98,7 @@ def test_final_snapshots(spark, source, tmp_path):
     assert {(r.step, r.elapsed_sec) for r in live.final_snapshots(spark, str(tmp_path / "o"), keys, order).collect()} == {("s0", 88), ("s1", 89)}
 
 
-def test_growing_log_files(spark, tmp_path):
+def test_closed_log_files(spark, tmp_path):
     step = tmp_path / "logs" / "set" / "run" / "step"
     step.mkdir(parents=True)
     out, ck = str(tmp_path / "o"), str(tmp_path / "c")
@@ -78,7 +107,25 @@ def test_growing_log_files(spark, tmp_path):
     drain(append_batches(live.txn_log_stream(spark, str(tmp_path / "logs")), out, ck))
     (step / "pgbench_log.2").write_text("1 3 400 0 1700000001 5\n")
     drain(append_batches(live.txn_log_stream(spark, str(tmp_path / "logs")), out, ck))
-    assert sorted(r.latency_us for r in spark.read.parquet(out).collect()) == [300, 400]
+    rows = read_store(spark, out).collect()
+    assert sorted((r.runset, r.run, r.step, r.latency_us) for r in rows) == [("set", "run", "step", 300), ("set", "run", "step", 400)]
+
+
+def test_growing_log_files(spark, tmp_path):
+    """Lines appended to a file that was read before, a line that was cut in two, a new file, and a pass without news."""
+    step = tmp_path / "logs" / "runset=a" / "run=r" / "step=s"
+    step.mkdir(parents=True)
+    out, log = str(tmp_path / "o"), step / "pgbench_log.1"
+    line = lambda i: f"1 {i} {100 + i} 0 1700000000 5\n"
+    log.write_text("".join(map(line, range(10))) + "1 10 11")
+    assert live.ingest_growing_logs(spark, str(tmp_path / "logs"), out) == 1
+    assert live.growing_logs(spark, out).count() == 10
+    log.write_text("".join(map(line, range(30))))
+    (step / "pgbench_log.2").write_text(line(30))
+    assert live.ingest_growing_logs(spark, str(tmp_path / "logs"), out) == 2
+    assert live.ingest_growing_logs(spark, str(tmp_path / "logs"), out) == 0
+    rows = live.growing_logs(spark, out).collect()
+    assert sorted(r.txn_no for r in rows) == list(range(31)) and {(r.runset, r.run, r.step) for r in rows} == {("a", "r", "s")}
 
 
 def test_every_kth_poll(spark):

@@ -100,11 +100,18 @@ def test_sql_functions_agree_with_columns(spark):
     fn.register_functions(spark)
     h = '[{"[0.1,0.2)": 4}, {"[0.4,)": 1}, {"[0.2,0.4)": 2}]'
     df = spark.createDataFrame([(h,), ("[]",), (None,), ('[{"[1,2)": 0}]',)], "h string")
-    running = fn.histogram_running(fn.histogram_buckets(F.col("h")))
     for percent in (50, 57.2, 90, 99):
-        rows = df.select(fn.histogram_percentile(running, percent), F.expr(f"get_percentile(h, {percent}D)")).collect()
+        rows = df.select(fn.histogram_percentile("h", percent), F.expr(f"get_percentile(h, {percent}D)")).collect()
         assert [r[0] for r in rows] == [r[1] for r in rows]
-    assert df.select(fn.histogram_percentile(running, 50)).first()[0] == 0.2
-    assert df.select(fn.histogram_percentile(running, 99)).first()[0] == float("inf")
-    assert abs(df.select(fn.histogram_percentile(running, 50, True)).first()[0] - 0.1875) < 1e-12
+    assert df.select(fn.histogram_percentile("h", 50)).first()[0] == 0.2
+    assert df.select(fn.histogram_percentile("h", 99)).first()[0] == float("inf")
+    assert abs(df.select(fn.histogram_percentile("h", 50, True)).first()[0] - 0.1875) < 1e-12
     assert spark.sql("select uuid_from_int(7)").first()[0] == spark.range(7, 8).select(fn.uuid_from_int(F.col("id"))).first()[0]
+
+
+def test_numbers_print_as_in_the_files(spark):
+    from loadlens.operators.reports import number_text
+
+    values = [1e-5, 1.5e-7, 1e16, 1.25e17, -2.5e-10, 1e100, 1e15, 123456789.5, 1e7, 0.0001, 0.00025, 0.001, 0.0, -3.0, 99.5, 1.0, None, -12345678.0]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(number_text(F.col("v"))).collect()]
+    assert got == [None if v is None else repr(v) for v in values]
