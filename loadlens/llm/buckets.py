@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.llm.scratch import join_apart
+
 BLOCK = 2048
 
 
@@ -25,7 +27,7 @@ def block_groups(rows: DataFrame, key: str, node: str, block: int = BLOCK) -> Da
     """
     sizes = rows.groupBy(key).agg(F.count("*").alias("_size")).where("_size > 1")
     blocks = F.ceil(F.col("_size") / block).cast("int")
-    cut = rows.join(sizes, key).withColumn("_blocks", blocks)
+    cut = join_apart(rows, sizes, key).withColumn("_blocks", blocks)
     own = F.pmod(F.xxhash64(F.lit(7), F.col(node)), F.col("_blocks")).cast("int")
     cut = cut.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     return cut.select(

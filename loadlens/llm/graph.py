@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.scratch import discard, write
+from loadlens.llm.scratch import discard, join_apart, write
 
 ROUNDS = 60
 
@@ -14,9 +14,9 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step on distinct edges (u > v)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = join_apart(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     low = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = join_apart(large, low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadlens.session import scratch_path
 
@@ -27,6 +28,18 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def join_apart(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` in a shuffle of its own, so that adaptive execution can cut a hot key on the left.
+
+    When ``right`` is an aggregation by the same key, its partitioning would serve the join as well, and a partition
+    that an aggregation has read is never cut. The hash as a second join key asks for a new one on both sides.
+    """
+    both = "_apart"
+    keyed = (df.withColumn(both, F.xxhash64(F.col(key))) for df in (left, right))
+    one, two = keyed
+    return one.join(two, [key, both], how).drop(both)
+
+
 @functools.cache
 def warm() -> None:
     """Once per Python worker: one thread for the numeric libraries, as Spark gives each task one core."""

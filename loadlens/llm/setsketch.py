@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loadlens.llm import text_kernels as kernels
 from loadlens.llm.buckets import block_groups, forest, pairs_of_groups, together, whole_groups
 from loadlens.llm.graph import connected_components
-from loadlens.llm.scratch import stored
+from loadlens.llm.scratch import join_apart, stored
 
 BANDS, ROWS = 24, 4
 BASE, RATE, TOP = 1.1, 20.0, 255
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
     label = label.withColumn("component", F.coalesce("component", "class"))
     least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
     names = label.join(least, "component").select("class", "component_id")
-    joined = made.select("doc_id", "n_shingles", "class").join(names, "class", "left")
+    joined = join_apart(made.select("doc_id", "n_shingles", "class"), names, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     return joined.select("doc_id", "n_shingles", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

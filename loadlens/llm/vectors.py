@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loadlens.llm.buckets import block_groups, forest, pairs_of_groups, together, whole_groups
 from loadlens.llm.graph import connected_components
-from loadlens.llm.scratch import stored, warm
+from loadlens.llm.scratch import join_apart, stored, warm
 from loadlens.llm.text_kernels import U64, mix
 
 TABLES, PROJECTIONS, WIDTH = 32, 10, 2.0
@@ -142,7 +142,7 @@ def near_duplicates(
         F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
         F.col(vec_col).cast("array<double>").alias("v"),
     ))
-    joined = wide.select("vec_id", "node").join(named, "node", "left")
+    joined = join_apart(wide.select("vec_id", "node"), named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id"))

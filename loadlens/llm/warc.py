@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm.scratch import stored
+from loadlens.llm.scratch import join_apart, stored
 from loadlens.session import scratch_path
 
 REVISIT_BYTES = 100
@@ -60,7 +60,7 @@ def captures(pages: DataFrame) -> DataFrame:
         F.min("page_id").alias("first"), F.count("*").alias("n")
     ).where("n > 1 and first is not null").select("digest", "first")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return made.join(first, "digest", "left").select(
+    return join_apart(made, first, "digest", "left").select(
         "page_id", "url", "payload", "bytes", "digest",
         F.when(revisit, "revisit").otherwise("response").alias("type"), F.when(revisit, F.col("first")).alias("refers"),
     )
