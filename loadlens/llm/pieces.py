@@ -29,6 +29,8 @@ _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 UNKNOWN_PENALTY = 10.0
 LONG_WORD = 64
 CACHED_WORDS = 400_000
+#: Characters handled at once: new words of many texts advance together.
+STRETCH = 2 << 20
 U64 = np.uint64
 
 codecs.register_error("each_byte", lambda error: ("�" * (error.end - error.start), error.end))
@@ -68,14 +70,13 @@ class Model:
             self.bytes_at[int(self.pieces[i][1:-1], 16)] = i
         #: Words can be treated one by one unless a piece runs from a character into a mark.
         self.by_word = not any(MARK in p.lstrip(MARK) for p in text)
-        self.single = {p: int(i) for p, i in zip(text, normal, strict=True) if len(p) == 1}
         self.index = {p: int(i) for p, i in zip(text, normal, strict=True)}
         surface = [p.replace(MARK, " ").encode() if t == _NORMAL else b"" for p, t in zip(self.pieces, self.types, strict=True)]
         for i in np.flatnonzero(self.types == _BYTE):
             surface[i] = bytes([int(self.pieces[i][1:-1], 16)])
         surface[self.unknown] = self.unknown_text.encode()
         self.surface = surface
-        self.cache: dict[str, np.ndarray] = {}  # of this Python worker; emptied when full
+        self.cache = _Cache()
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece id of each hash, -1 where it is no piece."""
@@ -260,49 +261,84 @@ def _viterbi_long(model: Model, word: str) -> list[int]:
     return starts[::-1]
 
 
-def _fallback(model: Model, char: str) -> list[int]:
-    return model.bytes_at[list(char.encode("utf-8", "surrogatepass"))].tolist() if model.byte_fallback else [model.unknown]
-
-
-def _words_to_ids(model: Model, words: list[str]) -> list[np.ndarray]:
-    """Ids of every word."""
-    out: list[np.ndarray | None] = [None] * len(words)
-    sizes = np.fromiter((len(w) for w in words), np.int64, len(words))
-    for length in np.unique(sizes):
-        at = np.flatnonzero(sizes == length)
+def _spell(model: Model, ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols without a piece (id below 0, one character each) as the pieces of their UTF-8 bytes, or as unknown;
+    returns all ids and how many each symbol became."""
+    lost = ids < 0
+    if not model.byte_fallback or not lost.any():
+        return np.where(lost, model.unknown, ids).astype(np.int32), np.ones(len(ids), np.int64)
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    width = np.where(lost, width, 1)
+    owner = np.repeat(np.arange(len(ids)), width)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(width) - width, width)
+    point, size = points[owner].astype(np.int64), width[owner]
+    rest = (point >> (6 * (size - 1 - place))) & 0x3F
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[size] | (point >> (6 * (size - 1)))
+    byte = np.where(size == 1, point & 0x7F, np.where(place == 0, lead, 0x80 | rest))
+    return np.where(lost[owner], model.bytes_at[byte & 0xFF], ids[owner]).astype(np.int32), width
+
+
+def _symbols_to_ids(model: Model, points: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words at ``begin`` (code points) of ``size`` characters, end to end, and how many each word has."""
+    counts = np.zeros(len(begin), np.int64)
+    made: list[tuple[np.ndarray, np.ndarray]] = []  # words and their ids
+    for length in np.unique(size):
+        at = np.flatnonzero(size == length)
         if length > LONG_WORD:
             for i in at:
-                word = words[i]
+                part = points[begin[i] : begin[i] + length]
+                word = part.tobytes().decode("utf-32-le", "surrogatepass")
                 starts = (_merge_long if model.kind == BPE else _viterbi_long)(model, word)
-                ids: list[int] = []
-                for a, b in zip(starts, [*starts[1:], len(word)], strict=True):
-                    piece = model.index.get(word[a:b])
-                    ids += [piece] if piece is not None else _fallback(model, word[a:b])
-                out[i] = np.array(ids, np.int32)
+                ids = np.array([model.index.get(word[x:y], -1) for x, y in zip(starts, [*starts[1:], len(word)], strict=True)], np.int32)
+                flat, _ = _spell(model, ids, part[starts])
+                counts[i] = len(flat)
+                made.append((np.array([i]), flat))
             continue
-        for low in range(0, len(at), 1 + (1 << 19) // int(length * model.longest)):
-            some = at[low : low + 1 + (1 << 19) // int(length * model.longest)]
-            points, starts = _points([words[i] for i in some])
-            found = _probe(model, kernels.span_prefix(points), starts, int(length))
+        step = 1 + (1 << 19) // int(length * model.longest)
+        for low in range(0, len(at), step):
+            some = at[low : low + step]
+            own = points[begin[some][:, None] + np.arange(length)].ravel()
+            found = _probe(model, kernels.span_prefix(own), np.arange(len(some)) * length, int(length))
             ends = (merges if model.kind == BPE else viterbi)(model, found)
             row, stop = np.nonzero(ends)  # ascending places within each word
             first = np.concatenate([[True], row[1:] != row[:-1]])
-            begin = np.where(first, 0, np.concatenate([[0], stop[:-1] + 1]))
-            ids = found[row, begin, stop - begin]
-            cuts = np.searchsorted(row, np.arange(len(some) + 1))
-            bad = np.unique(row[ids < 0])
-            for j, i in enumerate(some):
-                out[i] = ids[cuts[j] : cuts[j + 1]]
-            for j in bad:
-                mixed: list[int] = []
-                for k in range(cuts[j], cuts[j + 1]):
-                    mixed += [int(ids[k])] if ids[k] >= 0 else _fallback(model, words[some[j]][begin[k]])
-                out[some[j]] = np.array(mixed, np.int32)
-    return out
+            start = np.where(first, 0, np.concatenate([[0], stop[:-1] + 1]))
+            flat, width = _spell(model, found[row, start, stop - start], own[row * length + start])
+            counts[some] = np.bincount(row, weights=width, minlength=len(some)).astype(np.int64)
+            made.append((some, flat))
+    first = np.cumsum(counts) - counts
+    out = np.empty(int(counts.sum()), np.int32)
+    for words, flat in made:
+        n = counts[words]
+        out[np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+    return out, counts
+
+
+class _Cache:
+    """Ids of the words met so far, by their hash; emptied when full. One per Python worker and model."""
+
+    def __init__(self):
+        self.keys, self.first, self.size, self.flat = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] != keys
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        order = np.argsort(np.concatenate([self.keys, keys]))
+        first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.keys, self.first = np.concatenate([self.keys, keys])[order], first[order]
+        self.size, self.flat = np.concatenate([self.size, size])[order], np.concatenate([self.flat, flat])
+
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        return self.first[at], self.size[at]
 
 
 def encode_texts(model: Model, texts: list[str | None]) -> list[np.ndarray]:
-    """Ids of each text; null and empty texts have none."""
+    """Ids of each text; null and empty texts have none. Words are told apart by their 64-bit hash."""
     marked = [((MARK if model.dummy_prefix else "") + t.replace(" ", MARK)) if t else "" for t in texts]
     points, starts = _points(marked)
     if not len(points):
@@ -314,25 +350,18 @@ def encode_texts(model: Model, texts: list[str | None]) -> list[np.ndarray]:
     opens[starts[starts < len(points)]] = True
     begin = np.flatnonzero(opens)
     end = np.append(begin[1:], len(points))
-    hashes = kernels.hash_spans(points, begin, end)
-    _, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-    joined = "".join(marked)
-    words = [joined[a:b] for a, b in zip(begin[where].tolist(), end[where].tolist(), strict=True)]
-    cache = model.cache
-    fresh = [w for w in words if w not in cache]
-    if len(cache) + len(fresh) > CACHED_WORDS:
-        cache.clear()
-        fresh = words
-    cache.update(zip(fresh, _words_to_ids(model, fresh), strict=True))
-    own = [cache[w] for w in words]
-    size = np.fromiter((len(x) for x in own), np.int64, len(own))
-    flat = np.concatenate(own)
-    first = np.cumsum(size) - size
+    keys, where, back = np.unique(kernels.hash_spans(points, begin, end), return_index=True, return_inverse=True)
+    fresh = model.cache.missing(keys)
+    if len(model.cache.keys) + fresh.sum() > CACHED_WORDS:
+        model.cache, fresh = _Cache(), np.ones(len(keys), bool)
+    new = where[fresh]
+    if len(new):
+        model.cache.add(keys[fresh], *_symbols_to_ids(model, points, begin[new], end[new] - begin[new]))
+    first, size = model.cache.look(keys)
     length = size[back]
     total = np.cumsum(length)
-    ids = flat[np.repeat(first[back] - (total - length), length) + np.arange(total[-1])]
-    text_end = np.searchsorted(begin, np.append(starts[1:], len(points)))
-    cuts = np.concatenate([[0], total])[text_end]
+    ids = model.cache.flat[np.repeat(first[back] - (total - length), length) + np.arange(total[-1])]
+    cuts = np.concatenate([[0], total])[np.searchsorted(begin, np.append(starts[1:], len(points)))]
     out = np.split(ids, cuts[:-1])
     if not model.byte_fallback:  # neighbouring unknown characters are one piece
         out = [x[~((x == model.unknown) & np.concatenate([[False], x[:-1] == model.unknown]))] if len(x) else x for x in out]
@@ -360,7 +389,7 @@ def encode_column(path: str):
         model = load(path)
         for series in frames:
             texts = [t if isinstance(t, str) else None for t in series.tolist()]
-            yield pd.Series([x for a, b in kernels.batches(texts) for x in encode_texts(model, texts[a:b])], dtype=object)
+            yield pd.Series([x for a, b in kernels.batches(texts, STRETCH) for x in encode_texts(model, texts[a:b])], dtype=object)
 
     return encode
 
@@ -386,3 +415,26 @@ def encode(docs: DataFrame, path: str = "piece_bpe_32k.model", text_col: str = "
 def decode(docs: DataFrame, path: str = "piece_bpe_32k.model", ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``docs`` with the text of the ids in ``text_col`` (replaced if there)."""
     return docs.withColumn(text_col, decode_column(path)(F.col(ids_col)))
+
+
+def round_trip(docs: DataFrame, path: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, round_trip) of every row: the piece ids of the whole text, and whether they decode to it again.
+
+    One Python pass does both, in stretches of bounded size. Null counts as empty and has no ids; a text that holds the
+    space mark itself does not come back (as with the library). Repeated rows and null ids are kept, other columns ignored.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        warm()
+        model = load(path)
+        for frame in frames:
+            texts = [t if isinstance(t, str) else "" for t in frame["_text"].tolist()]
+            for start, end in kernels.batches(texts, STRETCH):
+                part = texts[start:end]
+                ids = encode_texts(model, part)
+                same = [a == b for a, b in zip(decode_ids(model, ids), part, strict=True)]
+                yield pd.DataFrame({"_id": frame["_id"].iloc[start:end].to_numpy(), "ids": ids, "round_trip": same})
+
+    slim = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    made = slim.mapInPandas(run, "_id string, ids array<int>, round_trip boolean")
+    return made.select(F.col("_id").cast("long").alias("doc_id"), "ids", "round_trip")

@@ -87,7 +87,10 @@ def test_pieces_of_odd_rows(odd_docs, no_docs):
     assert out.columns == [*odd_docs.columns, "ids", "again"]
     for r in out.collect():
         assert r.again == (r.text or "") and (len(r.ids) == 0) == (not r.text)
-    assert pieces.encode(no_docs).count() == 0
+    assert pieces.encode(no_docs).count() == 0 and pieces.round_trip(no_docs).count() == 0
+    both = pieces.round_trip(odd_docs).collect()
+    assert len(both) == 12 and all(r.round_trip for r in both)
+    assert sorted(map(str, (r.ids for r in both))) == sorted(map(str, (r.ids for r in out.collect())))
 
 
 @settings(max_examples=60, deadline=None)
