@@ -37,10 +37,8 @@ def op6_fourier_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_sentencepiece_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Piece ids of every document, and whether their decoding is the text again (null: empty)."""
-    encoded = pieces.encode(table(spark, sf, "documents").select("doc_id", "text"))
-    both = pieces.decode(encoded, text_col="decoded")
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+    rows = pieces.round_trip(table(spark, sf, "documents"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
 def op8_bottom_k_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +66,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_entropy_secrets": op10_entropy_secrets,
 }
 
+def _url_oracle(order: int = url_filter.ORDER) -> str:
+    """The rules and the two Witten-Bell models in SQL, order by order."""
+    start, end = url_filter.START, url_filter.END
+    fits = lambda h, p: f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')"
+    ranked = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    pick = lambda value: "case " + " ".join(f"when {fits(r[1], r[2])} then '{value(r)}'" for r in ranked) + " end"
+    levels = []
+    for k in range(1, order + 1):
+        context = f"partition by left(gram, {k - 1})"
+        seen = ", ".join(f"sum({c}) over ({context}) as n_{c}, sum(({c} > 0)::int) over ({context}) as t_{c}" for c in ("allow", "block"))
+        low = "1.0::double / width" if k == 1 else "b.p_{c}"
+        p = ", ".join(
+            f"case when n_{c} > 0 then ({c} + t_{c} * {low.format(c=c)}) / (n_{c} + t_{c}) else {low.format(c=c)} end as p_{c}" for c in ("allow", "block")
+        )
+        levels.append(f"""
+        g{k} as materialized (select right(gram, {k}) as gram, sum(allow)::double as allow, sum(block)::double as block from counted group by 1),
+        s{k} as (select gram, allow, block, {seen}, count(*) over ({context}) as width from g{k}),
+        l{k} as materialized (select s.gram, {p} from s{k} s {"" if k == 1 else f"join l{k - 1} b on b.gram = right(s.gram, {k - 1})"})""")
+    return rf"""
+        with split as (select page_id, coalesce(url, '') as text, regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1) as h,
+          regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) as path from pages),
+        parsed as materialized (select page_id, text, path, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host from split),
+        ruled as materialized (select *, {pick(lambda r: r[1] + r[2])} as rule, {pick(lambda r: r[0])} as ruled from parsed),
+        texts as materialized (select text, any_value(ruled) as ruled, left(md5(text), 1) in ('0', '1', '2') as held from ruled group by text),
+        rows as materialized (select text, ruled, held, substr(padded, i, {order}) as gram from
+          (select *, unnest(range(1, length(padded) - {order - 2})) as i from (select *, concat('{start * (order - 1)}', text, '{end}') as padded from texts))),
+        counted as materialized (select gram, sum((coalesce(ruled, '') = 'allow' and not held)::int) as allow,
+          sum((coalesce(ruled, '') = 'block' and not held)::int) as block from rows group by 1),{",".join(levels)},
+        scores as materialized (select text, any_value(ruled) as ruled, any_value(held) as held, avg(ln(p_allow) - ln(p_block)) as raw
+          from rows join l{order} using (gram) group by text),
+        known as (select count(*) filter (where ruled = 'allow' and not held) > 0 and count(*) filter (where ruled = 'block' and not held) > 0 as ok,
+          avg(round(raw, 6)) filter (where ruled = 'allow' and held) as a, greatest(stddev_pop(round(raw, 6)) filter (where ruled = 'allow' and held), 1e-6) as sa,
+          avg(round(raw, 6)) filter (where ruled = 'block' and held) as b, greatest(stddev_pop(round(raw, 6)) filter (where ruled = 'block' and held), 1e-6) as sb
+          from scores)
+        select page_id, host, path, rule, coalesce(r.ruled, case when case when ok then round(raw, 6) else 0 end
+            >= case when ok and a is not null and b is not null then (a * sb + b * sa) / (sa + sb) else 0 end then 'allow' else 'block' end) as verdict,
+          case when ok then round(raw, 6) else 0 end as score
+        from ruled r join scores using (text), known"""
+
+
 ORACLES: dict[str, str] = {
+    "op5_markov_url_filter": _url_oracle(),
     "op2_warc_index_merge": r"""
         with sized as (select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest, url from pages),
         first as (select digest, min(page_id) as first from sized where n >= 100 group by 1 having count(*) > 1 and min(page_id) is not null),
