@@ -29,9 +29,12 @@ def round_half_even(value: Column, digits: int) -> Column:
     """Round the binary value half to even, as a float formatter does (2.675 -> 2.67).
 
     Spark's ``round`` and ``bround`` work on the printed decimal and give 2.68.
-    Non-finite input gives null.
+    Non-finite input gives null. Most values have no more digits already: those skip the formatter.
     """
-    return fixed_text(value, digits).try_cast("double")
+    value, scale = value.cast("double"), F.lit(10.0**digits)
+    near = F.rint(value * scale) / scale  # the double closest to a number of so many digits
+    plain = (value == near) & (F.abs(value) < F.lit(1e12))
+    return F.when(plain, value).otherwise(fixed_text(value, digits).try_cast("double"))
 
 
 def fixed_text(value: Column, digits: int) -> Column:

@@ -64,12 +64,12 @@ def flatten_report(summaries: DataFrame, keys: Sequence[str] = ("runset", "run")
     return flatten_records(summary_records(summaries, keys), keys)
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: Column, text: Column | None = None) -> Column:
     """A float as the file format prints it: plain from 1e-4 up to below 1e16, else ``1.5e-05``, ``1e+16``.
 
-    The engine's own text is right unless it has an exponent, so only those are rewritten.
+    The engine's own ``text`` of the value is right unless it has an exponent, so only those are rewritten.
     """
-    text = value.cast("string")
+    text = value.cast("string") if text is None else text
     power = F.substring_index(text, "E", -1).try_cast("int")
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
     size = F.abs(power).cast("string")
@@ -82,11 +82,12 @@ def number_text(value: Column) -> Column:
 
 def report_text(flat: DataFrame) -> DataFrame:
     """All columns as the text that the report files hold; null stays null."""
-    kinds = dict(flat.dtypes)
-    return flat.select(
+    numbers = [c for c, kind in flat.dtypes if kind == "double" and c in REPORT_COLUMNS]
+    # Cast in a step of its own: a text that is read several times is made once.
+    cast = flat.select("*", *[F.col(c).cast("string").alias(f"{c}__text") for c in numbers])
+    return cast.select(
         *[
-            (number_text(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string")).alias(c)
-            if c in REPORT_COLUMNS else F.col(c)
+            (number_text(F.col(c), F.col(f"{c}__text")) if c in numbers else F.col(c).cast("string") if c in REPORT_COLUMNS else F.col(c)).alias(c)
             for c in flat.columns
         ]
     )
@@ -165,12 +166,12 @@ def step_records(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("ru
     """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> records.
 
     One record per step, the same layout at every size. A phase's throughput is that of its last
-    step; phases without steps become their own step with an empty name.
+    step; phases without steps become their own step with an empty name. Keys are never null.
     """
     keys = [*keys, "phase_idx"]
     figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
     last = phase_last_step(figures, keys).withColumnsRenamed({"tps": "last_tps__", "tps_excluding": "last_excluding__"})
-    known = join_keys(phases, last.withColumn("stepped__", F.lit(True)), keys, "left")
+    known = phases.join(last.withColumn("stepped__", F.lit(True)), keys, "left")
     stepped = F.col("stepped__").isNotNull()
     tps = F.when(stepped, F.col("last_tps__")).otherwise(F.col("phase.tps"))
     excluding = F.when(stepped, F.col("last_excluding__")).otherwise(F.col("phase.tps_excluding"))
@@ -180,7 +181,7 @@ def step_records(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("ru
         *keys, "phase", F.lit(0).alias("step_idx"),
         F.struct(*[(F.lit("") if f == "step" else F.col(f"phase.{f}")).alias(f) for f in fields]).alias("step"),
     )
-    measured = join_keys(steps, known.where(stepped).select(*keys, "phase"), keys)
+    measured = steps.join(known.where(stepped).select(*keys, "phase"), keys)
     return measured.select(*keys, "phase", "step_idx", "step").unionByName(alone)
 
 

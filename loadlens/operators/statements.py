@@ -96,13 +96,9 @@ def histogram_percentiles(df: DataFrame, histogram: str = "yb_latency_histogram"
     others = [c for c in df.columns if c != histogram]
     # Exploded as one element, so that the text is parsed once and not per percentile.
     parsed = df.select(*others, F.explode(F.array(F.expr(histogram_buckets_sql(histogram)))).alias("buckets__"))
-    return parsed.select(
-        *others,
-        *[
-            finite_round(F.expr(histogram_percentile_sql("buckets__", str(percent), interpolate))).alias(name)
-            for name, percent in HISTOGRAM_PERCENTS.items()
-        ],
-    )
+    found = {name: F.expr(histogram_percentile_sql("buckets__", str(percent), interpolate)) for name, percent in HISTOGRAM_PERCENTS.items()}
+    # Rounded in a step of its own: it reads its value several times.
+    return parsed.select(*others, *[c.alias(name) for name, c in found.items()]).select(*others, *[finite_round(F.col(c)).alias(c) for c in found])
 
 
 def stats_json(statements: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def _(spark, sf):
     "sink_summary_json",
     """select f.runset, f.run, concat('label of ', f.run) as run_label, count(distinct phase) as phases,
        count(*) filter (where type = 'pgbench') as steps, count(*) filter (where type = 'http') as http_phases, cast(printf('%.2f', any_value(p.phase_tps)) as double) as phase_tps
-       from flat f join (select run, sum(tps) as phase_tps from
+       from flat f left join (select run, sum(tps) as phase_tps from
          (select run, phase_idx, last(tps order by step_idx) as tps from step_row group by all) group by run) p on p.run = f.run
        group by f.runset, f.run""",
 )
