@@ -127,7 +127,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, order
     )
     ratios = stored(log_ratios(counted, order), "ratios")
     scores = stored(
-        rows.join(ratios, "gram").groupBy("id").agg(F.avg("ratio").alias("score"))
+        # as a sort-merge join: the size of the exploded rows is guessed far too low, and they must not be broadcast
+        rows.hint("merge").join(ratios, "gram").groupBy("id").agg(F.avg("ratio").alias("score"))
         .join(texts.select("id", "text", "ruled", "held"), "id").select("text", "ruled", "held", F.round("score", 6).alias("score")),
         "scores",
     )
