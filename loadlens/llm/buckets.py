@@ -19,14 +19,18 @@ from loadlens.llm.scratch import join_apart
 BLOCK = 2048
 
 
-def block_groups(rows: DataFrame, key: str, node: str, block: int = BLOCK) -> DataFrame:
+def block_groups(
+    rows: DataFrame, key: str, node: str, block: int = BLOCK, weight: str | None = None, most_weight: int = 1
+) -> DataFrame:
     """Rows with ``group`` (long) and ``side`` (0, 1, or 2 where a block meets itself).
 
     A group is all rows of one key, or two blocks of it. Sizes come from an aggregation, and a
-    row of a key with k blocks appears k times.
+    row of a key with k blocks appears k times. A block has about ``block`` rows at most, and about
+    ``most_weight`` of the column ``weight`` in sum.
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_size")).where("_size > 1")
-    blocks = F.ceil(F.col("_size") / block).cast("int")
+    heavy = F.sum(weight) if weight else F.lit(0)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_size"), heavy.alias("_weight")).where("_size > 1")
+    blocks = F.greatest(F.ceil(F.col("_size") / block), F.ceil(F.col("_weight") / most_weight)).cast("int")
     cut = join_apart(rows, sizes, key).withColumn("_blocks", blocks)
     own = F.pmod(F.xxhash64(F.lit(7), F.col(node)), F.col("_blocks")).cast("int")
     cut = cut.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))

@@ -23,7 +23,7 @@ NGRAM = 3
 #: Letters share vectors beyond this many (code point modulo a prime); one more stands for the gap between words.
 LETTERS = 1021
 MAX_TRAIN = 20_000
-MAX_LANGUAGES = 5_000
+MAX_LANGUAGES = 500
 #: One standard deviation of the cosine of unrelated vectors; a short clean text lies above it.
 MIN_SCORE = 0.031
 UNKNOWN = "und"

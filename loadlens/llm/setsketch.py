@@ -29,7 +29,8 @@ BASE, RATE, TOP = 1.1, 20.0, 255
 PERCENT = 75
 #: A pair is plausible while log L(best) - log L(threshold) stays below this (four standard deviations).
 SLACK = 8.0
-VERIFY_BLOCK = 1024
+#: A block of a cluster that is confirmed at once: so many texts and so many shingles at most.
+VERIFY_BLOCK, VERIFY_SHINGLES = 1024, 1 << 20
 _SEED = 20240
 
 
@@ -211,8 +212,8 @@ def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, per
 
     ``clusters`` has (node, component). Sets are made anew from the text of one row per class.
     """
-    wanted = block_groups(clusters.select(F.col("component").alias("key"), F.col("node").alias("class")), "key", "class", block)
-    wanted = wanted.join(classes.select("class", "rep"), "class").groupBy("rep", "class").agg(
+    members = clusters.select(F.col("component").alias("key"), F.col("node").alias("class")).join(classes.select("class", "rep", "n"), "class")
+    wanted = block_groups(members, "key", "class", block, "n", VERIFY_SHINGLES).groupBy("rep", "class").agg(
         F.collect_list(F.struct("group", "side")).alias("tasks")  # as many as the cluster has blocks
     )
     slim = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("_text"))

@@ -36,11 +36,11 @@ def test_near_duplicates_are_those_of_brute_force(spark, groups):
 
 
 def test_blocks_do_not_change_the_result(spark, groups, monkeypatch):
-    monkeypatch.setattr("loadlens.llm.buckets.BLOCK", 3)
-    small = lambda rows, key, node, block=3: setsketch_block(rows, key, node, 3)
-    from loadlens.llm.buckets import block_groups as setsketch_block
+    from loadlens.llm.buckets import block_groups
 
+    small = lambda rows, key, node, block=3, *weights: block_groups(rows, key, node, 3, *weights)
     monkeypatch.setattr(setsketch, "block_groups", small)
+    monkeypatch.setattr(setsketch, "VERIFY_SHINGLES", 150)
     got = near(spark, groups)
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in brute.near_duplicates(groups).items()}
 
