@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 #: For few, large groups; and for very many groups, such as one per second.
 BUCKETS_PER_DOUBLING = 256
-COARSE_PER_DOUBLING = 16
+COARSE_PER_DOUBLING = 8
 
 
 def value_bucket(value: Column, per_doubling: int = BUCKETS_PER_DOUBLING) -> Column:
