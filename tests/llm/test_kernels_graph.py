@@ -74,3 +74,34 @@ def test_connected_components(spark):
     alone = {a for a, b in links if a == b and all(a not in p or p == (a, a) for p in links)}
     assert got == {k: v for k, v in want.items() if k not in alone}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_hot_key_is_cut_behind_an_aggregation(spark):
+    from pyspark.sql import functions as F
+
+    from loadlens.llm.scratch import join_apart
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 120_000, 1, 16).selectExpr("case when id % 3 = 0 then 7 else id % 1000 end as u", "uuid() as pad")
+        joined = join_apart(rows, rows.groupBy("u").agg(F.count("*").alias("n")), "u")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert join_apart(rows, rows.groupBy("u").agg(F.count("*").alias("n")), "u").agg({"n": "max"}).first()[0] > 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_long_spans_hash_by_content():
+    long = ("x" * 700_000 + "y" * 600_000).encode()
+    one, two = (kernels.split_words([pad + long + b" tail", b"", long[:-1]]) for pad in (b"", b"lead in  "))
+    a, b = one.hashes, two.hashes
+    assert len(a) == 3 and len(b) == 5 and (a == b[2:]).all() and a[0] != a[2]
+    assert kernels.split_words([b"abc"]).hashes[0] == kernels.split_words([b"q" * 600_000 + b" abc"]).hashes[1]
