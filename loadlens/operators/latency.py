@@ -127,5 +127,11 @@ def per_script_stats(txn: DataFrame, keys: Sequence[str] = ("step",)) -> DataFra
     )
 
 
+def with_script_names(stats: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per-script statistics with script, weight and planned share of the mix; null for a number that the plan lacks."""
+    named = weights.select(*keys, "script_no", "script", "weight", F.col("share").alias("planned_share"))
+    return join_keys(stats, named, [*keys, "script_no"], "left")
+
+
 def with_latency_ms(txn: DataFrame) -> DataFrame:
     return txn.withColumn("latency_ms", us_to_ms(F.col("latency_us")))

@@ -155,6 +155,10 @@ def test_defaults_of_plans_and_scripts(spark, tmp_path):
     scripts = latency.script_weights(plans, ["run_label"]).orderBy("phase_idx", "script_no").collect()
     assert [(r.phase_idx, r.phase, r.script_no, r.script, r.weight, round(r.share, 4)) for r in scripts] == [
         (0, "pgbench", 0, "a", 60, round(60 / 61, 4)), (0, "pgbench", 1, "b", 1, round(1 / 61, 4)), (1, "one", 0, "c", 1, 1.0)]
+    log = spark.createDataFrame([("pgbench", 0, 1000), ("pgbench", 0, 3000), ("pgbench", 7, 5)], "phase string, script_no int, latency_us bigint")
+    weights = latency.script_weights(plans, ["run_label"]).where("phase_idx = 0")
+    named = latency.with_script_names(latency.per_script_stats(log, ["phase"]), weights, ["phase"]).collect()
+    assert sorted((r.script_no, r.script, r.latency_samples, r.latency_avg_ms) for r in named) == [(0, "a", 2, 2.0), (7, None, 1, 0.005)]
 
 
 def test_nested_documents_on_lines_know_their_run(spark, tmp_path):
