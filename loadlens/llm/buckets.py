@@ -96,6 +96,35 @@ def pairs_of_groups(groups: np.ndarray, sides: np.ndarray, most: int = 200_000)
         i = j
 
 
+def hub_first(left: np.ndarray, right: np.ndarray | None, test, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of one large group with the components of all its linked pairs, in few comparisons where most are alike.
+
+    The rows ``left`` meet each other (``right`` None) or the rows ``right``. ``test(a, b)`` tells which index pairs are
+    linked. All rows are compared with the first one; its partners are connected through it, so only pairs with a row
+    that is not its partner are left to compare.
+    """
+    hub, others = left[:1], np.concatenate([left[1:], right if right is not None else left[:0]])
+    found = [], []
+
+    def compare(a: np.ndarray, b: np.ndarray) -> None:
+        good = test(a, b)
+        found[0].append(a[good])
+        found[1].append(b[good])
+
+    for low in range(0, len(others), most):
+        part = others[low : low + most]
+        compare(np.repeat(hub, len(part)), part)
+    near = np.concatenate([hub, *found[1]])
+    far = left[~np.isin(left, near)]
+    sides = [(far, left)] if right is None else [(far, right), (left[np.isin(left, near)], right[~np.isin(right, near)])]
+    for one, two in sides:
+        step = max(1, most // max(1, len(two)))
+        for low in range(0, len(one), step):
+            part = one[low : low + step]
+            compare(np.repeat(part, len(two)), np.tile(two, len(part)))
+    return np.concatenate(found[0]), np.concatenate(found[1])
+
+
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """A star forest over nodes 0..n-1 with the same components as the edges (a, b): at most n-1 edges."""
     label = np.arange(n)

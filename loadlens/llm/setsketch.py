@@ -11,6 +11,7 @@ are confirmed on full shingle sets.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import text_kernels as kernels
-from loadlens.llm.buckets import block_groups, forest, pairs_of_groups, together, whole_groups
+from loadlens.llm.buckets import block_groups, forest, hub_first, pairs_of_groups, together, whole_groups
 from loadlens.llm.graph import connected_components
 from loadlens.llm.scratch import join_apart, stored
 
@@ -31,6 +32,8 @@ PERCENT = 75
 SLACK = 8.0
 #: A block of a cluster that is confirmed at once: so many texts and so many shingles at most.
 VERIFY_BLOCK, VERIFY_SHINGLES = 1024, 1 << 20
+#: Groups beyond this are compared with their first row before all pairs that are left.
+LARGE = 64
 _SEED = 20240
 
 
@@ -146,7 +149,16 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, id_col: st
     return made.select(F.col("_id").cast("long").alias("doc_id"), "n_shingles", "class", "registers")
 
 
-def plausible_edges(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
+def _large_groups(sides: np.ndarray, sizes: np.ndarray, beyond: int, test):
+    """Linked pairs of each group of more than ``beyond`` rows."""
+    ends = np.cumsum(sizes)
+    for end, size in zip(ends[sizes > beyond], sizes[sizes > beyond], strict=True):
+        at = np.arange(end - size, end)
+        own = sides[at]
+        yield hub_first(at, None, test) if own[0] == 2 else hub_first(at[own == 0], at[own == 1], test) if own[0] != own[-1] else (at[:0], at[:0])
+
+
+def plausible_edges(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, large: int = LARGE) -> DataFrame:
     """(a, b) of plausible pairs of classes: per bucket a forest with the same components, not all pairs."""
     part = F.substring(F.col("registers"), F.col("band") * rows + 1, F.lit(rows))
     keyed = classes.select("class", "n", "registers", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
@@ -158,10 +170,19 @@ def plausible_edges(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, pe
             table = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), -1)
             n, name = frame["n"].to_numpy(), frame["class"].to_numpy()
             found = [], []
-            for a, b in pairs_of_groups(frame["group"].to_numpy(), frame["side"].to_numpy()):
+
+            def test(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 good = name[a] != name[b]
                 good[good] = plausible(table[a[good]], table[b[good]], n[a[good]], n[b[good]], percent)
-                tops = forest(a[good], b[good], len(frame))
+                return good
+
+            groups, sides = frame["group"].to_numpy(), frame["side"].to_numpy()
+            sizes = np.bincount(np.cumsum(np.concatenate([[False], groups[1:] != groups[:-1]])))
+            small = np.flatnonzero(np.repeat(sizes <= large, sizes))
+            pairs = ((small[a], small[b]) for a, b in pairs_of_groups(groups[small], sides[small])) if len(small) else ()
+            linked = ((a[good], b[good]) for a, b in pairs for good in [test(a, b)])
+            for a, b in itertools.chain(linked, _large_groups(sides, sizes, large, test)):
+                tops = forest(a, b, len(frame))
                 found[0].append(tops[0])
                 found[1].append(tops[1])
             if found[0]:
@@ -207,7 +228,24 @@ def _linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent
     return a[a != b], b[a != b]
 
 
-def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block: int = VERIFY_BLOCK) -> DataFrame:
+def _confirmed(sets: list[np.ndarray], sides: np.ndarray, percent: int, large: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of a group with the components of all of them: first those with the first text, then those with a text
+    that is not linked to it."""
+    left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides == 1)
+    if sides[0] != 2 and not (len(left) and len(right)):
+        return left[:0], left[:0]
+    if len(sides) <= large:
+        return _linked(sets, left, left if sides[0] == 2 else right, percent)
+    star = _linked(sets, left[:1], np.arange(1, len(sides)), percent)
+    near = np.concatenate([left[:1], star[1]])
+    rest = [(left[~np.isin(left, near)], left)] if sides[0] == 2 else [
+        (left[~np.isin(left, near)], right), (left[np.isin(left, near)], right[~np.isin(right, near)])
+    ]
+    more = [_linked(sets, a, b, percent) for a, b in rest if len(a) and len(b)]
+    return tuple(np.concatenate([x[k] for x in (star, *more)]) for k in (0, 1))
+
+
+def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block: int = VERIFY_BLOCK, large: int = LARGE) -> DataFrame:
     """(a, b) of classes whose full shingle sets reach the threshold: a forest per pair of blocks of a cluster.
 
     ``clusters`` has (node, component). Sets are made anew from the text of one row per class.
@@ -239,19 +277,14 @@ def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, per
                 part = part.drop_duplicates("class")
                 names, sides = part["class"].to_numpy(), part["side"].to_numpy()
                 sets = [np.frombuffer(s, np.uint64) for s in part["set"]]
-                if sides[0] == 2:
-                    at = np.arange(len(part))
-                    a, b = _linked(sets, at, at, percent)
-                else:
-                    a, b = _linked(sets, np.flatnonzero(sides == 0), np.flatnonzero(sides == 1), percent)
-                a, b = forest(a, b, len(part))
+                a, b = forest(*_confirmed(sets, sides, percent, large), len(part))
                 if len(a):
                     yield pd.DataFrame({"a": names[a], "b": names[b]})
 
     return together(rows).mapInPandas(confirm, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", large: int = LARGE) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Rows with 100 * |A & B| >= percent * |A | B| over their sets of five-word shingles are linked;
@@ -267,8 +300,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")
         ), "classes",
     )
-    clusters = connected_components(plausible_edges(classes, bands, rows, percent))
-    links = connected_components(verified_edges(docs, classes, clusters, percent, id_col, text_col))
+    clusters = connected_components(plausible_edges(classes, bands, rows, percent, large))
+    links = connected_components(verified_edges(docs, classes, clusters, percent, id_col, text_col, large=large))
     label = classes.select("class", "rep").join(links.withColumnRenamed("node", "class"), "class", "left")
     label = label.withColumn("component", F.coalesce("component", "class"))
     least = label.groupBy("component").agg(F.min("rep").alias("component_id"))

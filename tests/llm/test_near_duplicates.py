@@ -45,6 +45,41 @@ def test_blocks_do_not_change_the_result(spark, groups, monkeypatch):
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in brute.near_duplicates(groups).items()}
 
 
+def test_comparing_with_the_first_row_does_not_change_the_result(spark, groups):
+    got = near(spark, groups, large=2)
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in brute.near_duplicates(groups).items()}
+
+
+def test_hub_first_keeps_components():
+    from loadlens.llm.buckets import hub_first
+
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(rng.integers(2, 14))
+        links = np.triu(rng.random((n, n)) < rng.random(), 1)
+        links |= links.T
+        asked = []
+
+        def test(a, b):
+            asked.append(len(a))
+            return links[a, b] & (a != b)
+
+        cut = int(rng.integers(1, n))
+        left, right = np.arange(cut), np.arange(cut, n)
+        for one, two, want in ((np.arange(n), None, links), (left, right, np.where((np.arange(n) < cut)[:, None] != (np.arange(n) < cut), links, False))):
+            a, b = hub_first(one, two, test, 5)
+            got = brute.components(range(n), zip(a.tolist(), b.tolist(), strict=True))
+            full = brute.components(range(n), np.argwhere(links).tolist())
+            least = brute.components(range(n), np.argwhere(want).tolist())
+            # never more than all links join, never less than the wanted ones
+            assert all(full[i] == full[j] for i in range(n) for j in range(n) if got[i] == got[j])
+            assert all(got[i] == got[j] for i in range(n) for j in range(n) if least[i] == least[j])
+        asked.clear()
+        links[:] = True
+        hub_first(np.arange(n), None, test)
+        assert sum(asked) == n - 1
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     for share in (0.2, 0.6, 0.9):
