@@ -170,22 +170,34 @@ def histogram_buckets_sql(histogram: str) -> str:
     return f"array_sort(transform(arrays_zip({found}), e -> {bucket}))"
 
 
-def histogram_percentile_sql(buckets: str, percent: str, interpolate: bool = False) -> str:
-    """SQL: upper bound of the first bucket that reaches the share (or the point inside it); null when empty.
-
-    A running count and the first hit are all that the pass keeps.
-    """
-    total = f"aggregate({buckets}, 0L, (a, b) -> a + b.n)"
-    inside = "b.lo + (b.hi - b.lo) * (acc.need - acc.upto) / b.n" if interpolate else "b.hi"
-    start = f"named_struct('need', cast({total} as double) * cast({percent} / 100 as double), 'upto', 0L, 'at', cast(null as double))"
-    hit = "b.n > 0 and acc.at is null and acc.upto + b.n >= acc.need"
-    step = f"named_struct('need', acc.need, 'upto', acc.upto + b.n, 'at', case when {hit} then {inside} else acc.at end)"
-    return f"aggregate({buckets}, {start}, (acc, b) -> {step}, acc -> acc.at)"
+def histogram_total_sql(buckets: str) -> str:
+    return f"aggregate({buckets}, 0L, (a, b) -> a + b.n)"
+
+
+def histogram_percentiles_sql(buckets: str, total: str, percents: list[str], interpolate: bool = False) -> str:
+    """SQL: for each share the upper bound of the first bucket that reaches it (or the point inside it), as fields p0, p1, ..;
+    null when empty. One pass keeps a running count and the hits."""
+    names = [f"p{i}" for i in range(len(percents))]
+    start = ", ".join(f"'{n}', cast(null as double)" for n in names)
+    hits = []
+    for name, percent in zip(names, percents, strict=True):
+        need = f"cast({total} as double) * cast({percent} / 100 as double)"
+        inside = f"b.lo + (b.hi - b.lo) * ({need} - acc.upto) / b.n" if interpolate else "b.hi"
+        hits.append(f"'{name}', case when acc.{name} is null and b.n > 0 and acc.upto + b.n >= {need} then {inside} else acc.{name} end")
+    return (
+        f"aggregate({buckets}, named_struct('upto', 0L, {start}), "
+        f"(acc, b) -> named_struct('upto', acc.upto + b.n, {', '.join(hits)}))"
+    )
 
 
 def histogram_percentile(histogram: str, percent: float, interpolate: bool = False) -> Column:
     """Percentile of the bucket histogram in a column or SQL expression."""
-    return F.expr(histogram_percentile_sql(histogram_buckets_sql(histogram), str(percent), interpolate))
+    return F.expr(_one_percentile_sql(histogram, str(percent), interpolate))
+
+
+def _one_percentile_sql(histogram: str, percent: str, interpolate: bool = False) -> str:
+    buckets = histogram_buckets_sql(histogram)
+    return f"{histogram_percentiles_sql(buckets, histogram_total_sql(buckets), [percent], interpolate)}.p0"
 
 
 def whole_division(a: Column, b: Column) -> Column:
@@ -199,5 +211,5 @@ def register_functions(spark: SparkSession) -> None:
         "create or replace temporary function uuid_from_int(n bigint) returns string return "
         "regexp_replace(md5(cast(n as string)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"
     )
-    body = histogram_percentile_sql(histogram_buckets_sql("histogram"), "percent")
+    body = _one_percentile_sql("histogram", "percent")
     spark.sql(f"create or replace temporary function get_percentile(histogram string, percent double) returns double return {body}")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from loadlens.functions import (
     finite_round,
     histogram_buckets_sql,
-    histogram_percentile_sql,
+    histogram_percentiles_sql,
+    histogram_total_sql,
     is_other_statement,
     is_workload_statement,
     round_half_even,
@@ -96,9 +97,12 @@ def histogram_percentiles(df: DataFrame, histogram: str = "yb_latency_histogram"
     others = [c for c in df.columns if c != histogram]
     # Exploded as one element, so that the text is parsed once and not per percentile.
     parsed = df.select(*others, F.explode(F.array(F.expr(histogram_buckets_sql(histogram)))).alias("buckets__"))
-    found = {name: F.expr(histogram_percentile_sql("buckets__", str(percent), interpolate)) for name, percent in HISTOGRAM_PERCENTS.items()}
-    # Rounded in a step of its own: it reads its value several times.
-    return parsed.select(*others, *[c.alias(name) for name, c in found.items()]).select(*others, *[finite_round(F.col(c)).alias(c) for c in found])
+    summed = parsed.withColumn("total__", F.expr(histogram_total_sql("buckets__")))
+    percents = [str(p) for p in HISTOGRAM_PERCENTS.values()]
+    found = summed.select(*others, F.expr(histogram_percentiles_sql("buckets__", "total__", percents, interpolate)).alias("found__"))
+    # Rounded in steps of their own, since rounding reads its value several times.
+    values = found.select(*others, *[F.col(f"found__.p{i}").alias(name) for i, name in enumerate(HISTOGRAM_PERCENTS)])
+    return values.select(*others, *[finite_round(F.col(c)).alias(c) for c in HISTOGRAM_PERCENTS])
 
 
 def stats_json(statements: DataFrame) -> DataFrame:
