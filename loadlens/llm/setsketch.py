@@ -155,7 +155,10 @@ def _large_groups(sides: np.ndarray, sizes: np.ndarray, beyond: int, test):
     for end, size in zip(ends[sizes > beyond], sizes[sizes > beyond], strict=True):
         at = np.arange(end - size, end)
         own = sides[at]
-        yield hub_first(at, None, test) if own[0] == 2 else hub_first(at[own == 0], at[own == 1], test) if own[0] != own[-1] else (at[:0], at[:0])
+        if own[0] == 2:
+            yield hub_first(at, None, test)
+        elif own[0] != own[-1]:  # else one of the two blocks is empty
+            yield hub_first(at[own == 0], at[own == 1], test)
 
 
 def plausible_edges(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, large: int = LARGE) -> DataFrame:
