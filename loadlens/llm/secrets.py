@@ -3,7 +3,7 @@
 Offsets count code points, ends are exclusive. Three base kinds come from patterns. The fourth,
 ``entropy``, takes candidate strings, slides a window over each with incremental counts, and
 joins the windows whose Shannon entropy reaches the bar of the string's character class, unless
-an allow rule knows the string.
+an allow rule knows the string. Where a joined span meets a base span, its other characters stay a span.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+MARKS = "-_/+="
 WINDOW = 20
 #: Bits per character that a window must reach, by class, narrowest class first.
 CLASSES = (
@@ -79,8 +80,28 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
+def rest_of(text: str, start: int, end: int, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """What the base spans leave of a span. Marks beside a base span go with it, and so do words and counters that a
+    mark sets apart from it; all else may be a piece of a key and stays."""
+    out, at = [], start
+    for a, b in [*sorted((a, b) for a, b, _ in base if a < end and start < b), (end, end)]:
+        left, right = at, min(a, end)
+        at = max(at, b)
+        if left > start:
+            while left < right and text[left] in MARKS:
+                left += 1
+        if right < end:
+            while left < right and text[right - 1] in MARKS:
+                right -= 1
+        apart = (left == start or text[left - 1] in MARKS) and (right == end or text[right] in MARKS)
+        whole = left == start and right == end
+        if left < right and (whole or not (apart and any(rule.fullmatch(text, left, right) for rule in ALLOW))):
+            out.append((left, right))
+    return out
+
+
 def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """High-entropy spans that touch no base span and are not allowed."""
+    """High-entropy spans that are not allowed, without the characters of base spans."""
     out = []
     for m in CANDIDATE.finditer(text):
         string = m.group()
@@ -88,9 +109,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
             continue
         bar = next(bar for _, rule, bar in CLASSES if rule.fullmatch(string))
         for a, b in high_windows(string, bar):
-            a, b = a + m.start(), b + m.start()
-            if not any(a < end and start < b for start, end, _ in base):
-                out.append((a, b, "entropy"))
+            out += [(*part, "entropy") for part in rest_of(text, a + m.start(), b + m.start(), base)]
     return out
 
 
