@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,11 +57,12 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
 BATCHES = 4
 
 
-def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> DataFrame:
-    """The transactions as a stream of four files, one per micro-batch.
+def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> Iterator[DataFrame]:
+    """The transactions as a stream that gets four slices one after the other: yields it each time the next slice is there.
 
-    The files are slices by event number dealt in turn, so that every key and every second comes in all of them; unless
-    ``in_order``, the last slice comes first: what follows it is late.
+    Drain it with the same checkpoint each time; a slice is one micro-batch then, whatever the number of its files, and is
+    written by as many tasks as ``events`` has partitions. The slices go by event number dealt in turn, so that every key
+    and every second comes in all of them; unless ``in_order``, the last slice comes first: what follows it is late.
     """
     events, path = table(spark, sf, "events"), scratch_path(spark, "event-files")
     slices = list(range(BATCHES)) if in_order else [BATCHES - 1, *range(BATCHES - 1)]
@@ -68,10 +71,9 @@ def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> DataFram
         number = sum(((F.col("ts") > F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
     else:
         number = F.pmod("event_id", F.lit(BATCHES))
-    for n in slices:  # one write each, so that the files have this order
-        events.where(number == n).coalesce(1).write.mode("append").parquet(path)
-    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return files.selectExpr(*TXN_COLUMNS)
+    for n in slices:
+        events.where(number == n).write.mode("append").parquet(path)
+        yield spark.readStream.schema(events.schema).parquet(path).selectExpr(*TXN_COLUMNS)
 
 
 def txn_line(spark: SparkSession, sf: str) -> DataFrame:

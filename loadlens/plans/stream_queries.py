@@ -1,4 +1,4 @@
-"""Streaming queries: each drains its source with ``availableNow`` and returns what the stream stored."""
+"""Streaming queries: each drains its source with ``availableNow``, slice by slice, and returns what the stream stored."""
 
 from __future__ import annotations
 
@@ -25,7 +25,8 @@ def _paths(spark, name):
 )
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-histogram")
-    drain(live.start_latency_counts(t.txn_stream(spark, sf), ["variant"], path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(live.start_latency_counts(txn, ["variant"], path, checkpoint))
     merge_batches(spark, path, live.add_up(["variant", "epoch_sec", "latency_us"]))
     rows = live.latency_histogram_so_far(spark, path, ["variant"])
     return rows.withColumns({c: round_half_even(F.col(c), 6) for c in ("avg_ms", "p50_ms", "p95_ms", "p99_ms")})
@@ -39,19 +40,20 @@ def _(spark, sf):
 def _(spark, sf):
     # The last seconds are still open when the input ends: a second closes ten seconds after its end.
     path, checkpoint = _paths(spark, "stream-seconds")
-    timed = t.txn_stream(spark, sf, in_order=True).withColumn("at", F.timestamp_seconds("epoch_sec"))
-    drain(
-        live.closed_second_counts(timed, "at").writeStream.outputMode("append").format("parquet")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
-    )
+    for txn in t.txn_stream(spark, sf, in_order=True):
+        timed = txn.withColumn("at", F.timestamp_seconds("epoch_sec"))
+        drain(
+            live.closed_second_counts(timed, "at").writeStream.outputMode("append").format("parquet")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        )
     return spark.read.parquet(path).withColumn("avg_ms", round_half_even(F.col("avg_ms"), 6))
 
 
 @query("stream_decimate", "select variant, step, elapsed_sec, seq, lag_ms from lag_snapshot where seq % 4 = 0")
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-decimate")
-    polls = live.decimate(t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS), "seq", 20, 5)
-    drain(append_batches(polls, path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(append_batches(live.decimate(txn.selectExpr(*t.LAG_COLUMNS), "seq", 20, 5), path, checkpoint))
     merge_batches(spark, path)
     return read_store(spark, path).drop("batch_id")
 
@@ -59,8 +61,8 @@ def _(spark, sf):
 @query("stream_lag_summary", f"select variant, step, {LAG_SQL} from lag_snapshot where lag_ms is not null group by all")
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-lag")
-    lag = t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS)
-    drain(live.start_lag_counts(lag, ["variant", "step"], path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(live.start_lag_counts(txn.selectExpr(*t.LAG_COLUMNS), ["variant", "step"], path, checkpoint))
     return live.lag_summary_so_far(spark, path, ["variant", "step"])
 
 
@@ -70,17 +72,18 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-alert")
-    lag = t.txn_stream(spark, sf).selectExpr(*t.LAG_COLUMNS)
-    drain(append_batches(live.lag_alerts(lag), path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(append_batches(live.lag_alerts(txn.selectExpr(*t.LAG_COLUMNS)), path, checkpoint))
     return read_store(spark, path).select("variant", "step", "seq", "lag_ms", "dr_risk")
 
 
 @query("stream_snapshot_delta", DELTA_SQL)
 def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-delta")
-    # The files come out of order, so some snapshots follow a batch after those that come later in time.
+    # The slices come out of order, so some snapshots follow a batch after those that come later in time.
     keys, order = ["variant", "step"], ["elapsed_sec", "seq"]
-    drain(live.start_snapshots(t.txn_stream(spark, sf).selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(live.start_snapshots(txn.selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
     merge_batches(spark, path)
     return live.snapshot_deltas_so_far(spark, path, keys, order)
 
@@ -93,7 +96,8 @@ def _(spark, sf):
 def _(spark, sf):
     keys, order = ["variant", "step"], ["elapsed_sec", "seq"]
     path, checkpoint = _paths(spark, "stream-final")
-    drain(live.start_last_snapshots(t.txn_stream(spark, sf).selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
+    for txn in t.txn_stream(spark, sf):
+        drain(live.start_last_snapshots(txn.selectExpr(*t.STAT_COLUMNS), keys, order, path, checkpoint))
     merge_batches(spark, path, live.keep_last(keys, order))
     return live.final_snapshots(spark, path, keys, order)
 

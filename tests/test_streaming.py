@@ -1,9 +1,15 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from loadlens.operators.lag import lag_summary
 from loadlens.operators.latency import latency_histogram
 from loadlens.operators.statements import snapshot_delta
+from loadlens.plans import driver_tables
+from loadlens.plans.catalog import QUERIES
+from loadlens.plans.driver_tables import BATCHES
+from loadlens.session import _session_folder
 from loadlens.streaming import operators as live
 from loadlens.streaming.store import append_batches, drain, merge_batches, read_store
 
@@ -128,6 +134,31 @@ def test_growing_log_files(spark, tmp_path):
     assert sorted(r.txn_no for r in rows) == list(range(31)) and {(r.runset, r.run, r.step) for r in rows} == {("a", "r", "s")}
 
 
+def test_slices_are_written_by_all_tasks(spark, tmp_path):
+    """Each slice of the driver's events is one micro-batch of several files, a file per task."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    options = {"spark.sql.files.maxPartitionBytes": "16384", "spark.sql.files.openCostInBytes": "16384"}
+    before = set(os.listdir(_session_folder(spark))) if os.path.isdir(_session_folder(spark)) else set()
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        got = QUERIES["stream_lag_alert"](spark, str(tmp_path / "sf")).count()
+    finally:
+        for k in options:
+            spark.conf.unset(k)
+    fresh = {name.rsplit("-", 1)[0]: f"{_session_folder(spark)}/{name}" for name in set(os.listdir(_session_folder(spark))) - before}
+    assert len([f for f in os.listdir(fresh["event-files"]) if f.startswith("part-")]) >= 3 * BATCHES
+    assert sorted(f for f in os.listdir(f"{fresh['stream-alert-checkpoint']}/commits") if f.isdigit()) == [str(n) for n in range(BATCHES)]
+    stored = spark.read.parquet(fresh["stream-alert"]).groupBy("batch_id").agg(F.collect_set(F.pmod("seq", F.lit(BATCHES))).alias("slices")).collect()
+    assert {r.batch_id: r.slices for r in stored} == {0: [BATCHES - 1], **{n + 1: [n] for n in range(BATCHES - 1)}}
+    assert got == lag_alerts_of(spark) > 0
+
+
+def lag_alerts_of(spark):
+    return live.lag_alerts(driver_tables.lag_snapshot(spark, "/root/testdata/sf0.001")).count()
+
+
 def test_every_kth_poll(spark):
     polls = spark.range(10).withColumnRenamed("id", "seq")
     assert [r.seq for r in live.decimate(polls, "seq", 20, 5).collect()] == [0, 4, 8]
