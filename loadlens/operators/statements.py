@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from loadlens.functions import (
     finite_round,
@@ -134,11 +135,23 @@ def last_snapshot(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str
     )
 
 
-def snapshot_bucket(order: str = "elapsed_sec", width: int = 100_000) -> Column:
-    """Order-preserving cut of a snapshot series."""
+def snapshot_bucket(order: str = "elapsed_sec", width: int = 60) -> Column:
+    """Order-preserving cut of a snapshot series, by seconds."""
     return F.floor(F.col(order) / F.lit(width))
 
 
+def series_bucket(snapshots: DataFrame, order: Sequence[str], width: int = 1_000_000) -> Column:
+    """Order-preserving cut of a series: whole seconds, each cut further by the number that follows in ``order``.
+
+    Only the first column of ``order`` never falls along it, so the second can cut no more than equal values of the first;
+    where the first is no whole number or there is no second number, the seconds alone are cut.
+    """
+    kinds = [snapshots.schema[c].dataType for c in order[:2]]
+    if len(kinds) < 2 or not isinstance(kinds[0], IntegralType) or not isinstance(kinds[1], NumericType):
+        return snapshot_bucket(order[0])
+    return F.struct(F.col(order[0]), F.floor(F.col(order[1]) / F.lit(width)).alias("part__"))
+
+
 def interval_columns(previous_calls: Column, previous_mean: Column) -> dict[str, Column]:
     """Calls and mean within one interval, from cumulative calls and mean.
 
@@ -159,9 +172,9 @@ def snapshot_delta(
 ) -> DataFrame:
     """Per-interval calls and mean from cumulative snapshots.
 
-    The default bucket cuts the first column of ``order``, the only one that never falls along it.
+    The default bucket is ``series_bucket``.
     """
-    bucket = snapshot_bucket(order[0]) if bucket is None else bucket
+    bucket = series_bucket(snapshots, order) if bucket is None else bucket
     seen = with_previous(snapshots, keys, order, bucket, ["calls", "mean_ms"])
     deltas = interval_columns(F.col("prev_calls"), F.col("prev_mean_ms"))
     return seen.select(*keys, *order, *[c.alias(name) for name, c in deltas.items()])

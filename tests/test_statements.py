@@ -80,3 +80,20 @@ def test_last_step_counts_even_when_null(spark):
 @pytest.mark.parametrize("value, text", [(12.5, "12.5"), (1e7, "10000000.0"), (0.0005, "0.0005"), (None, None), (100.0, "100.0")])
 def test_report_numbers(spark, value, text):
     assert spark.createDataFrame([(value,)], "x double").select(reports.number_text(F.col("x"))).first()[0] == text
+
+
+def test_the_default_bucket_cuts_long_steps_and_hot_seconds(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr(
+        "'s' as step", "cast(if(id < 1000, 7, (id * 37) % 720) as bigint) as elapsed_sec", "id * 4001 as seq", "id * 3 % 1001 as calls", "1.5D as mean_ms")
+    cuts, real = [], statements.with_previous
+    monkeypatch.setattr(statements, "with_previous", lambda df, keys, order, bucket, columns: (cuts.append(bucket), real(df, keys, order, bucket, columns))[1])
+    order = ["elapsed_sec", "seq"]
+    shown = lambda frame: sorted(map(str, frame.collect()))
+    got = statements.snapshot_delta(rows, ["step"], order)
+    assert shown(got) == shown(statements.snapshot_delta(rows, ["step"], order, bucket=F.lit(0)))
+    assert rows.select(cuts[0]).distinct().count() >= 720
+    assert rows.where("elapsed_sec = 7 and seq < 4001000").select(cuts[0]).distinct().count() == 4
+    # a fraction of a second is cut by time alone
+    part = rows.withColumn("elapsed_sec", F.col("elapsed_sec") + F.col("seq") % 4 / 4)
+    assert shown(statements.snapshot_delta(part, ["step"], order)) == shown(statements.snapshot_delta(part, ["step"], order, bucket=F.lit(0)))
+    assert part.select(cuts[2]).distinct().count() == 12
