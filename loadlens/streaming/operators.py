@@ -38,18 +38,23 @@ def txn_log_stream(spark: SparkSession, root: str, files_per_batch: int | None =
 def ingest_growing_logs(spark: SparkSession, root: str, path: str) -> int:
     """One pass over log files that may still grow; returns the number of files read. Call it again at will.
 
-    A file that is new or longer than at its last reading is read whole, and its rows replace those of before (see
-    ``growing_logs``), so a half-written last line is corrected by the next pass. The sizes seen are stored with each
-    batch; a pass that fails leaves no complete batch and is repeated.
+    A file that is new, or of another length or time of change than at its last reading, is read whole, and its rows
+    replace those of before (see ``growing_logs``), so a half-written last line is corrected by the next pass, and a log
+    that was cut or begun anew under its name is read again. Lengths and times seen are stored with each batch; a pass
+    that fails leaves no complete batch and is repeated.
     """
     batches, _ = _folders(spark, path)
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "pgbench_log*")
-        .load(root).select(F.col("path").alias("file"), "length")
+        .load(root).select(F.col("path").alias("file"), "length", "modificationTime")
     )  # the content is not read
     if batches:
-        seen = spark.read.parquet(*[f"{path}/sizes/batch_id={n}" for n in batches]).groupBy("file").agg(F.max("length").alias("known"))
-        files = files.join(seen, "file", "left").where("known is null or length > known").drop("known")
+        # batches of before the times were stored have null there: such files are read once more
+        stored = spark.read.schema("file string, length bigint, modificationTime timestamp, batch_id bigint").option("basePath", f"{path}/sizes")
+        seen = stored.parquet(*[f"{path}/sizes/batch_id={n}" for n in batches]).groupBy("file").agg(
+            F.max_by(F.struct("length", "modificationTime"), "batch_id").alias("known")
+        )
+        files = files.join(seen, "file", "left").where(~F.struct("length", "modificationTime").eqNullSafe(F.col("known"))).drop("known")
     number = max(batches, default=-1) + 1
     files.write.mode("overwrite").parquet(f"{path}/sizes/batch_id={number}")
     grown = spark.read.parquet(f"{path}/sizes/batch_id={number}")

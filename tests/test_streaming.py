@@ -134,6 +134,19 @@ def test_growing_log_files(spark, tmp_path):
     assert sorted(r.txn_no for r in rows) == list(range(31)) and {(r.runset, r.run, r.step) for r in rows} == {("a", "r", "s")}
 
 
+def test_a_log_begun_anew_is_read_again(spark, tmp_path):
+    """Shorter than before, then longer but still below its greatest length, then of equal length with other lines."""
+    step = tmp_path / "logs" / "runset=a" / "run=r" / "step=s"
+    step.mkdir(parents=True)
+    out, log = str(tmp_path / "o"), step / "pgbench_log.1"
+    for n, (low, high) in enumerate([(10, 40), (50, 55), (50, 60), (60, 70)]):
+        log.write_text("".join(f"1 {i} {100 + i} 0 1700000000 5\n" for i in range(low, high)))
+        os.utime(log, (1_700_000_000 + n, 1_700_000_000 + n))
+        assert live.ingest_growing_logs(spark, str(tmp_path / "logs"), out) == 1
+        assert sorted(r.txn_no for r in live.growing_logs(spark, out).collect()) == list(range(low, high))
+    assert live.ingest_growing_logs(spark, str(tmp_path / "logs"), out) == 0
+
+
 def test_slices_are_written_by_all_tasks(spark, tmp_path):
     """Each slice of the driver's events is one micro-batch of several files, a file per task."""
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
