@@ -31,14 +31,22 @@ CLASSES = (
     ("alphanumeric", re.compile(r"[A-Za-z0-9]+"), 3.8),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.9),
 )
-#: Strings that are no secrets: words joined by marks, paths and slugs, UUIDs, dates and counters, placeholders.
-ALLOW = (
+#: Strings that are no secrets, unless their letters look like a key's: words joined by marks, paths and slugs.
+WORDS = (
     re.compile(r"[A-Za-z]+(?:[-_/+=]+[A-Za-z]+)*[-_/+=]*"),
     re.compile(r"(?:[A-Za-z]+|[0-9]{1,8})(?:[-_/+=]+(?:[A-Za-z]+|[0-9]{1,8}))+[-_/+=]*"),
+)
+#: A small letter between capitals: in a key, hardly in words or names.
+KEY_CASE = re.compile(r"[A-Z][a-z][A-Z]")
+#: The bar of a run of words, which a key that looks like words may still reach.
+WORD_BAR = 4.1
+#: Strings that are no secrets: UUIDs, dates and counters.
+ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),
     re.compile(r"[0-9+/_=-]+"),
-    re.compile(r"(?i).*(?:example|sample|placeholder|changeme|dummy|xxxx).*"),
 )
+#: Segments, between marks, that are placeholders.
+PLACEHOLDER = re.compile(r"(?i)[A-Za-z0-9]*(?:example|sample|placeholder|changeme|dummy|xxxx)[A-Za-z0-9]*")
 MASK = "[SECRET]"
 
 
@@ -80,6 +88,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
+def is_words(string: str) -> bool:
+    return not KEY_CASE.search(string) and any(rule.fullmatch(string) for rule in WORDS)
+
+
+def is_allowed(string: str) -> bool:
+    return any(rule.fullmatch(string) for rule in ALLOW)
+
+
+def strings_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A run without its placeholder segments: what is left between them, each a string of its own."""
+    out, at = [], start
+    for m in PLACEHOLDER.finditer(text, start, end):
+        out.append((at, m.start()))
+        at = m.end()
+        while at < end and text[at] in MARKS:
+            at += 1
+    return [(a, b) for a, b in [*out, (at, end)] if b - a >= WINDOW]
+
+
 def rest_of(text: str, start: int, end: int, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """What the base spans leave of a span. Marks beside a base span go with it, and so do words and counters that a
     mark sets apart from it; all else may be a piece of a key and stays."""
@@ -95,7 +122,8 @@ def rest_of(text: str, start: int, end: int, base: list[tuple[int, int, str]]) -
                 right -= 1
         apart = (left == start or text[left - 1] in MARKS) and (right == end or text[right] in MARKS)
         whole = left == start and right == end
-        if left < right and (whole or not (apart and any(rule.fullmatch(text, left, right) for rule in ALLOW))):
+        part = text[left:right]
+        if part and (whole or not (apart and (is_words(part) or is_allowed(part) or PLACEHOLDER.fullmatch(part)))):
             out.append((left, right))
     return out
 
@@ -104,12 +132,13 @@ def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
     """High-entropy spans that are not allowed, without the characters of base spans."""
     out = []
     for m in CANDIDATE.finditer(text):
-        string = m.group()
-        if not any(c.isdigit() for c in string) or any(rule.fullmatch(string) for rule in ALLOW):
-            continue
-        bar = next(bar for _, rule, bar in CLASSES if rule.fullmatch(string))
-        for a, b in high_windows(string, bar):
-            out += [(*part, "entropy") for part in rest_of(text, a + m.start(), b + m.start(), base)]
+        for start, end in strings_of(text, m.start(), m.end()):
+            string = text[start:end]
+            if is_allowed(string):
+                continue
+            bar = WORD_BAR if is_words(string) else next(bar for _, rule, bar in CLASSES if rule.fullmatch(string))
+            for a, b in high_windows(string, bar):
+                out += [(*part, "entropy") for part in rest_of(text, a + start, b + start, base)]
     return out
 
 
