@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import text_kernels as kernels
@@ -125,9 +125,14 @@ def _class_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _text_key(text_col: str = "text") -> Column:
+    """A 64-bit name of a text, by which a row is found again where its id is null or not its own."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, class, registers) of every row. ``class`` names the shingle set; null and blank
-    texts have no shingles, class null and registers of zeros."""
+    """(id, n_shingles, class, registers, text_key) of every row. ``class`` names the shingle set; null and blank
+    texts have no shingles, class null and registers of zeros. ``text_key`` is that of ``_text_key``."""
     registers = bands * rows
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,12 +146,12 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, id_col: st
                 table = sketch(hashes, bounds, registers)
                 yield pd.DataFrame({
                     "_id": frame["_id"].iloc[start:end].to_numpy(), "n_shingles": n, "class": name,
-                    "registers": [r.tobytes() for r in table],
+                    "registers": [r.tobytes() for r in table], "text_key": frame["_key"].iloc[start:end].to_numpy(),
                 })
 
-    slim = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    made = slim.mapInPandas(run, "_id string, n_shingles long, class long, registers binary")
-    return made.select(F.col("_id").cast("long").alias("doc_id"), "n_shingles", "class", "registers")
+    slim = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).cast("string").alias("_text"), _text_key(text_col).alias("_key"))
+    made = slim.mapInPandas(run, "_id string, n_shingles long, class long, registers binary, text_key long")
+    return made.select(F.col("_id").cast("long").alias("doc_id"), "n_shingles", "class", "registers", "text_key")
 
 
 def _large_groups(sides: np.ndarray, sizes: np.ndarray, beyond: int, test):
@@ -251,13 +256,20 @@ def _confirmed(sets: list[np.ndarray], sides: np.ndarray, percent: int, large: i
 def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block: int = VERIFY_BLOCK, large: int = LARGE) -> DataFrame:
     """(a, b) of classes whose full shingle sets reach the threshold: a forest per pair of blocks of a cluster.
 
-    ``clusters`` has (node, component). Sets are made anew from the text of one row per class.
+    ``clusters`` has (node, component). Sets are made anew from the text of one row per class: that of its smallest id,
+    or, if none of its rows has an id, that of its smallest text key.
     """
-    members = clusters.select(F.col("component").alias("key"), F.col("node").alias("class")).join(classes.select("class", "rep", "n"), "class")
-    wanted = block_groups(members, "key", "class", block, "n", VERIFY_SHINGLES).groupBy("rep", "class").agg(
+    by_text = F.col("rep").isNull().alias("by_text")
+    place = F.coalesce("rep", "text_key").alias("place")
+    members = clusters.select(F.col("component").alias("key"), F.col("node").alias("class")).join(classes.select("class", by_text, place, "n"), "class")
+    wanted = block_groups(members, "key", "class", block, "n", VERIFY_SHINGLES).groupBy("by_text", "place", "class").agg(
         F.collect_list(F.struct("group", "side")).alias("tasks")  # as many as the cluster has blocks
     )
-    slim = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("_text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("rep"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("_text"))
+    unnamed = slim.where("rep is null").groupBy("text_key").agg(F.first("_text").alias("_text"))
+    slim = slim.where("rep is not null").select(F.lit(False).alias("by_text"), F.col("rep").alias("place"), "_text").unionByName(
+        unnamed.select(F.lit(True).alias("by_text"), F.col("text_key").alias("place"), "_text")
+    )
 
     def to_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -271,7 +283,7 @@ def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, per
                 yield out[same]
 
     kind = "class long, tasks array<struct<group: long, side: int>>, set binary"
-    sets = slim.join(wanted, "rep").select("class", "tasks", "_text").mapInPandas(to_sets, kind)
+    sets = slim.join(wanted, ["by_text", "place"]).select("class", "tasks", "_text").mapInPandas(to_sets, kind)
     rows = sets.select(F.inline("tasks"), "class", "set")
 
     def confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -300,7 +312,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
     made = stored(signatures(docs, bands, rows, id_col, text_col), "sketches")
     classes = stored(
         made.where("class is not null").groupBy("class").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.min("text_key").alias("text_key"),
         ), "classes",
     )
     clusters = connected_components(plausible_edges(classes, bands, rows, percent, large))

@@ -198,3 +198,18 @@ def test_set_names_follow_sets():
     hashes, bounds = kernels.shingle_sets(["a b c d e f", "A b c d e f", "a b c d e g", ""])
     names = setsketch._class_of(hashes, bounds)
     assert names[0] == names[1] != names[2]
+
+
+def test_rows_without_an_id_are_linked(spark, prose):
+    """Two texts that are linked through one without an id, and a near copy without an id."""
+    words = prose(1, 100, 100_000)
+    bridge = words[:90] + prose(2, 4, 100_000) + words[94:]
+    far = prose(3, 8, 100_000) + bridge[8:]
+    rows = [(1, " ".join(words)), (None, " ".join(bridge)), (None, " ".join(bridge)), (2, " ".join(far)), (None, " ".join(prose(4, 50))), (3, " ".join(prose(5, 50)))]
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, bridge, far)]
+    share = lambda a, b: len(a & b) / len(a | b)
+    assert share(*shingles[:2]) >= 0.75 and share(*shingles[1:]) >= 0.75 > share(shingles[0], shingles[2])
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted(
+        [(1, 1, True), (None, 1, False), (None, 1, False), (2, 1, False), (None, None, True), (3, 3, True)], key=str
+    )
