@@ -309,6 +309,13 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
     no rows; other columns are ignored. Links at exactly the threshold share no band in 6 of 100,000
     cases; more bands make that rarer.
     """
+    found = _decided(docs, bands, rows, percent, id_col, text_col, large)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _decided(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", large: int = LARGE) -> DataFrame:
+    """``near_duplicates`` with text_key and the component proper: two may have one smallest id if that id has two texts;
+    null for texts without shingles."""
     made = stored(signatures(docs, bands, rows, id_col, text_col), "sketches")
     classes = stored(
         made.where("class is not null").groupBy("class").agg(
@@ -320,17 +327,23 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
     label = classes.select("class", "rep").join(links.withColumnRenamed("node", "class"), "class", "left")
     label = label.withColumn("component", F.coalesce("component", "class"))
     least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
-    names = label.join(least, "component").select("class", "component_id")
-    joined = join_apart(made.select("doc_id", "n_shingles", "class"), names, "class", "left")
+    names = label.join(least, "component").select("class", "component", "component_id")
+    joined = join_apart(made.select("doc_id", "n_shingles", "class", "text_key"), names, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    return joined.select("doc_id", "n_shingles", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return joined.select("doc_id", "n_shingles", "text_key", "component", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, one per group of near-duplicates: that of the smallest id.
 
-    Of repeated rows (equal ids in one group) the first by content stays; rows without an id stay.
+    Of repeated rows (equal ids in one group) the first by content stays, in the order of the columns; equal ids in two
+    groups both stay. Rows without an id stay.
     """
-    kept = near_duplicates(docs.select("doc_id", "text"), **options).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = _decided(docs.select("doc_id", "text"), **options).where("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("component").alias("_component")).distinct()
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what has an order
+    named = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("_id"), _text_key().alias("_key"), F.struct(*plain).alias("_order"), F.struct(*docs.columns).alias("_row")
+    )
+    first = named.join(kept, ["_id", "_key"]).groupBy("_id", "_component").agg(F.min_by("_row", "_order").alias("_row"))
+    return first.select("_row.*").unionByName(docs.where("doc_id is null"))

@@ -213,3 +213,13 @@ def test_rows_without_an_id_are_linked(spark, prose):
     assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted(
         [(1, 1, True), (None, 1, False), (None, 1, False), (2, 1, False), (None, None, True), (3, 3, True)], key=str
     )
+
+
+def test_an_id_with_two_texts_keeps_what_is_in_no_group(spark, prose):
+    """Equal ids in two groups both stay; what lost to a smaller id goes; of equal ids in one group the first by content stays."""
+    one, two, other = (" ".join(prose(n, 50, 100_000)) for n in (6, 7, 8))
+    rows = [(5, one, "b"), (5, one, "a"), (5, two, "a"), (7, one, "a"), (7, other, "a"), (8, other, "z"), (None, two, "a"), (9, None, "b"), (9, "", "a")]
+    for seed in (1, 2):
+        frame = spark.createDataFrame(rows[::-1] if seed == 2 else rows, "doc_id long, text string, source string").repartition(seed * 2)
+        got = [tuple(r) for r in setsketch.keep_first(frame).collect()]
+        assert sorted(got, key=str) == sorted([(5, one, "a"), (5, two, "a"), (7, other, "a"), (None, two, "a"), (9, None, "b")], key=str)
