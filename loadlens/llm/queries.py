@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import fingerprints, language, packing, pieces, quality, secrets, setsketch, url_filter, vectors, warc
+from loadlens.llm import alignment, fingerprints, language, packing, phrases, pieces, pii, quality, secrets, setsketch, url_filter, vectors, warc
 from loadlens.llm.tables import table
 
 
@@ -53,6 +53,18 @@ def op10_entropy_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def op11_pair_bitmap_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents"))
+
+
+def op12_weak_label_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.scan(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def op13_prefix_free_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperdimensional_language_id": op1_hyperdimensional_language_id,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -64,8 +76,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op9_cost_balanced_packing": op9_cost_balanced_packing,
     "op10_entropy_secrets": op10_entropy_secrets,
+    "op11_pair_bitmap_alignment": op11_pair_bitmap_alignment,
+    "op12_weak_label_pii": op12_weak_label_pii,
+    "op13_prefix_free_collocations": op13_prefix_free_collocations,
 }
 
+
 def _url_oracle(order: int = url_filter.ORDER) -> str:
     """The rules and the two Witten-Bell models in SQL, order by order."""
     start, end = url_filter.START, url_filter.END
@@ -147,4 +163,24 @@ ORACLES: dict[str, str] = {
         select d.doc_id, coalesce(z.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
         from documents d join (select doc_id, min(other) as component_id from reach group by 1) c on c.doc_id = d.doc_id
         left join sizes z on z.doc_id = d.doc_id""",
+    "op13_prefix_free_collocations": r"""
+        with texts as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from texts),
+        words as materialized (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces),
+        grams as (select lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as phrase from words, (values (1), (2), (3)) as sizes(k)),
+        counts as materialized (select lang, k, phrase, count(*) as f from grams group by all),
+        totals as (select lang, sum(f) as n from counts where k = 1 group by lang),
+        cuts as (select c.lang, c.k, c.phrase, c.f as a, cut, array_to_string(string_split(c.phrase, ' ')[1:cut], ' ') as first,
+          array_to_string(string_split(c.phrase, ' ')[cut + 1:], ' ') as rest from counts c, (values (1), (2)) as t(cut) where c.k > cut and c.f >= 10),
+        scored as materialized (select cuts.lang, cuts.k, cuts.phrase, a, cut, x.f as l, y.f as r,
+          cast((1000000::hugeint * a * a) // (x.f::hugeint * y.f) as bigint) as score
+          from cuts join counts x on x.lang = cuts.lang and x.phrase = first and x.k = cut
+          join counts y on y.lang = cuts.lang and y.phrase = rest and y.k = cuts.k - cut),
+        best as materialized (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        inner_parts as (select distinct b.lang, b.phrase from best b join best c on c.lang = b.lang and c.k = 3 and b.k = 2
+          and (array_to_string(string_split(c.phrase, ' ')[1:2], ' ') = b.phrase or array_to_string(string_split(c.phrase, ' ')[2:3], ' ') = b.phrase)
+          and 100 * c.a >= 50 * b.a),
+        kept as (select * from best b where not exists (select 1 from inner_parts i where i.lang = b.lang and i.phrase = b.phrase))
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, cast(n as bigint) as n, score
+        from kept join totals using (lang) qualify rank <= 2000""",
 }
