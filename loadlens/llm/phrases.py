@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,13 +23,15 @@ from loadlens.llm.scratch import join_apart, stored, warm
 LONGEST = 3
 OVERLAP = LONGEST - 1
 #: A chunk begins where the hash of two words is 0 modulo this, and after so many words at the latest.
-PERIOD, MOST = 12, 64
+PERIOD, MOST = 32, 256
 LEAST, TOP, INSIDE_PERCENT = 10, 2000, 50
 UNKNOWN = "und"
-#: Bits of the table of frequent words that goes to every task: 8 MB, whatever the number of words.
-FILTER_BITS = 1 << 26
-#: Words whose counts a task holds before it passes them on.
-HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 20, 200_000, 400_000
+#: Buckets of phrase hashes: a table of 8 MB goes to every task, whatever the number of phrases. A range of them is one row.
+BUCKET_BITS, RANGE_BITS = 26, 14
+#: So many tasks' bucket counts are added up at once.
+TASKS_ADDED = 256
+#: Words that a task holds before it passes their counts on, and chunks and different words of its dictionary.
+HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 19, 100_000, 300_000
 END = b"\n"
 
 # Marks that end a piece (also line feeds to carriage returns), A-Z to lower case, tab to blank.
@@ -141,111 +144,183 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], np.add.reduceat(weights, first)
 
 
-def count_inside(chunks: DataFrame, sizes: tuple[int, ...], frequent: bytes | None = None) -> DataFrame:
-    """(lang, phrase, k, n) of phrases of ``sizes`` words, added up per batch: the same phrase may come in several rows.
+class _Held:
+    """Chunks of several languages as one run of codes (0 is the end of a piece), until there are ``HELD_WORDS``.
 
-    ``frequent`` is a bit table of words (see ``frequent_words``): phrases with a word outside it are left out.
+    Codes are given per language and word from one count, so that phrases of two languages never meet.
     """
-    spark = chunks.sparkSession
-    shared = spark.sparkContext.broadcast(frequent) if frequent is not None else None
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        warm()
-        bits = np.frombuffer(shared.value, np.uint8) if shared is not None else None
-        bits_mask = len(bits) * 8 - 1 if bits is not None else 0
+    def __init__(self):
+        self.names, self.langs, self.hashes, self.by = ["\n"], [""], [0], {}
+        self.codes, self.sizes, self.weights, self.count = [], [], [], 0
+
+    def _words(self, lang: str) -> dict:
+        held = self
 
         class Words(dict):
-            """Codes of a language's words from one shared count, so that phrases of two languages never meet; 0 for words that don't count."""
-
-            def __init__(self, lang: str):
-                super().__init__({END: 0})
-                self.lang, self.tail = lang, b"\n" + lang.encode("utf-8", "surrogatepass")
-
-            def __missing__(self, word: bytes) -> int:
-                code = 0
-                place = zlib.crc32(word + self.tail) & bits_mask if bits is not None else 0
-                if bits is None or bits[place >> 3] >> (place & 7) & 1:
-                    code = len(names)
-                    names.append(word)
-                    langs.append(self.lang)
-                self[word] = code
+            def __missing__(self, word: str) -> int:
+                self[word] = code = len(held.names)
+                held.names.append(word)
+                held.langs.append(lang)
+                held.hashes.append(zlib.crc32(f"{word}\n{lang}".encode("utf-8", "surrogatepass")))
                 return code
 
-        names, langs, by = [END], [""], {}
-        held, weights, sizes_of, count = [], [], [], 0
-
-        def passed_on() -> Iterator[pd.DataFrame]:
-            codes = np.array(held, np.int64)
-            length = np.array(sizes_of, np.int64)
-            last = np.repeat(np.cumsum(length) - OVERLAP, length)  # phrases begin before the overlap
-            weight = np.where(np.arange(len(codes)) < last, np.repeat(np.array(weights, np.int64), length), 0)
-            total = len(names)
-            for k in sizes:
-                width = len(codes) - k + 1
-                if width <= 0:
-                    continue
-                good = weight[:width] > 0
-                key = np.zeros(width, np.int64)
-                for i in range(k):
-                    part = codes[i : i + width]
-                    good &= part > 0
-                    key = key * total + part
-                keys, n = _summed(key[good], weight[:width][good])
-                for low in range(0, len(keys), 20_000):
-                    some = keys[low : low + 20_000]
-                    places = [(some // total ** (k - 1 - i) % total).tolist() for i in range(k)]
-                    phrases = [b" ".join([names[c] for c in row]).decode("utf-8", "surrogatepass") for row in zip(*places, strict=True)]
-                    yield pd.DataFrame({"lang": [langs[c] for c in places[0]], "phrase": phrases, "k": k, "n": n[low : low + 20_000]})
+        return Words({"\n": 0})
+
+    def add(self, lang: str, chunks: list[str], weights: np.ndarray) -> None:
+        if lang not in self.by:
+            self.by[lang] = self._words(lang)
+        flat = " ".join(chunks).split(" ")
+        self.codes.append(np.fromiter(map(self.by[lang].__getitem__, flat), np.int64, len(flat)))
+        self.sizes.append(np.fromiter((c.count(" ") + 1 for c in chunks), np.int64, len(chunks)))
+        self.weights.append(weights)
+        self.count += len(flat)
+
+    def done(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, hashes of the words, weight of a phrase that begins there): 0 in the overlap of a chunk and at marks."""
+        codes, sizes = np.concatenate(self.codes), np.concatenate(self.sizes)
+        last = np.repeat(np.cumsum(sizes) - OVERLAP, sizes)
+        weight = np.where((np.arange(len(codes)) < last) & (codes > 0), np.repeat(np.concatenate(self.weights), sizes), 0)
+        return codes, np.array(self.hashes, np.uint64)[codes], weight
+
+
+def _held(frames: Iterator[pd.DataFrame]) -> Iterator[_Held]:
+    held = _Held()
+    for frame in frames:
+        for lang, part in frame.groupby("lang", sort=False):
+            held.add(lang, part["chunk"].tolist(), part["n"].to_numpy(np.int64))
+        if held.count >= HELD_WORDS:
+            yield held
+            held = _Held()
+    if held.count:
+        yield held
+
+
+def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, buckets) of the phrases of k words."""
+    width = max(0, len(codes) - k + 1)
+    good = weight[:width] > 0
+    key = np.full(width, k, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(k):
+            good &= codes[i : i + width] > 0
+            key = (key ^ hashes[i : i + width]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(32)
+        key *= np.uint64(0xD6E8FEB86659FD93)
+    at = np.flatnonzero(good)
+    return at, (key[at] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
-        for frame in frames:
-            for lang, chunk, n in zip(frame["lang"].tolist(), frame["chunk"].tolist(), frame["n"].tolist(), strict=True):
-                words = by.get(lang)
-                if words is None:
-                    words = by[lang] = Words(lang)
-                codes = list(map(words.__getitem__, chunk.encode("utf-8", "surrogatepass").split(b" ")))
-                held += codes
-                weights.append(n)
-                sizes_of.append(len(codes))
-                count += len(codes)
-                if count >= HELD_WORDS:
-                    yield from passed_on()
-                    names, langs, by = [END], [""], {}
-                    held, weights, sizes_of, count = [], [], [], 0
-        yield from passed_on()
 
-    return chunks.select("lang", "chunk", "n").mapInPandas(run, "lang string, phrase string, k int, n long")
+def _planes(numbers: np.ndarray) -> bytes:
+    """16-bit numbers as their low bytes, then their high bytes: sorted ones compress well that way."""
+    return numbers.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
 
 
-def _key(phrase: Column, lang: Column) -> Column:
-    """One text per language and phrase; no phrase has a line feed."""
-    return F.concat(phrase, F.lit("\n"), lang)
+def frequent_buckets(chunks: DataFrame, least: int = LEAST) -> bytes:
+    """A bit per bucket of phrase hashes: set where all phrases of the bucket together occur ``least`` times.
 
+    A phrase whose bit is not set is rarer than that; one whose bit is set may be. The table has 2**BUCKET_BITS bits
+    whatever the number of phrases. Counts are added up per range of buckets and group of tasks, then per range;
+    no row holds more than a range and counts stop at ``least``.
+    """
+    size = 1 << RANGE_BITS
+    most = min(least, 255)
 
-def frequent_words(words: DataFrame, bits: int = FILTER_BITS) -> bytes:
-    """A bit per hash of (word, language), for the words of a table (lang, phrase): a fixed number of bits, no word missing.
+    def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        warm()
+        salt = TaskContext.get().partitionId() // TASKS_ADDED
+        for held in _held(frames):
+            codes, hashes, weight = held.done()
+            found = [_places(codes, hashes, weight, k) for k in range(1, LONGEST + 1)]
+            keys, n = _summed(np.concatenate([f[1] for f in found]), np.concatenate([weight[f[0]] for f in found]))
+            ranges, starts = np.unique(keys >> RANGE_BITS, return_index=True)
+            inside, capped = keys & (size - 1), np.minimum(n, most).astype(np.uint8)
+            ends = np.append(starts[1:], len(keys))
+            yield pd.DataFrame({
+                "range": ranges, "salt": salt, "at": [_planes(inside[a:b]) for a, b in zip(starts, ends, strict=True)],
+                "n": [capped[a:b].tobytes() for a, b in zip(starts, ends, strict=True)],
+            })
+
+    def add_up(frames: Iterator[pd.DataFrame], columns: list[str], whole: bool) -> Iterator[pd.DataFrame]:
+        now, counts = None, np.zeros(size, np.int64)
+
+        def done() -> pd.DataFrame:
+            out = {c: [v] for c, v in zip(columns, now, strict=True)}
+            if whole:
+                return pd.DataFrame({**out, "bits": [np.packbits(counts >= most, bitorder="little").tobytes()]})
+            at = np.flatnonzero(counts)
+            return pd.DataFrame({**out, "at": [_planes(at)], "n": [np.minimum(counts[at], most).astype(np.uint8).tobytes()]})
 
-    Words that share a bit with one of them only make the later counts longer.
-    """
-    place = F.crc32(_key(F.col("phrase"), F.col("lang")).cast("binary")).bitwiseAND(bits - 1)
-    # Spark's bit positions count from 1: bucket b holds the places (b - 1) * 32,768 and up.
-    rows = words.select((place + 1).alias("place")).distinct().groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")
+        for frame in frames:
+            for *key, at, n in frame[[*columns, "at", "n"]].itertuples(index=False):
+                if key != now:
+                    if now is not None:
+                        yield done()
+                    now, counts = key, np.zeros(size, np.int64)
+                places = np.frombuffer(at, np.uint8).reshape(2, -1).astype(np.int64)
+                counts[places[0] + (places[1] << 8)] += np.frombuffer(n, np.uint8)
+        if now is not None:
+            yield done()
+
+    rows = chunks.mapInPandas(buckets, "range int, salt int, at binary, n binary")
+    partly = rows.repartition(F.col("range"), F.col("salt")).sortWithinPartitions("range", "salt").mapInPandas(
+        lambda frames: add_up(frames, ["range", "salt"], False), "range int, salt int, at binary, n binary"
     )
-    out = np.zeros(max(bits, 32768) // 8, np.uint8)
-    for r in rows.collect():  # at most bits / 32,768 rows of 4 KB
-        at = (r["bucket"] - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)
-    return out.tobytes()
+    whole = partly.repartition(F.col("range")).sortWithinPartitions("range").mapInPandas(lambda frames: add_up(frames, ["range"], True), "range int, bits binary")
+    table = np.zeros(1 << (BUCKET_BITS - 3), np.uint8)
+    for r in whole.collect():  # 2**BUCKET_BITS bits
+        table[r["range"] * size // 8 : (r["range"] + 1) * size // 8] = np.frombuffer(r["bits"], np.uint8)
+    return table.tobytes()
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, k, f) of all phrases of 1 to 3 words with f >= ``least``, (lang, n) with the number of all words)."""
+    """((lang, phrase, k, f) of all phrases of 1 to 3 words with f >= ``least``, (lang, n) with the number of all words).
+
+    Phrases that a table of bucket counts shows to be rarer are not counted one by one; the counts of the others are exact.
+    """
     chunks = stored(dictionary(docs, text_col, lang_col), "phrase-chunks")
-    words = stored(count_inside(chunks, (1,)).groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "phrase-words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = words.where(F.col("f") >= least)
-    longer = count_inside(chunks, (2, 3), frequent_words(often)).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return stored(longer.unionByName(often.withColumn("k", F.lit(1))).select("lang", "phrase", "k", "f"), "phrase-counts"), totals
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(chunks, least))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        warm()
+        bits = np.frombuffer(shared.value, np.uint8)
+        for held in _held(frames):
+            codes, hashes, weight = held.done()
+            names, langs, total = np.array(held.names, object), np.array(held.langs, object), len(held.names)
+            lang_codes, n = _summed(codes[weight > 0], weight[weight > 0])
+            words = pd.DataFrame({"lang": langs[lang_codes], "n": n}).groupby("lang", as_index=False)["n"].sum()
+            yield words.assign(phrase="", k=0)[["lang", "phrase", "k", "n"]]
+            before = None
+            for k in range(1, LONGEST + 1):
+                at, bucket = _places(codes, hashes, weight, k)
+                good = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
+                if before is not None:  # both phrases of one word less
+                    good &= before[at] & before[at + 1]
+                at = at[good]
+                before = np.zeros(len(codes) + 1, bool)
+                if k < LONGEST:  # the phrases of one word less may begin in the overlap
+                    known, bucket = _places(codes, hashes, np.ones(len(codes), np.int64), k)
+                    before[known] = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
+                key = np.zeros(len(at), np.int64)
+                for i in range(k):
+                    key = key * total + codes[at + i]
+                keys, n = _summed(key, weight[at])
+                for low in range(0, len(keys), 20_000):
+                    some = keys[low : low + 20_000]
+                    places = [some // total ** (k - 1 - i) % total for i in range(k)]
+                    phrase = names[places[0]]
+                    for place in places[1:]:
+                        phrase = phrase + " " + names[place]
+                    yield pd.DataFrame({"lang": langs[places[0]], "phrase": phrase, "k": k, "n": n[low : low + 20_000]})
+
+    rows = chunks.select("lang", "chunk", "n").mapInPandas(run, "lang string, phrase string, k int, n long")
+    counts = stored(rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrase-counts")
+    return counts.where("k > 0"), counts.where("k = 0").select("lang", F.col("f").alias("n"))
+
+
+def _key(phrase: Column, lang: Column) -> Column:
+    """One text per language and phrase; no phrase has a line feed."""
+    return F.concat(phrase, F.lit("\n"), lang)
 
 
 def _score(a: str, left: str, right: str) -> Column:
