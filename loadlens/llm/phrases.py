@@ -26,12 +26,12 @@ OVERLAP = LONGEST - 1
 PERIOD, MOST = 32, 256
 LEAST, TOP, INSIDE_PERCENT = 10, 2000, 50
 UNKNOWN = "und"
-#: Buckets of phrase hashes: a table of 8 MB goes to every task, whatever the number of phrases. A range of them is one row.
-BUCKET_BITS, RANGE_BITS = 26, 14
+#: Buckets of phrase hashes: a table of 16 MB goes to every task, whatever the number of phrases. A range of them is one row.
+BUCKET_BITS, RANGE_BITS = 27, 14
 #: So many tasks' bucket counts are added up at once.
 TASKS_ADDED = 256
 #: Words that a task holds before it passes their counts on, and chunks and different words of its dictionary.
-HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 19, 100_000, 300_000
+HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 20, 100_000, 300_000
 END = b"\n"
 
 # Marks that end a piece (also line feeds to carriage returns), A-Z to lower case, tab to blank.
@@ -105,7 +105,7 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         def passed_on() -> Iterator[pd.DataFrame]:
             words = vocabulary.words
             for lang, chunks in counts.items():
-                rows = [(b" ".join([words[c] for c in memoryview(chunk).cast("I")]).decode("utf-8", "surrogatepass"), n) for chunk, n in chunks.items()]
+                rows = [(b" ".join(map(words.__getitem__, memoryview(chunk).cast("I"))).decode("utf-8", "surrogatepass"), n) for chunk, n in chunks.items()]
                 for low in range(0, len(rows), 20_000):
                     part = rows[low : low + 20_000]
                     yield pd.DataFrame({"lang": lang, "chunk": [r[0] for r in part], "n": [r[1] for r in part]})
@@ -138,7 +138,7 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Distinct keys and the exact sums of their weights."""
     if not len(keys):
         return keys, weights
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, weights = keys[order], weights[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(weights, first)
@@ -290,17 +290,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
             lang_codes, n = _summed(codes[weight > 0], weight[weight > 0])
             words = pd.DataFrame({"lang": langs[lang_codes], "n": n}).groupby("lang", as_index=False)["n"].sum()
             yield words.assign(phrase="", k=0)[["lang", "phrase", "k", "n"]]
-            before = None
+            here, before = codes > 0, None  # in the overlap too, where no phrase of its own begins
             for k in range(1, LONGEST + 1):
-                at, bucket = _places(codes, hashes, weight, k)
-                good = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
+                at, bucket = _places(codes, hashes, here, k)
+                often = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
                 if before is not None:  # both phrases of one word less
-                    good &= before[at] & before[at + 1]
-                at = at[good]
+                    often &= before[at] & before[at + 1]
                 before = np.zeros(len(codes) + 1, bool)
-                if k < LONGEST:  # the phrases of one word less may begin in the overlap
-                    known, bucket = _places(codes, hashes, np.ones(len(codes), np.int64), k)
-                    before[known] = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
+                before[at[often]] = True
+                at = at[often & (weight[at] > 0)]
                 key = np.zeros(len(at), np.int64)
                 for i in range(k):
                     key = key * total + codes[at + i]
