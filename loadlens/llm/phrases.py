@@ -26,12 +26,12 @@ OVERLAP = LONGEST - 1
 PERIOD, MOST = 32, 256
 LEAST, TOP, INSIDE_PERCENT = 10, 2000, 50
 UNKNOWN = "und"
-#: Buckets of phrase hashes: a table of 16 MB goes to every task, whatever the number of phrases. A range of them is one row.
-BUCKET_BITS, RANGE_BITS = 27, 14
+#: Buckets of phrase hashes: a table of 8 MB goes to every task, whatever the number of phrases. A range of them is one row.
+BUCKET_BITS, RANGE_BITS = 26, 14
 #: So many tasks' bucket counts are added up at once.
 TASKS_ADDED = 256
 #: Words that a task holds before it passes their counts on, and chunks and different words of its dictionary.
-HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 20, 100_000, 300_000
+HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 20, 60_000, 250_000
 END = b"\n"
 
 # Marks that end a piece (also line feeds to carriage returns), A-Z to lower case, tab to blank.
@@ -95,27 +95,35 @@ def parse(texts: list[list[bytes]], vocabulary: _Vocabulary, period: int = PERIO
         yield text, buffer[a:b]
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", period: int = PERIOD, most: int = MOST) -> DataFrame:
-    """(lang, chunk, n): the distinct chunks of each language as words joined by blanks, and how often each occurs."""
+def parsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, period: int = PERIOD, most: int = MOST) -> DataFrame:
+    """Rows of two kinds, from one reading of the texts: (lang, chunk, n) with chunks as words joined by blanks, and
+    (range, salt, at, counts) with the capped bucket counts of the phrases in these chunks. Both are parts, to be added up."""
+    cap = min(least, 255)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         warm()
+        salt = TaskContext.get().partitionId() // TASKS_ADDED
         vocabulary, counts = _Vocabulary(), {}
 
         def passed_on() -> Iterator[pd.DataFrame]:
-            words = vocabulary.words
-            for lang, chunks in counts.items():
-                rows = [(b" ".join(map(words.__getitem__, memoryview(chunk).cast("I"))).decode("utf-8", "surrogatepass"), n) for chunk, n in chunks.items()]
-                for low in range(0, len(rows), 20_000):
-                    part = rows[low : low + 20_000]
-                    yield pd.DataFrame({"lang": lang, "chunk": [r[0] for r in part], "n": [r[1] for r in part]})
+            words, hashes = vocabulary.words, np.array(vocabulary.hashes, np.uint64)
+            for lang, found in counts.items():
+                chunks, n = list(found), np.fromiter(found.values(), np.int64, len(found))
+                for low in range(0, len(chunks), 20_000):
+                    part, weights = chunks[low : low + 20_000], n[low : low + 20_000]
+                    lines = [b" ".join(map(words.__getitem__, memoryview(c).cast("I"))).decode("utf-8", "surrogatepass") for c in part]
+                    yield pd.DataFrame({"lang": lang, "chunk": lines, "n": weights, "range": 0, "salt": 0, "at": None, "counts": None})
+                    codes = np.frombuffer(b"".join(part), np.uint32).astype(np.int64)
+                    weight = _begin(codes, np.fromiter(map(len, part), np.int64, len(part)) // 4, weights)
+                    places = [_places(codes, hashes[codes], weight, k, np.uint64(_lang_hash(lang))) for k in range(1, LONGEST + 1)]
+                    rows = _bucket_rows(np.concatenate([f[1] for f in places]), np.concatenate([weight[f[0]] for f in places]), cap)
+                    yield rows.assign(lang=None, chunk=None, n=0, salt=salt)[["lang", "chunk", "n", "range", "salt", "at", "counts"]]
 
         for frame in frames:
             texts, langs = frame["_text"].tolist(), frame["_lang"].tolist()
             at = 0
             while at < len(texts):
-                batch, size = [], 0
-                start = at
+                batch, size, start = [], 0, at
                 while at < len(texts) and (not batch or size < 1 << 18):
                     words = tokens(texts[at]) if texts[at] else []
                     batch.append(words)
@@ -131,7 +139,22 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("_lang")
     slim = docs.select(F.col(text_col).cast("string").alias("_text"), lang)
-    return slim.mapInPandas(run, "lang string, chunk string, n long").groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
+    return slim.mapInPandas(run, "lang string, chunk string, n long, range int, salt int, at binary, counts binary")
+
+
+def dictionary(parts: DataFrame) -> DataFrame:
+    """(lang, chunk, n): the distinct chunks of each language, and how often each occurs."""
+    return parts.where("chunk is not null").groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
+
+
+def _lang_hash(lang: str) -> int:
+    return zlib.crc32(lang.encode("utf-8", "surrogatepass"))
+
+
+def _begin(codes: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weight of a phrase that begins at a place: that of its chunk, 0 in the chunk's overlap and at marks."""
+    last = np.repeat(np.cumsum(sizes) - OVERLAP, sizes)
+    return np.where((np.arange(len(codes)) < last) & (codes > 0), np.repeat(weights, sizes), 0)
 
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,18 +174,19 @@ class _Held:
     """
 
     def __init__(self):
-        self.names, self.langs, self.hashes, self.by = ["\n"], [""], [0], {}
+        self.names, self.langs, self.hashes, self.seeds, self.by = ["\n"], [""], [0], [0], {}
         self.codes, self.sizes, self.weights, self.count = [], [], [], 0
 
     def _words(self, lang: str) -> dict:
-        held = self
+        held, seed = self, _lang_hash(lang)
 
         class Words(dict):
             def __missing__(self, word: str) -> int:
                 self[word] = code = len(held.names)
                 held.names.append(word)
                 held.langs.append(lang)
-                held.hashes.append(zlib.crc32(f"{word}\n{lang}".encode("utf-8", "surrogatepass")))
+                held.hashes.append(zlib.crc32(word.encode("utf-8", "surrogatepass")))
+                held.seeds.append(seed)
                 return code
 
         return Words({"\n": 0})
@@ -176,12 +200,11 @@ class _Held:
         self.weights.append(weights)
         self.count += len(flat)
 
-    def done(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(codes, hashes of the words, weight of a phrase that begins there): 0 in the overlap of a chunk and at marks."""
-        codes, sizes = np.concatenate(self.codes), np.concatenate(self.sizes)
-        last = np.repeat(np.cumsum(sizes) - OVERLAP, sizes)
-        weight = np.where((np.arange(len(codes)) < last) & (codes > 0), np.repeat(np.concatenate(self.weights), sizes), 0)
-        return codes, np.array(self.hashes, np.uint64)[codes], weight
+    def done(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, hashes of words, hashes of their languages, weight of a phrase that begins there)."""
+        codes = np.concatenate(self.codes)
+        hashes, seeds = (np.array(x, np.uint64)[codes] for x in (self.hashes, self.seeds))
+        return codes, hashes, seeds, _begin(codes, np.concatenate(self.sizes), np.concatenate(self.weights))
 
 
 def _held(frames: Iterator[pd.DataFrame]) -> Iterator[_Held]:
@@ -196,11 +219,11 @@ def _held(frames: Iterator[pd.DataFrame]) -> Iterator[_Held]:
         yield held
 
 
-def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, buckets) of the phrases of k words."""
+def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int, seeds) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, buckets) of the phrases of k words that begin where there is a weight."""
     width = max(0, len(codes) - k + 1)
     good = weight[:width] > 0
-    key = np.full(width, k, np.uint64)
+    key = np.full(width, k, np.uint64) + (seeds if np.ndim(seeds) == 0 else seeds[:width])
     with np.errstate(over="ignore"):
         for i in range(k):
             good &= codes[i : i + width] > 0
@@ -216,55 +239,51 @@ def _planes(numbers: np.ndarray) -> bytes:
     return numbers.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
 
 
-def frequent_buckets(chunks: DataFrame, least: int = LEAST) -> bytes:
+def _bucket_rows(buckets: np.ndarray, weights: np.ndarray, cap: int) -> pd.DataFrame:
+    """(range, at, counts): per range of buckets the places in it and their counts, which stop at ``cap``."""
+    keys, n = _summed(buckets, weights)
+    ranges, starts = np.unique(keys >> RANGE_BITS, return_index=True)
+    inside, capped = keys & ((1 << RANGE_BITS) - 1), np.minimum(n, cap).astype(np.uint8)
+    ends = np.append(starts[1:], len(keys))
+    return pd.DataFrame({
+        "range": ranges, "at": [_planes(inside[a:b]) for a, b in zip(starts, ends, strict=True)],
+        "counts": [capped[a:b].tobytes() for a, b in zip(starts, ends, strict=True)],
+    })
+
+
+def frequent_buckets(parts: DataFrame, least: int = LEAST) -> bytes:
     """A bit per bucket of phrase hashes: set where all phrases of the bucket together occur ``least`` times.
 
     A phrase whose bit is not set is rarer than that; one whose bit is set may be. The table has 2**BUCKET_BITS bits
     whatever the number of phrases. Counts are added up per range of buckets and group of tasks, then per range;
-    no row holds more than a range and counts stop at ``least``.
+    no row holds more than a range.
     """
-    size = 1 << RANGE_BITS
-    most = min(least, 255)
-
-    def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        warm()
-        salt = TaskContext.get().partitionId() // TASKS_ADDED
-        for held in _held(frames):
-            codes, hashes, weight = held.done()
-            found = [_places(codes, hashes, weight, k) for k in range(1, LONGEST + 1)]
-            keys, n = _summed(np.concatenate([f[1] for f in found]), np.concatenate([weight[f[0]] for f in found]))
-            ranges, starts = np.unique(keys >> RANGE_BITS, return_index=True)
-            inside, capped = keys & (size - 1), np.minimum(n, most).astype(np.uint8)
-            ends = np.append(starts[1:], len(keys))
-            yield pd.DataFrame({
-                "range": ranges, "salt": salt, "at": [_planes(inside[a:b]) for a, b in zip(starts, ends, strict=True)],
-                "n": [capped[a:b].tobytes() for a, b in zip(starts, ends, strict=True)],
-            })
+    size, cap = 1 << RANGE_BITS, min(least, 255)
 
     def add_up(frames: Iterator[pd.DataFrame], columns: list[str], whole: bool) -> Iterator[pd.DataFrame]:
-        now, counts = None, np.zeros(size, np.int64)
+        now, total = None, np.zeros(size, np.int64)
 
         def done() -> pd.DataFrame:
             out = {c: [v] for c, v in zip(columns, now, strict=True)}
             if whole:
-                return pd.DataFrame({**out, "bits": [np.packbits(counts >= most, bitorder="little").tobytes()]})
-            at = np.flatnonzero(counts)
-            return pd.DataFrame({**out, "at": [_planes(at)], "n": [np.minimum(counts[at], most).astype(np.uint8).tobytes()]})
+                return pd.DataFrame({**out, "bits": [np.packbits(total >= cap, bitorder="little").tobytes()]})
+            at = np.flatnonzero(total)
+            return pd.DataFrame({**out, "at": [_planes(at)], "counts": [np.minimum(total[at], cap).astype(np.uint8).tobytes()]})
 
         for frame in frames:
-            for *key, at, n in frame[[*columns, "at", "n"]].itertuples(index=False):
+            for *key, at, n in frame[[*columns, "at", "counts"]].itertuples(index=False):
                 if key != now:
                     if now is not None:
                         yield done()
-                    now, counts = key, np.zeros(size, np.int64)
+                    now, total = key, np.zeros(size, np.int64)
                 places = np.frombuffer(at, np.uint8).reshape(2, -1).astype(np.int64)
-                counts[places[0] + (places[1] << 8)] += np.frombuffer(n, np.uint8)
+                total[places[0] + (places[1] << 8)] += np.frombuffer(n, np.uint8)
         if now is not None:
             yield done()
 
-    rows = chunks.mapInPandas(buckets, "range int, salt int, at binary, n binary")
+    rows = parts.where("chunk is null").select("range", "salt", "at", "counts")
     partly = rows.repartition(F.col("range"), F.col("salt")).sortWithinPartitions("range", "salt").mapInPandas(
-        lambda frames: add_up(frames, ["range", "salt"], False), "range int, salt int, at binary, n binary"
+        lambda frames: add_up(frames, ["range", "salt"], False), "range int, salt int, at binary, counts binary"
     )
     whole = partly.repartition(F.col("range")).sortWithinPartitions("range").mapInPandas(lambda frames: add_up(frames, ["range"], True), "range int, bits binary")
     table = np.zeros(1 << (BUCKET_BITS - 3), np.uint8)
@@ -278,21 +297,21 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
 
     Phrases that a table of bucket counts shows to be rarer are not counted one by one; the counts of the others are exact.
     """
-    chunks = stored(dictionary(docs, text_col, lang_col), "phrase-chunks")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(chunks, least))
+    parts = stored(parsed(docs, text_col, lang_col, least), "phrase-parts")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(parts, least))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         warm()
         bits = np.frombuffer(shared.value, np.uint8)
         for held in _held(frames):
-            codes, hashes, weight = held.done()
+            codes, hashes, seeds, weight = held.done()
             names, langs, total = np.array(held.names, object), np.array(held.langs, object), len(held.names)
             lang_codes, n = _summed(codes[weight > 0], weight[weight > 0])
             words = pd.DataFrame({"lang": langs[lang_codes], "n": n}).groupby("lang", as_index=False)["n"].sum()
             yield words.assign(phrase="", k=0)[["lang", "phrase", "k", "n"]]
             here, before = codes > 0, None  # in the overlap too, where no phrase of its own begins
             for k in range(1, LONGEST + 1):
-                at, bucket = _places(codes, hashes, here, k)
+                at, bucket = _places(codes, hashes, here, k, seeds)
                 often = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
                 if before is not None:  # both phrases of one word less
                     often &= before[at] & before[at + 1]
@@ -311,7 +330,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
                         phrase = phrase + " " + names[place]
                     yield pd.DataFrame({"lang": langs[places[0]], "phrase": phrase, "k": k, "n": n[low : low + 20_000]})
 
-    rows = chunks.select("lang", "chunk", "n").mapInPandas(run, "lang string, phrase string, k int, n long")
+    rows = dictionary(parts).mapInPandas(run, "lang string, phrase string, k int, n long")
     counts = stored(rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrase-counts")
     return counts.where("k > 0"), counts.where("k = 0").select("lang", F.col("f").alias("n"))
 
