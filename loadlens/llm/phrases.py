@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,14 +27,20 @@ OVERLAP = LONGEST - 1
 PERIOD, MOST = 32, 256
 LEAST, TOP, INSIDE_PERCENT = 10, 2000, 50
 UNKNOWN = "und"
-#: Buckets of phrase hashes: a table of 8 MB goes to every task, whatever the number of phrases. A range of them is one row.
-BUCKET_BITS, RANGE_BITS = 26, 14
 #: So many tasks' bucket counts are added up at once.
 TASKS_ADDED = 256
-#: Words that a task holds before it passes their counts on, and chunks and different words of its dictionary.
-HELD_WORDS, HELD_CHUNKS, HELD_VOCABULARY = 1 << 20, 60_000, 250_000
 END = b"\n"
 
+class Sizes(NamedTuple):
+    """What a task holds, and the table of buckets that goes to every task: 8 MB, whatever the number of phrases."""
+
+    buckets: int = 26  # bits of a bucket's number
+    in_range: int = 14  # of these, bits inside a range, which is a row; at most 16
+    words: int = 1 << 20  # whose counts are held before they go on
+    chunks: int = 60_000  # of a task's part of the dictionary
+    vocabulary: int = 250_000
+
+
 # Marks that end a piece (also line feeds to carriage returns), A-Z to lower case, tab to blank.
 _TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -88,6 +95,8 @@ def parse(texts: list[list[bytes]], vocabulary: _Vocabulary, period: int = PERIO
     owner = np.searchsorted(opens, starts, side="right") - 1
     inner = starts < closes[owner] - OVERLAP  # what begins in the closing marks holds nothing
     starts, owner = starts[inner], owner[inner]
+    if not len(starts):
+        return
     following = np.append(starts[1:], len(codes))
     ends = np.where(np.append(owner[1:], -1) == owner, following + OVERLAP, closes[owner])
     buffer = codes.tobytes()
@@ -95,7 +104,7 @@ def parse(texts: list[list[bytes]], vocabulary: _Vocabulary, period: int = PERIO
         yield text, buffer[a:b]
 
 
-def parsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, period: int = PERIOD, most: int = MOST) -> DataFrame:
+def parsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, period: int = PERIOD, most: int = MOST, sizes: Sizes = Sizes()) -> DataFrame:
     """Rows of two kinds, from one reading of the texts: (lang, chunk, n) with chunks as words joined by blanks, and
     (range, salt, at, counts) with the capped bucket counts of the phrases in these chunks. Both are parts, to be added up."""
     cap = min(least, 255)
@@ -115,8 +124,8 @@ def parsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
                     yield pd.DataFrame({"lang": lang, "chunk": lines, "n": weights, "range": 0, "salt": 0, "at": None, "counts": None})
                     codes = np.frombuffer(b"".join(part), np.uint32).astype(np.int64)
                     weight = _begin(codes, np.fromiter(map(len, part), np.int64, len(part)) // 4, weights)
-                    places = [_places(codes, hashes[codes], weight, k, np.uint64(_lang_hash(lang))) for k in range(1, LONGEST + 1)]
-                    rows = _bucket_rows(np.concatenate([f[1] for f in places]), np.concatenate([weight[f[0]] for f in places]), cap)
+                    places = [_places(codes, hashes[codes], weight, k, np.uint64(_lang_hash(lang)), sizes.buckets) for k in range(1, LONGEST + 1)]
+                    rows = _bucket_rows(np.concatenate([f[1] for f in places]), np.concatenate([weight[f[0]] for f in places]), cap, sizes.in_range)
                     yield rows.assign(lang=None, chunk=None, n=0, salt=salt)[["lang", "chunk", "n", "range", "salt", "at", "counts"]]
 
         for frame in frames:
@@ -132,7 +141,7 @@ def parsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
                 for text, chunk in parse(batch, vocabulary, period, most):
                     mine = counts.setdefault(langs[start + text], {})
                     mine[chunk] = mine.get(chunk, 0) + 1
-                if len(vocabulary) > HELD_VOCABULARY or sum(map(len, counts.values())) > HELD_CHUNKS:
+                if len(vocabulary) > sizes.vocabulary or sum(map(len, counts.values())) > sizes.chunks:
                     yield from passed_on()
                     vocabulary, counts = _Vocabulary(), {}
         yield from passed_on()
@@ -168,7 +177,7 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class _Held:
-    """Chunks of several languages as one run of codes (0 is the end of a piece), until there are ``HELD_WORDS``.
+    """Chunks of several languages as one run of codes (0 is the end of a piece), until there are enough words.
 
     Codes are given per language and word from one count, so that phrases of two languages never meet.
     """
@@ -207,19 +216,19 @@ class _Held:
         return codes, hashes, seeds, _begin(codes, np.concatenate(self.sizes), np.concatenate(self.weights))
 
 
-def _held(frames: Iterator[pd.DataFrame]) -> Iterator[_Held]:
+def _held(frames: Iterator[pd.DataFrame], most: int) -> Iterator[_Held]:
     held = _Held()
     for frame in frames:
         for lang, part in frame.groupby("lang", sort=False):
             held.add(lang, part["chunk"].tolist(), part["n"].to_numpy(np.int64))
-        if held.count >= HELD_WORDS:
+        if held.count >= most:
             yield held
             held = _Held()
     if held.count:
         yield held
 
 
-def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int, seeds) -> tuple[np.ndarray, np.ndarray]:
+def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int, seeds, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions, buckets) of the phrases of k words that begin where there is a weight."""
     width = max(0, len(codes) - k + 1)
     good = weight[:width] > 0
@@ -231,7 +240,7 @@ def _places(codes: np.ndarray, hashes: np.ndarray, weight: np.ndarray, k: int, s
             key ^= key >> np.uint64(32)
         key *= np.uint64(0xD6E8FEB86659FD93)
     at = np.flatnonzero(good)
-    return at, (key[at] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    return at, (key[at] >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -239,26 +248,26 @@ def _planes(numbers: np.ndarray) -> bytes:
     return numbers.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
 
 
-def _bucket_rows(buckets: np.ndarray, weights: np.ndarray, cap: int) -> pd.DataFrame:
+def _bucket_rows(buckets: np.ndarray, weights: np.ndarray, cap: int, in_range: int) -> pd.DataFrame:
     """(range, at, counts): per range of buckets the places in it and their counts, which stop at ``cap``."""
     keys, n = _summed(buckets, weights)
-    ranges, starts = np.unique(keys >> RANGE_BITS, return_index=True)
-    inside, capped = keys & ((1 << RANGE_BITS) - 1), np.minimum(n, cap).astype(np.uint8)
-    ends = np.append(starts[1:], len(keys))
+    ranges, starts = np.unique(keys >> in_range, return_index=True)
+    inside, capped = keys & ((1 << in_range) - 1), np.minimum(n, cap).astype(np.uint8)
+    ends = np.append(starts[1:], len(keys))[: len(starts)]
     return pd.DataFrame({
         "range": ranges, "at": [_planes(inside[a:b]) for a, b in zip(starts, ends, strict=True)],
         "counts": [capped[a:b].tobytes() for a, b in zip(starts, ends, strict=True)],
     })
 
 
-def frequent_buckets(parts: DataFrame, least: int = LEAST) -> bytes:
+def frequent_buckets(parts: DataFrame, least: int = LEAST, sizes: Sizes = Sizes()) -> bytes:
     """A bit per bucket of phrase hashes: set where all phrases of the bucket together occur ``least`` times.
 
-    A phrase whose bit is not set is rarer than that; one whose bit is set may be. The table has 2**BUCKET_BITS bits
+    A phrase whose bit is not set is rarer than that; one whose bit is set may be. The table has 2**sizes.buckets bits
     whatever the number of phrases. Counts are added up per range of buckets and group of tasks, then per range;
     no row holds more than a range.
     """
-    size, cap = 1 << RANGE_BITS, min(least, 255)
+    size, cap = 1 << sizes.in_range, min(least, 255)
 
     def add_up(frames: Iterator[pd.DataFrame], columns: list[str], whole: bool) -> Iterator[pd.DataFrame]:
         now, total = None, np.zeros(size, np.int64)
@@ -286,24 +295,24 @@ def frequent_buckets(parts: DataFrame, least: int = LEAST) -> bytes:
         lambda frames: add_up(frames, ["range", "salt"], False), "range int, salt int, at binary, counts binary"
     )
     whole = partly.repartition(F.col("range")).sortWithinPartitions("range").mapInPandas(lambda frames: add_up(frames, ["range"], True), "range int, bits binary")
-    table = np.zeros(1 << (BUCKET_BITS - 3), np.uint8)
-    for r in whole.collect():  # 2**BUCKET_BITS bits
+    table = np.zeros(1 << (sizes.buckets - 3), np.uint8)
+    for r in whole.collect():  # 2**sizes.buckets bits
         table[r["range"] * size // 8 : (r["range"] + 1) * size // 8] = np.frombuffer(r["bits"], np.uint8)
     return table.tobytes()
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang", sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, k, f) of all phrases of 1 to 3 words with f >= ``least``, (lang, n) with the number of all words).
 
     Phrases that a table of bucket counts shows to be rarer are not counted one by one; the counts of the others are exact.
     """
-    parts = stored(parsed(docs, text_col, lang_col, least), "phrase-parts")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(parts, least))
+    parts = stored(parsed(docs, text_col, lang_col, least, sizes=sizes), "phrase-parts")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(parts, least, sizes))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         warm()
         bits = np.frombuffer(shared.value, np.uint8)
-        for held in _held(frames):
+        for held in _held(frames, sizes.words):
             codes, hashes, seeds, weight = held.done()
             names, langs, total = np.array(held.names, object), np.array(held.langs, object), len(held.names)
             lang_codes, n = _summed(codes[weight > 0], weight[weight > 0])
@@ -311,7 +320,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
             yield words.assign(phrase="", k=0)[["lang", "phrase", "k", "n"]]
             here, before = codes > 0, None  # in the overlap too, where no phrase of its own begins
             for k in range(1, LONGEST + 1):
-                at, bucket = _places(codes, hashes, here, k, seeds)
+                at, bucket = _places(codes, hashes, here, k, seeds, sizes.buckets)
                 often = (bits[bucket >> 3] >> (bucket & 7)) & 1 > 0
                 if before is not None:  # both phrases of one word less
                     often &= before[at] & before[at + 1]
@@ -346,7 +355,7 @@ def _score(a: str, left: str, right: str) -> Column:
     return F.expr(f"cast({product(a, a)} * 1000000BD as decimal(38,0)) div {product(left, right)}")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_percent: int = INSIDE_PERCENT, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_percent: int = INSIDE_PERCENT, text_col: str = "text", lang_col: str = "lang", sizes: Sizes = Sizes()) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases of 2 or 3 words.
 
     A phrase occurs ``a`` >= ``least`` times; cut after its first word or words it has l = f(first part), r = f(rest)
@@ -354,7 +363,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_per
     one with f(longer) >= ``inside_percent`` % of a is left out. Null languages are ``und``; null, empty and blank texts
     hold no words; an empty table gives no rows; repeated rows count each; other columns are ignored.
     """
-    counts, totals = phrase_counts(docs, least, text_col, lang_col)
+    counts, totals = phrase_counts(docs, least, text_col, lang_col, sizes)
     words = F.split("phrase", " ")
     found = counts.where("k > 1").withColumn("w", words)
     join = lambda low, n: F.array_join(F.slice("w", low, n), " ")

@@ -34,22 +34,22 @@ FAMILIES = 6
 BAR = 0.9
 MASK = "[PERSONAL]"
 
-# The base patterns. Each is the plain pattern, bound to the places where a match can begin at all, so that
-# a long run of digits or letters is read once: a match of ``ip`` can only begin where a run of digits does.
+# The base patterns. A long run of digits, dots or letters is read once: mails are found from their sign to
+# both sides, addresses as groups of four in a maximal run of dotted numbers, where alone a match can begin.
 EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EMAIL_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Patterns of the further candidates.
+# Patterns of the further candidates; phones and dates are looked for in runs of digits and marks only.
 AT_WORD = re.compile(r"\x20?[(\[{]\x20?at\x20?[)\]}]\x20?", re.I)
 LOCAL_BEFORE = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 HOST_AFTER = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I)
 NET = re.compile(r"(?<![0-9A-Fa-f:])(?:(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}|(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f:])")
+NUMBERS = re.compile(r"[0-9(][0-9().+/\x20-]{6,}")
 DIAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])")
 DATE = re.compile(r"(?<![0-9./-])(?:[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9./-])")
-NAMES = re.compile(r"(?<![\w.])(?:(?:Mrs?|Ms|Dr|Prof|Herr|Frau|Sra?|Mme)\.? )?[A-Z][a-zà-öø-ÿ]+ [A-Z][a-zà-öø-ÿ]+(?![\w])")
 ACCOUNT_LEAST = 9
 
 # Gazetteers.
@@ -59,6 +59,8 @@ GIVEN = frozenset(
     "hans peter klaus jürgen stefan anna ursula monika petra sabine jean pierre michel marie nathalie isabelle josé juan antonio manuel carmen maría ana "
     "laura daniel anthony mark paul steven andrew emma olivia sophia lucas martin".split()
 )
+FIRST_NAME = re.compile("(?:" + "|".join(sorted((w.capitalize() for w in TITLES | GIVEN), key=len, reverse=True)) + ")")
+OTHER_NAMES = re.compile(r"\.?(?:\x20[A-Z][a-zà-öø-ÿ]+){1,2}(?!\w)")
 TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io co us uk de fr es it nl eu ch at be ca au jp cn in br mx ru pl se no dk fi pt ie".split())
 CALLING_CODES = ("1", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54",
                  "55", "56", "57", "60", "61", "62", "63", "64", "65", "66", "7", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98")
@@ -123,11 +125,19 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _dotted_fours(text: str) -> Iterator[tuple[int, int]]:
+    for m in DOTTED.finditer(text):
+        parts, start = m.group().split("."), m.start()
+        for i in range(0, len(parts) - 3, 4):
+            end = start + sum(map(len, parts[i : i + 4])) + 3
+            yield start, end
+            start = end + 1
+
+
 def proposals(text: str) -> list[tuple[int, int, str, bool]]:
     """(start, end, kind, is a base span): base patterns with what fails their tests, which is no base span."""
     out = [(a, b, "email", True) for a, b in _emails(text)]
-    for m in IP.finditer(text):
-        out.append((m.start(), m.end(), "ip", all(_at_most_255(p) for p in m.group().split("."))))
+    out += [(a, b, "ip", all(_at_most_255(p) for p in text[a:b].split("."))) for a, b in _dotted_fours(text)]
     for m in CHAIN.finditer(text):
         if m.end() - m.start() >= ACCOUNT_LEAST:
             digits = _digits(m.group())
@@ -144,17 +154,20 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _more(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in AT_WORD.finditer(text):
-        left, right = LOCAL_BEFORE.search(text, max(0, m.start() - 64), m.start()), HOST_AFTER.match(text, m.end())
-        if left and right:
-            yield left.start(), right.end(), "mail"
-    for kind, rule in (("net", NET), ("date", DATE), ("dial", DIAL)):
-        for m in rule.finditer(text):
-            yield m.start(), m.end(), kind
-    for m in NAMES.finditer(text):
-        words = m.group().lower().replace(".", "").split()
-        if words[0] in TITLES or words[0] in GIVEN:
-            yield m.start(), m.end(), "name"
+    if "(" in text or "[" in text or "{" in text:
+        for m in AT_WORD.finditer(text):
+            left, right = LOCAL_BEFORE.search(text, max(0, m.start() - 64), m.start()), HOST_AFTER.match(text, m.end())
+            if left and right:
+                yield left.start(), right.end(), "mail"
+    if text.count(":") > 4 or text.count("-") > 4:
+        yield from ((m.start(), m.end(), "net") for m in NET.finditer(text))
+    for run in NUMBERS.finditer(text):
+        for kind, rule in (("date", DATE), ("dial", DIAL)):
+            yield from ((m.start(), m.end(), kind) for m in rule.finditer(text, run.start(), run.end()))
+    for m in FIRST_NAME.finditer(text):
+        before, rest = text[m.start() - 1 : m.start()], OTHER_NAMES.match(text, m.end())
+        if rest and not (before.isalnum() or before in ("_", ".")):
+            yield m.start(), rest.end(), "name"
 
 
 @dataclass
@@ -193,7 +206,9 @@ def _votes(text: str, start: int, end: int, kind: str, base: bool, before: list[
     if family == 0:
         gazetteer = 1 if re.split(r"[^A-Za-z]+", string)[-1].lower() in TOP_DOMAINS else -1
         shape = 1 if len(string) <= 254 else -1
-    elif kind == "ip":
+    elif kind == "net":
+        shape = 1 if len(set(re.split(r"[:-]", string))) > 2 else -1
+    elif family == 1:
         gazetteer = -1 if RESERVED_NET.match(string) else 0
         shape = -1 if any(len(p) > 3 or (len(p) > 1 and p[0] == "0") for p in string.split(".")) else 1
     elif family == 2:
