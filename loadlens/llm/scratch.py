@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,31 @@ from pyspark.sql import functions as F
 from loadlens.session import scratch_path
 
 
+_open: list[list[str]] = []
+
+
 def write(df: DataFrame, name: str) -> str:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir``; returns the path."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    for paths in _open:
+        paths.append(path)
     return path
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables written inside are removed at the end; take the paths of those that stay out of the list."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield paths
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            discard(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write and read back: cuts lineage, so that a lost executor repeats little."""
     return df.sparkSession.read.schema(df.schema).parquet(write(df, name))

@@ -21,9 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import text_kernels as kernels
+from loadlens.llm.bits import bit_table, may_hold
 from loadlens.llm.buckets import block_groups, forest, hub_first, pairs_of_groups, together, whole_groups
 from loadlens.llm.graph import connected_components
-from loadlens.llm.scratch import join_apart, stored
+from loadlens.llm.scratch import join_apart, passing, stored, write
 
 BANDS, ROWS = 24, 4
 BASE, RATE, TOP = 1.1, 20.0, 255
@@ -265,7 +266,11 @@ def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, per
     wanted = block_groups(members, "key", "class", block, "n", VERIFY_SHINGLES).groupBy("by_text", "place", "class").agg(
         F.collect_list(F.struct("group", "side")).alias("tasks")  # as many as the cluster has blocks
     )
+    wanted = stored(wanted, "wanted")
     slim = docs.select(F.col(id_col).cast("long").alias("rep"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("_text"))
+    # most texts are in no cluster and need no shuffle
+    named = F.xxhash64(F.col("rep").isNull(), F.coalesce("rep", "text_key"))
+    slim = slim.where(may_hold(docs, bit_table(wanted, F.xxhash64("by_text", "place")), named))
     unnamed = slim.where("rep is null").groupBy("text_key").agg(F.first("_text").alias("_text"))
     slim = slim.where("rep is not null").select(F.lit(False).alias("by_text"), F.col("rep").alias("place"), "_text").unionByName(
         unnamed.select(F.lit(True).alias("by_text"), F.col("text_key").alias("place"), "_text")
@@ -314,8 +319,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
 
 
 def _decided(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", large: int = LARGE) -> DataFrame:
-    """``near_duplicates`` with text_key and the component proper: two may have one smallest id if that id has two texts;
-    null for texts without shingles."""
+    """``near_duplicates`` with text_key, the component proper (two may have one smallest id if that id has two texts; null
+    for texts without shingles) and first_key, the smallest text key in it."""
     made = stored(signatures(docs, bands, rows, id_col, text_col), "sketches")
     classes = stored(
         made.where("class is not null").groupBy("class").agg(
@@ -324,26 +329,51 @@ def _decided(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int
     )
     clusters = connected_components(plausible_edges(classes, bands, rows, percent, large))
     links = connected_components(verified_edges(docs, classes, clusters, percent, id_col, text_col, large=large))
-    label = classes.select("class", "rep").join(links.withColumnRenamed("node", "class"), "class", "left")
+    label = classes.select("class", "rep", "text_key").join(links.withColumnRenamed("node", "class"), "class", "left")
     label = label.withColumn("component", F.coalesce("component", "class"))
-    least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
-    names = label.join(least, "component").select("class", "component", "component_id")
+    least = label.groupBy("component").agg(F.min("rep").alias("component_id"), F.min("text_key").alias("first_key"))
+    names = join_apart(label, least, "component").select("class", "component", "component_id", "first_key")
     joined = join_apart(made.select("doc_id", "n_shingles", "class", "text_key"), names, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    return joined.select("doc_id", "n_shingles", "text_key", "component", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return joined.select("doc_id", "n_shingles", "text_key", "component", "first_key", own).withColumn("kept", kept)
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, one per group of near-duplicates: that of the smallest id.
 
     Of repeated rows (equal ids in one group) the first by content stays, in the order of the columns; equal ids in two
-    groups both stay. Rows without an id stay.
+    groups both stay. A row without an id goes if its group has a row with one; in a group without any id the text of the
+    smallest hash stays. Null, empty and blank texts are in no group: they stay, but of those with one id the first stays.
+    An empty table gives no rows.
+
+    Only rows that go, or that share their id with others of their group, are looked up by a join; a table of bits tells
+    the other rows apart, so their texts are not shuffled.
     """
-    kept = _decided(docs.select("doc_id", "text"), **options).where("kept and doc_id is not null")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("component").alias("_component")).distinct()
+    spark = docs.sparkSession
+    with passing(spark) as tables:
+        decided = _decided(docs.select("doc_id", "text"), **options)
+        first = (F.col("component").isNull() | F.when(F.col("component_id").isNull(), F.col("text_key") == F.col("first_key")).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+        rows = stored(decided.groupBy("doc_id", "component", "text_key").agg(F.first(first).alias("first"), F.count("*").alias("rows")), "decided")
+        shared = rows.where("first and (doc_id is not null or component is not null)").groupBy("doc_id", "component").agg(F.sum("rows").alias("rows")).where("rows > 1")
+        shared = shared.select(F.col("doc_id").alias("_id"), F.col("component").alias("_group"))
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("component").eqNullSafe(F.col("_group"))
+        named = lambda rows, goes: rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("component").alias("_group"), F.lit(goes).alias("_goes"))
+        several = named(rows.where("first").join(shared, same, "left_semi"), False)
+        special = write(named(rows.where("not first"), True).unionByName(several), "not-alone")
+        tables.remove(special)
+    special = spark.read.schema("_id long, _key long, _group long, _goes boolean").parquet(special)
+    hashed = F.xxhash64("_id", "_key")
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what has an order
-    named = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("_id"), _text_key().alias("_key"), F.struct(*plain).alias("_order"), F.struct(*docs.columns).alias("_row")
-    )
-    first = named.join(kept, ["_id", "_key"]).groupBy("_id", "_component").agg(F.min_by("_row", "_order").alias("_row"))
-    return first.select("_row.*").unionByName(docs.where("doc_id is null"))
+    listed = docs.select(F.struct(*docs.columns).alias("_row"), F.struct(*plain).alias("_order"), F.col("doc_id").cast("long").alias("_id"), _text_key().alias("_key"))
+    listed = listed.withColumn("_may", may_hold(docs, bit_table(special, hashed), hashed))
+    whole = lambda part: part.select("_row.*")
+    match = lambda left, right: left["_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["_key"])
+    held = listed.where("_may").select("_row", "_id", "_key")
+    out = whole(listed.where("not _may")).unionByName(whole(held.join(special, match(held, special), "left_anti")))
+    several = special.where("not _goes")
+    if several.isEmpty():
+        return out
+    some = listed.where(may_hold(docs, bit_table(several, hashed), hashed)).select("_row", "_order", "_id", "_key")
+    one = some.join(several, match(some, several)).groupBy(several["_id"], "_group").agg(F.min_by("_row", "_order").alias("_row"))
+    return out.unionByName(whole(one))

@@ -135,7 +135,7 @@ def near_duplicates(
         connected_components(found.where("b is not null")), "node", "left"
     ).withColumn("component", F.coalesce("component", "node"))
     least = label.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = label.join(least, "component").join(links.withColumnRenamed("a", "node"), "node", "left").select(
+    named = join_apart(label, least, "component").join(links.withColumnRenamed("a", "node"), "node", "left").select(
         "node", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     wide = _with_node(vectors.select(

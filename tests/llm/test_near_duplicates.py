@@ -222,4 +222,51 @@ def test_an_id_with_two_texts_keeps_what_is_in_no_group(spark, prose):
     for seed in (1, 2):
         frame = spark.createDataFrame(rows[::-1] if seed == 2 else rows, "doc_id long, text string, source string").repartition(seed * 2)
         got = [tuple(r) for r in setsketch.keep_first(frame).collect()]
-        assert sorted(got, key=str) == sorted([(5, one, "a"), (5, two, "a"), (7, other, "a"), (None, two, "a"), (9, None, "b")], key=str)
+        assert sorted(got, key=str) == sorted([(5, one, "a"), (5, two, "a"), (7, other, "a"), (9, None, "b")], key=str)
+
+
+def test_copies_without_an_id_are_decided(spark, prose):
+    """They go if their group has an id; a group without any keeps one row; others and blank texts stay."""
+    one, two, three = (" ".join(prose(n, 50, 100_000)) for n in (16, 17, 18))
+    rows = [(1, one, "a"), (None, one, "a"), (None, one + " more", "b"), (None, two, "b"), (None, two, "a"), (None, two + " more", "c"), (None, three, "a"), (None, "", "a"), (None, "", "a"), (None, None, "b")]
+    got = [tuple(r) for r in setsketch.keep_first(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()]
+    assert (1, one, "a") in got and (None, three, "a") in got and sum(r[1] == "" for r in got) == 2 and (None, None, "b") in got
+    of_two = [r for r in got if r[1] and r[1].startswith(two)]
+    assert len(of_two) == 1 and of_two[0] in ((None, two, "a"), (None, two + " more", "c")) and len(got) == 6
+
+
+def test_few_bits_change_nothing(spark, groups, monkeypatch):
+    """Where the table of bits tells nothing, the joins do."""
+    from loadlens.llm import bits
+
+    frame = spark.createDataFrame([(i, t, i % 3) for i, t in groups.items()] + [(0, groups[0], 9)], "doc_id long, text string, source int")
+    want = sorted(map(tuple, setsketch.keep_first(frame).collect()))
+    monkeypatch.setattr(setsketch, "bit_table", lambda rows, hashed: bits.bit_table(rows, hashed, 2))
+    monkeypatch.setattr(setsketch, "may_hold", lambda rows, table, hashed: bits.may_hold(rows, table, hashed, 2))
+    assert sorted(map(tuple, setsketch.keep_first(frame).collect())) == want
+    assert {r[0] for r in want} == {c for _, c in brute.near_duplicates(groups).values()}
+
+
+def test_bit_tables_know_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    from loadlens.llm import bits
+
+    rows = spark.range(5000).select(F.col("id") * 7 - 100, F.xxhash64("id").alias("h"))
+    for size in (4, 15, 20):
+        table = bits.bit_table(rows, F.col("h"), size)
+        assert rows.where(bits.may_hold(rows, table, F.col("h"), size)).count() == 5000
+    others = spark.range(10_000, 20_000).select(F.xxhash64("id").alias("h"))
+    assert others.where(bits.may_hold(others, bits.bit_table(rows, F.col("h")), F.col("h"))).count() < 20
+    assert others.where(bits.may_hold(others, bits.bit_table(rows.limit(0), F.col("h")), F.col("h"))).count() == 0
+
+
+def test_scratch_tables_pass_away(spark):
+    from loadlens.llm import scratch
+
+    with scratch.passing(spark) as tables:
+        gone, kept = scratch.write(spark.range(3), "one"), scratch.write(spark.range(3), "two")
+        tables.remove(kept)
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)

@@ -60,5 +60,5 @@ def test_pipeline_of_nothing(spark, tmp_path):
 
 def test_all_are_registered():
     names = queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op") and k[2].isdigit()}
     assert set(oracle_sql()) <= set(names)
