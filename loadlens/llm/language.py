@@ -9,25 +9,35 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import text_kernels as kernels
-from loadlens.llm.scratch import warm
+from loadlens.llm.scratch import stored, warm
 
 DIMENSIONS = 1024
 NGRAM = 3
 #: Letters share vectors beyond this many (code point modulo a prime); one more stands for the gap between words.
 LETTERS = 1021
 MAX_TRAIN = 20_000
-MAX_LANGUAGES = 500
-#: One standard deviation of the cosine of unrelated vectors; a short clean text lies above it.
+#: Prototypes of about so many languages go to the tasks at once (4 KB each), and so many such blocks are scored in one job.
+BLOCK, BLOCKS_AT_ONCE = 1000, 8
+#: So many tasks' sums are added up at once.
+TASKS_ADDED = 256
+#: The least bar of a kept text: one standard deviation of the cosine of unrelated vectors.
 MIN_SCORE = 0.031
+#: The bar is this share of the score that all but ``BAR_QUANTILE`` of a language's held-out texts of such length reach.
+BAR_SHARE, BAR_QUANTILE, BAR_LEAST_TEXTS = 0.5, 0.01, 50
+#: Lengths are classed by powers of two, up to this one.
+LENGTHS = 24
 UNKNOWN = "und"
 _UNIT = float(1 << 24)
+_NO_LETTER = -2.0
 
 
 @functools.lru_cache(maxsize=2)
@@ -110,95 +120,201 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
-def train(docs: DataFrame, max_train: int = MAX_TRAIN, dimensions: int = DIMENSIONS, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
-    """Languages and their unit prototypes, from at most about ``max_train`` texts of each language,
-    drawn by the hash of the id. Partial sums are whole numbers, so any order gives the same."""
+def _added(rows: DataFrame, keys: list[str], dimensions: int) -> DataFrame:
+    """Vectors (``total``, 64-bit whole numbers) added up by ``keys``, one sum in memory at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, total = None, np.zeros(dimensions, np.int64)
+        for frame in frames:
+            for *key, part in frame[[*keys, "total"]].itertuples(index=False):
+                if key != now:
+                    if now is not None:
+                        yield pd.DataFrame({**{k: [v] for k, v in zip(keys, now, strict=True)}, "total": [total.tobytes()]})
+                    now, total = key, np.zeros(dimensions, np.int64)
+                total = total + np.frombuffer(part, np.int64)
+        if now is not None:
+            yield pd.DataFrame({**{k: [v] for k, v in zip(keys, now, strict=True)}, "total": [total.tobytes()]})
+
+    kinds = ", ".join(f"{k} {'string' if k == 'lang' else 'int'}" for k in keys)
+    return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInPandas(run, f"{kinds}, total binary")
+
+
+@dataclass
+class Languages:
+    """Learnt prototypes: a stored table (lang, block, total), read a block at a time."""
+
+    table: DataFrame | None
+    blocks: int
+    dimensions: int = DIMENSIONS
+
+    def block(self, number: int) -> tuple[list[str], np.ndarray]:
+        """Names in order and unit prototypes of a block."""
+        rows = [] if self.table is None else self.table.where(F.col("block") == number).collect()  # about BLOCK rows
+        by = {r["lang"]: np.frombuffer(r["total"], np.int64).astype(float) for r in rows}
+        names = sorted(name for name, v in by.items() if v.any())
+        return names, _unit(np.stack([by[n] for n in names])) if names else np.zeros((0, self.dimensions))
+
+
+def train(
+    docs: DataFrame, max_train: int = MAX_TRAIN, dimensions: int = DIMENSIONS, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", block: int = BLOCK
+) -> Languages:
+    """Unit prototypes of all languages, from at most about ``max_train`` texts of each, drawn by the hash of the id.
+
+    Partial sums are whole numbers, so any order gives the same. There may be any number of languages: they are dealt to
+    blocks of about ``block``, and only one block at a time comes to the driver.
+    """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
     rows = rows.where("_lang is not null and _text is not null")
-    sizes = rows.groupBy("_lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
-        return [], np.zeros((0, dimensions))
-    rare = [r["_lang"] for r in sizes if r["count"] <= max_train]
+    sizes = stored(rows.groupBy("_lang").agg(F.count("*").alias("_n")), "language-sizes")
+    number = sizes.count()
+    if not number:
+        return Languages(None, 0, dimensions)
     drawn = F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(1_000_000))
-    keep = F.col("_lang").isin(rare) if rare else F.lit(False)
-    for r in sizes:
-        if r["count"] > max_train:
-            keep = keep | ((F.col("_lang") == r["_lang"]) & (drawn < int(max_train / r["count"] * 1_000_000)))
+    share = F.floor(F.lit(float(max_train)) / F.col("_n") * 1_000_000)
+    # a stored table of known size: Spark sends it to the tasks where that is small, and else splits hot languages
+    chosen = rows.join(sizes, "_lang").where((F.col("_n") <= max_train) | (drawn < share)).select("_text", "_lang")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         warm()
+        salt = TaskContext.get().partitionId() // TASKS_ADDED
         sums: dict[str, np.ndarray] = {}
+
+        def passed_on() -> pd.DataFrame:
+            return pd.DataFrame({"lang": list(sums), "salt": salt, "total": [v.astype(np.int64).tobytes() for v in sums.values()]})
+
         for frame in frames:
             texts, langs = frame["_text"].tolist(), frame["_lang"].to_numpy()
             for start, end in kernels.batches(texts):
                 vectors = np.rint(_unit(text_vectors(texts[start:end], dimensions)[0]).astype(float) * _UNIT)
                 for lang in set(langs[start:end]):
                     sums[lang] = sums.get(lang, 0) + vectors[langs[start:end] == lang].sum(axis=0)
+                if len(sums) > BLOCK:
+                    yield passed_on()
+                    sums.clear()
         if sums:
-            yield pd.DataFrame({"lang": list(sums), "total": [v.astype(np.int64) for v in sums.values()]})
+            yield passed_on()
 
-    partial = rows.where(keep).select("_text", "_lang").mapInPandas(run, "lang string, total array<long>")
-    total = partial.select("lang", F.posexplode("total").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
-    by: dict[str, np.ndarray] = {}
-    for r in total.collect():  # languages x dimensions
-        by.setdefault(r["lang"], np.zeros(dimensions))[r["i"]] = r["x"]
-    names = sorted(name for name, v in by.items() if v.any())
-    return names, _unit(np.stack([by[name] for name in names])) if names else np.zeros((0, dimensions))
+    partial = chosen.mapInPandas(run, "lang string, salt int, total binary")
+    total = _added(_added(partial, ["lang", "salt"], dimensions), ["lang"], dimensions)
+    blocks = -(-number // block)
+    return Languages(stored(total.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(blocks)).cast("int")), "languages"), blocks, dimensions)
 
 
-def language_of(names: list[str], prototypes: np.ndarray):
-    """A column function: text -> struct(lang_pred, score), the score being the cosine, cut at 0.
+def length_class(text: str | None) -> int:
+    return min(LENGTHS - 1, len(text or "").bit_length())
 
-    Null texts and texts without a letter, and all texts if no language was learnt, are ``und`` with
-    score 0. Ties go to the first name. Texts of any length are read whole.
-    """
+
+def _in_block(names: list[str], prototypes: np.ndarray, bars: np.ndarray | None):
+    """A column function: text -> (less, lang_pred, bar): ``less`` is the negative of the largest cosine of the block, 2
+    for a text without a letter; the first name of equal ones. Texts of any length are read whole."""
     matrix = prototypes.astype(np.float32)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("less double, lang_pred string, bar double")
     def language(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         warm()
         for series in frames:
             texts = [t if isinstance(t, str) else None for t in series.tolist()]
-            pred, score = [], []
+            pred, less, bar = [], [], []
             for start, end in kernels.batches(texts):
+                part = texts[start:end]
                 if not names:
-                    pred += [UNKNOWN] * (end - start)
-                    score += [0.0] * (end - start)
+                    pred, less, bar = pred + [UNKNOWN] * len(part), less + [-_NO_LETTER] * len(part), bar + [0.0] * len(part)
                     continue
-                vectors, has = text_vectors(texts[start:end], matrix.shape[1])
+                vectors, has = text_vectors(part, matrix.shape[1])
                 cosines = np.round(_unit(vectors) @ matrix.T, 6)
-                pred += [names[b] if ok else UNKNOWN for b, ok in zip(cosines.argmax(axis=1), has, strict=True)]
-                score += list(np.where(has, np.clip(cosines.max(axis=1), 0, 1), 0).astype(float))
-            yield pd.DataFrame({"lang_pred": pd.Series(pred, dtype=object), "score": pd.Series(score, dtype=float)})
+                best = cosines.argmax(axis=1)
+                pred += [names[b] if ok else UNKNOWN for b, ok in zip(best, has, strict=True)]
+                less += list(-np.where(has, cosines.max(axis=1), _NO_LETTER).astype(float))
+                bar += [0.0] * len(part) if bars is None else [float(bars[b, length_class(t)]) for b, t in zip(best, part, strict=True)]
+            yield pd.DataFrame({"less": pd.Series(less, dtype=float), "lang_pred": pd.Series(pred, dtype=object), "bar": pd.Series(bar, dtype=float)})
 
     return language
 
 
+def predict(docs: DataFrame, languages: Languages, text_col: str = "text", out: str = "_l", bars: dict[str | None, np.ndarray] | None = None) -> DataFrame:
+    """``docs`` with ``out``: struct(lang_pred, score, bar), the score being the cosine, cut at 0.
+
+    Null texts and texts without a letter, and all texts if no language was learnt, are ``und`` with score 0. Ties go to
+    the first name. Every block of languages is scored; beyond ``BLOCKS_AT_ONCE`` blocks the best so far is written in between.
+    """
+    text = F.col(text_col).cast("string")
+    best = None
+    for start in range(0, max(1, languages.blocks), BLOCKS_AT_ONCE):
+        if start:
+            docs, best = stored(docs.withColumn(out, best), "language-scores"), F.col(out)
+        scored = []
+        for number in range(start, min(max(1, languages.blocks), start + BLOCKS_AT_ONCE)):
+            names, prototypes = languages.block(number)
+            table = None if bars is None else np.stack([bars.get(n, bars[None]) for n in names]) if names else None
+            scored.append(_in_block(names, prototypes, table)(text))
+        best = F.least(*([best] if best is not None else []), *scored) if len(scored) + (best is not None) > 1 else scored[0]
+    found = docs.withColumn(out, best)
+    und = (F.col(f"{out}.less") >= -_NO_LETTER) | (F.col(f"{out}.lang_pred") == UNKNOWN)
+    score = F.when(und, 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), -F.col(f"{out}.less"))))
+    return found.withColumn(out, F.struct(F.when(und, UNKNOWN).otherwise(F.col(f"{out}.lang_pred")).alias("lang_pred"), score.alias("score"), F.col(f"{out}.bar").alias("bar")))
+
+
 def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text leaves 1 modulo 3; false for a null id."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def identify(docs: DataFrame, max_train: int = MAX_TRAIN, block: int = BLOCK) -> DataFrame:
     """doc_id, held_out, lang_pred, score: learns from rows with a language that are not held out.
 
-    Rows with a null id count as not held out. See ``language_of`` for nulls and empty texts; an empty
-    table gives no rows, repeated rows are judged alike, other columns are ignored.
+    Rows with a null id count as not held out. See ``predict`` for nulls and empty texts; an empty table gives no rows,
+    repeated rows are judged alike, other columns are ignored. Any number of languages is learnt.
     """
-    language = language_of(*train(docs.where(~held_out()), max_train))
-    judged = docs.select("doc_id", held_out().alias("held_out"), language(F.col("text").cast("string")).alias("_l"))
-    return judged.select("doc_id", "held_out", "_l.lang_pred", "_l.score")
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    judged = predict(slim, train(docs.where(~held_out()), max_train, block=block))
+    return judged.select("doc_id", held_out().alias("held_out"), "_l.lang_pred", "_l.score")
 
 
-def keep_known(docs: DataFrame, max_train: int = MAX_TRAIN, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a cosine of ``min_score``.
+def held_out_bars(docs: DataFrame, languages: Languages) -> dict[str | None, np.ndarray]:
+    """Bar of each language and length class, from the scores of held-out texts of that language that were known as such.
 
-    If there is no language to learn, the rows whose text has a letter.
+    ``BAR_SHARE`` of the score that all but ``BAR_QUANTILE`` of them reach; where a language has too few of a length, the
+    same of all languages together (key None), and where these are too few as well, that of the length below.
+    """
+    held = docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    seen = predict(held.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), languages)
+    size = F.least(F.lit(LENGTHS - 1), F.when(F.length("text") > 0, F.length(F.bin(F.length("text")))).otherwise(0))
+    rows = seen.where("lang = _l.lang_pred").select("lang", size.alias("size"), F.col("_l.score").alias("score"))
+    per = rows.groupingSets([["lang", "size"], ["size"]], "lang", "size").agg(F.count("*").alias("n"), F.percentile_approx("score", BAR_QUANTILE, 10_000).alias("score"))
+    bars: dict[str | None, np.ndarray] = {None: np.zeros(LENGTHS)}
+    found = per.where(F.col("n") >= BAR_LEAST_TEXTS).collect()  # at most LENGTHS rows per language with enough held-out texts
+    for r in sorted(found, key=lambda r: r["lang"] is not None):
+        if r["lang"] not in bars:
+            bars[r["lang"]] = bars[None].copy()
+        bars[r["lang"]][r["size"]] = BAR_SHARE * r["score"]
+    for bar in bars.values():
+        for size in range(1, LENGTHS):  # longer texts score higher
+            bar[size] = bar[size] or bar[size - 1]
+    return bars
+
+
+def _judged(docs: DataFrame, max_train: int) -> DataFrame:
+    languages = train(docs.where(~held_out()), max_train)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("_text"))
+    return predict(rows, languages, "_text", bars=held_out_bars(docs, languages) if languages.blocks else None)
+
+
+def keep_known(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a cosine that reaches the bar of that
+    language and length (see ``held_out_bars``), ``MIN_SCORE`` at least.
+
+    If there is no language to learn, the rows whose text has a letter. Null, empty and blank texts go; repeated rows stay
+    or go together; an empty table gives no rows.
     """
-    text = F.col("text").cast("string")
-    names, prototypes = train(docs.where(~held_out()), max_train)
-    if not names:
-        return docs.where(text.rlike(r"\p{L}"))
-    return docs.where(language_of(names, prototypes)(text)["score"] >= max(min_score, 1e-9))
+    if docs.where("lang is not null and text is not null").isEmpty():
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    known = (F.col("_l.lang_pred") != UNKNOWN) & (F.col("_l.score") >= F.greatest(F.col("_l.bar"), F.lit(MIN_SCORE)))
+    return _judged(docs, max_train).where(known).select("_row.*")
+
+
+def known_report(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """What ``keep_known`` does to ``docs``: per predicted language the rows, those below the bar, and the smallest and mean score."""
+    below = (F.col("_l.lang_pred") == UNKNOWN) | (F.col("_l.score") < F.greatest(F.col("_l.bar"), F.lit(MIN_SCORE)))
+    return _judged(docs, max_train).groupBy(F.col("_l.lang_pred").alias("lang_pred")).agg(
+        F.count("*").alias("rows"), F.count_if(below).alias("dropped"), F.min("_l.score").alias("least_score"), F.avg("_l.score").alias("mean_score"),
+    )

@@ -65,10 +65,89 @@ def test_language_of_odd_rows(odd_docs, no_docs):
 
 
 def test_language_sample_is_bounded(documents):
-    names, prototypes = language.train(documents, max_train=20)
+    names, prototypes = language.train(documents, max_train=20).block(0)
     assert names == sorted(names) and len(names) == 4 and np.allclose(np.linalg.norm(prototypes, axis=1), 1)
 
 
+def plain_language(rows):
+    """doc_id -> (lang_pred, score) by the rules: letter vectors rotated and multiplied, summed, unit sums per language, cosines."""
+    letters = language.letter_vectors()
+    def vector(text):
+        if text is None or not any(c.isalpha() for c in text.lower()):
+            return None
+        marks = [language.LETTERS]
+        for c in text.lower():
+            mark = ord(c) % language.LETTERS if c.isalpha() else language.LETTERS
+            if mark != language.LETTERS or marks[-1] != language.LETTERS:
+                marks.append(mark)
+        if marks[-1] != language.LETTERS:
+            marks.append(language.LETTERS)
+        total = np.zeros(language.DIMENSIONS)
+        for one, two, three in zip(marks, marks[1:], marks[2:]):
+            total += np.roll(letters[one], 2).astype(int) * np.roll(letters[two], 1) * letters[three]
+        return total / max(np.linalg.norm(total), 1e-12)
+
+    sums = {}
+    for i, text, lang in rows:
+        v = vector(text)
+        if lang is not None and v is not None and not (i is not None and zlib.crc32(str(i).encode()) % 3 == 1):
+            sums[lang] = sums.get(lang, 0) + v
+    names = sorted(n for n, v in sums.items() if np.any(v))
+    out = []
+    for i, text, _ in rows:
+        v = vector(text)
+        if v is None or not names:
+            out.append((i, "und", 0.0))
+            continue
+        cosines = [float(v @ sums[n] / np.linalg.norm(sums[n])) for n in names]
+        best = int(np.argmax(np.round(cosines, 4)))
+        out.append((i, names[best], min(1.0, max(0.0, cosines[best]))))
+    return out
+
+
+def same_languages(got, want):
+    assert len(got) == len(want)
+    key = lambda r: (r[0] is None, r[0] or 0, r[-1])
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert g[0] == w[0] and abs(g[2] - w[2]) < 1e-4 and (g[1] == w[1] or g[2] < 0.05), (g, w)
+
+
+def test_language_query_is_the_plain_one(spark, documents, odd_docs):
+    rows = [tuple(r) for r in documents.where("doc_id % 4 = 0").select("doc_id", "text", "lang").collect()]
+    rows += [tuple(r) for r in odd_docs.where("length(text) < 1000 or text is null").select("doc_id", "text", "lang").collect()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    same_languages([(r.doc_id, r.lang_pred, r.score) for r in language.identify(frame).collect()], plain_language(rows))
+
+
+def test_any_number_of_languages(spark):
+    """2,000 languages with words of their own: blocks of any size give the same, and the right language."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(2000):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(6)]
+        rows += [(len(rows) + j, " ".join(rng.permutation(words)), f"l{k:04d}") for j in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    one = sorted(map(tuple, language.identify(frame, block=5000).collect()))
+    many = sorted(map(tuple, language.identify(frame, block=150).collect()))
+    assert one == many and len(one) == 4000
+    truth = {i: lang for i, _, lang in rows}
+    learnt = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert np.mean([r[2] == truth[r[0]] for r in one if truth[r[0]] in learnt]) > 0.95
+
+
+def test_bars_come_from_held_out_scores(spark, documents):
+    """Noise of letters goes, the driver's documents stay; the report says how many."""
+    rng = np.random.default_rng(3)
+    noise = [(9_000_000 + i, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 1500)), None, "n", 1500) for i in range(30)]
+    both = documents.unionByName(spark.createDataFrame(noise, documents.schema))
+    kept = {r.doc_id for r in language.keep_known(both).select("doc_id").collect()}
+    clean = {r.doc_id for r in documents.collect() if r.text and len(set(r.text.split())) > max(30, 0.2 * len(r.text.split()))}
+    assert sum(i >= 9_000_000 for i in kept) <= 2 and len(clean) > 700 and len(clean - kept) <= 0.005 * len(clean)
+    report = {r.lang_pred: r for r in language.known_report(both).collect()}
+    assert sum(r.rows for r in report.values()) == both.count()
+    assert sum(r.rows - r.dropped for r in report.values()) == len(kept)
+
+
 def test_statistics_of_known_texts():
     table = quality.statistics(["AB ab!\nAB ab!", "", None, "one one two"])
     at = {name: i for i, name in enumerate(quality.STATISTICS)}

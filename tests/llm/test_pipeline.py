@@ -26,7 +26,10 @@ def test_pipeline_is_its_stages_one_after_the_other(spark, small):
     labels = spark.read.parquet(f"{small}/labels.parquet")
     good = {r.doc_id for r in quality.score_documents(docs, labels).where("predicted = 1").collect()}
     left = docs.where(F.col("doc_id").isin(list(good))).cache()
-    spoken = {r.doc_id for r in language.identify(left).where("lang_pred <> 'und'").where(F.col("score") >= language.MIN_SCORE).collect()}
+    bars = language.held_out_bars(left, language.train(left.where(~language.held_out())))
+    least = lambda lang, text: max(language.MIN_SCORE, bars.get(lang, bars[None])[language.length_class(text)])
+    judged = language.identify(left).join(left.select("doc_id", "text"), "doc_id").collect()
+    spoken = {r.doc_id for r in judged if r.lang_pred != "und" and r.score >= least(r.lang_pred, r.text)}
     texts = {r.doc_id: r.text for r in left.collect() if r.doc_id in spoken}
     kept = {i for i, (_, c) in brute.near_duplicates(texts).items() if i == c}
     masked = {i: secrets.mask_spans(texts[i], secrets.find_spans(texts[i])) for i in kept}
