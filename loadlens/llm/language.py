@@ -14,11 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm import text_kernels as kernels
-from loadlens.llm.scratch import stored, warm
+from loadlens.llm.scratch import free_name, stored, warm
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -279,8 +279,9 @@ def held_out_bars(docs: DataFrame, languages: Languages) -> dict[str | None, np.
     held = docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     seen = predict(held.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), languages)
     size = F.least(F.lit(LENGTHS - 1), F.when(F.length("text") > 0, F.length(F.bin(F.length("text")))).otherwise(0))
-    rows = seen.where("lang = _l.lang_pred").select("lang", size.alias("size"), F.col("_l.score").alias("score"))
-    per = rows.groupingSets([["lang", "size"], ["size"]], "lang", "size").agg(F.count("*").alias("n"), F.percentile_approx("score", BAR_QUANTILE, 10_000).alias("score"))
+    # no filter on the prediction: pushed below it, the filter would predict once more
+    rows = seen.select("lang", size.alias("size"), F.when(F.col("lang") == F.col("_l.lang_pred"), F.col("_l.score")).alias("score"))
+    per = rows.groupingSets([["lang", "size"], ["size"]], "lang", "size").agg(F.count("score").alias("n"), F.percentile_approx("score", BAR_QUANTILE, 10_000).alias("score"))
     bars: dict[str | None, np.ndarray] = {None: np.zeros(LENGTHS)}
     found = per.where(F.col("n") >= BAR_LEAST_TEXTS).collect()  # at most LENGTHS rows per language with enough held-out texts
     for r in sorted(found, key=lambda r: r["lang"] is not None):
@@ -293,10 +294,12 @@ def held_out_bars(docs: DataFrame, languages: Languages) -> dict[str | None, np.
     return bars
 
 
-def _judged(docs: DataFrame, max_train: int) -> DataFrame:
-    languages = train(docs.where(~held_out()), max_train)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("_text"))
-    return predict(rows, languages, "_text", bars=held_out_bars(docs, languages) if languages.blocks else None)
+def _judged(docs: DataFrame, max_train: int) -> tuple[DataFrame, str, Column]:
+    """(``docs`` with one more column, its name, whether the row is kept)."""
+    languages, out = train(docs.where(~held_out()), max_train), free_name(docs, "_l")
+    seen = predict(docs, languages, out=out, bars=held_out_bars(docs, languages) if languages.blocks else None)
+    known = (F.col(f"{out}.lang_pred") != UNKNOWN) & (F.col(f"{out}.score") >= F.greatest(F.col(f"{out}.bar"), F.lit(MIN_SCORE)))
+    return seen, out, known
 
 
 def keep_known(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
@@ -308,13 +311,13 @@ def keep_known(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """
     if docs.where("lang is not null and text is not null").isEmpty():
         return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
-    known = (F.col("_l.lang_pred") != UNKNOWN) & (F.col("_l.score") >= F.greatest(F.col("_l.bar"), F.lit(MIN_SCORE)))
-    return _judged(docs, max_train).where(known).select("_row.*")
+    seen, _, known = _judged(docs, max_train)
+    return seen.where(known).select(docs.columns)
 
 
 def known_report(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """What ``keep_known`` does to ``docs``: per predicted language the rows, those below the bar, and the smallest and mean score."""
-    below = (F.col("_l.lang_pred") == UNKNOWN) | (F.col("_l.score") < F.greatest(F.col("_l.bar"), F.lit(MIN_SCORE)))
-    return _judged(docs, max_train).groupBy(F.col("_l.lang_pred").alias("lang_pred")).agg(
-        F.count("*").alias("rows"), F.count_if(below).alias("dropped"), F.min("_l.score").alias("least_score"), F.avg("_l.score").alias("mean_score"),
+    seen, out, known = _judged(docs, max_train)
+    return seen.groupBy(F.col(f"{out}.lang_pred").alias("lang_pred")).agg(
+        F.count("*").alias("rows"), F.count_if(~known).alias("dropped"), F.min(f"{out}.score").alias("least_score"), F.avg(f"{out}.score").alias("mean_score"),
     )

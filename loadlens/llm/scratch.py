@@ -48,6 +48,14 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many signs behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def join_apart(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on ``key`` in a shuffle of its own, so that adaptive execution can cut a hot key on the left.
 

@@ -24,7 +24,7 @@ from loadlens.llm import text_kernels as kernels
 from loadlens.llm.bits import bit_table, may_hold
 from loadlens.llm.buckets import block_groups, forest, hub_first, pairs_of_groups, together, whole_groups
 from loadlens.llm.graph import connected_components
-from loadlens.llm.scratch import join_apart, passing, stored, write
+from loadlens.llm.scratch import free_name, join_apart, passing, stored, write
 
 BANDS, ROWS = 24, 4
 BASE, RATE, TOP = 1.1, 20.0, 255
@@ -270,7 +270,8 @@ def verified_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, per
     slim = docs.select(F.col(id_col).cast("long").alias("rep"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("_text"))
     # most texts are in no cluster and need no shuffle
     named = F.xxhash64(F.col("rep").isNull(), F.coalesce("rep", "text_key"))
-    slim = slim.where(may_hold(docs, bit_table(wanted, F.xxhash64("by_text", "place")), named))
+    slim, may = may_hold(slim, bit_table(wanted, F.xxhash64("by_text", "place")), named)
+    slim = slim.where(may).drop(may)
     unnamed = slim.where("rep is null").groupBy("text_key").agg(F.first("_text").alias("_text"))
     slim = slim.where("rep is not null").select(F.lit(False).alias("by_text"), F.col("rep").alias("place"), "_text").unionByName(
         unnamed.select(F.lit(True).alias("by_text"), F.col("text_key").alias("place"), "_text")
@@ -363,17 +364,17 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
         special = write(named(rows.where("not first"), True).unionByName(several), "not-alone")
         tables.remove(special)
     special = spark.read.schema("_id long, _key long, _group long, _goes boolean").parquet(special)
-    hashed = F.xxhash64("_id", "_key")
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what has an order
-    listed = docs.select(F.struct(*docs.columns).alias("_row"), F.struct(*plain).alias("_order"), F.col("doc_id").cast("long").alias("_id"), _text_key().alias("_key"))
-    listed = listed.withColumn("_may", may_hold(docs, bit_table(special, hashed), hashed))
-    whole = lambda part: part.select("_row.*")
-    match = lambda left, right: left["_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["_key"])
-    held = listed.where("_may").select("_row", "_id", "_key")
-    out = whole(listed.where("not _may")).unionByName(whole(held.join(special, match(held, special), "left_anti")))
+    ident, key = F.col("doc_id").cast("long"), _text_key()
+    hashed, seen = F.xxhash64(ident, key), F.xxhash64("_id", "_key")
+    marked, may = may_hold(docs, bit_table(special, seen), hashed)
+    theirs = special.select(F.col("_id").alias(mine := free_name(docs, "_id")), F.col("_key").alias(text := free_name(docs, "_key")))
+    held = marked.where(may).join(theirs, ident.eqNullSafe(F.col(mine)) & (key == F.col(text)), "left_anti")
+    out = marked.where(~F.col(may)).unionByName(held).select(docs.columns)
     several = special.where("not _goes")
     if several.isEmpty():
         return out
-    some = listed.where(may_hold(docs, bit_table(several, hashed), hashed)).select("_row", "_order", "_id", "_key")
-    one = some.join(several, match(some, several)).groupBy(several["_id"], "_group").agg(F.min_by("_row", "_order").alias("_row"))
-    return out.unionByName(whole(one))
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what has an order
+    marked, may = may_hold(docs, bit_table(several, seen), hashed)
+    some = marked.where(may).select(F.struct(*docs.columns).alias("_row"), F.struct(*plain).alias("_order"), ident.alias("_own"), key.alias("_own_key"))
+    shared = some.join(several, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")))
+    return out.unionByName(shared.groupBy("_id", "_group").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*"))

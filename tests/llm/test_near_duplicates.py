@@ -241,8 +241,7 @@ def test_few_bits_change_nothing(spark, groups, monkeypatch):
 
     frame = spark.createDataFrame([(i, t, i % 3) for i, t in groups.items()] + [(0, groups[0], 9)], "doc_id long, text string, source int")
     want = sorted(map(tuple, setsketch.keep_first(frame).collect()))
-    monkeypatch.setattr(setsketch, "bit_table", lambda rows, hashed: bits.bit_table(rows, hashed, 2))
-    monkeypatch.setattr(setsketch, "may_hold", lambda rows, table, hashed: bits.may_hold(rows, table, hashed, 2))
+    monkeypatch.setattr(setsketch, "bit_table", lambda rows, hashed: bits.bit_table(rows, hashed, 3))
     assert sorted(map(tuple, setsketch.keep_first(frame).collect())) == want
     assert {r[0] for r in want} == {c for _, c in brute.near_duplicates(groups).values()}
 
@@ -252,13 +251,19 @@ def test_bit_tables_know_their_rows(spark):
 
     from loadlens.llm import bits
 
-    rows = spark.range(5000).select(F.col("id") * 7 - 100, F.xxhash64("id").alias("h"))
-    for size in (4, 15, 20):
+    rows = spark.range(5000).select((F.col("id") * 7 - 100).alias("_may"), F.xxhash64("id").alias("h"))
+
+    def held(frame, table):
+        marked, name = bits.may_hold(frame, table, F.col("h"))
+        assert set(frame.columns) < set(marked.columns) and marked.count() == frame.count()
+        return marked.where(name).count()
+
+    for size in (3, 15, 26):
         table = bits.bit_table(rows, F.col("h"), size)
-        assert rows.where(bits.may_hold(rows, table, F.col("h"), size)).count() == 5000
+        assert table.size == 2 ** min(size, 17) and held(rows, table) == 5000
     others = spark.range(10_000, 20_000).select(F.xxhash64("id").alias("h"))
-    assert others.where(bits.may_hold(others, bits.bit_table(rows, F.col("h")), F.col("h"))).count() < 20
-    assert others.where(bits.may_hold(others, bits.bit_table(rows.limit(0), F.col("h")), F.col("h"))).count() == 0
+    assert 100 < held(others, bits.bit_table(rows, F.col("h"))) < 900
+    assert held(others, bits.bit_table(rows.limit(0), F.col("h"))) == 0
 
 
 def test_scratch_tables_pass_away(spark):
