@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions import PAYLOAD_FACTORS, account_delta, payload_mod, uuid_from_int
-from loadlens.operators.ordered import first_rows, rows_after_first
+from loadlens.operators.ordered import first_rows, join_apart, rows_after_first
+from loadlens.session import scratch_path, store
 
 # Sizes and start balance of the generated tables.
 PRELOAD_ROWS = 100_000
@@ -115,12 +116,12 @@ def new_rows(requests: DataFrame, seq: str = "seq") -> DataFrame:
 
 def apply_deletes(table: DataFrame, deletes: DataFrame, on: Sequence[str] = ("id",)) -> DataFrame:
     """Delete by key. Repeating it changes nothing; requests collapse to one row per key first."""
-    return table.join(deletes.select(*on).distinct(), list(on), "left_anti")
+    return join_apart(table, deletes.select(*on).distinct(), on, "left_anti")
 
 
 def rows_of_keys(table: DataFrame, requests: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is asked for, however often."""
-    return table.join(requests.select(*on).distinct(), list(on), "left_semi")
+    """Rows whose key is asked for, however often. A hot key of the table is cut."""
+    return join_apart(table, requests.select(*on).distinct(), on, "left_semi")
 
 
 def uuid_bucket(column: str) -> Column:
@@ -192,6 +193,24 @@ def route_by_table(table: DataFrame, requests: DataFrame, on: Sequence[str] = ("
     return apply_updates(table, requests, on, "payload")
 
 
+def rewrite_touched(spark: SparkSession, path: str, requests: DataFrame, on: Sequence[str] = ("tid", "id"), value: str = "payload", part: str = "tid") -> list:
+    """Apply updates to a stored table with one folder per ``part``: only the folders that requests name are read and replaced.
+
+    The new rows are written aside first, so a failed rewrite can be repeated from them or from the start. Returns the parts
+    that requests name (one number per table, so a handful).
+    """
+    named = [r[part] for r in requests.select(part).where(F.col(part).isNotNull()).distinct().collect()]
+    if not named:
+        return []
+    table = spark.read.parquet(path).where(F.col(part).isin(named))
+    updated = apply_updates(table, requests, on, value)
+    aside = scratch_path(spark, "rewritten")
+    updated.write.partitionBy(part).parquet(aside)
+    fresh = spark.read.schema(updated.schema).parquet(aside)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    return sorted(named)
+
+
 def pk_audit(table: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and null keys."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
@@ -231,6 +250,35 @@ def fk_chain(start: DataFrame, links: Sequence[tuple[DataFrame, str, str]]) -> D
     return start
 
 
+def fk_roots(relation: DataFrame, tid: str = "tid", key: str = "id", ref: str = "ref_id", rounds: int = 32) -> DataFrame:
+    """(tid, key, root_tid, root_key, depth) of every row of the test tables as one relation: its reference is a key of the table
+    numbered one lower. The root is the last row that is found; depth counts the steps to it.
+
+    Pointer doubling: every round replaces a row's pointer by that of the row it points to, so a chain of n tables takes
+    log2(n) joins. A row that many refer to lengthens one side only, which adaptive execution cuts. Every round is written,
+    so that a lost executor repeats one join.
+    """
+    rows = relation.select(F.col(tid).alias("tid"), F.col(key).alias("key"), F.col(ref).alias("ref"))
+    parents = rows.select(F.col("tid").alias("up_tid"), F.col("key").alias("up_key"), F.lit(1).alias("found"))
+    start = rows.withColumns({"up_tid": F.when(F.col("ref").isNotNull(), F.col("tid") - 1), "up_key": F.col("ref")})
+    start = start.join(parents, ["up_tid", "up_key"], "left").select(
+        "tid", "key", F.when(F.col("found") == 1, F.col("up_tid")).otherwise(F.col("tid")).alias("root_tid"),
+        F.when(F.col("found") == 1, F.col("up_key")).otherwise(F.col("key")).alias("root_key"), F.coalesce("found", F.lit(0)).cast("bigint").alias("depth"),
+    )
+    current, before = store(start, "fk-roots"), None
+    for _ in range(rounds):
+        total = current.agg(F.sum("depth")).first()[0]
+        if total == before:
+            return current.withColumnsRenamed({"tid": tid, "key": key, "root_key": f"root_{key}"})
+        before = total
+        above = current.select(
+            F.col("tid").alias("root_tid"), F.col("key").alias("root_key"), F.col("root_tid").alias("far_tid"), F.col("root_key").alias("far_key"), F.col("depth").alias("more"),
+        )
+        step = current.join(above, ["root_tid", "root_key"])
+        current = store(step.select("tid", "key", F.col("far_tid").alias("root_tid"), F.col("far_key").alias("root_key"), (F.col("depth") + F.col("more")).alias("depth")), "fk-roots")
+    raise RuntimeError(f"references are not followed to their end after {rounds} rounds")
+
+
 def apply_ordered(
     table: DataFrame, requests: DataFrame, key: str, value: str, seq: str = "seq", stamp: str = "updated_at", at: str = "req_ts"
 ) -> DataFrame:
@@ -242,14 +290,14 @@ def apply_ordered(
     inserted anew has nulls but for key, value and ``stamp``, the time of its last request.
 
     Two aggregations, no window: the last reset per key, then the sum of what follows it. Both
-    collapse before they shuffle, and the join between them meets one row per key.
+    collapse before they shuffle; the join between them has a shuffle of its own, so a hot key is cut.
     """
     reset = F.col("op").isin("insert", "delete")
     timed = at in requests.columns
     changes = requests.where(F.col("op") != "select").withColumn("at__", F.col(at) if timed else F.lit(None))
     last = changes.groupBy(key).agg(F.max_by(F.struct(seq, "op", "delta", "at__"), F.when(reset, F.col(seq))).alias("last__"))
     live = F.col("last__").isNull() | (F.col(seq) > F.col(f"last__.{seq}"))
-    updates = changes.where("op = 'update'").join(last, key).where(live)
+    updates = join_apart(changes.where("op = 'update'"), last, [key]).where(live)
     after = updates.groupBy(key).agg(F.sum("delta").alias("after__"), F.max("at__").alias("late__"))
     per_key = last.join(after, key, "left")
     known = [c for c in table.columns if c != key]

@@ -44,6 +44,16 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(other, _same_group(left, other, keys), how).drop(*[f"{c}__r" for c in keys])
 
 
+def join_apart(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` in a shuffle of its own, so that adaptive execution can cut a hot key on the left.
+
+    When ``right`` is an aggregation by the same keys, its partitioning would serve the join as well, and a partition that
+    an aggregation has read is never cut. The hash as one more join key asks for a new one on both sides.
+    """
+    one, two = (df.withColumn("apart__", F.xxhash64(*[F.col(k) for k in keys])) for df in (left, right))
+    return one.join(two, [*keys, "apart__"], how).drop("apart__")
+
+
 def _same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{c}__r"]) for c in columns])
 
@@ -240,3 +250,41 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, l
 def rows_after_first(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, limits: DataFrame) -> DataFrame:
     """All other rows: those beyond the limit and those of groups without one."""
     return _against_limit(df, keys, order, bucket, limits).where(~F.col("within__")).select(*df.columns)
+
+
+def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "rank") -> DataFrame:
+    """Add the rank (from 1) of every row, in ``order`` within ``keys``; ``bucket`` must never fall along ``order``.
+
+    An opening row per bucket brings the number of rows before it, and a running sum over the bucket does the rest.
+    """
+    keys, order = list(keys), list(order)
+    cut = df.withColumn("bucket__", bucket)
+    sizes = cut.groupBy(*keys, "bucket__").agg(F.count(F.lit(1)).alias("size__"))
+    ahead = Window.partitionBy(*keys).orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)
+    openers = sizes.withColumn("step__", F.coalesce(F.sum("size__").over(ahead), F.lit(0))).drop("size__").withColumn("opener__", F.lit(True))
+    rows = cut.withColumns({"opener__": F.lit(False), "step__": F.lit(1).cast("bigint")}).unionByName(openers, allowMissingColumns=True)
+    here = (
+        Window.partitionBy(*keys, "bucket__").orderBy(F.col("opener__").desc(), *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return rows.withColumn(name, F.sum("step__").over(here)).where(~F.col("opener__")).select(*df.columns, name)
+
+
+#: Rows of a block whose sliding frames are taken together.
+FRAME_BLOCK = 100_000
+
+
+def moving_mean(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, width: int, name: str, block: int = FRAME_BLOCK
+) -> DataFrame:
+    """Add the mean of ``value`` over a row and the ``width - 1`` rows before it, in ``order`` within ``keys``; nulls do not count.
+
+    A group is cut into blocks of so many ranks. A block's last ``width - 1`` rows also open the next block, so no window
+    sees a whole group and every frame is complete.
+    """
+    block, margin = max(block, width), width - 1
+    place = F.col("rank__") - 1
+    own = F.floor(place / block)
+    both = F.when(F.pmod(place, F.lit(block)) >= block - margin, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = with_rank(df, keys, order, bucket, "rank__").withColumn("own__", own).withColumn("block__", F.explode(both))
+    frame = Window.partitionBy(*keys, "block__").orderBy("rank__").rowsBetween(-margin, Window.currentRow)
+    return rows.withColumn(name, F.avg(value).over(frame)).where(F.col("block__") == F.col("own__")).select(*df.columns, name)

@@ -17,7 +17,7 @@ from loadlens.functions import (
     is_workload_statement,
     round_half_even,
 )
-from loadlens.operators.ordered import with_previous
+from loadlens.operators.ordered import FRAME_BLOCK, moving_mean, with_previous
 
 # The two spellings of the time columns, older first; and the reported percentiles.
 TIME_COLUMNS = {
@@ -180,6 +180,16 @@ def snapshot_delta(
     return seen.select(*keys, *order, *[c.alias(name) for name, c in deltas.items()])
 
 
+def smoothed_latency(
+    snapshots: DataFrame, keys: Sequence[str], order: Sequence[str] = ("elapsed_sec",), width: int = 5, bucket: Column | None = None, block: int = FRAME_BLOCK
+) -> DataFrame:
+    """Latency per interval (see ``snapshot_delta``) and its moving mean over ``width`` intervals; intervals without calls or
+    with a reset have no latency and do not count in the mean."""
+    deltas = snapshot_delta(snapshots, keys, order, bucket)
+    cut = series_bucket(deltas, order) if bucket is None else bucket
+    return moving_mean(deltas, keys, order, cut, "interval_mean_ms", width, "smoothed_ms", block)
+
+
 def latency_over_time(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Server latency over elapsed time, cumulative as recorded, in order."""
     shown = [c for c in ("mean_ms", *HISTOGRAM_PERCENTS) if c in snapshots.columns]

@@ -57,13 +57,16 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
 BATCHES = 4
 
 
-def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> Iterator[DataFrame]:
+def txn_stream(spark: SparkSession, sf: str, in_order: bool = False, late: bool = False, again: bool = False) -> Iterator[DataFrame]:
     """The transactions as a stream that gets four slices one after the other: yields it each time the next slice is there.
 
     Drain it with the same checkpoint each time; a slice is one micro-batch then, whatever the number of its files, and is
     written by as many tasks as ``events`` has partitions. The slices go by event number dealt in turn, so that every key
     and every second comes in all of them; unless ``in_order``, the last slice comes first: what follows it is late.
+    With ``late``, slices go by time and every fifth event comes a slice late; with ``again``, they go by time and some events
+    come twice, in their slice or in the next one.
     """
+    in_order = in_order or late or again
     events, path = table(spark, sf, "events"), scratch_path(spark, "event-files")
     slices = list(range(BATCHES)) if in_order else [BATCHES - 1, *range(BATCHES - 1)]
     if in_order:
@@ -71,9 +74,60 @@ def txn_stream(spark: SparkSession, sf: str, in_order: bool = False) -> Iterator
         number = sum(((F.col("ts") > F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
     else:
         number = F.pmod("event_id", F.lit(BATCHES))
+    if late:
+        number, slices = number + (F.pmod("event_id", F.lit(5)) == 0).cast("int"), [*slices, BATCHES]
     for n in slices:
-        events.where(number == n).write.mode("append").parquet(path)
-        yield spark.readStream.schema(events.schema).parquet(path).selectExpr(*TXN_COLUMNS)
+        part = events.where(number == n)
+        if again:
+            part = part.unionByName(part.where("event_id % 7 = 0")).unionByName(events.where((number == n - 1) & (F.col("event_id") % 3 == 0)))
+        part.write.mode("append").parquet(path)
+        yield spark.readStream.schema(events.schema).parquet(path).selectExpr(*TXN_COLUMNS, f"{MICROS} as at_us")
+
+
+def growing_logs(spark: SparkSession, sf: str, root: str) -> Iterator[int]:
+    """Log files that grow in four steps below ``root``; yields each time. Before the last step every file ends within a line,
+    and before the third the logs of ``signup`` are begun anew under their names.
+
+    A step writes the whole file again, which a repeated task does alike; the bytes of the step before stay what they were.
+    """
+    from pyarrow import fs
+
+    lines = txn_line(spark, sf).withColumn("fields", F.split("line", " "))
+    number, client = F.col("fields")[1].cast("bigint"), F.col("fields")[0].cast("bigint")
+    name = F.concat_ws("/", F.lit(root), "variant", "operation", "step", F.concat(F.lit("pgbench_log."), client % 2))
+    lines = lines.select(name.alias("file"), "operation", "line", F.pmod(number, F.lit(BATCHES)).alias("slice"), number.alias("number"))
+
+    def keep(ending: int):
+        def run(frames):
+            out = now = last = None
+
+            def close():
+                out.write(last.encode() + b"\n" if not ending else (last.encode() + b"\n")[:-ending])
+                out.close()
+
+            for frame in frames:
+                for file, line in zip(frame["file"], frame["line"], strict=True):
+                    if file != now:
+                        if out is not None:
+                            close()
+                        where = file.removeprefix("file:")
+                        where = "/" + where.lstrip("/")
+                        fs.LocalFileSystem().create_dir(where.rsplit("/", 1)[0], recursive=True)
+                        out, now = fs.LocalFileSystem().open_output_stream(where), file
+                    else:
+                        out.write(last.encode() + b"\n")
+                    last = line
+            if out is not None:
+                close()
+            yield from ()
+
+        return run
+
+    for step in range(BATCHES):
+        rows = lines.where((F.col("slice") <= step) & ~((F.col("operation") == "signup") & (F.col("slice") < 2) & F.lit(step >= 2)))
+        placed = rows.repartition("file").sortWithinPartitions("file", "slice", "number").select("file", "line")
+        placed.mapInPandas(keep(0 if step == BATCHES - 1 else 5), "file string").count()
+        yield step
 
 
 def txn_line(spark: SparkSession, sf: str) -> DataFrame:

@@ -177,6 +177,43 @@ def _(spark, sf):
     return keyed.route_by_table(tables, asked)
 
 
+@query(
+    "rewrite_touched",
+    f"""with t as ({PRELOAD_SQL}), u as (select cast(o_orderkey % 3 * 3 + 1 as integer) as tid, {_uuid_sql('o_custkey + 1')} as id,
+        sum(o_orderkey * 37 % 101 - 50)::bigint as d, max(epoch_us(o_orderdate)) as last_at from orders group by 1, 2)
+        select t.tid, t.id, t.payload + coalesce(d, 0) as payload, last_at as updated_at from t left join u using (tid, id)""",
+)
+def _(spark, sf):
+    # Requests name the tables 1, 4 and 7: the folders of the others stay as they are.
+    path = scratch_path(spark, "tables")
+    tables = keyed.preload_tables(_numbers(spark, sf), at=_load_time()).select("tid", "id", "payload", F.lit(None).cast("bigint").alias("updated_at"))
+    tables.write.partitionBy("tid").parquet(path)
+    asked = t.request(spark, sf).select(
+        (F.col("seq") % 3 * 3 + 1).cast("int").alias("tid"), fn.uuid_from_int(F.col("account_id") + 1).alias("id"), "delta", "req_ts"
+    )
+    keyed.rewrite_touched(spark, path, asked)
+    return spark.read.parquet(path).select("tid", "id", "payload", "updated_at")
+
+
+# Ten tables of the customers, of which every table lacks some: row g of table n refers to row g % 100 + 1 of table n - 1.
+CHAIN_SQL = f"""select tid, g, {_uuid_sql('g')} as id, case when tid > 1 then {_uuid_sql('g % 100 + 1')} end as ref_id
+    from (select c_custkey + 1 as g from customer), (select cast(unnest(range(1, 11)) as integer) as tid) where (g * 7 + tid) % 11 <> 0"""
+
+
+@query(
+    "fk_roots",
+    f"""with recursive c as materialized ({CHAIN_SQL}),
+        up as (select tid, id, tid as root_tid, id as root_id, ref_id, 0::bigint as depth from c
+          union all select up.tid, up.id, p.tid, p.id, p.ref_id, depth + 1 from up join c p on p.tid = up.root_tid - 1 and p.id = up.ref_id)
+        select tid, id, last(root_tid order by depth) as root_tid, last(root_id order by depth) as root_id, max(depth) as depth from up group by tid, id""",
+)
+def _(spark, sf):
+    g = F.col("g")
+    rows = _numbers(spark, sf).withColumn("tid", F.explode(F.sequence(F.lit(1), F.lit(10)))).where((g * 7 + F.col("tid")) % 11 != 0)
+    parent = F.when(F.col("tid") > 1, fn.uuid_from_int(g % 100 + 1))
+    return keyed.fk_roots(rows.select("tid", fn.uuid_from_int(g).alias("id"), parent.alias("ref_id")))
+
+
 @query("pk_audit", "select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1")
 def _(spark, sf):
     return keyed.pk_audit(t.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])

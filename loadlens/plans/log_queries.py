@@ -305,6 +305,29 @@ def _(spark, sf):
     )
 
 
+NESTED_STEPS = ["variant", "operation", "step"]
+
+
+@query(
+    "lag_documents",
+    """select variant as runset, 'lag' as run, step, 5 as interval_sec, cast(elapsed_sec as integer) as elapsed_sec,
+       elapsed_sec + 1704067200 as "timestamp", lag_ms from lag_snapshot""",
+)
+def _(spark, sf):
+    # Nested documents, one per step, written and read back.
+    rows, path = _lag_rows(spark, sf), scratch_path(spark, "lag-documents")
+    sinks.write_snapshot_documents(rows, path, NESTED_STEPS, "replication_lag_over_time", ["elapsed_sec", "seq"], ["elapsed_sec", "timestamp", "lag_ms"])
+    return sources.scan_lag_snapshots(spark, path, "replication_lag_over_time*")
+
+
+@query("stat_documents", f"select variant as run, step, 5 as interval_sec, {STAT_SQL} from stat_snapshot")
+def _(spark, sf):
+    fields = [f.split()[0] for f in sources.schemas.STAT_FIELDS.split(",")]
+    rows, path = _stat_rows(spark, sf), scratch_path(spark, "stat-documents")
+    sinks.write_snapshot_documents(rows, path, ["variant", "step"], "pg_stat_statements_over_time", ["elapsed_sec", "seq"], fields)
+    return sources.scan_stat_snapshots(spark, path, "pg_stat_statements_over_time*").drop("runset")
+
+
 @query("lag_over_time", "select variant, step, elapsed_sec, lag_ms from lag_snapshot order by all")
 def _(spark, sf):
     return lag.lag_over_time(t.lag_snapshot(spark, sf), ["variant", "step"])
@@ -468,6 +491,16 @@ def _(spark, sf):
     )
 
 
+@query(
+    "smoothed_latency",
+    f"""select variant, step, elapsed_sec, seq, interval_calls, interval_mean_ms, cast(printf('%.6f', avg(interval_mean_ms) over
+        (partition by variant, step order by elapsed_sec, seq rows between 4 preceding and current row)) as double) as smoothed_ms from ({DELTA_SQL})""",
+)
+def _(spark, sf):
+    rows = statements.smoothed_latency(t.stat_snapshot(spark, sf), ["variant", "step"], ["elapsed_sec", "seq"], 5, block=1000)
+    return rounded(rows, "smoothed_ms")
+
+
 @query("latency_over_time", "select variant, step, elapsed_sec, mean_ms from stat_snapshot order by all")
 def _(spark, sf):
     return statements.latency_over_time(t.stat_snapshot(spark, sf), ["variant", "step"])

@@ -62,6 +62,16 @@ def _(spark, sf):
     return listing.withColumn("phase_tps", fn.round_half_even(F.col("phase_tps"), 2))
 
 
+@query("summary_documents", f"select runset, {FLAT} from flat")
+def _(spark, sf):
+    # Nested documents, one per run set, with the phases of all its runs one after the other; written and read back.
+    path = scratch_path(spark, "summary-documents")
+    rows = t.records(spark, sf)
+    number = F.regexp_extract("run", r"(\d+)$", 1).cast("int") * 5 + F.col("phase_idx")
+    sinks.write_summary_documents(rows.withColumn("phase_idx", number.cast("int")).withColumn("run", F.col("runset")), path)
+    return reports.flatten_report(sources.scan_summary(spark, path, "summary*")).drop("phase_idx", "step_idx", "run")
+
+
 def _stored_report(spark, sf):
     return sinks.write_report_csv(_flat(spark, sf), scratch_path(spark, "report"), folders=["runset"])
 

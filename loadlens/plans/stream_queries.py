@@ -8,10 +8,11 @@ from loadlens.functions import round_half_even
 from loadlens.plans import driver_tables as t
 from loadlens.plans.log_queries import DELTA_SQL, LAG_SQL, PARSED, RISK_SQL, SECOND_SQL
 from loadlens.plans.registry import query
-from loadlens.session import scratch_path
+from loadlens.session import scratch_path, store
 from loadlens.sinks import files as sinks
 from loadlens.streaming import operators as live
 from loadlens.streaming.store import append_batches, drain, merge_batches, read_store
+from loadlens.streaming.tail import appended_logs, ingest_appended
 
 
 def _paths(spark, name):
@@ -109,3 +110,84 @@ def _(spark, sf):
     path, checkpoint = _paths(spark, "stream-ingest")
     drain(append_batches(live.txn_log_stream(spark, logs, files_per_batch=20), path, checkpoint))
     return read_store(spark, path).drop("batch_id")
+
+
+#: How late a row may come where a stream closes seconds or forgets rows: longer than a slice of the fixture.
+LATE = 400
+
+
+def _timed(txn, second="epoch_sec"):
+    return txn.withColumn("at", F.timestamp_seconds(second))
+
+
+def _to_parquet(rows, path, checkpoint):
+    drain(rows.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+
+
+@query(
+    "stream_closed_percentiles",
+    f"""select variant, epoch_sec, count(*) as count, cast(printf('%.6f', cast(sum(latency_us) as double) / 1000 / count(*)) as double) as avg_ms, {SECOND_SQL}
+        from txn where epoch_sec + 1 <= (select max(epoch_sec) from txn) - {LATE} group by variant, epoch_sec""",
+)
+def _(spark, sf):
+    path, checkpoint = _paths(spark, "stream-percentiles")
+    for txn in t.txn_stream(spark, sf, late=True):
+        _to_parquet(live.closed_second_percentiles(_timed(txn), "at", f"{LATE} seconds", ["variant"]), path, checkpoint)
+    return spark.read.parquet(path).withColumns({c: round_half_even(F.col(c), 6) for c in ("avg_ms", "p50_ms", "p95_ms", "p99_ms")})
+
+
+@query("stream_intervals", DELTA_SQL.replace("from seen", f"from seen where elapsed_sec < (select max(elapsed_sec) from stat_snapshot) - {LATE}"))
+def _(spark, sf):
+    path, checkpoint = _paths(spark, "stream-intervals")
+    for txn in t.txn_stream(spark, sf, late=True):
+        snapshots = txn.selectExpr(*t.STAT_COLUMNS, "timestamp_seconds(epoch_sec) as at")
+        _to_parquet(live.interval_stream(snapshots, ["variant", "step"], "at", f"{LATE} seconds"), path, checkpoint)
+    return spark.read.parquet(path)
+
+
+@query(
+    "stream_running_lag",
+    f"""select slice, variant, step, {LAG_SQL} from lag_snapshot, (select cast(unnest([0, 1, 2, 3]) as integer) as slice)
+        where lag_ms is not null and (seq % 4 + 1) % 4 <= slice group by slice, variant, step""",
+)
+def _(spark, sf):
+    # What a reader sees after each of the four slices.
+    path, checkpoint = _paths(spark, "stream-running-lag")
+    keys, seen = ["variant", "step"], []
+    for n, txn in enumerate(t.txn_stream(spark, sf)):
+        drain(live.start_running_lag(txn.selectExpr(*t.LAG_COLUMNS), keys, path, checkpoint))
+        seen.append(store(live.running_lag(spark, path, keys).select(F.lit(n).alias("slice"), "*"), "running-lag"))
+    return seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3])
+
+
+TXN_KEY = ["variant", "operation", "step", "client_id", "txn_no"]
+
+
+@query("stream_without_repeats", f"select {', '.join(TXN_KEY)}, latency_us, epoch_sec, epoch_us from txn")
+def _(spark, sf):
+    path, checkpoint = _paths(spark, "stream-repeats")
+    for txn in t.txn_stream(spark, sf, again=True):
+        _to_parquet(live.without_repeats(_timed(txn), "at", TXN_KEY, f"{LATE} seconds"), path, checkpoint)
+    return spark.read.parquet(path).select(*TXN_KEY, "latency_us", "epoch_sec", "epoch_us")
+
+
+@query(
+    "stream_decimate_counted",
+    """select variant, step, event_id as seq, number from (select variant, step, event_id, row_number() over (partition by variant, step order by ts, event_id) - 1 as number
+       from txn join events on event_id = txn_no) where number % 4 = 0""",
+)
+def _(spark, sf):
+    path, checkpoint = _paths(spark, "stream-counted")
+    for txn in t.txn_stream(spark, sf, in_order=True):
+        polls = txn.selectExpr("variant", "step", "txn_no as seq", "at_us")
+        _to_parquet(live.decimate_counted(polls, ["variant", "step"], ["at_us", "seq"], 4), path, checkpoint)
+    return spark.read.parquet(path).select("variant", "step", "seq", "number")
+
+
+@query("stream_appended_logs", f"select variant as runset, operation as run, step, {', '.join(PARSED[3:])} from parsed where not (operation = 'signup' and txn_no % 4 < 2)")
+def _(spark, sf):
+    # Four passes over growing files; those of one operation are begun anew before the third.
+    root, path = scratch_path(spark, "growing"), scratch_path(spark, "appended")
+    for _step in t.growing_logs(spark, sf, root):
+        ingest_appended(spark, root, path, part_bytes=1 << 16)
+    return appended_logs(spark, path).drop("file")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.operators.latency import formatted_histogram
@@ -87,3 +87,68 @@ def write_metrics_text(
     levels = [*folders, node]
     _writer(_spread(lines.select(*levels, "line"), levels, "line"), levels, f"{capture}_metrics").text(path)
     return path
+
+
+# -- nested documents ---------------------------------------------------------------------------
+# A document is one file, so its rows meet in one task. They are written as the lines of a JSON text in order: a head, the
+# elements, a tail. Nothing is collected; a series of any length streams through its writer.
+
+def _open_object(fields: Column, more: Column | str) -> Column:
+    """The JSON text of a struct without its closing brace, ready for one more field (``more`` tells whether there is one)."""
+    text = F.to_json(fields)
+    body = F.substring(text, F.lit(1), F.length(text) - 1)
+    return F.when(F.lit(more) & (F.length(text) > 2), F.concat(body, F.lit(","))).otherwise(body)
+
+
+def _document_lines(rows: DataFrame, folders: Sequence[str], order: Sequence[str], comma_after: dict[int, int], path: str, name: str) -> str:
+    """``rows`` (folders, order columns, ``kind__``, ``text__``) as files: a kind in ``comma_after`` gets a comma when the line
+    before it is of the given kind. The window needs no shuffle or sort beyond that of the rows."""
+    placed = rows.repartition(*folders).sortWithinPartitions(*folders, *order)
+    before = F.lag("kind__").over(Window.partitionBy(*folders).orderBy(*order))
+    listed = placed.withColumn("before__", before)
+    comma = F.lit("")
+    for kind, previous in comma_after.items():
+        comma = F.when((F.col("kind__") == kind) & (F.col("before__") == previous), ",").otherwise(comma)
+    _writer(listed.select(*folders, F.concat(comma, "text__").alias("value")), folders, name).text(path)
+    return path
+
+
+def write_snapshot_documents(
+    snapshots: DataFrame, path: str, folders: Sequence[str], name: str, order: Sequence[str], fields: Sequence[str], documents: DataFrame | None = None
+) -> str:
+    """One ``{interval_sec, snapshots[]}`` document per folder, its snapshots (``fields``) in ``order``.
+
+    ``documents`` (folders, interval_sec) lists those to write, also such without a snapshot; by default those that have one.
+    """
+    heads = snapshots.groupBy(*folders).agg(F.max("interval_sec").alias("interval_sec")) if documents is None else documents
+    kinds = {c: snapshots.schema[c].dataType for c in order}
+    place = lambda kind: [F.lit(kind).alias("kind__"), *[F.lit(None).cast(kinds[c]).alias(c) for c in order]]
+    interval = F.coalesce(F.col("interval_sec").cast("string"), F.lit("null"))
+    head = F.concat(F.lit('{"interval_sec":'), interval, F.lit(',"snapshots":['))
+    rows = heads.select(*folders, *place(0), head.alias("text__")).unionByName(
+        snapshots.select(*folders, F.lit(1).alias("kind__"), *order, F.to_json(F.struct(*fields)).alias("text__"))
+    ).unionByName(heads.select(*folders, *place(2), F.lit("]}").alias("text__")))
+    return _document_lines(rows, folders, ["kind__", *order], {1: 1}, path, name)
+
+
+def write_summary_documents(records: DataFrame, path: str, folders: Sequence[str] = ("runset", "run"), name: str = "summary") -> str:
+    """One nested run document per folder, from step records: the run's fields, its phases, their steps, all in order."""
+    keys, others = list(folders), ["phase_idx", "phase", "step_idx", "step"]
+    run_fields = [c for c in records.columns if c not in (*keys, *others)]
+    stepped = F.col("step.step") != ""
+    line = lambda phase, kind, step, text: [F.lit(phase).cast("int").alias("phase_idx") if isinstance(phase, int) else phase, F.lit(kind).alias("kind__"), step.cast("int").alias("step_idx"), text.alias("text__")]
+    none = F.lit(None)
+    runs = records.groupBy(*keys).agg(F.first(F.struct(*run_fields)).alias("run__"))
+    phases = records.groupBy(*keys, "phase_idx").agg(F.first("phase").alias("phase"), F.max(stepped).alias("stepped__"))
+    at, has = F.col("phase_idx").cast("int").alias("phase_idx"), F.col("stepped__")
+    parts = [
+        runs.select(*keys, *line(-1, 0, none, F.concat(_open_object(F.col("run__"), True), F.lit('"phases":[')))),
+        phases.select(*keys, *line(at, 1, none, F.concat(_open_object(F.col("phase"), has), F.when(has, '"steps":[').otherwise("")))),
+        records.where(stepped).select(*keys, *line(at, 2, F.col("step_idx"), F.to_json("step"))),
+        phases.select(*keys, *line(at, 3, none, F.when(has, "]}").otherwise("}"))),
+        runs.select(*keys, *line((1 << 31) - 1, 4, none, F.lit("]}"))),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return _document_lines(rows, keys, ["phase_idx", "kind__", "step_idx"], {1: 3, 2: 2}, path, name)

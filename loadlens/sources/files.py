@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import sanitize_nonfinite, stdout_figures
 from loadlens.operators.latency import parse_txn_lines
+from loadlens.operators.ordered import join_apart
 from loadlens.operators.statements import with_time_columns
 from loadlens.sources import schemas
 
@@ -32,10 +33,10 @@ def step_levels(path: Column | None = None) -> list[Column]:
 def is_partitioned(spark: SparkSession, root: str) -> bool:
     """Whether the folders right below ``root`` are named ``key=value`` (one listing of one level)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    try:
-        below = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    except Exception:  # a pattern, or not there: the reader says so itself
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):  # a pattern, or not there: the reader says so itself
         return False
+    below = fs.listStatus(folder)
     return any(f.isDirectory() and "=" in f.getPath().getName() for f in below)
 
 
@@ -97,10 +98,26 @@ def scan_summary_records(spark: SparkSession, root: str, files: str = "summary*"
     return lines.select(_level(1).alias("runset"), record.alias("doc")).select("runset", "doc.*")
 
 
+def scan_snapshot_arrays(spark: SparkSession, root: str, files: str, fields: str) -> DataFrame:
+    """Elements of nested ``{interval_sec, snapshots[]}`` documents, whatever their size: the files are cut at closing braces,
+    so a long series is read by many tasks and no cell holds more than one element.
+
+    Elements are flat objects (no braces in them). What does not parse as one is left out. The interval, which stands once in
+    a document, is joined by file.
+    """
+    path = F.col("_metadata.file_path")
+    pieces = _reader(spark, files).option("lineSep", "}").text(root).select(*step_levels(), path.alias("file__"), "value")
+    element = F.concat(F.lit("{"), F.try_element_at(F.split("value", r"\{"), F.lit(-1)), F.lit("}"))
+    parsed = F.from_json(sanitize_nonfinite(element), fields, {"mode": "PERMISSIVE"})
+    rows = pieces.where(F.contains("value", F.lit("{")) & F.contains("value", F.lit('"elapsed_sec"'))).withColumn("doc", parsed)
+    heads = pieces.select("file__", F.regexp_extract("value", r'"interval_sec"\s*:\s*(-?\d+)', 1).try_cast("int").alias("interval_sec"))
+    heads = heads.where(F.col("interval_sec").isNotNull()).groupBy("file__").agg(F.min("interval_sec").alias("interval_sec"))
+    return join_apart(rows, heads, ["file__"], "left").select("runset", "run", "step", "interval_sec", "doc.*")
+
+
 def _snapshots(spark, root, files, schema, one_per_file, fields) -> DataFrame:
     if one_per_file:
-        docs = _documents(spark, root, files, schema, step_levels(), True)
-        return explode_snapshots(docs.select("runset", "run", "step", "doc.*"))
+        return scan_snapshot_arrays(spark, root, files, fields)
     lines = _documents(spark, root, files, f"interval_sec int, {fields}", step_levels(), False)
     return lines.select("runset", "run", "step", "doc.*")
 

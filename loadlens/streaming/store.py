@@ -87,3 +87,54 @@ def merge_batches(
     for old in [*[batches[n] for n in batches if n <= last], *merged.values()]:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
     return last
+
+
+# -- keyed upserts --------------------------------------------------------------------------------
+# <path>/version=<batch>/bucket__=<n>: a batch writes only the buckets of the keys it has, from their newest version before it.
+
+def _versions(spark: SparkSession, path: str, before: int | None = None) -> dict[int, list[int]]:
+    """Complete versions of every bucket, ascending: at most a few per bucket."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, list[int]] = {}
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/bucket__=*")) or []:
+        where = status.getPath()
+        version, bucket = int(where.getParent().getName().split("=")[1]), int(where.getName().split("=")[1])
+        if (before is None or version < before) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}/_SUCCESS")):
+            out.setdefault(bucket, []).append(version)
+    return {b: sorted(v) for b, v in out.items()}
+
+
+def upsert(
+    batch: DataFrame, batch_id: int, path: str, keys: list[str], combine: Callable[[DataFrame], DataFrame], buckets: int = 16
+) -> list[int]:
+    """Merge ``batch`` into the store at ``path``; returns the buckets it touched (at most ``buckets``).
+
+    ``combine`` makes the stored rows of old and new ones. Only the buckets of the batch's keys are read and written. A batch
+    that runs again starts from the versions before it and writes the same; superseded versions are removed, all but the
+    one a repetition needs.
+    """
+    spark = batch.sparkSession
+    fresh = batch.withColumn("bucket__", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = sorted(r["bucket__"] for r in fresh.select("bucket__").distinct().collect())
+    if not touched:
+        return []
+    versions = _versions(spark, path, batch_id)
+    old = [f"{path}/version={versions[b][-1]}/bucket__={b}" for b in touched if b in versions]
+    rows = fresh.drop("bucket__")
+    if old:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(*old))
+    merged = combine(rows).withColumn("bucket__", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    merged.write.mode("overwrite").partitionBy("bucket__").parquet(f"{path}/version={batch_id}")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for b in touched:
+        for version in versions.get(b, [])[:-1]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}/bucket__={b}"), True)
+    return touched
+
+
+def read_upserts(spark: SparkSession, path: str, schema: str, buckets: list[int] | None = None) -> DataFrame:
+    """The newest version of every bucket, or of some."""
+    versions = _versions(spark, path)
+    folders = [f"{path}/version={v[-1]}/bucket__={b}" for b, v in versions.items() if buckets is None or b in buckets]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
