@@ -248,5 +248,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "qualit
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = THRESHOLD, max_train: int = MAX_TRAIN) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``.
+
+    Null, empty and very long texts are scored like all others; without labels of both kinds every row stays; repeated rows
+    stay or go together; an empty table gives no rows. A null id has no label and is scored.
+    """
     return docs.where(score_of(train(docs, labels, label_col, max_train))(F.col("text").cast("string")) >= threshold)

@@ -200,6 +200,45 @@ def test_normal_equations_are_those_of_all_rows(spark):
     assert quality.fit(rows.where("label = 1")) is None
 
 
+def test_quality_query_is_the_plain_one(spark, sf, documents):
+    """Every score again from the definition: one text at a time, sums over all rows, and the increasing fit by its min-max formula."""
+    docs = documents.where("doc_id % 2 = 0")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r.doc_id: r for r in quality.score_documents(docs, labels).collect()}
+    rows = docs.select("doc_id", "text", (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4)) == 0).alias("c")).collect()
+    marks = {}
+    for r in labels.where("quality is not null").collect():
+        marks.setdefault(r.doc_id, []).append(r.quality)
+    stats = {r.doc_id: quality.statistics([r.text])[0].astype(np.float32).astype(float) for r in rows}
+    exact = {r.doc_id: quality.statistics([r.text])[0] for r in rows}
+    known = [(r.doc_id, float(np.mean(marks[r.doc_id]) >= 0.5), r.c) for r in rows if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 5 != 0]
+    fit, rest = [k for k in known if not k[2]], [k for k in known if k[2]]
+    table = np.stack([stats[i] for i, _, _ in fit])
+    mean, scale = table.mean(axis=0), np.maximum(table.std(axis=0), 1e-6)
+    rng, d, n = np.random.default_rng(7), table.shape[1], quality.FEATURES
+    weights, phases = rng.normal(0, 1 / np.sqrt(d) * 1.5, (d, n)), rng.uniform(0, 2 * np.pi, n)
+
+    def features(x):
+        return np.append(np.cos(np.clip((x - mean) / scale, -6, 6) @ weights + phases) * np.sqrt(2.0 / n), 1.0)
+
+    z, y = np.stack([features(stats[i]) for i, _, _ in fit]), np.array([label for _, label, _ in fit])
+    beta = np.linalg.solve(z.T @ z + quality.RIDGE * len(fit) / n * np.eye(n + 1), z.T @ y)
+    bins = {}
+    for i, label, _ in rest:
+        at = int(np.clip((features(stats[i]) @ beta + 0.5) / 2 * quality.BINS, 0, quality.BINS - 1))
+        bins.setdefault(at, []).append(label)
+    order = sorted(bins)
+    hits, counts = np.array([sum(bins[b]) for b in order]), np.array([len(bins[b]) for b in order])
+    share = lambda a, b: hits[a : b + 1].sum() / counts[a : b + 1].sum()
+    values = [max(min(share(a, b) for b in range(i, len(order))) for a in range(i + 1)) for i in range(len(order))]
+    centres = [(b + 0.5) / quality.BINS * 2 - 0.5 for b in order]
+    want = {i: float(np.clip(np.interp(features(exact[i]) @ beta, centres, values), 0, 1)) for i in exact}
+    assert set(got) == set(want) and len(rest) > 20
+    differ = [i for i in want if abs(got[i].score - want[i]) > 1e-6]
+    assert len(differ) <= 0.01 * len(want), [(got[i].score, want[i]) for i in differ[:5]]
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i].predicted == int(got[i].score >= 0.3) for i in got)
+
+
 def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, "x"), (1, 1, "x"), (4, 0, "x"), (None, 1, "x"), (5, None, "x"), (8, 0, "x"), (9, 0, "x")], "doc_id long, quality int, score string")
     got = quality.score_documents(odd_docs, labels).collect()
