@@ -22,7 +22,7 @@ HEADLINES = [
     "latency_percentiles", "latency_histogram", "per_script_stats", "throughput", "schema_decision", "lag_summary",
     "statement_summary", "histogram_percentile", "snapshot_delta", "per_operation", "sink_report_csv", "sink_latency_histogram",
     "apply_updates", "delete_one_per_key", "ordered_batch_apply", "fk_chain", "preload_tables",
-    "stream_latency_histogram", "stream_txn_ingest",
+    "stream_latency_histogram", "stream_txn_ingest", "stream_appended_logs", "stream_closed_percentiles", "smoothed_latency", "fk_roots",
 ]
 
 
