@@ -27,7 +27,7 @@ TAIL_BYTES = 64
 OFFSETS = "file string, begun bigint, upto bigint, length bigint, modified timestamp, tail binary"
 
 
-def _open(path: str):
+def open_file(path: str):
     """A file of any store that the workers' Arrow file systems reach."""
     from pyarrow import fs
 
@@ -81,7 +81,7 @@ def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if r.length < start:
                     known = False
                 else:
-                    with _open(r.file) as file:
+                    with open_file(r.file) as file:
                         known = file.read_at(len(tail), start - len(tail)) == tail
             out.append((r.file, int(r.begun) if known else int(r.now), start if known else 0, r.length, r.modified, (r.tail if known else None)))
         yield pd.DataFrame(out, columns=["file", "begun", "start", "length", "modified", "tail"])
@@ -91,7 +91,7 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for r in frame.itertuples(index=False):
             place, tail = None, b""
-            with _open(r.file) as file:
+            with open_file(r.file) as file:
                 for lines, place in complete_lines(file, r.part, min(r.part + r.size, r.length), r.length, r.part == r.start):
                     tail = (tail + lines)[-TAIL_BYTES:]
                     texts = lines[:-1].decode("utf-8", "replace").split("\n")
