@@ -1,10 +1,11 @@
 """WARC archives of captures, and their index by an external merge of sorted runs.
 
-Records are written by Spark's text writer: a record ends in two line breaks, and so do the lines of
-that writer, so each file is a valid archive (gzip members hold whole files). Reading opens the
-files whole, streams through their records, checks every digest and sorts the captures of a file by
-URL key and time: a capture run. Runs are stored, cut into ranges of (URL key, time, id) and merged, k
-ways, by a loser tree per range: capture histories in one global order.
+Every record is a gzip member of its own (several, if it is very long), so that offset and length fetch it from
+its file. Spark's text writer and its committer write the files: the last byte of a member of less than 16 MB is zero
+(the top byte of its size), and that byte is the writer's line end. Files are cut by bytes, so that one is a cell of
+bounded size when it is read back. Reading goes through their records, checks every digest and sorts the captures of a
+file by URL key and time: a capture run. Runs are stored, cut into ranges of (URL key, time, id) and merged, k ways, by
+a loser tree per range: capture histories in one global order.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 
 from loadlens.llm.scratch import join_apart, stored
 from loadlens.session import scratch_path
+from loadlens.streaming.tail import open_file
 
 REVISIT_BYTES = 100
-RECORDS_PER_FILE = 50_000
+FILE_BYTES = 64 << 20
+MEMBER_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
 ROWS_PER_RANGE = 100_000
 FAN_IN = 256
 FIRST_CAPTURE = 1704067200
@@ -88,10 +93,34 @@ def record(with_payload: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> str:
-    """WARC files (gzip) below ``path``; a lost task is written again by Spark's committer."""
-    writer = record(captures(pages)).write.option("lineSep", _BREAK * 2).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", records_per_file).text(path)
+def members(data: bytes) -> bytes:
+    """gzip members that hold ``data``, of at most ``MEMBER_BYTES`` each before compression."""
+    parts = (data[i : i + MEMBER_BYTES] for i in range(0, len(data), MEMBER_BYTES))
+    return b"".join(gzip.compress(part, 6, mtime=0) for part in parts)
+
+
+def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> str:
+    """WARC files below ``path``, each of at most ``file_bytes`` or one record; a lost task is written again by Spark's committer."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        archive, filled = 0, 0
+        for frame in frames:
+            packed, archives, held = [], [], 0
+            for text in frame["value"]:
+                data = members(bytes(text) + _BREAK.encode() * 2)
+                if filled and filled + len(data) > file_bytes:
+                    archive, filled = archive + 1, 0
+                filled += len(data)
+                held += len(data)
+                packed.append(data[:-1])  # the writer adds the last byte
+                archives.append(archive)
+                if held > BATCH_BYTES:
+                    yield pd.DataFrame({"value": packed, "archive": archives})
+                    packed, archives, held = [], [], 0
+            yield pd.DataFrame({"value": packed, "archive": archives})
+
+    rows = record(captures(pages)).select(F.col("value").cast("binary").alias("value")).mapInPandas(pack, "value binary, archive int")
+    rows.select(F.col("value").cast("string").alias("value"), "archive").write.option("lineSep", "\0").partitionBy("archive").text(path)
     return path
 
 
@@ -115,6 +144,44 @@ def read_records(stream) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
         offset += length
 
 
+def _member(content: memoryview, at: int) -> tuple[bytes, int]:
+    """The data of the gzip member at ``at``, and the place behind it."""
+    reader, parts, step = zlib.decompressobj(31), [], 4096
+    while not reader.eof:
+        piece = content[at : at + step]
+        if not len(piece):
+            raise ValueError("a member is cut off")
+        parts.append(reader.decompress(piece))
+        at, step = at + len(piece), min(2 * step, 1 << 20)
+    return b"".join(parts), at - len(reader.unused_data)
+
+
+def _whole(data: bytes) -> bool:
+    """Whether ``data`` reaches to the end of the record that it begins with."""
+    head = data.find(b"\r\n\r\n")
+    if head < 0:
+        return False
+    (size,) = (int(line[16:]) for line in data[:head].split(b"\r\n") if line.startswith(b"Content-Length: "))
+    return len(data) >= head + 4 + size + 4
+
+
+def read_archive(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, length, headers, block) of every record; ``content[offset : offset + length]`` are the members that hold it.
+
+    Members that hold several whole records are read too; these records share offset and length.
+    """
+    view, at = memoryview(content), 0
+    while at < len(view):
+        start, data = at, b""
+        while not _whole(data):
+            if at >= len(view):
+                raise ValueError(f"record at {start} is cut off")
+            more, at = _member(view, at)
+            data += more
+        for _, _, headers, block in read_records(io.BytesIO(data)):
+            yield start, at - start, headers, block
+
+
 INDEX = "run string, file string, url_key string, time string, page_id string, type string, digest string, bytes long, refers string, offset long, length long"
 
 
@@ -129,7 +196,7 @@ def capture_runs(spark: SparkSession, path: str) -> DataFrame:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
                 lines = []
-                for offset, length, headers, block in read_records(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)))):
+                for offset, length, headers, block in read_archive(content):
                     digest, size = headers["WARC-Payload-Digest"].removeprefix("sha256:"), int(headers["X-Payload-Length"])
                     if headers["WARC-Type"] == "response":
                         payload = block[block.index(b"\r\n\r\n") + 4 :]
@@ -142,13 +209,37 @@ def capture_runs(spark: SparkSession, path: str) -> DataFrame:
                     ))
                 lines.sort(key=lambda x: (x[0].encode(), x[1], int(x[2] or -1), x[7]))
                 out = pd.DataFrame(lines, columns=["url_key", "time", "page_id", "type", "digest", "bytes", "refers", "offset", "length"])
-                yield out.assign(run=hashlib.md5(name.encode()).hexdigest()[:12], file=name.rsplit("/", 1)[-1])
+                yield out.assign(run=hashlib.md5(name.encode()).hexdigest()[:12], file="/".join(name.rsplit("/", 2)[1:]))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     names = [x.split()[0] for x in INDEX.split(", ")]
     return files.mapInPandas(lambda frames: (f[names] for f in run(frames)), INDEX)
 
 
+def fetch(index: DataFrame, path: str) -> DataFrame:
+    """The lines of ``index`` with the ``block`` of their records, each read from the archives below ``path`` by its range alone.
+
+    Files are opened by the workers' Arrow file systems. The block is the HTTP message; that of a revisit has no payload.
+    """
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for file, lines in frame.groupby("file", sort=False):
+                held, blocks = 0, []
+                with open_file(f"{path.rstrip('/')}/{file}") as source:
+                    for i, (at, size) in enumerate(zip(lines["offset"], lines["length"], strict=True)):
+                        ((_, _, _, block),) = read_archive(source.read_at(int(size), int(at)))
+                        blocks.append(block)
+                        held += len(block)
+                        if held > BATCH_BYTES:
+                            yield lines.iloc[i + 1 - len(blocks) : i + 1].assign(block=blocks)
+                            held, blocks = 0, []
+                yield lines.iloc[len(lines) - len(blocks) :].assign(block=blocks)
+
+    lines = index.select(*[x.split()[0] for x in INDEX.split(", ")])
+    return lines.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInPandas(read, f"{INDEX}, block binary")
+
+
 class LoserTree:
     """Merges sorted lists: inner nodes keep the loser of their match, so that each next row costs one path to the root."""
 

@@ -317,7 +317,7 @@ PAGES = [
 
 def test_archives_round_trip(spark, tmp_path):
     frame = spark.createDataFrame(PAGES, "page_id long, url string, html string, digest string").repartition(3)
-    path = warc.write_archives(frame, str(tmp_path / "w"), records_per_file=2)
+    path = warc.write_archives(frame, str(tmp_path / "w"), file_bytes=700)
     index = warc.merged_index(warc.capture_runs(spark, path), rows_per_range=4)
     lines = index.collect()
     assert len(lines) == len(PAGES)
@@ -340,7 +340,7 @@ def test_archives_round_trip(spark, tmp_path):
     import glob
 
     for r in lines:
-        data = gzip.decompress(open(glob.glob(f"{path}/{r.file}")[0], "rb").read())[r.offset : r.offset + r.length]
+        data = gzip.decompress(open(glob.glob(f"{path}/{r.file}")[0], "rb").read()[r.offset : r.offset + r.length])
         (record,) = warc.read_records(io.BytesIO(data))
         assert record[2]["WARC-Record-ID"] == f"<urn:page:{r.page_id or ''}>" and record[2]["WARC-Type"] == r.type
 
@@ -350,7 +350,7 @@ def test_damaged_archives_are_refused(spark, tmp_path):
     path = warc.write_archives(frame, str(tmp_path / "w"))
     import glob
 
-    (file,) = glob.glob(f"{path}/*.gz")
+    (file,) = glob.glob(f"{path}/*/*.txt")
     data = gzip.decompress(open(file, "rb").read())
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(data[:-3])))
@@ -361,5 +361,30 @@ def test_damaged_archives_are_refused(spark, tmp_path):
         warc.capture_runs(spark, str(tmp_path / "x")).count()
 
 
+def test_large_payloads_are_cut_by_bytes_and_fetched_by_range(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    noise = lambda n: rng.integers(32, 127, n, dtype=np.uint8).tobytes().decode()  # noqa: E731  hardly compressible
+    long = noise(17_000_000)  # three members, one of them of the full size
+    pages = [(i, f"http://a.com/{i}", noise(1_500_000)) for i in range(6)] + [(6, "http://a.com/6", long), (7, "http://b.com/", long), (8, "http://c.com", "")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = warc.write_archives(frame, str(tmp_path / "w"), file_bytes=3_000_000)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").glob("*/*.txt"))
+    assert len(sizes) >= 4 and sizes[-2] <= 3_000_000 < sizes[-1]
+    index = warc.capture_runs(spark, path)
+    got = {int(r.page_id): r for r in warc.fetch(index, path).collect()}
+    assert {i: r.type for i, r in got.items()} == {**{i: "response" for i in range(9)}, 7: "revisit"}
+    for i, _, html in pages:
+        payload = bytes(got[i].block).split(b"\r\n\r\n", 1)[1]
+        assert payload == (b"" if i == 7 else html.encode()) and got[i].bytes == len(html)
+
+
+def test_cut_archives_are_refused():
+    data = warc.members(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nab\r\n\r\n")
+    assert [r[3] for r in warc.read_archive(data * 2)] == [b"ab"] * 2 and data[-1] == 0
+    for cut in (data[:-9], warc.members(gzip.decompress(data)[:-5])):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.read_archive(cut))
+
+
 def test_archive_of_no_pages(spark):
     assert warc.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
