@@ -188,10 +188,24 @@ def test_recall_at_the_bar():
     b -= (b * a).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     c = 0.93 * a + np.sqrt(1 - 0.93**2) * b
-    met = (vectors.bucket_keys(a) == vectors.bucket_keys(c)).any(axis=1).mean()
-    assert met >= 0.995
-    far = (vectors.bucket_keys(a) == vectors.bucket_keys(b)).any(axis=1).mean()
-    assert far < 0.1
+    for rows in (500, 50_000, 500_000):
+        size = vectors.sized(rows)
+        assert (vectors.bucket_keys(a, *size) == vectors.bucket_keys(c, *size)).any(axis=1).mean() >= 0.997
+    for other, cosine in ((b, 0.0), (c, 0.93)):
+        together = (vectors.bucket_keys(a, 400, 1) == vectors.bucket_keys(other, 400, 1)).mean()
+        assert abs(together - vectors.meeting(cosine)) < 0.01
+
+
+def test_candidates_do_not_grow_with_rows():
+    rng = np.random.default_rng(4)
+    for rows in (1_000, 4_000, 16_000):
+        v = rng.normal(size=(rows, 64))
+        size = vectors.sized(rows)
+        keys = vectors.bucket_keys(v / np.linalg.norm(v, axis=1, keepdims=True), *size)
+        partners = sum(int((n * (n - 1)).sum()) for n in (np.unique(k, return_counts=True)[1] for k in keys.T)) / rows
+        assert partners <= 1.3 * vectors.STRANGERS * size[0]
+    assert vectors.sized(0)[0] >= 1 and vectors.sized(10, cosine=1.0)[0] == 1
+    assert [vectors.sized(10**p)[1] for p in (3, 5, 8)] == sorted(vectors.sized(10**p)[1] for p in (3, 5, 8))
 
 
 def test_set_names_follow_sets():
