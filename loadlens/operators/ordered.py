@@ -13,10 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType
 
 #: For few, large groups; and for very many groups, such as one per second.
 BUCKETS_PER_DOUBLING = 256
 COARSE_PER_DOUBLING = 8
+#: Numbers per stretch of buckets that are linked in one window.
+STRETCH = 1024
 
 
 def value_bucket(value: Column, per_doubling: int = BUCKETS_PER_DOUBLING) -> Column:
@@ -185,6 +188,27 @@ def _reached_in_buckets(
     return inside.withColumn("reach__", F.col("before__") + F.sum("n").over(running))
 
 
+def _openers(last: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``last`` (keys, ``bucket__``, ``last__``) with each ``last__`` moved to the bucket that follows in its group.
+
+    Buckets led by a whole number may be as many as the rows of a group (one row a second), so no window may see them all:
+    they are linked within stretches of ``STRETCH`` numbers, and only the ends of stretches, one row each, meet in a window
+    over the group.
+    """
+
+    def moved(rows: DataFrame, following: Column) -> DataFrame:
+        found = rows.select(*keys, following.alias("next__"), "last__").where(F.col("next__").isNotNull())
+        return found.select(*keys, F.col("next__.bucket__").alias("bucket__"), "last__")
+
+    bucket, kind = F.struct("bucket__"), last.schema["bucket__"].dataType
+    if not isinstance(kind, StructType) or not isinstance(kind[0].dataType, IntegralType):
+        return moved(last, F.lead(bucket).over(Window.partitionBy(*keys).orderBy("bucket__")))
+    cut = last.withColumn("stretch__", F.floor(F.col("bucket__").getField(kind[0].name) / F.lit(STRETCH)))
+    inside = moved(cut, F.lead(bucket).over(Window.partitionBy(*keys, "stretch__").orderBy("bucket__")))
+    ends = cut.groupBy(*keys, "stretch__").agg(F.min(bucket).alias("first__"), F.max_by("last__", bucket).alias("last__"))
+    return inside.unionByName(moved(ends, F.lead("first__").over(Window.partitionBy(*keys).orderBy("stretch__"))))
+
+
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, columns: Sequence[str]
 ) -> DataFrame:
@@ -192,20 +216,13 @@ def with_previous(
 
     ``bucket`` must never fall along ``order``. A copy of each bucket's last row opens the next
     bucket, so one window per (group, bucket) sees every predecessor: the rows shuffle once
-    and meet no join.
+    and meet no join. A bucket may be a struct led by a whole number; there may be as many of these as rows.
     """
     keys, order = list(keys), list(order)
     cut = df.withColumn("bucket__", bucket)
     carried = list(dict.fromkeys([*order, *columns]))
     last = cut.groupBy(*keys, "bucket__").agg(F.max_by(F.struct(*carried), F.struct(*order)).alias("last__"))
-    following = F.lead(F.struct("bucket__")).over(Window.partitionBy(*keys).orderBy("bucket__"))
-    openers = (
-        last.select(*keys, following.alias("next__"), "last__.*")
-        .where(F.col("next__").isNotNull())
-        .withColumn("bucket__", F.col("next__.bucket__"))
-        .drop("next__")
-        .withColumn("opener__", F.lit(True))
-    )
+    openers = _openers(last, keys).select(*keys, "bucket__", "last__.*").withColumn("opener__", F.lit(True))
     rows = cut.withColumn("opener__", F.lit(False)).unionByName(openers, allowMissingColumns=True)
     here = Window.partitionBy(*keys, "bucket__").orderBy(*order)
     seen = rows.withColumns({f"prev_{c}": F.lag(c).over(here) for c in columns})

@@ -68,6 +68,25 @@ def test_previous_row_across_buckets(spark):
     assert got == want
 
 
+def test_previous_row_of_a_thin_series(spark):
+    # one row a second over several stretches, one hot second, gaps of more than a stretch, seconds and groups that are null
+    data = [("thin", o, 0) for o in range(-1500, 3000)] + [("hot", 5000, n) for n in range(2500)] + [("hot", o, 0) for o in (0, 9000, 20000)]
+    data += [(None, o, 1) for o in (None, 1, 1023, 1024, 1025)] + [("one", 7, 7)]
+    df = spark.createDataFrame(data, "k string, o bigint, n bigint").repartition(5).withColumn("v", F.coalesce("o", F.lit(-9)) * 10000 + F.col("n"))
+    bucket = F.struct(F.col("o"), F.floor(F.col("n") / 100).alias("part"))
+    seen = with_previous(df, ["k"], ["o", "n"], bucket, ["v"])
+    got = {(r.k, r.o, r.n): r.prev_v for r in seen.collect()}
+    want, last = {}, {}
+    for k, o, n in sorted(data, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2])):
+        want[k, o, n] = last.get(k)
+        last[k] = (-9 if o is None else o) * 10000 + n
+    assert got == want and len(data) == len(want)
+    # windows see a stretch, a bucket, or one row per stretch
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 3 and sum("stretch__" in line for line in windows) == 2 and sum("first__" in line for line in windows) == 1
+
+
 def test_rank_across_buckets(spark):
     rng = random.Random(8)
     data = [(k, o) for k in ("hot", "b") for o in rng.sample(range(5000), 500 if k == "hot" else 20)]
