@@ -71,11 +71,12 @@ def txn_stream(spark: SparkSession, sf: str, in_order: bool = False, late: bool
     slices = list(range(BATCHES)) if in_order else [BATCHES - 1, *range(BATCHES - 1)]
     if in_order:
         cuts = events.agg(F.percentile_approx("ts", [n / BATCHES for n in range(1, BATCHES)]).alias("cuts")).first()["cuts"]
-        number = sum(((F.col("ts") > F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
+        number = sum(((F.col("ts") > F.lit(cut)).cast("int") for cut in cuts or []), F.lit(0))
     else:
         number = F.pmod("event_id", F.lit(BATCHES))
+    number = F.coalesce(number, F.lit(0))  # rows without an event number or a time come in a slice as well
     if late:
-        number, slices = number + (F.pmod("event_id", F.lit(5)) == 0).cast("int"), [*slices, BATCHES]
+        number, slices = number + F.coalesce((F.pmod("event_id", F.lit(5)) == 0).cast("int"), F.lit(0)), [*slices, BATCHES]
     for n in slices:
         part = events.where(number == n)
         if again:
