@@ -256,12 +256,13 @@ def fk_roots(relation: DataFrame, tid: str = "tid", key: str = "id", ref: str =
 
     Pointer doubling: every round replaces a row's pointer by that of the row it points to, so a chain of n tables takes
     log2(n) joins. A row that many refer to lengthens one side only, which adaptive execution cuts. Every round is written,
-    so that a lost executor repeats one join.
+    so that a lost executor repeats one join. Both sides are the whole relation, so none is ever broadcast: the size that Spark
+    estimates knows nothing of an ``explode`` below it and may be a small part of the true one.
     """
     rows = relation.select(F.col(tid).alias("tid"), F.col(key).alias("key"), F.col(ref).alias("ref"))
     parents = rows.select(F.col("tid").alias("up_tid"), F.col("key").alias("up_key"), F.lit(1).alias("found"))
     start = rows.withColumns({"up_tid": F.when(F.col("ref").isNotNull(), F.col("tid") - 1), "up_key": F.col("ref")})
-    start = start.join(parents, ["up_tid", "up_key"], "left").select(
+    start = start.join(parents.hint("merge"), ["up_tid", "up_key"], "left").select(
         "tid", "key", F.when(F.col("found") == 1, F.col("up_tid")).otherwise(F.col("tid")).alias("root_tid"),
         F.when(F.col("found") == 1, F.col("up_key")).otherwise(F.col("key")).alias("root_key"), F.coalesce("found", F.lit(0)).cast("bigint").alias("depth"),
     )
@@ -274,7 +275,7 @@ def fk_roots(relation: DataFrame, tid: str = "tid", key: str = "id", ref: str =
         above = current.select(
             F.col("tid").alias("root_tid"), F.col("key").alias("root_key"), F.col("root_tid").alias("far_tid"), F.col("root_key").alias("far_key"), F.col("depth").alias("more"),
         )
-        step = current.join(above, ["root_tid", "root_key"])
+        step = current.join(above.hint("merge"), ["root_tid", "root_key"])
         current = store(step.select("tid", "key", F.col("far_tid").alias("root_tid"), F.col("far_key").alias("root_key"), (F.col("depth") + F.col("more")).alias("depth")), "fk-roots")
     raise RuntimeError(f"references are not followed to their end after {rounds} rounds")
 
