@@ -63,6 +63,13 @@ def preload_tables(numbers: DataFrame, parent_rows: int = PRELOAD_ROWS, at: Colu
     )
 
 
+def write_tables(tables: DataFrame, path: str, part: str = "tid", key: str = "id") -> str:
+    """The test tables with one folder per ``part``. Rows are dealt by key first: a task of the series makes all ten tables, and
+    without that the writer would sort all its rows at once, however many they are."""
+    tables.repartition(part, key).write.partitionBy(part).parquet(path)
+    return path
+
+
 def preload_accounts(numbers: DataFrame, at: Column | None = None) -> DataFrame:
     return numbers.select(
         uuid_from_int(F.col("g")).alias("id"), F.lit(START_BALANCE).cast("bigint").alias("balance"), _load_time(at).alias("updated_at")

@@ -71,7 +71,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "tables")
     tables = keyed.preload_tables(_numbers(spark, sf), at=_load_time())
-    tables.write.partitionBy("tid").parquet(path)
+    keyed.write_tables(tables, path)
     return sources.scan_keyed_table(spark, path, sources.schemas.TEST_TABLE + ", tid int").select("tid", "id", "ref_id", "payload")
 
 
@@ -187,7 +187,7 @@ def _(spark, sf):
     # Requests name the tables 1, 4 and 7: the folders of the others stay as they are.
     path = scratch_path(spark, "tables")
     tables = keyed.preload_tables(_numbers(spark, sf), at=_load_time()).select("tid", "id", "payload", F.lit(None).cast("bigint").alias("updated_at"))
-    tables.write.partitionBy("tid").parquet(path)
+    keyed.write_tables(tables, path)
     asked = t.request(spark, sf).select(
         (F.col("seq") % 3 * 3 + 1).cast("int").alias("tid"), fn.uuid_from_int(F.col("account_id") + 1).alias("id"), "delta", "req_ts"
     )

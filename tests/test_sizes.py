@@ -21,3 +21,16 @@ def test_no_relation_of_references_is_broadcast(spark, monkeypatch):
     got = keyed.fk_roots(rows)
     assert got.count() == 4 * 1999 and {r["depth"] for r in got.select("depth").distinct().collect()} == {0, 1, 2, 3}
     assert len(plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
+def test_tables_are_not_sorted_by_the_tasks_that_make_them(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables = keyed.preload_tables(spark.range(0, 4000, 1, 1).withColumnRenamed("id", "g"))
+        path = keyed.write_tables(tables, scratch_path(spark, "tables"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(len(glob.glob(f"{local(path)}/tid={n}/*.parquet")) > 1 for n in range(1, 11))
+    back = spark.read.parquet(path)
+    kept = ["tid", "id", "ref_id", "payload"]  # not the time of loading
+    assert back.select(kept).exceptAll(tables.select(kept)).count() == 0 and back.count() == 40_000
