@@ -162,27 +162,46 @@ def label_text(labels: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
-def step_records(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
-    """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> records.
+def join_steps(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> one row per step, and
+    one with a null step per phase without steps; ``stepped`` tells which.
 
-    One record per step, the same layout at every size. A phase's throughput is that of its last
-    step; phases without steps become their own step with an empty name. Keys are never null.
+    A phase's throughput is that of its last step. Of the structs only ``tps`` and ``tps_excluding`` are looked at, so they
+    may hold what a document is made of instead of the document, and that alone is shuffled. Keys are never null.
     """
     keys = [*keys, "phase_idx"]
     figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
     last = phase_last_step(figures, keys).withColumnsRenamed({"tps": "last_tps__", "tps_excluding": "last_excluding__"})
-    known = phases.join(last.withColumn("stepped__", F.lit(True)), keys, "left")
-    stepped = F.col("stepped__").isNotNull()
+    # Phases are nearly as many as steps and their size is guessed from compressed files: a join of them is never broadcast.
+    known = phases.join(last.withColumn("stepped", F.lit(True)).hint("merge"), keys, "left")
+    stepped = F.col("stepped").isNotNull()
     tps = F.when(stepped, F.col("last_tps__")).otherwise(F.col("phase.tps"))
     excluding = F.when(stepped, F.col("last_excluding__")).otherwise(F.col("phase.tps_excluding"))
     known = known.withColumn("phase", F.col("phase").withField("tps", tps).withField("tps_excluding", excluding))
-    fields = steps.select("step.*").columns
     alone = known.where(~stepped).select(
-        *keys, "phase", F.lit(0).alias("step_idx"),
-        F.struct(*[(F.lit("") if f == "step" else F.col(f"phase.{f}")).alias(f) for f in fields]).alias("step"),
+        *keys, "phase", F.lit(0).alias("step_idx"), F.lit(None).cast(steps.schema["step"].dataType).alias("step"), F.lit(False).alias("stepped")
     )
-    measured = steps.join(known.where(stepped).select(*keys, "phase"), keys)
-    return measured.select(*keys, "phase", "step_idx", "step").unionByName(alone)
+    measured = steps.join(known.where(stepped).select(*keys, "phase").hint("merge"), keys)
+    return measured.select(*keys, "phase", "step_idx", "step", F.lit(True).alias("stepped")).unionByName(alone)
+
+
+def own_steps(rows: DataFrame) -> DataFrame:
+    """A phase without steps becomes its own step with an empty name."""
+    step = lambda f: F.when(F.col("stepped"), F.col(f"step.{f}")).otherwise(F.lit("") if f == "step" else F.col(f"phase.{f}"))
+    fields = rows.select("step.*").columns
+    missing = F.col("stepped") & F.col("step").isNull()
+    whole = F.struct(*[step(f).alias(f) for f in fields])
+    return rows.withColumn("step", F.when(~missing, whole) if rows.schema["step"].nullable else whole).drop("stepped")
+
+
+def step_records(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+    """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> records.
+
+    One record per step, the same layout at every size. A phase's throughput is that of its last
+    step; phases without steps become their own step with an empty name. Keys are never null.
+    Whole documents are shuffled here: where they are made of less, ``join_steps`` comes first and ``own_steps`` last.
+    """
+    return own_steps(join_steps(phases, steps, keys))
 
 
 def run_listing(records: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:

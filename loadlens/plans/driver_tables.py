@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions import uuid_from_int
-from loadlens.operators.reports import step_records
+from loadlens.operators.reports import join_steps, own_steps
 from loadlens.session import scratch_path
 from loadlens.sources.schemas import STEP_STRUCT
 
@@ -194,12 +194,15 @@ def account_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+PHASE_IDX = "case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end"
+
+
 def line_step(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "lineitem")
         .groupBy(
             F.col("l_orderkey").alias("k"),
-            F.expr("case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end").alias("phase_idx"),
+            F.expr(PHASE_IDX).alias("phase_idx"),
             (F.col("l_linenumber") - 1).alias("step_idx"),
         )
         .agg(
@@ -212,22 +215,25 @@ def line_step(spark: SparkSession, sf: str) -> DataFrame:
 PHASE_NAME = "case phase_idx when 0 then 'select' when 1 then 'insert' else 'update' end"
 
 
+STEP_ROW = [
+    "concat('set_', k % 50) as runset", "concat('run-', k) as run", "phase_idx", "step_idx",
+    f"{PHASE_NAME} as phase", f"concat({PHASE_NAME}, '_step', step_idx + 1) as step",
+    "cast(qty as int) as clients", "cast(sk % 8 + 1 as int) as jobs", "cast(30 + pk % 4 * 30 as int) as duration_sec",
+    "case when pk % 4 = 0 then null else cast((pk % 10 + 1) * 1000 as double) end as target_tps",
+    "case when pk % 4 = 0 then pk * 10 + 50 end as total_transactions",
+    "case when sk % 11 = 0 then null else hi end as tps", "case when sk % 11 = 0 then null else lo end as tps_excluding",
+    "case when step_idx = 5 then null else cast(pk as double) / 8 end as latency_avg_ms",
+    "case sk % 4 when 0 then cast(pk as double) / 100000000 when 1 then cast(pk as double) * 10000000000000 when 2 then cast(pk as double) * 1000000 end as latency_stddev_ms",
+    "case when step_idx % 3 = 2 then null else cast(sk as double) / 4 end as server_ms",
+    "pk * 3 as latency_samples", "cast(pk as double) / 8 as latency_p50_ms", "cast(pk + 8 as double) / 8 as latency_p90_ms",
+    "cast(pk + 16 as double) / 8 as latency_p95_ms", "cast(pk + 32 as double) / 8 as latency_p99_ms",
+    "case when step_idx % 2 = 0 then cast(sk as double) end as lag_ms", "sk",
+]
+
+
 def step_row(spark: SparkSession, sf: str) -> DataFrame:
     """Step results: an order is a run, its return flags are phases, its line numbers steps."""
-    return line_step(spark, sf).selectExpr(
-        "concat('set_', k % 50) as runset", "concat('run-', k) as run", "phase_idx", "step_idx",
-        f"{PHASE_NAME} as phase", f"concat({PHASE_NAME}, '_step', step_idx + 1) as step",
-        "cast(qty as int) as clients", "cast(sk % 8 + 1 as int) as jobs", "cast(30 + pk % 4 * 30 as int) as duration_sec",
-        "case when pk % 4 = 0 then null else cast((pk % 10 + 1) * 1000 as double) end as target_tps",
-        "case when pk % 4 = 0 then pk * 10 + 50 end as total_transactions",
-        "case when sk % 11 = 0 then null else hi end as tps", "case when sk % 11 = 0 then null else lo end as tps_excluding",
-        "case when step_idx = 5 then null else cast(pk as double) / 8 end as latency_avg_ms",
-        "case sk % 4 when 0 then cast(pk as double) / 100000000 when 1 then cast(pk as double) * 10000000000000 when 2 then cast(pk as double) * 1000000 end as latency_stddev_ms",
-        "case when step_idx % 3 = 2 then null else cast(sk as double) / 4 end as server_ms",
-        "pk * 3 as latency_samples", "cast(pk as double) / 8 as latency_p50_ms", "cast(pk + 8 as double) / 8 as latency_p90_ms",
-        "cast(pk + 16 as double) / 8 as latency_p95_ms", "cast(pk + 32 as double) / 8 as latency_p99_ms",
-        "case when step_idx % 2 = 0 then cast(sk as double) end as lag_ms", "sk",
-    )
+    return line_step(spark, sf).selectExpr(*STEP_ROW)
 
 
 def run_row(spark: SparkSession, sf: str) -> DataFrame:
@@ -268,33 +274,45 @@ RUN_FIELDS = [
 ]
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
-    """Step records of the runs, as a stored summary has them."""
-    steps = step_row(spark, sf)
-    step_docs = steps.select("runset", "run", "phase_idx", "step_idx", _struct_of(STEP_FIELDS, STEP_STRUCT).alias("step"))
-    stepped = steps.select("runset", "run", "phase_idx", "phase").distinct().select(
-        "runset", "run", "phase_idx", _struct_of({"name": "phase", "type": "'pgbench'"}, STEP_STRUCT).alias("phase")
+RUN_OF = {"runset": "concat('set_', k % 50)", "run": "concat('run-', k)"}
+PHASE_FIELDS = {
+    "name": f"case phase_idx when 3 then 'api' when 4 then 'other' else {PHASE_NAME} end",
+    "type": "case phase_idx when 3 then 'http' when 4 then 'custom' else 'pgbench' end",
+    "exit_code": "case when phase_idx = 3 then 0 end",
+    "log": "case when phase_idx = 3 then concat('/r/', k, '/api.log') end",
+    "error": "case when phase_idx = 4 then 'unknown phase type' end",
+    "tps": "figures.tps", "tps_excluding": "figures.tps_excluding",
+}
+
+
+def record_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What the step records are made of: some figures a step, and not yet the document with all its fields."""
+    steps = line_step(spark, sf).selectExpr(
+        "k", "phase_idx", "step_idx",
+        "struct(pk, sk, qty, case when sk % 11 = 0 then null else hi end as tps, case when sk % 11 = 0 then null else lo end as tps_excluding) as step",
     )
+    none = "struct(cast(null as double) as tps, cast(null as double) as tps_excluding) as phase"
+    stepped = table(spark, sf, "lineitem").selectExpr("l_orderkey as k", f"{PHASE_IDX} as phase_idx").distinct().selectExpr("k", "phase_idx", none)
     # Runs whose key divides by 5 have an HTTP phase, by 7 one of an unknown type.
-    single = run_row(spark, sf).selectExpr(
-        "runset", "run", "k",
-        "explode(filter(array(case when k % 5 = 0 then 3 end, case when k % 7 = 0 then 4 end), x -> x is not null)) as phase_idx",
-    )
-    alone = single.select(
-        "runset", "run", "phase_idx",
-        _struct_of(
-            {
-                "name": "case when phase_idx = 3 then 'api' else 'other' end",
-                "type": "case when phase_idx = 3 then 'http' else 'custom' end",
-                "exit_code": "case when phase_idx = 3 then 0 end",
-                "log": "case when phase_idx = 3 then concat('/r/', k, '/api.log') end",
-                "error": "case when phase_idx = 4 then 'unknown phase type' end",
-            },
-            STEP_STRUCT,
-        ).alias("phase"),
-    )
-    made = step_records(stepped.unionByName(alone), step_docs)
-    return made.selectExpr("runset", "run", *RUN_FIELDS, "phase_idx", "phase", "step_idx", "step")
+    alone = run_row(spark, sf).selectExpr(
+        "k", "explode(filter(array(case when k % 5 = 0 then 3 end, case when k % 7 = 0 then 4 end), x -> x is not null)) as phase_idx"
+    ).selectExpr("k", "phase_idx", none)
+    return join_steps(stepped.unionByName(alone), steps, ["k"]).selectExpr(*[f"{x} as {c}" for c, x in RUN_OF.items()], "*")
+
+
+def record_docs(rows: DataFrame) -> DataFrame:
+    """``record_rows`` as step records; row by row, so the order of the rows stays."""
+    places = ["runset", "run", "k", "phase_idx", "step_idx", "stepped"]
+    made = rows.selectExpr(*places, "phase as figures", "step.pk", "step.sk", "step.qty", "step.tps as hi", "step.tps_excluding as lo")
+    derived = [x for x in STEP_ROW if x.rsplit(" as ", 1)[-1] not in (*places, "sk")]
+    made = made.selectExpr(*places, "figures", "sk", *derived)
+    docs = made.select(*places, _struct_of(PHASE_FIELDS, STEP_STRUCT).alias("phase"), _struct_of(STEP_FIELDS, STEP_STRUCT).alias("step"))
+    return own_steps(docs).selectExpr("runset", "run", *RUN_FIELDS, "phase_idx", "phase", "step_idx", "step")
+
+
+def records(spark: SparkSession, sf: str) -> DataFrame:
+    """Step records of the runs, as a stored summary has them."""
+    return record_docs(record_rows(spark, sf))
 
 
 def summaries(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,8 @@ import glob
 
 from pyspark.sql import functions as F
 
-from loadlens.operators import keyed
+from loadlens.operators import keyed, reports
+from loadlens.plans import driver_tables
 from loadlens.session import scratch_path
 
 
@@ -34,3 +35,24 @@ def test_tables_are_not_sorted_by_the_tasks_that_make_them(spark):
     back = spark.read.parquet(path)
     kept = ["tid", "id", "ref_id", "payload"]  # not the time of loading
     assert back.select(kept).exceptAll(tables.select(kept)).count() == 0 and back.count() == 40_000
+
+
+def test_documents_are_made_after_the_shuffles(spark):
+    orders = spark.createDataFrame([(n, n + 1, "1-URGENT") for n in range(1, 40)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
+    lines = [(k, 7 * k + n, k + n, n + 1, float(n), k / 4 + n, "ANR"[n % 3]) for k in range(1, 40, 2) for n in range(6)] + [(None, 1, 1, 1, 1.0, 1.0, "A"), (3, None, None, 9, None, None, None)]
+    items = spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string")
+    path = scratch_path(spark, "sf")
+    orders.write.parquet(f"{path}/orders.parquet")
+    items.write.parquet(f"{path}/lineitem.parquet")
+    rows = driver_tables.record_rows(spark, path)
+    assert rows.schema["step"].dataType.fieldNames() == ["pk", "sk", "qty", "tps", "tps_excluding"]
+    docs = driver_tables.record_docs(spark.createDataFrame(rows.collect(), rows.schema))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    flat = {(r.run, r.phase_idx, r.step_idx): r for r in reports.flatten_records(docs).collect()}
+    steps = [k for k in flat if k[1] < 3]
+    # A step that was added above, and a phase of no run, which meets no step.
+    assert len(steps) == 6 * 20 + 2 and len(flat) - len(steps) == 39 // 5 + 39 // 7 and all(r.type == "pgbench" for k, r in flat.items() if k[1] < 3)
+    assert flat[("run-3", 2, 8)].tps is None and flat[("run-5", 3, 0)].operation == "api" and flat[("run-5", 3, 0)].step == "" and flat[("run-7", 4, 0)].type == "custom"
+    last = {(r.run, r.phase_idx): r.phase.tps for r in docs.collect()}
+    assert last[("run-5", 0)] == flat[("run-5", 0, 3)].tps and last[("run-5", 3)] is None
