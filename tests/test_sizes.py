@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from loadlens.operators import keyed, reports
 from loadlens.plans import driver_tables
 from loadlens.session import scratch_path
+from loadlens.sinks import files as sinks
+from loadlens.sources import files as sources
 
 
 def local(path):
@@ -56,3 +58,35 @@ def test_documents_are_made_after_the_shuffles(spark):
     assert flat[("run-3", 2, 8)].tps is None and flat[("run-5", 3, 0)].operation == "api" and flat[("run-5", 3, 0)].step == "" and flat[("run-7", 4, 0)].type == "custom"
     last = {(r.run, r.phase_idx): r.phase.tps for r in docs.collect()}
     assert last[("run-5", 0)] == flat[("run-5", 0, 3)].tps and last[("run-5", 3)] is None
+
+
+def _runs(spark):
+    return spark.range(60).selectExpr("concat('set_', id % 2) as runset", "concat('run-', id div 6) as run", "cast(id % 6 as int) as phase_idx", "0 as step_idx", "cast(id as int) as n")
+
+
+def _flat(rows):
+    flat = rows.select("runset", "run", "phase_idx", "step_idx", *[F.lit(None).cast("double").alias(c) for c in sources.schemas.REPORT_COLUMNS if c not in ("phase", "tps")], F.concat(F.lit("p,"), "n").alias("phase"), (F.col("n") / 4).alias("tps"))
+    return flat
+
+
+def test_packed_reports_are_made_behind_the_shuffle(spark):
+    rows = _runs(spark)
+    plain = sinks.write_report_csv(_flat(rows), scratch_path(spark, "report"))
+    packed = sinks.write_report_csv(rows, scratch_path(spark, "report"), render=_flat, compression="gzip")
+    assert glob.glob(f"{local(packed)}/*/*/report*.csv.gz") and not glob.glob(f"{local(packed)}/*/*/*.csv")
+    one, two = (sources.scan_report_csv(spark, path) for path in (plain, packed))
+    assert one.count() == two.count() == 60 and one.exceptAll(two).count() == 0
+    assert {(r.runset, r.run, r.phase, r.tps) for r in two.collect()} == {(f"set_{n % 2}", f"run-{n // 6}", f"p,{n}", n / 4) for n in range(60)}
+
+
+def test_packed_summaries_are_read_back(spark):
+    docs = lambda rows: rows.select("runset", "run", "phase_idx", "step_idx", F.struct(F.concat(F.lit("p"), "n").alias("name")).alias("phase"), F.struct(F.lit(None).cast("double").alias("tps"), F.lit("s").alias("step")).alias("step"))
+    path = sinks.write_summaries(_runs(spark), scratch_path(spark, "summaries"), render=docs, compression="gzip")
+    assert glob.glob(f"{local(path)}/*/summary*.json.gz")
+    back = sources.scan_summary_records(spark, path).collect()
+    assert {(r.runset, r.run, r.phase_idx, r.phase.name, r.step.step, r.step.tps) for r in back} == {(f"set_{n % 2}", f"run-{n // 6}", n % 6, f"p{n}", "s", None) for n in range(60)}
+    runs = spark.range(0, 50, 1, 1).selectExpr("concat('/runs/a/r', id) as run_dir", "cast(null as string) as run_label", "array(struct('x' as name)) as phases")
+    path = sinks.write_run_documents(runs, scratch_path(spark, "documents"), compression="gzip", rows_per_file=20)
+    assert len(glob.glob(f"{local(path)}/summary*.json.gz")) == 3
+    back = sources.scan_summary(spark, path, "summary*", one_per_file=False).collect()
+    assert {(r.runset, r.run, r.run_label, r.phases[0].name) for r in back} == {("a", f"r{n}", None, "x") for n in range(50)}
