@@ -107,7 +107,7 @@ def growing_logs(spark: SparkSession, sf: str, root: str) -> Iterator[int]:
                 out.close()
 
             for frame in frames:
-                for file, line in zip(frame["file"], frame["line"], strict=True):
+                for file, part in frame.groupby("file", sort=False)["line"]:  # rows of a file follow one another
                     if file != now:
                         if out is not None:
                             close()
@@ -117,7 +117,10 @@ def growing_logs(spark: SparkSession, sf: str, root: str) -> Iterator[int]:
                         out, now = fs.LocalFileSystem().open_output_stream(where), file
                     else:
                         out.write(last.encode() + b"\n")
-                    last = line
+                    lines = part.tolist()
+                    last = lines.pop()
+                    if lines:
+                        out.write("\n".join([*lines, ""]).encode())
             if out is not None:
                 close()
             yield from ()

@@ -101,6 +101,14 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"file": [r.file], "begun": [r.begun], "line": [None], "upto": [place], "tail": [tail]})
 
 
+def _parts(plan: DataFrame, part_bytes: int, count: int) -> DataFrame:
+    """The ranges to read, dealt to a task each up to the session's number of shuffle partitions. The number is given, for
+    adaptive execution judges by the few bytes of a range's description and would leave all of them to one task."""
+    parts = plan.where("length > start").select("*", F.explode(F.sequence("start", F.col("length") - 1, F.lit(part_bytes))).alias("part"), F.lit(part_bytes).alias("size"))
+    tasks = max(1, min(count, int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return parts.repartition(tasks, F.xxhash64("file", "part"))
+
+
 def _listing(spark: SparkSession, root: str, files: str) -> DataFrame:
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", files).load(root)
     return found.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"))  # the content is not read
@@ -127,8 +135,9 @@ def ingest_appended(spark: SparkSession, root: str, path: str, files: str = "pgb
     asked = changed.select("file", "length", "modified", "begun", "upto", "tail", F.lit(number).alias("now")).repartition(F.xxhash64("file"))
     asked.mapInPandas(_starts, columns).write.mode("overwrite").parquet(plan_path)
     plan = spark.read.schema(columns).parquet(plan_path)
-    parts = plan.where("length > start").select("*", F.explode(F.sequence("start", F.col("length") - 1, F.lit(part_bytes))).alias("part"), F.lit(part_bytes).alias("size"))
-    pieces = parts.repartition(F.xxhash64("file", "part")).mapInPandas(_read, "file string, begun bigint, line string, upto bigint, tail binary")
+    new = F.greatest(F.col("length") - F.col("start"), F.lit(0))
+    asked_for = plan.agg(F.sum(F.col("length") - F.col("start")).alias("appended"), F.sum(F.ceil(new / part_bytes)).alias("parts")).first()
+    pieces = _parts(plan, part_bytes, asked_for["parts"] or 1).mapInPandas(_read, "file string, begun bigint, line string, upto bigint, tail binary")
     pieces.write.mode("overwrite").parquet(raw_path)
     raw = spark.read.schema("file string, begun bigint, line string, upto bigint, tail binary").parquet(raw_path)
     lines = raw.where("line is not null").select(*step_levels(F.col("file")), "file", "begun", "line")
@@ -139,11 +148,10 @@ def ingest_appended(spark: SparkSession, root: str, path: str, files: str = "pgb
     )
     kept = known.join(plan.select("file"), "file", "left_anti")
     kept.unionByName(moved).write.mode("overwrite").parquet(f"{path}/offsets/batch_id={number}")
-    appended = plan.agg(F.sum(F.col("length") - F.col("start"))).first()[0]
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for old in (plan_path, raw_path, *[done[n] for n in done if n < number - 1]):
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
-    return int(appended or 0)
+    return int(asked_for["appended"] or 0)
 
 
 def appended_logs(spark: SparkSession, path: str) -> DataFrame:

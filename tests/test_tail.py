@@ -93,3 +93,11 @@ def test_a_pass_that_failed_is_repeated(spark, tmp_path):
     assert tail.appended_logs(spark, path).count() == 9
     tail.ingest_appended(spark, root, path)
     assert sorted(r["txn_no"] for r in tail.appended_logs(spark, path).collect()) == list(range(12))
+
+
+def test_ranges_are_dealt_to_many_tasks(spark):
+    plan = spark.createDataFrame([("a", 0, 0, 6400), ("b", 0, 640, 1280), ("c", 0, 5, 5)], "file string, begun bigint, start bigint, length bigint")
+    parts = tail._parts(plan, 64, 110)
+    rows = parts.selectExpr("file", "part", "spark_partition_id() as task").collect()
+    assert sorted((r.file, r.part) for r in rows) == [("a", n) for n in range(0, 6400, 64)] + [("b", n) for n in range(640, 1280, 64)]
+    assert len({r.task for r in rows}) > 1
