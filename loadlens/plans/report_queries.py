@@ -9,7 +9,7 @@ from loadlens.operators import latency, reports
 from loadlens.plans import comparisons, loadplan
 from loadlens.plans import driver_tables as t
 from loadlens.plans.registry import query
-from loadlens.session import scratch_path
+from loadlens.session import scratch_path, store
 from loadlens.sinks import files as sinks
 from loadlens.sources import files as sources
 from loadlens.sources.schemas import HTML_COLUMNS, MONO_COLUMNS, REPORT_COLUMNS
@@ -71,9 +71,9 @@ def _(spark, sf):
 def _(spark, sf):
     # Nested documents, one per run set, with the phases of all its runs one after the other; written and read back.
     path = scratch_path(spark, "summary-documents")
-    rows = t.records(spark, sf)
+    rows = t.record_docs(store(t.record_rows(spark, sf), "record-rows"))  # heads, phases and steps are taken from the same rows
     number = F.regexp_extract("run", r"(\d+)$", 1).cast("int") * 5 + F.col("phase_idx")
-    sinks.write_summary_documents(rows.withColumn("phase_idx", number.cast("int")).withColumn("run", F.col("runset")), path)
+    sinks.write_summary_documents(rows.withColumn("phase_idx", number.cast("int")).withColumn("run", F.col("runset")), path, compression="gzip")
     return reports.flatten_report(sources.scan_summary(spark, path, "summary*")).drop("phase_idx", "step_idx", "run")
 
 

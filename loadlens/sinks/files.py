@@ -120,7 +120,7 @@ def _open_object(fields: Column, more: Column | str) -> Column:
     return F.when(F.lit(more) & (F.length(text) > 2), F.concat(body, F.lit(","))).otherwise(body)
 
 
-def _document_lines(rows: DataFrame, folders: Sequence[str], order: Sequence[str], comma_after: dict[int, int], path: str, name: str) -> str:
+def _document_lines(rows: DataFrame, folders: Sequence[str], order: Sequence[str], comma_after: dict[int, int], path: str, name: str, compression: str | None = None) -> str:
     """``rows`` (folders, order columns, ``kind__``, ``text__``) as files: a kind in ``comma_after`` gets a comma when the line
     before it is of the given kind. The window needs no shuffle or sort beyond that of the rows."""
     placed = rows.repartition(*folders).sortWithinPartitions(*folders, *order)
@@ -129,7 +129,7 @@ def _document_lines(rows: DataFrame, folders: Sequence[str], order: Sequence[str
     comma = F.lit("")
     for kind, previous in comma_after.items():
         comma = F.when((F.col("kind__") == kind) & (F.col("before__") == previous), ",").otherwise(comma)
-    _writer(listed.select(*folders, F.concat(comma, "text__").alias("value")), folders, name).text(path)
+    _writer(listed.select(*folders, F.concat(comma, "text__").alias("value")), folders, name, compression).text(path)
     return path
 
 
@@ -151,7 +151,7 @@ def write_snapshot_documents(
     return _document_lines(rows, folders, ["kind__", *order], {1: 1}, path, name)
 
 
-def write_summary_documents(records: DataFrame, path: str, folders: Sequence[str] = ("runset", "run"), name: str = "summary") -> str:
+def write_summary_documents(records: DataFrame, path: str, folders: Sequence[str] = ("runset", "run"), name: str = "summary", compression: str | None = None) -> str:
     """One nested run document per folder, from step records: the run's fields, its phases, their steps, all in order."""
     keys, others = list(folders), ["phase_idx", "phase", "step_idx", "step"]
     run_fields = [c for c in records.columns if c not in (*keys, *others)]
@@ -171,4 +171,4 @@ def write_summary_documents(records: DataFrame, path: str, folders: Sequence[str
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return _document_lines(rows, keys, ["phase_idx", "kind__", "step_idx"], {1: 3, 2: 2}, path, name)
+    return _document_lines(rows, keys, ["phase_idx", "kind__", "step_idx"], {1: 3, 2: 2}, path, name, compression)
