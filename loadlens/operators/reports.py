@@ -64,33 +64,34 @@ def flatten_report(summaries: DataFrame, keys: Sequence[str] = ("runset", "run")
     return flatten_records(summary_records(summaries, keys), keys)
 
 
-def number_text(value: Column, text: Column | None = None) -> Column:
+def number_text(value: Column) -> Column:
     """A float as the file format prints it: plain from 1e-4 up to below 1e16, else ``1.5e-05``, ``1e+16``.
 
-    The engine's own ``text`` of the value is right unless it has an exponent, so only those are rewritten.
+    The engine's own text is right unless it has an exponent (below 1e-3 and from 1e7), so only those are rewritten.
     """
-    text = value.cast("string") if text is None else text
-    power = F.substring_index(text, "E", -1).try_cast("int")
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    size = F.abs(power).cast("string")
-    far = F.concat(
-        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size)
-    )
-    near = F.call_function("format_number", value, F.lit("0.0####################"))
-    return F.when(~F.contains(text, F.lit("E")), text).when(power.between(-4, 15), near).otherwise(far)
+
+    def rewritten(text: Column) -> Column:
+        power = F.substring_index(text, "E", -1).try_cast("int")
+        mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+        size = F.abs(power).cast("string")
+        far = F.concat(
+            mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size)
+        )
+        near = F.call_function("format_number", text.cast("double"), F.lit("0.0####################"))
+        return F.when(power.between(-4, 15), near).otherwise(far)
+
+    text, size = value.cast("string"), F.abs(value)
+    exponent = ((size > 0.0) & (size < 1e-3)) | ((size >= 1e7) & (size < float("inf")))
+    # A function over an array is not written out in generated code, and Spark cuts the code around it into methods. Written out for all
+    # columns of a report it was one method of 39,000 bytes, and the JVM runs what is above 8,000 without compiling it.
+    return F.when(exponent, F.get(F.transform(F.array(text), rewritten), F.lit(0))).otherwise(text)
 
 
 def report_text(flat: DataFrame) -> DataFrame:
     """All columns as the text that the report files hold; null stays null."""
-    numbers = [c for c, kind in flat.dtypes if kind == "double" and c in REPORT_COLUMNS]
-    # Cast in a step of its own: a text that is read several times is made once.
-    cast = flat.select("*", *[F.col(c).cast("string").alias(f"{c}__text") for c in numbers])
-    return cast.select(
-        *[
-            (number_text(F.col(c), F.col(f"{c}__text")) if c in numbers else F.col(c).cast("string") if c in REPORT_COLUMNS else F.col(c)).alias(c)
-            for c in flat.columns
-        ]
-    )
+    kinds = dict(flat.dtypes)
+    text = lambda c: number_text(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string")
+    return flat.select(*[text(c).alias(c) if c in REPORT_COLUMNS else F.col(c) for c in flat.columns])
 
 
 def report_html_rows(flat: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -162,12 +163,13 @@ def label_text(labels: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
-def join_steps(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run")) -> DataFrame:
+def join_steps(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runset", "run"), throughput: bool = True) -> DataFrame:
     """``phases`` (keys, phase_idx, phase struct) and ``steps`` (keys, phase_idx, step_idx, step struct) -> one row per step, and
     one with a null step per phase without steps; ``stepped`` tells which.
 
     A phase's throughput is that of its last step. Of the structs only ``tps`` and ``tps_excluding`` are looked at, so they
     may hold what a document is made of instead of the document, and that alone is shuffled. Keys are never null.
+    Without ``throughput`` a phase with steps keeps its own, which report rows never show: that saves a join.
     """
     keys = [*keys, "phase_idx"]
     figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
@@ -175,13 +177,13 @@ def join_steps(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runs
     # Phases are nearly as many as steps and their size is guessed from compressed files: a join of them is never broadcast.
     known = phases.join(last.withColumn("stepped", F.lit(True)).hint("merge"), keys, "left")
     stepped = F.col("stepped").isNotNull()
-    tps = F.when(stepped, F.col("last_tps__")).otherwise(F.col("phase.tps"))
-    excluding = F.when(stepped, F.col("last_excluding__")).otherwise(F.col("phase.tps_excluding"))
-    known = known.withColumn("phase", F.col("phase").withField("tps", tps).withField("tps_excluding", excluding))
     alone = known.where(~stepped).select(
         *keys, "phase", F.lit(0).alias("step_idx"), F.lit(None).cast(steps.schema["step"].dataType).alias("step"), F.lit(False).alias("stepped")
     )
-    measured = steps.join(known.where(stepped).select(*keys, "phase").hint("merge"), keys)
+    if throughput:
+        figures = F.col("phase").withField("tps", F.col("last_tps__")).withField("tps_excluding", F.col("last_excluding__"))
+        phases = known.where(stepped).withColumn("phase", figures)
+    measured = steps.join(phases.select(*keys, "phase").hint("merge"), keys)
     return measured.select(*keys, "phase", "step_idx", "step", F.lit(True).alias("stepped")).unionByName(alone)
 
 

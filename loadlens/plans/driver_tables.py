@@ -288,7 +288,7 @@ PHASE_FIELDS = {
 }
 
 
-def record_rows(spark: SparkSession, sf: str) -> DataFrame:
+def record_rows(spark: SparkSession, sf: str, throughput: bool = True) -> DataFrame:
     """What the step records are made of: some figures a step, and not yet the document with all its fields."""
     steps = line_step(spark, sf).selectExpr(
         "k", "phase_idx", "step_idx",
@@ -300,7 +300,7 @@ def record_rows(spark: SparkSession, sf: str) -> DataFrame:
     alone = run_row(spark, sf).selectExpr(
         "k", "explode(filter(array(case when k % 5 = 0 then 3 end, case when k % 7 = 0 then 4 end), x -> x is not null)) as phase_idx"
     ).selectExpr("k", "phase_idx", none)
-    return join_steps(stepped.unionByName(alone), steps, ["k"]).selectExpr(*[f"{x} as {c}" for c, x in RUN_OF.items()], "*")
+    return join_steps(stepped.unionByName(alone), steps, ["k"], throughput).selectExpr(*[f"{x} as {c}" for c, x in RUN_OF.items()], "*")
 
 
 def record_docs(rows: DataFrame) -> DataFrame:
@@ -309,13 +309,19 @@ def record_docs(rows: DataFrame) -> DataFrame:
     made = rows.selectExpr(*places, "phase as figures", "step.pk", "step.sk", "step.qty", "step.tps as hi", "step.tps_excluding as lo")
     derived = [x for x in STEP_ROW if x.rsplit(" as ", 1)[-1] not in (*places, "sk")]
     made = made.selectExpr(*places, "figures", "sk", *derived)
-    docs = made.select(*places, _struct_of(PHASE_FIELDS, STEP_STRUCT).alias("phase"), _struct_of(STEP_FIELDS, STEP_STRUCT).alias("step"))
+    # Fields are columns first, and the phase's name one that both structs read: so Spark keeps the step that makes them apart, and who reads
+    # some fields only takes them from the columns and has the structs and what else they are made of left out.
+    parts = {"phase": PHASE_FIELDS, "step": {n: x for n, x in STEP_FIELDS.items() if n != "name"}}
+    kinds = {f.name: f.dataType.simpleString() for f in _parsed(STEP_STRUCT)}
+    made = made.selectExpr(*places, *[f"cast({x} as {kinds[n]}) as {part}_{n}__" for part, fields in parts.items() for n, x in fields.items()])
+    structs = {part: {"name": "phase_name__"} | {n: f"{part}_{n}__" for n in fields} for part, fields in parts.items()}
+    docs = made.select(*places, *[_struct_of(fields, STEP_STRUCT).alias(part) for part, fields in structs.items()])
     return own_steps(docs).selectExpr("runset", "run", *RUN_FIELDS, "phase_idx", "phase", "step_idx", "step")
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
-    """Step records of the runs, as a stored summary has them."""
-    return record_docs(record_rows(spark, sf))
+def records(spark: SparkSession, sf: str, throughput: bool = True) -> DataFrame:
+    """Step records of the runs, as a stored summary has them (without ``throughput``: but for that of phases with steps)."""
+    return record_docs(record_rows(spark, sf, throughput))
 
 
 def summaries(spark: SparkSession, sf: str) -> DataFrame:

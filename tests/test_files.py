@@ -1,14 +1,17 @@
 import csv
+import html
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from loadlens import functions as fn
 from loadlens.operators import latency, reports
 from loadlens.plans import loadplan
 from loadlens.sinks import files as sinks
 from loadlens.sources import files as sources
-from loadlens.sources.schemas import HTML_COLUMNS, REPORT_COLUMNS
+from loadlens.sources.schemas import HTML_COLUMNS, REPORT_COLUMNS, STEP_STRUCT
 
 SUMMARY = {
     "run_dir": "runs/a/20240101-000000", "run_label": "plain", "cluster_type": "xcluster", "xcluster_enabled": True,
@@ -79,6 +82,45 @@ def test_summary_flattens_to_the_report(spark, tmp_path):
     assert all(h.count("<td") == 32 and h.count('class="mono"') == 4 for h in html)
 
 
+def test_cells_of_a_row(spark):
+    """Numbers at the bounds of the engine's own text, cells with and without markup, null and empty ones."""
+    numbers = [0.001, 0.0009999999999999998, 9999999.999999998, 1e7, -1e7, 0.0, -0.0, 1.5e-300, 1e15, 1e16, 0.0001, 9.999999e-5, 1.5, None]
+    texts = ["a&b", '<"x">', "plain", "", None, "&lt;", ">>"]
+    rows = [(f"s{i}", n, texts[i % len(texts)], [] if i == 2 else None if i == 3 else ["", None, "/m", "/n"]) for i, n in enumerate(numbers)]
+    given = spark.createDataFrame(rows, "step string, tps double, log string, paths array<string>")
+    flat = given.select(*[
+        F.col(c) if c in ("step", "tps", "log")
+        else fn.join_metric_paths(F.transform("paths", lambda p: F.struct(p.alias("path")))).alias(c) if c == "server_metrics"
+        else F.lit(None).cast("string").alias(c)
+        for c in REPORT_COLUMNS
+    ])
+    cells = {r.step: re.findall(r"<td[^>]*>(.*?)</td>", r.html) for r in reports.report_html_rows(flat, ["step"]).collect()}
+    at = HTML_COLUMNS.index
+    for step, number, text, paths in rows:
+        row = cells[step]
+        assert len(row) == 32 and row[at("step")] == step
+        assert row[at("tps")] == ("" if number is None else repr(number))
+        assert row[at("log")] == html.escape(text or "", quote=True)
+        assert row[at("server_metrics")] == ("/m;/n" if paths else "")
+
+
+def test_report_rows_need_no_throughput_of_phases(spark):
+    """Steps that repeat, a phase that repeats, phases without steps and keys that are null: the same report rows either way."""
+    kind = f"struct<{STEP_STRUCT}>"
+    doc = lambda **f: json.dumps(f)
+    steps = [("s", "r", 0, 0, doc(step="a", tps=1.5)), ("s", "r", 0, 1, doc(step="b", tps=2.5)), ("s", "r", 0, 1, doc(step="b", tps=2.5)),
+             ("s", "q", 1, 0, doc(step="c")), ("s", None, 0, 0, doc(step="n")), ("s", "r", 9, 0, doc(step="lost"))]
+    phases = [("s", "r", 0, doc(name="p", type="pgbench")), ("s", "q", 1, doc(name="p", type="pgbench")), ("s", "q", 1, doc(name="p2", type="pgbench")),
+              ("s", "r", 1, doc(name="api", type="http", tps=7.0)), ("s", None, 0, doc(name="n", type="pgbench"))]
+    steps = spark.createDataFrame(steps, "runset string, run string, phase_idx int, step_idx int, j string").withColumn("step", F.from_json("j", kind)).drop("j")
+    phases = spark.createDataFrame(phases, "runset string, run string, phase_idx int, j string").withColumn("phase", F.from_json("j", kind)).drop("j")
+    both = [
+        sorted(map(repr, reports.flatten_records(reports.own_steps(reports.join_steps(phases, steps, throughput=t))).select("run", "phase", "step", "tps").collect()))
+        for t in (True, False)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 7
+
+
 def test_report_csv_round_trip(spark, tmp_path):
     flat = reports.flatten_report(sources.scan_summary(spark, _tree(tmp_path)))
     path = sinks.write_report_csv(flat, str(tmp_path / "out"))
