@@ -172,17 +172,20 @@ def join_steps(phases: DataFrame, steps: DataFrame, keys: Sequence[str] = ("runs
     Without ``throughput`` a phase with steps keeps its own, which report rows never show: that saves a join.
     """
     keys = [*keys, "phase_idx"]
-    figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
-    last = phase_last_step(figures, keys).withColumnsRenamed({"tps": "last_tps__", "tps_excluding": "last_excluding__"})
     # Phases are nearly as many as steps and their size is guessed from compressed files: a join of them is never broadcast.
-    known = phases.join(last.withColumn("stepped", F.lit(True)).hint("merge"), keys, "left")
-    stepped = F.col("stepped").isNotNull()
-    alone = known.where(~stepped).select(
-        *keys, "phase", F.lit(0).alias("step_idx"), F.lit(None).cast(steps.schema["step"].dataType).alias("step"), F.lit(False).alias("stepped")
-    )
     if throughput:
+        figures = steps.select(*keys, "step_idx", F.col("step.tps").alias("tps"), F.col("step.tps_excluding").alias("tps_excluding"))
+        last = phase_last_step(figures, keys).withColumnsRenamed({"tps": "last_tps__", "tps_excluding": "last_excluding__"})
+        known = phases.join(last.withColumn("stepped", F.lit(True)).hint("merge"), keys, "left")
+        stepped = F.col("stepped").isNotNull()
+        alone = known.where(~stepped)
         figures = F.col("phase").withField("tps", F.col("last_tps__")).withField("tps_excluding", F.col("last_excluding__"))
         phases = known.where(stepped).withColumn("phase", figures)
+    else:
+        alone = phases.join(steps.select(*keys).distinct().hint("merge"), keys, "left_anti")
+    alone = alone.select(
+        *keys, "phase", F.lit(0).alias("step_idx"), F.lit(None).cast(steps.schema["step"].dataType).alias("step"), F.lit(False).alias("stepped")
+    )
     measured = steps.join(phases.select(*keys, "phase").hint("merge"), keys)
     return measured.select(*keys, "phase", "step_idx", "step", F.lit(True).alias("stepped")).unionByName(alone)
 

@@ -30,8 +30,14 @@ def _spread(df: DataFrame, folders: Sequence[str], *columns: str) -> DataFrame:
 CSV = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"'}
 
 
+#: Of gzip, where used. At the default level packing took two fifths of a writer's time; level 3 takes half of that, for a sixth (report rows) to
+#: two fifths (records with their null fields) more bytes.
+GZIP_LEVEL = "THREE"
+
+
 def _writer(df: DataFrame, folders: Sequence[str], name: str, compression: str | None = None):
-    return df.write.option("mapreduce.output.basename", name).option("compression", compression or "none").partitionBy(*folders)
+    kept = df.write.option("mapreduce.output.basename", name).option("compression", compression or "none")
+    return kept.option("zlib.compress.level", GZIP_LEVEL).partitionBy(*folders)
 
 
 #: Makes what is written out of the rows that are given, row by row, behind the shuffle: only the narrower rows travel.

@@ -6,7 +6,9 @@ import re
 from pyspark.sql import functions as F
 
 from loadlens.operators import keyed, reports
+from loadlens.plans import catalog  # noqa: F401
 from loadlens.plans import driver_tables
+from loadlens.plans.registry import QUERIES
 from loadlens.session import scratch_path
 from loadlens.sinks import files as sinks
 from loadlens.sources import files as sources
@@ -116,3 +118,13 @@ def test_stored_report_rows_run_compiled(spark):
         assert len(text.collect()) == 8 + 1 + 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_report_rows_come_without_the_throughput_of_phases(spark, monkeypatch):
+    """The stored report shows none, so none is looked for; phases with and without steps are all there."""
+    path, _ = _stored_rows(spark)
+    plans, write = [], sinks.write_report_csv
+    monkeypatch.setattr(sinks, "write_report_csv", lambda flat, *rest: (plans.append(flat._jdf.queryExecution().optimizedPlan().toString()), write(flat, *rest))[1])
+    back = QUERIES["sink_report_csv"](spark, path).collect()
+    assert sorted((r.operation, r.step or "") for r in back) == sorted([("select", f"select_step{n}") for n in range(1, 9)] + [("api", ""), ("other", "")])
+    assert plans and "max_by" not in plans[0]
