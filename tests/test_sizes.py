@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from loadlens.functions import sanitize_nonfinite
 from loadlens.operators import keyed, reports
 from loadlens.plans import catalog  # noqa: F401
 from loadlens.plans import driver_tables
@@ -12,6 +13,7 @@ from loadlens.plans.registry import QUERIES
 from loadlens.session import scratch_path
 from loadlens.sinks import files as sinks
 from loadlens.sources import files as sources
+from loadlens.sources.schemas import LISTING_RECORD
 
 
 def local(path):
@@ -128,3 +130,17 @@ def test_report_rows_come_without_the_throughput_of_phases(spark, monkeypatch):
     back = QUERIES["sink_report_csv"](spark, path).collect()
     assert sorted((r.operation, r.step or "") for r in back) == sorted([("select", f"select_step{n}") for n in range(1, 9)] + [("api", ""), ("other", "")])
     assert plans and "max_by" not in plans[0]
+
+
+def test_a_listing_parses_what_it_looks_at(spark):
+    """A line has 120 fields and the listing looks at six; literals that JSON has not are looked for before they are replaced."""
+    step = "struct('s' as step, double('NaN') as tps, double('Infinity') as lag_ms, cast(null as string) as log)"
+    records = spark.range(6).selectExpr("'a' as runset", "concat('r', id div 3) as run", "'l' as run_label", "cast(id % 3 as int) as phase_idx", "struct('p' as name, if(id % 3 = 0, 'http', 'pgbench') as type, double(id) as tps) as phase", "0 as step_idx", f"{step} as step")
+    path = sinks.write_summaries(records, scratch_path(spark, "summaries"), compression="gzip")
+    few, whole = (sources.scan_summary_records(spark, path, **more) for more in ({"fields": LISTING_RECORD}, {}))
+    assert few.columns == ["runset", "run", "run_label", "phase_idx", "phase", "step"] and few.schema["step"].dataType.fieldNames() == ["step"]
+    got = [sorted(map(tuple, reports.run_listing(df).collect())) for df in (few, whole)]
+    assert got[0] == got[1] == [("a", "r0", "l", 3, 3, 1, 3.0), ("a", "r1", "l", 3, 3, 1, 12.0)]
+    texts = ['{"a": NaN, "b": [-Infinity, Infinity]}', "NaN", "x-Infinity", "plain", "", None, "Nan", "Infinit"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t"), sanitize_nonfinite(F.col("t")).alias("clean")).collect()
+    assert [r.clean for r in rows] == ['{"a": null, "b": [null, null]}', "null", "xnull", *texts[3:]]
