@@ -144,3 +144,11 @@ def test_a_listing_parses_what_it_looks_at(spark):
     texts = ['{"a": NaN, "b": [-Infinity, Infinity]}', "NaN", "x-Infinity", "plain", "", None, "Nan", "Infinit"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t"), sanitize_nonfinite(F.col("t")).alias("clean")).collect()
     assert [r.clean for r in rows] == ['{"a": null, "b": [null, null]}', "null", "xnull", *texts[3:]]
+
+
+def test_last_steps_are_found_without_a_sort(spark):
+    steps = spark.createDataFrame([("r", 0, 0, 1.0, 2.0), ("r", 0, 2, None, 4.0), ("r", 0, 1, 5.0, 6.0), ("r", 1, None, 7.0, 8.0), (None, 1, 3, 9.0, None)], "run string, phase_idx int, step_idx int, tps double, tps_excluding double")
+    last = reports.phase_last_step(steps)
+    assert last.columns == ["run", "phase_idx", "tps", "tps_excluding"]
+    assert sorted(map(tuple, last.collect()), key=str) == sorted([("r", 0, None, 4.0), ("r", 1, None, None), (None, 1, 9.0, None)], key=str)
+    assert "SortAggregate" not in last._jdf.queryExecution().executedPlan().toString()
