@@ -6,6 +6,7 @@ levels may be plain names or ``key=value``, the way a partitioned Spark write na
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from loadlens.operators.ordered import join_apart
 from loadlens.operators.statements import with_time_columns
 from loadlens.sources import documents, schemas
 
+cloudpickle.register_pickle_by_value(documents)  # a reader works where the workers have no copy of this library
+
 
 def _reader(spark: SparkSession, files: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
@@ -86,7 +89,8 @@ def _document_parts(spark: SparkSession, root: str, files: str, size: int) -> Da
     pieces = texts.select(F.col("_metadata.file_path").alias("file"), F.concat("value", F.lit("}")).alias("value"), F.col("_metadata.file_block_start").alias("block"))
     if any(codec is None or splits.isInstance(codec) for codec in codecs):  # files that Spark may cut: their texts meet again, in order
         pieces = pieces.withColumn("row", F.monotonically_increasing_id()).repartition("file").sortWithinPartitions("file", "block", "row")
-    return pieces.select("file", "value").mapInArrow(lambda batches: documents.parts(batches, size), documents.OUT)
+    run = documents.parts
+    return pieces.select("file", "value").mapInArrow(lambda batches: run(batches, size), documents.OUT)
 
 
 def scan_summary(spark: SparkSession, root: str, files: str = "summary.json", one_per_file: bool = True, part_size: int | None = None) -> DataFrame:

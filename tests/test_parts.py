@@ -114,3 +114,11 @@ def test_no_cell_holds_a_run_set(spark, monkeypatch):
     rows = QUERIES["summary_documents"](spark, path)
     assert rows.count() == 3000 + 3000 + 3000 // 7 and {r.runset for r in rows.select("runset").distinct().collect()} == {"set_0"}
     assert max(r[0] for r in seen[0].selectExpr("size(phases)").collect()) < 300
+
+
+def test_workers_need_no_copy_of_the_library():
+    """The code travels with the task, not the name of a module that only the driver may have."""
+    from pyspark import cloudpickle
+
+    given = cloudpickle.loads(cloudpickle.dumps(documents.parts))
+    assert given is not documents.parts and list(given(iter([]), 10)) == []
